@@ -1,4 +1,4 @@
 """All queries of this subpackage; importing the modules registers them."""
 
-from siltstone.llm import chat_format, mixing, packing, quality, topk, url_filter, warc  # noqa: F401
+from siltstone.llm import chat_format, fingerprint, mixing, packing, quality, topk, url_filter, warc  # noqa: F401
 from siltstone.llm.registry import ORACLES, QUERIES  # noqa: F401
