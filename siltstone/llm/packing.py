@@ -8,9 +8,8 @@ piece's length on is the best fit; when too many bins are open the fullest, the
 closes first. A partition holds the open bins alone, never its rows.
 
 Tokenising: the vocabulary's pre-tokeniser never lets a token cross white space, so ids are looked up
-by white-space word in a bounded dictionary of words already encoded; the tokenizer sees each new word
-once. Texts with U+001C..U+001F, where Python and the tokenizer differ on what white space is, are
-encoded whole.
+by white-space word in a bounded dictionary of words already encoded. Texts with U+001C..U+001F, where
+Python and the tokenizer differ on what white space is, are encoded whole.
 
 Defined cases: null text counts as empty and still gives its end id; rows with equal ids are packed
 each for itself; ties in length go by id, piece, start; null ids are kept; empty input gives no rows.
@@ -27,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,7 +36,7 @@ from siltstone.session import table
 
 CAPACITY = 2048
 OPEN_BINS = 1 << 16
-_CACHE_CHARS = 8_000_000
+_CACHED = 600_000
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
 
@@ -47,32 +47,51 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordEncoder:
-    """Ids of whole texts as little-endian uint32 bytes."""
+class WordEncoder(dict):
+    """Ids of whole texts as little-endian uint32 bytes; itself the bounded dictionary of white-space words.
+
+    A new word of printable ASCII and Latin letters is normalised and split here, as the vocabulary's own
+    normaliser and pre-tokeniser would, and only runs not met before go to its merges. All other words
+    pass the whole tokenizer.
+    """
+
+    _plain = regex.compile(r"[\x21-\x7E\u00C0-\u024F]+")
+    _runs = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
-
-        self.tokenizer, self.words, self.chars = Tokenizer.from_file(path), {}, 0
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        super().__init__()
+        self.tokenizer, self.runs = Tokenizer.from_file(path), {}
+        byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [chr(c) for c in range(0xC0, 0x400)]
+        self.as_bytes = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in letters}
+
+    def whole(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= _CACHED:
+            self.clear()
+        if "<|" in word or not self._plain.fullmatch(word):
+            found = self.whole(word)
+        else:
+            found = b"".join([self.runs.get(r) or self._run(r) for r in self._runs.findall(word.lower())])
+        self[word] = found
+        return found
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch(texts, add_special_tokens=False)
-        return [np.asarray(e.ids, "<u4").tobytes() for e in found]
+    def _run(self, run: str) -> bytes:
+        if len(self.runs) >= _CACHED:
+            self.runs.clear()
+        tokens = self.tokenizer.model.tokenize(run if run.isascii() else run.translate(self.as_bytes))
+        self.runs[run] = found = np.asarray([t.id for t in tokens], "<u4").tobytes()
+        return found
 
     def __call__(self, text: str) -> bytes:
         if _ODD_SPACE.search(text):
-            return self._encode([text])[0]
-        words = text.split()
-        new = set(words).difference(self.words)
-        if new:
-            if self.chars > _CACHE_CHARS:
-                self.words, self.chars = {}, 0
-                new = set(words)
-            new = list(new)
-            self.words.update(zip(new, self._encode(new), strict=True))
-            self.chars += sum(map(len, new))
-        return b"".join(map(self.words.__getitem__, words))
+            return self.whole(text)
+        return b"".join(map(self.__getitem__, text.split()))
 
 
 class BestFit:
