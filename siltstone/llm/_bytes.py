@@ -11,7 +11,8 @@ BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(BASE, -1, 2**64)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
+    """base**0 to base**(n - 1) modulo 2**64."""
     out = np.empty(n, np.uint64)
     out[0] = 1
     k = 1
@@ -24,7 +25,7 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 CHUNK = 1 << 17
 _MARGIN = 512
-_POW, _INV = _powers(BASE, CHUNK + _MARGIN), _powers(_INVERSE, CHUNK + _MARGIN)
+_POW, _INV = powers(BASE, CHUNK + _MARGIN), powers(_INVERSE, CHUNK + _MARGIN)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
