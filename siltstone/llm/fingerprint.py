@@ -9,13 +9,12 @@ anything but space and U+0009..U+000D); a text of one to four words is one shing
 As a string: ``all:`` where the sketch holds every shingle of its text, else ``part:``, then the sorted
 hashes, 16 hex digits each.
 
-Neighbours in the order of ids are found without a global sort in one task: ids alone are range-partitioned,
-each partition looks back by a window of its own, and the last id of each partition (as many rows as
-partitions) links them. Texts are exchanged once; both joins that need them read that exchange.
+Neighbours in the order of ids are found without a global sort in one task: rows are dealt into ranges of
+ids, each looks back by a window of its own, and the last rows of the ranges link them. Texts are exchanged
+once.
 
 Defined cases: null text counts as empty; equal texts have equal fingerprints; two empty texts have a
-likeness of 1, an empty and another of 0; rows with equal id and text count as one document where
-neighbours are looked up, and all of them are returned; equal ids with different texts go by a hash of the text;
+likeness of 1, an empty and another of 0; rows of equal ids are neighbours, in the order of a hash of the text;
 a null id comes last in descending order; a document alone is its own next; empty input gives no rows.
 """
 
@@ -98,20 +97,44 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(x) > 0, F.size(F.array_intersect(x, b["hashes"])) / F.size(x))
 
 
-def next_descending(ids: DataFrame) -> DataFrame:
-    """(id, mark) with next_id, next_mark: the neighbour below, and for the lowest the highest.
+def _longs(values: list[int]) -> Column:
+    """An array literal, folded to one constant however long."""
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>") if values else F.array().cast("array<bigint>")
 
-    ids: distinct (id, mark) rows and other columns, which are kept.
+
+def part_of(c: Column, splits: list[int]) -> Column:
+    """How many of the sorted splits are under c: a search in two levels of about sqrt(len(splits)) steps."""
+    m = max(1, int(len(splits) ** 0.5))
+    upper = F.size(F.filter(_longs(splits[m - 1 :: m]), lambda s: s < c))
+    return upper * m + F.size(F.filter(F.slice(_longs(splits), upper * m + 1, m), lambda s: s < c))
+
+
+def with_next(docs: DataFrame) -> DataFrame:
+    """(id, text, next_text): the text of the neighbour below in the order of ids, and for the lowest of the highest.
+
+    Rows are dealt into ranges of ids, cut at quantiles, four to a shuffle partition; each range looks back
+    within itself. The last row of each range, found by ids alone, links it to the next.
     """
-    r = materialize(ids.repartitionByRange("id", "mark").withColumn("_part", F.spark_partition_id()), "ids")
+    spark = docs.sparkSession
+    wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = docs.agg(F.percentile_approx("id", [k / wanted for k in range(1, wanted)], 20 * wanted)).first()[0]
+    splits = sorted(set(cuts or []))
+    docs = docs.select("id", "text", F.xxhash64("text").alias("mark"), part_of(F.col("id"), splits).alias("part"))
     me = F.struct("id", "mark")
-    inside = Window.partitionBy("_part").orderBy("id", "mark")
-    ends = r.groupBy("_part").agg(F.max(me).alias("last"))
-    line = Window.orderBy("_part")  # a row for each partition
-    ends = ends.select("_part", F.coalesce(F.lag("last").over(line), F.max("last").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("before"))
-    r = r.withColumn("below", F.lag(me).over(inside)).join(F.broadcast(ends), "_part")
-    below = F.coalesce("below", "before")
-    return r.select(*ids.columns, below["id"].alias("next_id"), below["mark"].alias("next_mark"))
+    line = Window.orderBy("part")  # a row for each range
+    whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = docs.groupBy("part").agg(F.max(me).alias("end"))
+    ends = ends.select("part", F.coalesce(F.lag("end").over(line), F.last("end").over(whole)).alias("before"))
+    ends = materialize(ends.select("part", "before.id", "before.mark"), "ends")
+    given = docs.select(F.col("id").alias("g_id"), F.col("mark").alias("g_mark"), F.col("text").alias("before_text"))
+    before = given.join(F.broadcast(ends), F.col("g_id").eqNullSafe(F.col("id")) & (F.col("g_mark") == F.col("mark")))
+    before = before.groupBy("part").agg(F.first("before_text").alias("before_text"))
+    inside = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first(), "mark")
+    return (
+        docs.withColumn("below", F.lag("text").over(inside))
+        .join(before, "part", "left")
+        .select("id", "text", F.coalesce("below", "before_text").alias("next_text"))
+    )
 
 
 def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -120,26 +143,13 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     Columns: doc_id, n_chars, edited, sketch, edited_sketch, near_edited, near_next.
     """
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    docs = docs.withColumn("mark", F.xxhash64("text"))
-    ids = docs.groupBy("id", "mark").agg(F.max(F.length("text")).alias("n"), F.count("*").alias("rows"))
-    order = materialize(next_descending(ids), "order")
-    repeated = not order.where("rows > 1").isEmpty()
-    order = order.drop("rows")
-    full = with_sketch(docs, "text", "sketch")
-    given = full.select(F.col("id").alias("next_id"), F.col("mark").alias("next_mark"), F.col("text").alias("next_text"), F.col("sketch").alias("next_sketch"))
-    joined = order.alias("o").join(
-        given.alias("g"), F.col("o.next_id").eqNullSafe(F.col("g.next_id")) & (F.col("o.next_mark") == F.col("g.next_mark"))
-    )
-    third = F.floor(F.col("n") / 3).cast("int")
-    tails = joined.select(F.col("id").alias("t_id"), F.col("mark").alias("t_mark"), F.substring("next_text", F.lit(1), third).alias("tail"), "next_sketch")
-    if repeated:
-        tails = tails.dropDuplicates(["t_id", "t_mark"])
-    both = full.join(tails, F.col("id").eqNullSafe(F.col("t_id")) & (F.col("mark") == F.col("t_mark")))
     n = F.length("text")
-    cut = n - F.floor(n / 3).cast("int")
-    both = both.select(
-        "id", n.cast("long").alias("n_chars"), "sketch", "next_sketch", F.concat(F.substring("text", F.lit(1), cut), "tail").alias("edited")
+    third = F.floor(n / 3).cast("int")
+    both = with_next(docs).withColumn(
+        "edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
     )
+    both = both.withColumn("n_chars", n.cast("long"))
+    both = with_sketch(with_sketch(both, "text", "sketch").drop("text"), "next_text", "next_sketch").drop("next_text")
     return with_sketch(both, "edited", "edited_sketch").select(
         F.col("id").alias("doc_id"),
         "n_chars",
