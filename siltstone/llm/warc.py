@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.registry import query
-from siltstone.session import scratch, table
+from siltstone.session import materialize, scratch, table
 
 ROLL_BYTES = 32 << 20
 REVISIT_BYTES = 100
@@ -114,6 +114,7 @@ def write_warc(
     # A digest with one id may still have rows without an id, which revisit it: the count is of all rows.
     null_too = rows.where(F.col("page_id").isNull()).select("digest").distinct().withColumn("nulls", F.lit(True))
     twice = twice.join(null_too, "digest", "left").where("n > 1 or nulls").select("digest", "first_id")
+    twice = materialize(twice, "twice")  # its size is known before the planner chooses how to join it
     named = rows.join(twice, "digest", "left").select(
         "page_id",
         "url",
