@@ -1 +1,109 @@
-"""To be filled."""
+"""Joins of other kinds, graphs, and top-k."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from siltstone.operators import graph
+from siltstone.plans.registry import query, sql_query
+from siltstone.session import table
+
+
+def _tree(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.where("doc_id > 1").select(F.col("doc_id").alias("src"), F.expr("doc_id div 2").alias("dst"))
+
+
+@query(
+    "graph_closure",
+    """
+    WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 2 AS dst FROM documents WHERE doc_id > 1),
+    p AS (SELECT src, dst FROM e UNION SELECT p.src, e.dst FROM p JOIN e ON p.dst = e.src) SELECT src, dst FROM p
+    """,
+)
+def graph_closure(spark, sf):
+    """All ancestors of every node of a tree over the documents."""
+    return graph.closure(_tree(spark, sf))
+
+
+@query(
+    "topo_depth",
+    """
+    WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 2 AS dst FROM documents WHERE doc_id > 1),
+    d AS (SELECT 1::BIGINT AS node, 0::BIGINT AS depth UNION ALL SELECT e.src, d.depth + 1 FROM d JOIN e ON e.dst = d.node) SELECT node, depth FROM d
+    """,
+)
+def topo_depth(spark, sf):
+    """Depth of every node of the tree."""
+    return graph.depths(_tree(spark, sf))
+
+
+@query(
+    "graph_unused",
+    """
+    WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 2 AS dst FROM documents WHERE doc_id > 1),
+    r AS (SELECT doc_id AS node FROM documents WHERE doc_id % 97 = 0 UNION SELECT e.dst FROM r JOIN e ON e.src = r.node)
+    SELECT doc_id AS node FROM documents EXCEPT SELECT node FROM r
+    """,
+)
+def graph_unused(spark, sf):
+    """Nodes that nothing in use depends on."""
+    nodes = table(spark, sf, "documents").select(F.col("doc_id").alias("node"))
+    return graph.unused(nodes, _tree(spark, sf), nodes.where("node % 97 = 0"))
+
+
+sql_query(
+    "similar_substring_join",
+    """
+    SELECT a.t AS short, b.t AS long, a.n AS n_short, b.n AS n_long
+    FROM (SELECT p_brand AS t, count(*) AS n FROM {part} GROUP BY p_brand) a
+    JOIN (SELECT concat(p_brand, ' ', p_type) AS t, count(*) AS n FROM {part} GROUP BY 1) b ON contains(b.t, a.t)
+    """,
+)
+sql_query(
+    "symbol_resolution",
+    """
+    SELECT kind, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM (
+        SELECT l_quantity, CASE WHEN s.s_suppkey IS NOT NULL THEN 'supplier' WHEN c.c_custkey IS NOT NULL THEN 'customer' WHEN p.p_partkey IS NOT NULL THEN 'part'
+                                ELSE 'unresolved' END AS kind
+        FROM {lineitem} LEFT JOIN {supplier} s ON l_orderkey = s.s_suppkey LEFT JOIN {customer} c ON l_orderkey = c.c_custkey
+        LEFT JOIN {part} p ON l_orderkey = p.p_partkey) GROUP BY kind
+    """,
+)
+sql_query(
+    "module_suffix_resolution",
+    """
+    SELECT n.n_name, m.module FROM {nation} n JOIN (SELECT DISTINCT concat('world.', lower(n_name)) AS module FROM {nation}) m
+    ON m.module = lower(n.n_name) OR m.module LIKE concat('%.', lower(n.n_name))
+    """,
+)
+sql_query(
+    "first_hit_extraction",
+    """
+    SELECT o_custkey, min_by(o_orderkey, concat(lpad(CAST(pos AS STRING), 3, '0'), lpad(CAST(o_orderkey AS STRING), 12, '0'))) AS first_order, count(*) AS n
+    FROM (SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 0 WHEN o_orderstatus = 'O' THEN 1 ELSE 2 END AS pos FROM {orders}) GROUP BY o_custkey
+    """,
+)
+sql_query(
+    "match_topk",
+    """
+    SELECT source, doc_id, n_chars, rank FROM (
+        SELECT source, doc_id, n_chars, CAST(row_number() OVER (PARTITION BY source ORDER BY n_chars DESC, doc_id) AS BIGINT) AS rank FROM {documents}) WHERE rank <= 3
+    """,
+)
+sql_query(
+    "revenue_by_nation",
+    """
+    SELECT n_name, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue, count(*) AS lines
+    FROM {lineitem} JOIN {orders} ON l_orderkey = o_orderkey JOIN {customer} ON o_custkey = c_custkey JOIN {nation} ON c_nationkey = n_nationkey
+    GROUP BY n_name
+    """,
+)
+sql_query(
+    "validator_outcomes",
+    """
+    SELECT d.doc_id, coalesce(l.quality, 0) AS valid, CASE WHEN l.quality = 1 AND l.toxic = 0 THEN 'systematic_only' WHEN l.quality = 1 THEN 'fallback'
+        WHEN l.doc_id IS NOT NULL THEN 'manual_fix' WHEN d.n_chars < 300 THEN 'skipped_low_confidence' ELSE 'failed' END AS method
+    FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id
+    """,
+)
