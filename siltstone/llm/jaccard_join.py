@@ -8,15 +8,18 @@ Orders are frequency first, so that what many texts share (common lines, passage
 and hardly enters a prefix; among equals each order has its own hash. Frequencies are counted over all texts in
 a sketch of fixed size, the only thing broadcast; an inexact count changes the orders, never the result.
 
-1. One pass over the texts: set sizes, set ids (texts of one set are one class from here on), the sketch.
+1. One pass over the texts: sizes, ids (texts of one set are one class from here on) and bitmaps of the sets, and the
+   sketch.
 2. One pass: the prefixes of every text under every order, as packed arrays by bucket of the shingle. Buckets
    keep the groups: prefix shingles that several classes share.
-3. One pass: the sets, and bitmaps of their parities, of the classes in groups, as a table bucketed by class.
-4. Links first: each group's members are paired with one leader of it and verified, and the components of those
+3. Links first: each group's members are paired with one leader of it and verified, and the components of those
    links are found. Within a component nothing more has to be known.
-5. Then the exact rest: pairs of one group but of different components. Small groups pair them directly. In larger
-   ones the bitmaps decide first: the distance of two parity bitmaps never exceeds the sets' symmetric
-   difference, so a pair beyond (n + m) / 9 is no link. What is left under all orders is verified.
+4. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, in larger
+   ones bitmaps decide first. What is left under all orders is verified.
+
+Verification: the first pass also keeps a bitmap of each set's hash parities. The distance of two such bitmaps
+never exceeds the sets' symmetric difference, so a pair beyond (n + m) / 9 is no link. Only sets of pairs that
+pass this are made again from their texts, in a pass that picks those rows, and compared.
 
 So a group of g near copies costs about g verifications rather than all its pairs, no pair is dropped unseen,
 and no group is limited in size.
@@ -40,8 +43,9 @@ from pyspark.sql import functions as F
 from siltstone.llm._bytes import mix
 from siltstone.llm._shingles import BITS, batches, overlap, shingle_sets
 from siltstone.llm.components import connected_components
+from siltstone.llm.marks import marker
 from siltstone.llm.registry import query
-from siltstone.session import materialize, scratch, table
+from siltstone.session import materialize, table
 
 ORDERS = 2
 #: Counters of the sketch, and in how many rows it travels.
@@ -49,7 +53,6 @@ SKETCH, CHUNKS = 1 << 22, 64
 #: Groups of up to so many classes pair their members directly.
 SMALL = 8
 _FLUSH = 4 << 20
-_MARKS = 1 << 24
 
 
 def _texts(b: pd.DataFrame) -> list[bytes]:
@@ -66,7 +69,7 @@ def _class_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, cls) of every row, and for every counter of the sketch the rank of its count (four to a doubling)."""
+    """(doc_id, n, cls, bits) of every row, and for every counter of the sketch the rank of its count (four to a doubling)."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -78,13 +81,14 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 h, n = shingle_sets(raw[lo:hi])
                 counts += np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
                 ids = b["doc_id"].iloc[lo:hi].astype("Int64")
-                yield pd.DataFrame({"doc_id": ids.to_numpy(object, na_value=None), "n": n, "cls": _class_ids(h, n), "chunk": -1, "part": 0, "counts": None})
+                bits = [_bitmap(x) for x in np.split(h, np.cumsum(n)[:-1])]
+                yield pd.DataFrame({"doc_id": ids.to_numpy(object, na_value=None), "n": n, "cls": _class_ids(h, n), "bits": bits, "chunk": -1, "part": 0, "counts": None})
         if counts.any():
             cut = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(CHUNKS, -1)]
             part = TaskContext.get().partitionId() % 1024
-            yield pd.DataFrame({"doc_id": None, "n": 0, "cls": 0, "chunk": np.arange(CHUNKS), "part": part, "counts": cut})
+            yield pd.DataFrame({"doc_id": None, "n": 0, "cls": 0, "bits": None, "chunk": np.arange(CHUNKS), "part": part, "counts": cut})
 
-    schema = "doc_id long, n long, cls long, chunk int, part int, counts binary"
+    schema = "doc_id long, n long, cls long, bits binary, chunk int, part int, counts binary"
     made = materialize(docs.mapInPandas(run, schema), "survey")
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -103,7 +107,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         c = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
         w = SKETCH // CHUNKS
         ranks[row["chunk"] * w : (row["chunk"] + 1) * w] = np.minimum(255, 4 * np.log2(np.maximum(c, 1)))
-    return made.where("chunk < 0").select("doc_id", "n", "cls"), ranks
+    return made.where("chunk < 0").select("doc_id", "n", "cls", "bits"), ranks
 
 
 def _prefixes(h: np.ndarray, n: np.ndarray, ranks: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -201,43 +205,29 @@ def _distance(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, n, hashes, bits) of the classes wanted (cls, rep), as a table bucketed by cls.
+def _classes(rows: DataFrame, groups: DataFrame) -> DataFrame:
+    """(cls, rep, n, bits) of the classes in groups: the smallest id of each, its size and its bitmap."""
+    asked = groups.select("cls").distinct()
+    some = rows.where(marker(asked, "cls")("cls")).groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").cast("int").alias("n"), F.first("bits").alias("bits"))
+    return materialize(some, "classes")
 
-    Which rows to keep is marked in a bitmap of fixed size, so that no join moves a text; a row that meets a
-    mark by chance does no harm.
-    """
-    mark = F.pmod(F.xxhash64("cls", "rep"), F.lit(_MARKS))
-    words = wanted.select(mark.alias("m")).groupBy(F.expr("m div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(m % 32 as int))) AS bits"))
-    marks = np.zeros(_MARKS // 32, np.uint32)
-    for w, bits in words.collect():  # _MARKS / 32 rows at most
-        marks[w] = bits
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(np.unpackbits(marks.view(np.uint8), bitorder="little"))
 
-    @F.pandas_udf("boolean")
-    def marked(m: pd.Series) -> pd.Series:
-        return pd.Series(sent.value[m.to_numpy(np.int64)].astype(bool))
+def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
+    """(cls, hashes) of the rows whose id is among reps, and of some more; no join moves a text."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in frames:
             raw = _texts(b)
             for lo, hi in batches(raw):
                 h, n = shingle_sets(raw[lo:hi])
-                cut = np.split(h, np.cumsum(n)[:-1])
-                yield pd.DataFrame({"cls": _class_ids(h, n), "rep": b["doc_id"].iloc[lo:hi].to_numpy(), "n": n.astype(np.int32), "hashes": [c.tobytes() for c in cut], "bits": [_bitmap(c) for c in cut]})
+                yield pd.DataFrame({"cls": _class_ids(h, n), "hashes": [c.tobytes() for c in np.split(h, np.cumsum(n)[:-1])]})
 
-    made = docs.mapInPandas(run, "cls long, rep long, n int, hashes binary, bits binary").where("n > 0")
-    made = made.where(marked(mark)).drop("rep")
-    path = scratch(spark, "sets")
-    name = "silt_" + path.rsplit("-", 1)[1]
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    made.repartition(buckets, "cls").write.option("path", path).bucketBy(buckets, "cls").saveAsTable(name)
-    return spark.table(name)
+    asked = docs.withColumn("_asked", marker(reps, "rep")("doc_id")).where("_asked").select("text")
+    return asked.mapInPandas(run, "cls long, hashes binary").where("cls <> 0")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links: bitmaps first, then the sets themselves."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are links: sizes and bitmaps first, then the sets of those left."""
 
     @F.pandas_udf("boolean")
     def near(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
@@ -252,11 +242,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             out.append(100 * both >= 80 * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
-    side = lambda c, k: sets.select(F.col("cls").alias(k), F.col(c).alias(f"{c}_{k}"), F.col("n").alias(f"n_{k}"))
-    p = pairs.join(side("bits", "a"), "a").join(side("bits", "b"), "b")
-    p = p.where(5 * F.least("n_a", "n_b") >= 4 * F.greatest("n_a", "n_b"))
-    p = p.where(near("bits_a", "bits_b", F.col("n_a") + F.col("n_b"))).select("a", "b")
-    p = p.join(side("hashes", "a"), "a").join(side("hashes", "b"), "b")
+    side = lambda k: classes.select(*[F.col(c).alias(k if c == "cls" else f"{c}_{k}") for c in classes.columns])
+    p = pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit("n_a", "n_b"))
+    p = materialize(p.where(near("bits_a", "bits_b", F.col("n_a") + F.col("n_b"))).select("a", "b", "rep_a", "rep_b"), "near")
+    sets = _sets(docs, p.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).distinct())
+    sets = materialize(sets.dropDuplicates(["cls"]), "sets")
+    for k in "ab":
+        p = p.join(sets.select(F.col("cls").alias(k), F.col("hashes").alias(f"hashes_{k}")), k)
     return p.where(linked("hashes_a", "hashes_b")).select("a", "b").distinct()
 
 
@@ -272,7 +264,7 @@ def _led(groups: DataFrame) -> DataFrame:
     return led.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b")).distinct()
 
 
-def _apart(groups: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
+def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs (a, b) of different components that share a group under every order."""
     known = comps.select(F.col("node").alias("cls"), "root")
     m = groups.join(known, "cls", "left").select("ord", "tok", "cls", "n", "g", F.coalesce("root", "cls").alias("comp"))
@@ -297,8 +289,7 @@ def _apart(groups: DataFrame, comps: DataFrame, sets: DataFrame) -> DataFrame:
         if held:
             yield from _group_pairs(pd.concat(held))
 
-    bits = sets.select("cls", "bits").dropDuplicates(["cls"])
-    big = m.where(F.col("g") > SMALL).join(bits, "cls").repartition("ord", "tok").sortWithinPartitions("ord", "tok", "n", "cls")
+    big = m.where(F.col("g") > SMALL).join(classes.select("cls", "bits"), "cls").repartition("ord", "tok").sortWithinPartitions("ord", "tok", "n", "cls")
     compared = big.select("ord", "tok", "cls", "n", "comp", "bits").mapInPandas(compare, "a long, b long, ord int")
     # A pair may be found in a small group under one order and in a large one under the other.
     return direct.unionByName(compared).groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord)) AS met")).where(F.col("met") == (1 << ORDERS) - 1).select("a", "b")
@@ -338,16 +329,16 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows, ranks = _survey(docs)
-    classes = materialize(rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep")), "classes")
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
     groups = _groups(docs, ranks, buckets)
-    sets = _sets(docs, groups.select("cls").distinct().join(classes, "cls"))
-    first = materialize(_verified(_led(groups), sets), "links")
+    classes = _classes(rows, groups)
+    first = materialize(_verified(_led(groups), classes, docs), "links")
     comps = connected_components(first)
-    rest = materialize(_verified(_apart(groups, comps, sets), sets), "links")
+    rest = materialize(_verified(_apart(groups, comps, classes), classes, docs), "links")
     if not rest.isEmpty():
         comps = connected_components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
-    named = classes.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
+    named = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
+    named = named.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = named.join(ids, "root").select("cls", "component_id")
     return rows.join(named, "cls", "left").select(
