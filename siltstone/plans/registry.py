@@ -52,6 +52,7 @@ def load() -> None:
         dedup,
         history,
         metrics,
+        more,
         relational,
         rules,
         text,
