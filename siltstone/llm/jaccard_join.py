@@ -37,7 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm._bytes import mix
@@ -52,6 +52,8 @@ ORDERS = 2
 SKETCH, CHUNKS = 1 << 22, 64
 #: Groups of up to so many classes pair their members directly.
 SMALL = 8
+#: How many groups before its own a member of a larger group tells.
+BEFORE = 4
 _FLUSH = 4 << 20
 
 
@@ -289,19 +291,25 @@ def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame
         if held:
             yield from _group_pairs(pd.concat(held))
 
-    big = m.where(F.col("g") > SMALL).join(classes.select("cls", "bits"), "cls").repartition("ord", "tok").sortWithinPartitions("ord", "tok", "n", "cls")
-    compared = big.select("ord", "tok", "cls", "n", "comp", "bits").mapInPandas(compare, "a long, b long, ord int")
+    # Near copies share most of their groups: with the groups before it a member says where it has met others already.
+    line = Window.partitionBy("ord", "cls").orderBy("tok")
+    before = F.array(*[F.coalesce(F.lag("tok", k).over(line), F.lit(-1).cast("long")) for k in range(1, BEFORE + 1)])
+    big = m.where(F.col("g") > SMALL).withColumn("before", before).join(classes.select("cls", "bits"), "cls").repartition("ord", "tok").sortWithinPartitions("ord", "tok", "n", "cls")
+    compared = big.select("ord", "tok", "cls", "n", "comp", "bits", "before").mapInPandas(compare, "a long, b long, ord int")
     # A pair may be found in a small group under one order and in a large one under the other.
     return direct.unionByName(compared).groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord)) AS met")).where(F.col("met") == (1 << ORDERS) - 1).select("a", "b")
 
 
 def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
-    """Pairs of a large group that differ in component and whose bitmaps do not rule a link out; sizes ascend."""
+    """Pairs of a large group that differ in component and whose bitmaps do not rule a link out; sizes ascend.
+
+    Pairs that both came from one of the last groups are left to that one.
+    """
     comp = g["comp"].to_numpy()
     if (comp == comp[0]).all():
         return
     n, cls, raw = g["n"].to_numpy(np.int64), g["cls"].to_numpy(), g["bits"].tolist()
-    order = int(g["ord"].iloc[0])
+    order, before = int(g["ord"].iloc[0]), np.array(g["before"].tolist())
     for width in sorted({len(r) for r in raw}):
         # Bitmaps of one width, and folded to it those of the next sizes that may be linked to them.
         me = np.array([k for k, r in enumerate(raw) if len(r) == width])
@@ -315,6 +323,12 @@ def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
             ok = (comp[i, None] != comp[None, other]) & ((i[:, None] < other[None, :]) | (np.array([len(raw[k]) for k in other]) != width)[None, :])
             ok &= 5 * np.minimum(n[i, None], n[None, other]) >= 4 * np.maximum(n[i, None], n[None, other])
             r, c = np.nonzero(ok)
+            new = np.ones(len(r), bool)
+            for k in range(BEFORE):
+                x = before[i[r], k]
+                for o in range(BEFORE):
+                    new &= (x != before[other[c], o]) | (x < 0)
+            r, c = r[new], c[new]
             keep = np.zeros(len(r), bool)
             for s in range(0, len(r), 1 << 16):
                 d = np.bitwise_count(mine[lo + r[s : s + (1 << 16)]] ^ fold[c[s : s + (1 << 16)]]).sum(1, dtype=np.int64)
