@@ -1,6 +1,6 @@
 """Exact top-k inner-product search by ball-tree branch and bound.
 
-Vectors are dealt into shards by a hash of their id; every shard is packed into one row that holds a
+Vectors are dealt into shards by a hash; every shard is packed into one row that holds a
 ball tree: nodes split at the farthest-pair direction's median until LEAF vectors are left, each with its
 centre, radius and smallest id. Queries are a stated set of rows, packed into blocks of QUERY_BLOCK.
 
@@ -137,7 +137,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, shard: int = SHARD, bloc
     v = v.where(F.col("d") == lengths["d"]).drop("d")
     n, m = v.agg(F.count("*"), F.count_if(is_query)).first()
     shards, blocks = -(-n // shard), max(1, -(-m // block))
-    spread = F.xxhash64("id", F.lit("shard"))
+    # Rows are dealt by their place too, so that many rows of one id and vector do not meet in a shard.
+    v = v.withColumn("place", F.monotonically_increasing_id())
+    spread = F.xxhash64("id", "place")
     trees = materialize(_packed(v, F.pmod(spread, F.lit(shards)), "shard", True), "trees")
     asked = _packed(v.where(is_query), F.pmod(spread, F.lit(blocks)), "block", False).select(
         "block", F.col("data").alias("queries"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))).alias("shard")

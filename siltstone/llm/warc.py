@@ -39,6 +39,8 @@ from siltstone.session import materialize, scratch, table
 ROLL_BYTES = 32 << 20
 REVISIT_BYTES = 100
 LEVEL = 4
+#: So many rows of a manifest may be broadcast.
+MOST_BROADCAST = 100_000
 DATE = "2025-01-01T00:00:00Z"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
@@ -185,7 +187,9 @@ def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> D
     """The records of a committed archive; with_payload adds the stored payload (null for revisits)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(folder)
     known = read_manifest(spark, folder).select("file", "bytes", "sha256")
-    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(F.broadcast(known), "file")  # a row for each file of ROLL_BYTES
+    if known.count() <= MOST_BROADCAST:  # else the planner joins them as it sees fit
+        known = F.broadcast(known)
+    files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(known, "file")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
