@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from siltstone.plans.registry import query, sql_query
@@ -173,3 +174,84 @@ def recovery_fold(spark, sf):
     m = dealt(MESSAGES, F.col("event_id"))
     known = m.rlike(r"name '\w+' is not defined") | m.rlike(r"no attribute 'get_\w+'")
     return table(spark, sf, "events").select("event_id", ((F.col("event_type") == "error") & known).alias("recovered"))
+
+
+sql_query(
+    "term_success_rank",
+    """
+    SELECT term, ok, bad, round(rate, 6) AS rate, rank FROM (
+        SELECT term, ok, bad, rate, CAST(row_number() OVER (ORDER BY rate DESC, term) AS BIGINT) AS rank FROM (
+            SELECT term, ok, bad, CASE WHEN ok + bad = 0 THEN 0.5E0 ELSE CAST(ok AS DOUBLE) / (ok + bad) END AS rate FROM (
+                SELECT lower(p_type) AS term, CAST(count_if(p_size > 25) AS BIGINT) AS ok, CAST(count_if(p_size < 10) AS BIGINT) AS bad FROM {part} GROUP BY 1))) WHERE rank <= 5
+    """,
+)
+sql_query(
+    "fix_rollup",
+    """
+    SELECT source, lang, count(*) AS files, CAST(count_if(n_chars > 1000) AS BIGINT) AS fixed, CAST(sum(n_chars) AS BIGINT) AS size
+    FROM {documents} GROUP BY ROLLUP (source, lang)
+    """,
+)
+sql_query(
+    "comparison_issues",
+    """
+    SELECT o_orderkey, concat(CASE WHEN n IS NULL THEN 'missing_render;' ELSE '' END, CASE WHEN coalesce(n, 0) < 2 THEN 'few_scenes;' ELSE '' END,
+                              CASE WHEN coalesce(late, 0) > 0 THEN 'late_scenes;' ELSE '' END) AS issues
+    FROM {orders} LEFT JOIN (SELECT l_orderkey, count(*) AS n, count(CASE WHEN l_discount > 0.08 THEN 1 END) AS late FROM {lineitem} GROUP BY l_orderkey) r
+    ON o_orderkey = l_orderkey
+    """,
+)
+
+
+def _runtime_counts() -> str:
+    from siltstone import rules as R
+    from siltstone.sources.samples import quoted
+
+    return " + ".join(f"len(regexp_extract_all(code, {quoted('(?m)' + r.pattern)}))" for r in R.RUNTIME)
+
+
+@query("post_conversion_quality", f"SELECT doc_id, ({_runtime_counts()})::BIGINT AS issues, ({_runtime_counts()}) = 0 AS clean FROM {_CODE}")
+def post_conversion_quality(spark, sf):
+    """Occurrences of what fails when converted code runs."""
+    from siltstone import rules as R
+    from siltstone.operators import rules as ops
+
+    return code_of(spark, sf).select("doc_id", ops.occurrences(F.col("code"), R.RUNTIME).alias("issues")).withColumn("clean", F.col("issues") == 0)
+
+
+@query(
+    "parameter_scenes",
+    "SELECT doc_id, 'Grid' AS scene, true AS valid FROM documents WHERE doc_id % 8 = 1",
+)
+def parameter_scenes(spark, sf):
+    """Scenes whose construct takes arguments, moved into __init__; does the result parse?"""
+
+    from siltstone.operators import syntax
+    from siltstone.sources.samples import CODE, dealt
+
+    @F.pandas_udf("string")
+    def moved(code: pd.Series, scene: pd.Series) -> pd.Series:
+        return pd.Series([syntax.parameterless(c, s) for c, s in zip(code, scene, strict=True)])
+
+    d = table(spark, sf, "documents").select("doc_id", dealt(CODE, F.col("doc_id")).alias("code"))
+    d = syntax.with_facts(d, "code").select("doc_id", "code", F.explode("facts.scenes").alias("s")).where("s.parameters > 0")
+    d = syntax.with_facts(d.select("doc_id", F.col("s.name").alias("scene"), moved("code", F.col("s.name")).alias("code")), "code")
+    return d.select("doc_id", "scene", "facts.valid")
+
+
+@query(
+    "simple_include",
+    """
+    SELECT source, md5(string_agg(part, chr(10) ORDER BY doc_id)) AS content, count(*) AS files FROM (
+        SELECT source, doc_id, left(text, 40) AS part FROM documents QUALIFY row_number() OVER (PARTITION BY source, md5(left(text, 40)) ORDER BY doc_id) = 1)
+    GROUP BY source
+    """,
+)
+def simple_include(spark, sf):
+    """Distinct parts of each source's files, in order, as one text."""
+    from siltstone.operators.dedup import keep_first
+
+    d = table(spark, sf, "documents").select("source", "doc_id", F.left("text", F.lit(40)).alias("part"))
+    first = keep_first(d.withColumn("hash", F.md5("part")), ["source", "hash"], ["doc_id"])
+    parts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "part"))), lambda p: p["part"])
+    return first.groupBy("source").agg(F.md5(F.array_join(parts, "\n")).alias("content"), F.count("*").alias("files"))
