@@ -106,19 +106,6 @@ def _sets(words: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key & np.uint64((1 << BITS) - 1), np.bincount((key >> np.uint64(BITS)).astype(np.int64), minlength=len(n))
 
 
-def batches(raw: list[bytes]):
-    """(lo, hi) of runs of texts that fit one call of shingle_sets."""
-    lo = size = 0
-    for k, t in enumerate(raw):
-        if k > lo and (k - lo >= MAX_DOCS or size + len(t) > MAX_BYTES):
-            yield lo, k
-            lo = k
-            size = 0
-        size += len(t)
-    if len(raw) > lo:
-        yield lo, len(raw)
-
-
 def overlap(a: np.ndarray, b: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(a) > len(b):

@@ -37,11 +37,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm._bytes import mix
-from siltstone.llm._shingles import BITS, batches, overlap, shingle_sets
+from siltstone.llm._shingles import BITS, MAX_BYTES, MAX_DOCS, overlap, shingle_sets
 from siltstone.llm.components import connected_components
 from siltstone.llm.marks import marker
 from siltstone.llm.registry import query
@@ -57,8 +59,18 @@ BEFORE = 4
 _FLUSH = 4 << 20
 
 
-def _texts(b: pd.DataFrame) -> list[bytes]:
-    return [t.encode() for t in b["text"]]
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[int, int, list[bytes]]]:
+    """(lo, hi, texts) of runs that fit one call of shingle_sets; only a run at a time leaves the batch."""
+    text = batch.column("text")
+    size = pc.binary_length(text).to_numpy()
+    lo = total = 0
+    for k, n in enumerate(size.tolist()):
+        if k > lo and (k - lo >= MAX_DOCS or total + n > MAX_BYTES):
+            yield lo, k, text.slice(lo, k - lo).cast(pa.binary()).to_pylist()
+            lo, total = k, 0
+        total += n
+    if len(size) > lo:
+        yield lo, len(size), text.slice(lo).cast(pa.binary()).to_pylist()
 
 
 def _class_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -73,25 +85,35 @@ def _class_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
 def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     """(doc_id, n, cls, bits) of every row, and for every counter of the sketch the rank of its count (four to a doubling)."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         counts = np.zeros(SKETCH, np.uint32)
+
+        def rows(size: int, **columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(size, f.type) for f in kinds], schema=kinds)
+
         for b in frames:
-            raw = _texts(b)
-            for lo, hi in batches(raw):
-                h, n = shingle_sets(raw[lo:hi])
-                counts += np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH).astype(np.uint32)
-                ids = b["doc_id"].iloc[lo:hi].astype("Int64")
+            for lo, hi, raw in _runs(b):
+                h, n = shingle_sets(raw)
+                np.add(counts, np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), out=counts, casting="unsafe")
                 bits = [_bitmap(x) for x in np.split(h, np.cumsum(n)[:-1])]
-                yield pd.DataFrame({"doc_id": ids.to_numpy(object, na_value=None), "n": n, "cls": _class_ids(h, n), "bits": bits, "chunk": -1, "part": 0, "counts": None})
+                yield rows(
+                    hi - lo,
+                    doc_id=b.column("doc_id").slice(lo, hi - lo),
+                    n=pa.array(n.astype(np.int64)),
+                    cls=pa.array(_class_ids(h, n)),
+                    bits=pa.array(bits, pa.binary()),
+                    chunk=pa.array(np.full(hi - lo, -1, np.int32)),
+                )
         if counts.any():
             cut = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(CHUNKS, -1)]
-            part = TaskContext.get().partitionId() % 1024
-            yield pd.DataFrame({"doc_id": None, "n": 0, "cls": 0, "bits": None, "chunk": np.arange(CHUNKS), "part": part, "counts": cut})
+            part = np.full(CHUNKS, TaskContext.get().partitionId() % 1024, np.int32)
+            yield rows(CHUNKS, chunk=pa.array(np.arange(CHUNKS, dtype=np.int32)), part=pa.array(part), counts=pa.array(cut, pa.binary()))
 
+    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("bits", pa.binary()), ("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
     schema = "doc_id long, n long, cls long, bits binary, chunk int, part int, counts binary"
-    made = materialize(docs.mapInPandas(run, schema), "survey")
+    made = materialize(docs.mapInArrow(run, schema), "survey")
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros(SKETCH // CHUNKS, np.uint64)
@@ -101,9 +123,9 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "part": 0, "counts": [zlib.compress(total.tobytes(), 1)]})
 
     # Twice, so that no task reads more than the square root of all parts.
-    kinds = "chunk int, part int, counts binary"
-    sums = made.where("chunk >= 0").select("chunk", "part", "counts").groupBy("chunk", F.expr("part div 32")).applyInPandas(lambda k, p: add(p), kinds)
-    sums = sums.groupBy("chunk").applyInPandas(lambda k, p: add(p), kinds)
+    parts = "chunk int, part int, counts binary"
+    sums = made.where("chunk >= 0").select("chunk", "part", "counts").groupBy("chunk", F.expr("part div 32")).applyInPandas(lambda k, p: add(p), parts)
+    sums = sums.groupBy("chunk").applyInPandas(lambda k, p: add(p), parts)
     ranks = np.zeros(SKETCH, np.uint8)
     for row in sums.collect():  # CHUNKS rows at most
         c = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
@@ -127,7 +149,9 @@ def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
     """(ord, tok, cls, n, g): the g classes that share a prefix shingle under an order, where g > 1."""
     sent = docs.sparkSession.sparkContext.broadcast(ranks)  # SKETCH bytes
 
-    def pack(h: list[np.ndarray], n: list[np.ndarray]) -> Iterator[pd.DataFrame]:
+    packed_kinds = pa.schema([("ord", pa.int32()), ("bucket", pa.int32()), ("toks", pa.binary()), ("at", pa.binary()), ("wide", pa.int32()), ("clss", pa.binary()), ("ns", pa.binary())])
+
+    def pack(h: list[np.ndarray], n: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         h, n = np.concatenate(h), np.concatenate(n)
         cls = _class_ids(h, n)
         _, first = np.unique(cls, return_index=True)
@@ -149,17 +173,16 @@ def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
                 wide = 2 if len(who) < 1 << 16 else 4
                 rows.append((order, int(b), tok[lo:hi].tobytes(), at.astype(f"<u{wide}").tobytes(), wide, cls[who].tobytes(), n[who].astype("<i4").tobytes()))
         if rows:
-            yield pd.DataFrame(rows, columns=["ord", "bucket", "toks", "at", "wide", "clss", "ns"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), packed_kinds, strict=True)], schema=packed_kinds)
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hs, ns, size = [], [], 0
         for b in frames:
-            raw = _texts(b)
-            for lo, hi in batches(raw):
-                h, n = shingle_sets(raw[lo:hi])
+            for _, _, raw in _runs(b):
+                h, n = shingle_sets(raw)
                 hs.append(h)
                 ns.append(n)
-                size += sum(map(len, raw[lo:hi]))
+                size += sum(map(len, raw))
                 if size >= _FLUSH:
                     yield from pack(hs, ns)
                     hs, ns, size = [], [], 0
@@ -186,7 +209,7 @@ def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
         tok = (np.int64(bucket) << 32) | tok[keep].astype(np.int64)
         return pd.DataFrame({"ord": np.int32(order), "tok": tok, "cls": cls[keep], "n": n[keep], "g": g[keep].astype(np.int32)})
 
-    packed = docs.mapInPandas(run, "ord int, bucket int, toks binary, at binary, wide int, clss binary, ns binary")
+    packed = docs.select("text").mapInArrow(run, "ord int, bucket int, toks binary, at binary, wide int, clss binary, ns binary")
     return materialize(packed.groupBy("ord", "bucket").applyInPandas(meet, "ord int, tok long, cls long, n int, g int"), "groups")
 
 
@@ -217,15 +240,15 @@ def _classes(rows: DataFrame, groups: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
     """(cls, hashes) of the rows whose id is among reps, and of some more; no join moves a text."""
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in frames:
-            raw = _texts(b)
-            for lo, hi in batches(raw):
-                h, n = shingle_sets(raw[lo:hi])
-                yield pd.DataFrame({"cls": _class_ids(h, n), "hashes": [c.tobytes() for c in np.split(h, np.cumsum(n)[:-1])]})
+            for _, _, raw in _runs(b):
+                h, n = shingle_sets(raw)
+                cut = pa.array([c.tobytes() for c in np.split(h, np.cumsum(n)[:-1])], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(_class_ids(h, n)), cut], names=["cls", "hashes"])
 
     asked = docs.withColumn("_asked", marker(reps, "rep")("doc_id")).where("_asked").select("text")
-    return asked.mapInPandas(run, "cls long, hashes binary").where("cls <> 0")
+    return asked.mapInArrow(run, "cls long, hashes binary").where("cls <> 0")
 
 
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
