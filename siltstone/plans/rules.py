@@ -14,9 +14,9 @@ _CODE = f"(SELECT doc_id, {sql_dealt(CODE, 'doc_id')} || left(text, 400) AS code
 
 
 def code_of(spark, sf):
-    """(doc_id, code): sample code in front of each document's beginning."""
+    """(doc_id, code): sample code in front of each whole document; the SQL in _CODE stops at 400 characters."""
     d = table(spark, sf, "documents")
-    return d.select("doc_id", F.concat(dealt(CODE, F.col("doc_id")), F.left("text", F.lit(400))).alias("code"))
+    return d.select("doc_id", F.concat(dealt(CODE, F.col("doc_id")), F.col("text")).alias("code"))
 
 
 def _hit(r: ops.Rule, flags: str = "m", c: str = "code") -> str:
