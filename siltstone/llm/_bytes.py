@@ -26,6 +26,9 @@ def powers(base: int, n: int) -> np.ndarray:
 CHUNK = 1 << 17
 _MARGIN = 512
 _POW, _INV = powers(BASE, CHUNK + _MARGIN), powers(_INVERSE, CHUNK + _MARGIN)
+#: A second hash that shares nothing with the first.
+_BYTE2, _BASE2 = _RNG.integers(1, 2**63, 256, dtype=np.uint64), 0xD1342543DE82EF95
+_POW2, _INV2 = powers(_BASE2, CHUNK + _MARGIN), powers(pow(_BASE2, -1, 2**64), CHUNK + _MARGIN)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,8 +46,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
 
     data: the bytes of consecutive documents, ends: where each ends. Every window [s, s + length) picks the
     gram of the smallest hash in it, the last of equals: a choice of its content alone. Returns, for
-    each run of windows with one pick: its place, first and last window start, the gram's hash, and the
-    hash of all bytes under those windows together with the place of the pick among them.
+    each run of windows with one pick: its place, first and last window start, the gram's hash, and two
+    independent hashes of all bytes under those windows together with the place of the pick among them.
     """
     n, wide = len(data), length - gram + 1
     low = np.uint64((1 << 18) - 1)  # under the hash, room for a place in the chunk
@@ -54,6 +57,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
         m = c1 - c0
         p = np.zeros(m + 1, np.uint64)
         np.cumsum(BYTE[data[c0:c1]] * _POW[:m], out=p[1:])
+        p2 = np.zeros(m + 1, np.uint64)
+        np.cumsum(_BYTE2[data[c0:c1]] * _POW2[:m], out=p2[1:])
         g = mix((p[gram:] - p[:-gram]) * _INV[: m + 1 - gram])
         key = (g & ~low) | (low - np.arange(len(g), dtype=np.uint64))
         k, best = 1, key
@@ -77,11 +82,12 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
         new = np.flatnonzero(np.concatenate([[True], (pick[1:] != pick[:-1]) | (s[1:] != s[:-1] + 1)]))
         first, last = s[new], s[np.concatenate([new[1:], [len(s)]]) - 1]
         at = pick[new]
-        around = (p[last + length] - p[first]) * _INV[first]
-        around = mix(around ^ mix(((at - first) * 256 + (last - first)).astype(np.uint64) + np.uint64(7)))
-        found.append((at + c0, first + c0, last + c0, mix(g[at] + np.uint64(0x51)), around))
+        place = mix(((at - first) * 256 + (last - first)).astype(np.uint64) + np.uint64(7))
+        around = mix((p[last + length] - p[first]) * _INV[first] ^ place)
+        again = mix((p2[last + length] - p2[first]) * _INV2[first] ^ place)
+        found.append((at + c0, first + c0, last + c0, mix(g[at] + np.uint64(0x51)), around, again))
     if not found:
-        return (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, np.uint64) for _ in range(2)))
+        return (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, np.uint64) for _ in range(3)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
