@@ -60,12 +60,20 @@ sql_query(
     SELECT event_type, count(*) AS n, count(DISTINCT props) AS distinct_errors, min(event_id) AS first_id FROM {events} GROUP BY event_type ORDER BY n DESC, event_type
     """,
 )
-sql_query(
+
+
+@query(
     "manual_fix_lookup",
     """
-    SELECT d.doc_id, coalesce(m.fix, 'none') AS fix FROM {documents} d LEFT JOIN (SELECT item_id, left(text, 20) AS fix FROM {benchmark}) m ON d.doc_id = m.item_id
+    SELECT d.doc_id, coalesce(m.fix, 'none') AS fix FROM documents d LEFT JOIN (SELECT item_id, left(text, 20) AS fix FROM benchmark) m ON d.doc_id = m.item_id
     """,
 )
+def manual_fix_lookup(spark, sf):
+    """The whole fix of each document; the SQL stops at 20 characters."""
+    fixes = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("fix"))
+    return table(spark, sf, "documents").select("doc_id").join(fixes, "doc_id", "left").select("doc_id", F.coalesce("fix", F.lit("none")).alias("fix"))
+
+
 sql_query(
     "api_lookup",
     """
@@ -157,8 +165,8 @@ def monolith_assembly(spark, sf):
     "SELECT conv_id, turn, count(*) OVER (PARTITION BY role, left(text, 12)) > 1 AS shared FROM conversations",
 )
 def shared_code_factoring(spark, sf):
-    """Is a part also in another place? Counted before the shuffle and joined back, so that hot parts stay spread."""
-    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.left("text", F.lit(12)).alias("part"))
+    """Is a whole text also in another place? Counted before the shuffle and joined back, so that hot texts stay spread."""
+    c = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.coalesce(F.md5("text"), F.lit("")).alias("part"))
     n = c.groupBy("role", "part").agg(F.count("*").alias("n"))
     return c.join(n, ["role", "part"]).select("conv_id", "turn", (F.col("n") > 1).alias("shared"))
 
@@ -248,10 +256,10 @@ def parameter_scenes(spark, sf):
     """,
 )
 def simple_include(spark, sf):
-    """Distinct parts of each source's files, in order, as one text."""
-    from siltstone.operators.dedup import keep_first
+    """Whole files of each source, in order, without those of equal normalised content, as one text."""
+    from siltstone.operators.dedup import content_hash, keep_first
 
-    d = table(spark, sf, "documents").select("source", "doc_id", F.left("text", F.lit(40)).alias("part"))
-    first = keep_first(d.withColumn("hash", F.md5("part")), ["source", "hash"], ["doc_id"])
+    d = table(spark, sf, "documents").select("source", "doc_id", F.col("text").alias("part"))
+    first = keep_first(d.withColumn("hash", content_hash(F.col("part"))), ["source", "hash"], ["doc_id"])
     parts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "part"))), lambda p: p["part"])
     return first.groupBy("source").agg(F.md5(F.array_join(parts, "\n")).alias("content"), F.count("*").alias("files"))

@@ -70,3 +70,17 @@ def test_rewritten_texts(spark, sf):
         assert fixed[k].fixed == md5(folded(c, R.RUNTIME_FIXES))
         lines = {s.strip(" ") for s in c.split("\n") if s.strip(" ").startswith(("import ", "from "))}
         assert (imports[k].n if k in imports else 0) == len(lines)
+
+
+def test_includes_shared_parts_and_fixes(spark, tmp_path):
+    head = "the same opening of forty characters and more "
+    docs = [(1, head + "a\n", "s"), (2, head + "b", "s"), (3, head + "a  # note", "s"), (4, head + "b", "t"), (5, head * 20, "s")]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(2, head + "fix")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    turns = [(1, 1, "user", head + "x"), (1, 2, "user", head + "y"), (2, 1, "user", head + "x"), (2, 2, "tool", head + "y")]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    run = lambda name: registry.QUERIES[name](spark, str(tmp_path)).collect()
+    whole = {1: docs[0][1], 2: docs[1][1], 5: docs[4][1]}
+    assert {r.source: (r.content, r.files) for r in run("simple_include")} == {"s": (md5("\n".join(whole.values())), 3), "t": (md5(docs[3][1]), 1)}
+    assert {(r.conv_id, r.turn): r.shared for r in run("shared_code_factoring")} == {(1, 1): True, (1, 2): False, (2, 1): True, (2, 2): False}
+    assert {r.doc_id: r.fix for r in run("manual_fix_lookup")} == {1: "none", 2: head + "fix", 3: "none", 4: "none", 5: "none"}
