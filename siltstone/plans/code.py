@@ -88,8 +88,10 @@ def code_convert(spark, sf):
 
 @query("code_repair", f"SELECT doc_id, doc_id % {len(CODE)} <> 4 AS valid_before FROM documents")
 def code_repair(spark, sf):
-    """Repair of sources that do not parse."""
-    return syntax.with_repaired(_facts(spark, sf), "code").select("doc_id", F.col("facts.valid").alias("valid_before"))
+    """Repair of sources that do not parse: the digest of the repaired source, and whether it parses."""
+    d = syntax.with_repaired(_facts(spark, sf), "code").withColumnRenamed("facts", "before")
+    d = syntax.with_facts(d, "repaired")
+    return d.select("doc_id", F.col("before.valid").alias("valid_before"), F.md5("repaired").alias("repaired_md5"), F.col("facts.valid").alias("valid_after"))
 
 
 @query(
