@@ -56,7 +56,7 @@ def facts(code: str | None) -> dict:
     empty = {k: [] for k in ("functions", "classes", "constants", "imports", "star_imports", "scenes", "uses", "undefined")}
     try:
         tree = ast.parse(code or "")
-    except (SyntaxError, ValueError, RecursionError) as e:
+    except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
         line = getattr(e, "lineno", None)
         return {"valid": False, "error": f"line {line}: {e.msg if isinstance(e, SyntaxError) else e}", **empty}
     lines = (code or "").split("\n")
@@ -211,10 +211,13 @@ def convert(code: str | None) -> dict:
     """The converted source, how many changes of each kind were made, and whether the result parses."""
     try:
         tree = ast.parse(code or "")
-    except (SyntaxError, ValueError, RecursionError) as e:
+    except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
         return {"code": code, "changes": {}, "valid": False, "error": str(e)}
     c = _Converter(RENAMES, SUMS, PROPERTIES)
-    out = ast.unparse(ast.fix_missing_locations(c.visit(tree)))
+    try:
+        out = ast.unparse(ast.fix_missing_locations(c.visit(tree)))
+    except RecursionError as e:
+        return {"code": code, "changes": {}, "valid": False, "error": str(e)}
     return {"code": out, "changes": c.counts, "valid": facts(out)["valid"], "error": None}
 
 
@@ -232,7 +235,7 @@ def parameterless(code: str | None, scene: str) -> str | None:
     """The source with the scene's construct arguments moved into __init__; None where there is nothing to move."""
     try:
         tree = ast.parse(code or "")
-    except (SyntaxError, ValueError, RecursionError):
+    except (SyntaxError, ValueError, RecursionError, MemoryError):
         return None
     for n in tree.body:
         if isinstance(n, ast.ClassDef) and n.name == scene:

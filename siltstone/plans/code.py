@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from siltstone.operators import graph, syntax
 from siltstone.plans.registry import query
 from siltstone.session import table
-from siltstone.sources.samples import CODE, dealt
+from siltstone.sources.samples import CODE
 
 
 def _code(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", dealt(CODE, F.col("doc_id")).alias("code"))
+    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("code"))
 
 
 def _facts(spark, sf):

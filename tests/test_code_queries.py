@@ -2,6 +2,7 @@
 
 import ast
 import hashlib
+from collections import Counter
 
 from siltstone.operators import syntax
 from siltstone.plans import code as plans
@@ -29,3 +30,33 @@ def test_code_repair(spark, monkeypatch):
         fixed = syntax.repair(s)
         assert (got[k].valid_before, got[k].repaired_md5, got[k].valid_after) == (parses(s), md5(fixed), parses(fixed))
     assert [k for k in got if got[k].valid_after and not got[k].valid_before] == [2]
+
+
+def test_documents_are_the_sources(spark, tmp_path):
+    texts = [
+        "import os\n" * 300 + "class Far(Scene):\n    def construct(self, n=2):\n        self.add(MISSING, n)\n",
+        "x = 1\n" * 200 + "def broken(:\n",
+        "Prose and nothing else. It isn't code.",
+        "",
+        None,
+        "A = 1\nB = A\nC = [B]\nplay(ShowCreation(C))\n",
+        "x = " + "(" * 400 + ")" * 400,
+        "x = " + "-" * 20_000 + "1",
+        "x\0y",
+    ]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    run = lambda name: registry.QUERIES[name](spark, str(tmp_path)).collect()
+    facts, made = [syntax.facts(t) for t in texts], [syntax.convert(t) for t in texts]
+    assert [f["valid"] for f in facts[:6]] == [True, False, False, True, True, True]
+    assert {r.doc_id: r.valid for r in run("syntax_valid")} == {k: f["valid"] for k, f in enumerate(facts)}
+    assert [tuple(r) for r in run("scene_extract")] == [(0, "Far", 301, 303, 1)]
+    assert {(r.src, r.dst) for r in run("dependency_closure")} == {("5:B", "5:A"), ("5:C", "5:B"), ("5:C", "5:A")}
+    assert {r.doc_id: r.missing for r in run("self_containment")} == {k: ",".join(f["undefined"]) for k, f in enumerate(facts) if f["undefined"]}
+    n = {(r.severity, r.type): r.n for r in run("code_issues")}
+    assert n["error", "syntax_error"] == sum(not f["valid"] for f in facts) and n["error", "invalid_construct"] == 1
+    got = {r.doc_id: (r.valid, r.changes, r.code_md5) for r in run("code_convert")}
+    assert got == {k: (m["valid"], sum(m["changes"].values()), None if m["code"] is None else md5(m["code"])) for k, m in enumerate(made)}
+    way = lambda k: "systematic_only" if made[k]["valid"] else "model_fallback" if k % 3 == 0 else "manual_fix" if k % 5 == 0 else "failed"
+    assert {r.method: r.n for r in run("conversion_routing")} == Counter(map(way, range(len(texts))))
+    assert [tuple(r) for r in run("parameter_scenes")] == [(0, "Far", True)]
+    assert {r.doc_id: r.repaired_md5 for r in run("code_repair")} == {k: md5(syntax.repair(t)) for k, t in enumerate(texts)}
