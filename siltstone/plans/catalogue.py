@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from siltstone.plans.registry import query, sql_query
 from siltstone.operators import gates
 from siltstone.session import table
@@ -108,15 +110,24 @@ sql_query(
     """,
 )
 
-sql_query(
+
+@query(
     "logs_merge_outer",
     """
     SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey, coalesce(n.o_orderpriority, o.o_orderpriority) AS o_orderpriority,
            CASE WHEN n.o_orderkey IS NULL THEN 'move' WHEN o.o_orderkey IS NULL THEN 'new' ELSE 'merge' END AS action
-    FROM (SELECT * FROM {orders} WHERE o_orderkey % 3 <> 0) n
-    FULL OUTER JOIN (SELECT * FROM {orders} WHERE o_orderkey % 2 = 0) o ON n.o_orderkey = o.o_orderkey
+    FROM (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) n
+    FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) o ON n.o_orderkey = o.o_orderkey
     """,
 )
+def logs_merge_outer(spark, sf):
+    """The newer log (orders not finished) and the older one (orders not open) as one: every order is in one or both."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderstatus")
+    new = o.where("o_orderstatus IS DISTINCT FROM 'F'").select("o_orderkey", F.col("o_orderpriority").alias("_new"), F.lit(True).alias("_n"))
+    old = o.where("o_orderstatus IS DISTINCT FROM 'O'").select("o_orderkey", F.col("o_orderpriority").alias("_old"), F.lit(True).alias("_o"))
+    action = F.when(F.col("_n").isNull(), "move").when(F.col("_o").isNull(), "new").otherwise("merge")
+    return new.join(old, "o_orderkey", "full").select("o_orderkey", F.coalesce("_new", "_old").alias("o_orderpriority"), action.alias("action"))
+
 
 sql_query(
     "source_priority_union",

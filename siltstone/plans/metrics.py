@@ -93,7 +93,9 @@ both(
            round(100.0E0 * count_if([k] % 4 = 0) / count(*), 6) AS success_rate FROM {events} GROUP BY event_type
     """,
 )
-both(
+
+
+@query(
     "fix_suggestions",
     """
     SELECT event_id, fix_id, n_similar FROM (
@@ -102,8 +104,16 @@ both(
         JOIN (SELECT event_type, key_info, min(event_id) AS fix_id, count(*) AS n_similar FROM (
                 SELECT event_id, event_type, CASE WHEN [k] > 90 THEN NULL ELSE [k] END AS key_info FROM {events} WHERE event_id % 2 = 0) GROUP BY 1, 2) f
         ON e.event_type = f.event_type AND e.key_info IS NOT DISTINCT FROM f.key_info) WHERE rn <= 5
-    """,
+    """.replace("[k]", _DKEY).replace("{events}", "events"),
 )
+def fix_suggestions(spark, sf):
+    """For each error, the first event of its type and key, and how many there are among all events."""
+    e = table(spark, sf, "events").selectExpr("event_id", "event_type", f"{_KEY} AS k").selectExpr("event_id", "event_type", "CASE WHEN k > 90 THEN NULL ELSE k END AS key_info")
+    f = e.groupBy(F.col("event_type").alias("_type"), F.col("key_info").alias("_key")).agg(F.min("event_id").alias("fix_id"), F.count("*").alias("n_similar"))
+    errors = e.where("event_type = 'error'")
+    return errors.join(f, (F.col("event_type") == F.col("_type")) & F.col("key_info").eqNullSafe(F.col("_key"))).select("event_id", "fix_id", "n_similar")
+
+
 both(
     "cost_savings",
     """

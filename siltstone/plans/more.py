@@ -80,13 +80,23 @@ sql_query(
     SELECT p_partkey, p_brand IN ('Brand#11', 'Brand#12') AS removed, p_type LIKE '%STEEL%' AS is_property FROM {part}
     """,
 )
-sql_query(
+
+
+@query(
     "union_all_sources",
     """
-    SELECT kind, count(*) AS n FROM (SELECT 'primary' AS kind, doc_id FROM {documents} WHERE doc_id % 2 = 0
-        UNION ALL SELECT 'supporting', doc_id FROM {documents} WHERE doc_id % 3 = 0) GROUP BY kind
+    SELECT kind, count(*) AS n FROM (SELECT 'primary' AS kind, doc_id FROM documents WHERE doc_id % 2 = 0
+        UNION ALL SELECT 'supporting', doc_id FROM documents WHERE doc_id % 3 = 0) GROUP BY kind
     """,
 )
+def union_all_sources(spark, sf):
+    """Documents in English are primary, all others supporting."""
+    d = table(spark, sf, "documents")
+    side = lambda kind, which: d.where(which).select(F.lit(kind).alias("kind"), "doc_id")
+    both = side("primary", "lang <=> 'en'").unionByName(side("supporting", "NOT lang <=> 'en'"))
+    return both.groupBy("kind").agg(F.count("*").alias("n"))
+
+
 sql_query(
     "checkpoint_resume",
     """

@@ -84,3 +84,21 @@ def test_includes_shared_parts_and_fixes(spark, tmp_path):
     assert {r.source: (r.content, r.files) for r in run("simple_include")} == {"s": (md5("\n".join(whole.values())), 3), "t": (md5(docs[3][1]), 1)}
     assert {(r.conv_id, r.turn): r.shared for r in run("shared_code_factoring")} == {(1, 1): True, (1, 2): False, (2, 1): True, (2, 2): False}
     assert {r.doc_id: r.fix for r in run("manual_fix_lookup")} == {1: "none", 2: head + "fix", 3: "none", 4: "none", 5: "none"}
+
+
+def test_every_row_takes_part(spark, tmp_path):
+    def put(name, data, schema):
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+    run = lambda name: registry.QUERIES[name](spark, str(tmp_path)).collect()
+    put("orders", [(k, "P", "FOP"[k % 3]) for k in range(1, 13)], "o_orderkey long, o_orderpriority string, o_orderstatus string")
+    put("documents", [(k, None if k == 5 else "en" if k < 4 else "de") for k in range(1, 8)], "doc_id long, lang string")
+    put("labels", [(5, 1), (5, 1), (6, 0), (99, 1)], "doc_id long, quality int")
+    put("events", [(k, "error" if k % 3 else "view", '{"k": %d}' % (95 + k if k > 8 else 1)) for k in range(1, 13)], "event_id long, event_type string, props string")
+    merged = {r.o_orderkey: r.action for r in run("logs_merge_outer")}
+    assert merged == {k: ("move", "new", "merge")[k % 3] for k in range(1, 13)}
+    assert {r.kind: r.n for r in run("union_all_sources")} == {"primary": 3, "supporting": 4}
+    assert sorted(r.node for r in run("graph_unused")) == [3, 4, 6, 7]
+    errors = {k: k > 8 for k in range(1, 13) if k % 3}
+    want = {k: (min(x for x in errors if errors[x] == b), sum(v == b for v in errors.values())) for k, b in errors.items()}
+    assert {r.event_id: (r.fix_id, r.n_similar) for r in run("fix_suggestions")} == want
