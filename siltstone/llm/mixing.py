@@ -8,8 +8,8 @@ the same counts. Documents are exploded by their counts and put in a global orde
 Rates come from one aggregate row for each source (summed before the shuffle), joined back by source;
 the planner broadcasts that side only if it proves small and splits hot sources otherwise. The cumulative
 distribution is an array computed once for each source: a document's count is how many of its steps lie at
-or under the number. Rates over MAX_RATE are split into whole copies and a Poisson rest, which keeps the
-mean and bounds the array.
+or under the number. A rate over MAX_RATE is split into equal parts of MAX_RATE at most, each drawn by a number of its own:
+a sum of independent Poisson counts is Poisson at the sum of their rates, and the array stays bounded.
 
 Defined cases: null source is a source of its own; null text counts as no characters; sources without a
 weight get weight 0 and so no copies; sources of weight without documents or characters give nothing and
@@ -92,16 +92,16 @@ def mix_sources(
     own = ["copy", "rate", "shuffle_key"]
     kept = [c for c in docs.columns if c not in own]
     rates = source_rates(docs, weights, source, text)
-    rest = F.when(F.col("_rate") > MAX_RATE, F.lit(MAX_RATE / 2)).otherwise(F.col("_rate"))
-    whole = F.floor(F.col("_rate") - rest)
-    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate")).select(
-        "_source", "_rate", whole.alias("_whole"), (F.col("_rate") - whole).alias("_rest")
-    )
-    rates = rates.select("_source", "_rate", "_whole", poisson_steps(F.col("_rest")).alias("_steps")).where("_rate > 0")
+    parted = F.greatest(F.lit(1), F.ceil(F.col("_rate") / MAX_RATE).cast("int"))
+    rates = rates.select(F.col("source").alias("_source"), F.col("rate").alias("_rate")).withColumn("_parts", parted)
+    rates = rates.select("_source", "_rate", "_parts", poisson_steps(F.col("_rate") / F.col("_parts")).alias("_steps")).where("_rate > 0")
     parts = [F.lit(str(seed)), F.coalesce(F.col(source).cast("string"), F.lit("")), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))]
     named = docs.select(*kept, uniform(*parts).alias("_u"))
     drawn = named.join(rates, F.col(source).eqNullSafe(F.col("_source")))
-    count = F.col("_whole") + F.size(F.filter("_steps", lambda s: s <= F.col("_u")))
+    steps = lambda u: F.size(F.filter("_steps", lambda s: s <= u))
+    others = F.filter(F.sequence(F.lit(0), F.col("_parts") - 1), lambda k: k > 0)
+    more = F.aggregate(others, F.lit(0), lambda n, k: n + steps(uniform(*parts, F.lit("part"), k.cast("string"))))
+    count = steps(F.col("_u")) + more
     copies = drawn.withColumn("_n", count.cast("int")).where("_n > 0").select(
         *kept, F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("copy"), F.col("_rate").alias("rate")
     )

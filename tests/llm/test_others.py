@@ -141,3 +141,14 @@ def test_fingerprint_accuracy(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     r = fingerprint.compare_edited(d).select("near_edited", "near_next").collect()
     assert 0.35 < np.mean([x.near_edited for x in r]) < 0.6 and np.mean([x.near_next for x in r]) < 0.1
+
+
+def test_mixing_spread_at_high_rates(spark):
+    """Counts at a mean rate of about 100 spread as a Poisson distribution's."""
+    from siltstone.llm import mixing
+
+    docs = spark.createDataFrame([(k, "abcd", "rare") for k in range(400)] + [(-1, "z" * 320_000, "common")], "doc_id long, text string, source string")
+    out = mixing.mix_sources(docs, shuffle=False).where("source = 'rare'").groupBy("doc_id").count().collect()
+    n = [r["count"] for r in out]
+    mean = sum(n) / len(n)
+    assert len(n) == 400 and abs(mean - 100.5) < 3 and 75 < sum((x - mean) ** 2 for x in n) / (len(n) - 1) < 130
