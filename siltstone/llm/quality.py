@@ -1,19 +1,25 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives (label 1) and unlabelled web text train a scorer that minimises the non-negative
-unbiased risk  pi R+(f) + max(0, R-_u(f) - pi R-_p(f)),  with the class prior pi estimated as the share
-of label 1 among the training labels. Label-0 rows are used as unlabelled text only, and once more, with
-the positives, to calibrate the final scores on the training labels.
-
-Inputs of a score are figures of the whole text alone: bytes by class and pairs of byte classes, word and
-line repetition, lengths and shares of character kinds. Both models (a linear part and one hidden layer)
-are a few kilobytes and travel in the closure. Training takes a bounded sample, in the order of a hash of
-the id: at most MAX_POSITIVE, MAX_UNLABELLED and MAX_CALIBRATION rows, of which only the feature rows
-come to the driver; every document is scored.
-
-Defined cases: null text counts as empty and gets a score like any other; null ids count as the empty
-string in the split; repeated label rows of a document count each; without training labels every score
-is 0.5; empty input gives no rows; other columns pass through where a result column has not their name.
+Trusted positives (label 1) and unlabelled web text train a scorer that minimises the non-negative unbiased
+risk  pi R+(f) + max(0, R-_u(f) - pi R-_p(f))  of the logistic loss, whose minimiser is the posterior itself: no
+negative label is used, neither for the class prior pi nor to calibrate. Labels are read only to find positives.
+
+1. A bounded sample of labelled rows (at most MAX_POSITIVE of label 1, and MAX_CONTRAST of any label, their labels
+   dropped) trains a contrast between positives and text at large, in one task.
+2. All unlabelled text is passed once. A chunk of CHUNK documents estimates its class prior (the best bin: the
+   threshold of the contrast's scores at which the ratio of the shares above it, unlabelled over held-back
+   positives, is least) and minimises the risk from the same start; the solutions, linear in fixed inputs, are
+   averaged by their numbers of documents (one-shot averaging of parallel learners). Every text counts, a task holds
+   one chunk, and only sums of parameters are shuffled.
+3. Every document is scored.
+
+Inputs of a score are figures of the whole text alone: bytes by class and pairs of byte classes, word and line
+repetition, lengths and shares of character kinds, and a fixed layer of random tanh units over them. The model is a
+few kilobytes and travels in the closure; the positives (MAX_POSITIVE rows of 1 KB at most) are broadcast.
+
+Defined cases: null text counts as empty and gets a score like any other; null ids count as the empty string in the
+split; repeated label rows count once, repeated documents each; without positives or unlabelled text every score is
+0.5; empty input gives no rows; other columns pass through where a result column has not their name.
 """
 
 from __future__ import annotations
@@ -27,9 +33,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.registry import query
-from siltstone.session import table
+from siltstone.session import materialize, table
 
-MAX_POSITIVE, MAX_UNLABELLED, MAX_CALIBRATION = 6000, 8000, 4000
+#: Bounds of the sample of labelled rows.
+MAX_POSITIVE, MAX_CONTRAST = 6000, 6000
+#: Unlabelled documents that a task holds at once.
+CHUNK = 4096
 THRESHOLD = 0.3
 FOLDS = 5
 
@@ -78,81 +87,72 @@ def features(texts: list[str]) -> np.ndarray:
 
 
 class Scorer:
-    """A linear part plus one hidden layer, standardised inputs, calibrated output."""
+    """A linear function of standardised figures and of HIDDEN fixed tanh units, through the logistic function."""
+
+    HIDDEN = 24
 
-    def __init__(self, seed: int = 5, hidden: int = 16):
-        self.rng, self.hidden = np.random.default_rng(seed), hidden
-        self.mean = self.scale = self.p = None
-        self.a, self.b = 1.0, 0.0
+    def __init__(self, mean: np.ndarray | None = None, scale: np.ndarray | None = None, seed: int = 5):
+        rng = np.random.default_rng(seed)
+        self.units = rng.normal(0, 1.5 / np.sqrt(FEATURES), (FEATURES, self.HIDDEN)).astype(np.float32)
+        self.mean, self.scale, self.w = mean, scale, None
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
-        z = np.clip((x - self.mean) / self.scale, -8, 8)
-        w, w1, b1, w2, b0 = self.p
-        return z @ w + np.tanh(z @ w1 + b1) @ w2 + b0
+    @classmethod
+    def standardised(cls, x: np.ndarray) -> Scorer:
+        """With the mean and spread of the rows of x."""
+        return cls(x.mean(0, dtype=np.float64).astype(np.float32), (x.std(0, dtype=np.float64) + 0.02).astype(np.float32))
+
+    def inputs(self, x: np.ndarray) -> np.ndarray:
+        z = np.clip((x.astype(np.float32) - self.mean) / self.scale, -8, 8)
+        return np.concatenate([z, 4 * np.tanh(z @ self.units), np.ones((len(z), 1), np.float32)], 1)
 
     def score(self, x: np.ndarray) -> np.ndarray:
-        if self.p is None:
+        if self.w is None:
             return np.full(len(x), 0.5)
-        return 1 / (1 + np.exp(-np.clip(self.a * self.raw(x) + self.b, -40, 40)))
-
-    def fit(self, pos: np.ndarray, unl: np.ndarray, prior: float, epochs: int = 60, batch: int = 512, rate: float = 3e-3, decay: float = 1e-4):
-        """Minimise the non-negative unbiased risk with Adam on the logistic loss."""
-        if not len(pos) or not len(unl):
-            return self
-        both = np.concatenate([pos, unl])
-        self.mean, self.scale = both.mean(0), both.std(0) + 1e-3
-        d, h = both.shape[1], self.hidden
-        self.p = [np.zeros(d), self.rng.normal(0, 0.3 / np.sqrt(d), (d, h)), np.zeros(h), self.rng.normal(0, 0.1, h), 0.0]
-        zp, zu = (np.clip((x - self.mean) / self.scale, -8, 8) for x in (pos, unl))
-        m1, m2, step = [np.zeros_like(np.asarray(q)) for q in self.p], [np.zeros_like(np.asarray(q)) for q in self.p], 0
-        sig = lambda v: 1 / (1 + np.exp(-np.clip(v, -40, 40)))
-        for _ in range(epochs):
-            op, ou = self.rng.permutation(len(zp)), self.rng.permutation(len(zu))
-            n = max(1, max(len(zp), len(zu)) // batch)
-            for ip, iu in zip(np.array_split(np.resize(op, n * min(batch, len(zp))), n), np.array_split(np.resize(ou, n * min(batch, len(zu))), n), strict=True):
-                z = np.concatenate([zp[ip], zu[iu]])
-                w, w1, b1, w2, b0 = self.p
-                t = np.tanh(z @ w1 + b1)
-                s = sig(z @ w + t @ w2 + b0)
-                k = len(ip)
-                # d softplus(f) / df = s (loss of saying 0), d softplus(-f) / df = s - 1 (loss of saying 1)
-                neg = np.logaddexp(0, np.log(s[k:] + 1e-12) - np.log(1 - s[k:] + 1e-12)).mean() - prior * np.logaddexp(0, np.log(s[:k] + 1e-12) - np.log(1 - s[:k] + 1e-12)).mean()
-                g = np.empty(len(z))
-                if neg >= 0:
-                    g[:k] = (prior * (s[:k] - 1) - prior * s[:k]) / k
-                    g[k:] = s[k:] / len(iu)
-                else:  # the correction step: undo what made the negative risk negative
-                    g[:k] = prior * s[:k] / k
-                    g[k:] = -s[k:] / len(iu)
-                back = np.outer(g, w2) * (1 - t * t)
-                grads = [z.T @ g + decay * w, z.T @ back + decay * w1, back.sum(0), t.T @ g + decay * w2, g.sum()]
-                step += 1
-                for j, gr in enumerate(grads):
-                    m1[j] = 0.9 * m1[j] + 0.1 * gr
-                    m2[j] = 0.999 * m2[j] + 0.001 * gr * gr
-                    self.p[j] = self.p[j] - rate * (m1[j] / (1 - 0.9**step)) / (np.sqrt(m2[j] / (1 - 0.999**step)) + 1e-8)
-        return self
-
-    def calibrate(self, x: np.ndarray, y: np.ndarray):
-        """Platt scaling on labelled training rows."""
-        if self.p is None or len(set(y.tolist())) < 2:
-            return self
-        f = self.raw(x)
-        spread = f.std() + 1e-6
-        v, a, b = f / spread, 1.0, 0.0
-        n1, n0 = y.sum(), len(y) - y.sum()
-        t = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-        for _ in range(100):
-            q = 1 / (1 + np.exp(-np.clip(a * v + b, -40, 40)))
-            r, s = q - t, np.maximum(q * (1 - q), 1e-9)
-            g = np.array([(r * v).sum(), r.sum()])
-            hess = np.array([[(s * v * v).sum() + 1e-6, (s * v).sum()], [(s * v).sum(), s.sum() + 1e-6]])
-            move = np.linalg.solve(hess, g)
-            a, b = a - np.clip(move[0], -2, 2), b - np.clip(move[1], -2, 2)
-            if np.abs(move).max() < 1e-8:
-                break
-        self.a, self.b = max(a, 1e-3) / spread, b
-        return self
+        return _sigmoid(self.inputs(x) @ self.w)
+
+
+def _sigmoid(f: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(f.astype(np.float64), -40, 40)))
+
+
+def risk(w: np.ndarray, zp: np.ndarray, zu: np.ndarray, prior: float) -> tuple[float, float]:
+    """The two parts of the unbiased risk: pi R+ of the positives, and R-_u - pi R-_p (which may fall under 0)."""
+    fp, fu = zp @ w, zu @ w
+    return prior * np.logaddexp(0, -fp).mean(), np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean()
+
+
+def gradient(w: np.ndarray, zp: np.ndarray, zu: np.ndarray, prior: float) -> np.ndarray:
+    """Of pi R+ + (R-_u - pi R-_p) where the second part is not under 0; else of minus that part, which brings it back."""
+    sp, su = _sigmoid(zp @ w), _sigmoid(zu @ w)
+    if risk(w, zp, zu, prior)[1] >= 0:
+        return (zp.T @ np.full(len(zp), -prior)) / len(zp) + zu.T @ su / len(zu)
+    return prior * (zp.T @ sp) / len(zp) - zu.T @ su / len(zu)
+
+
+def fit(zp: np.ndarray, zu: np.ndarray, prior: float | None, steps: int = 600, batch: int = 512, rate: float = 0.02, decay: float = 2e-3) -> np.ndarray:
+    """Adam on the non-negative risk; prior None: plain contrast of the two, alike in weight."""
+    rng, d = np.random.default_rng(11), zp.shape[1]
+    w, m1, m2 = np.zeros(d), np.zeros(d), np.zeros(d)
+    for step in range(1, steps + 1):
+        p, u = (z if len(z) <= batch else z[rng.integers(0, len(z), batch)] for z in (zp, zu))
+        if prior is None:
+            g = p.T @ (_sigmoid(p @ w) - 1) / len(p) + u.T @ _sigmoid(u @ w) / len(u)
+        else:
+            g = gradient(w, p, u, prior)
+        g[:-1] += decay * w[:-1]
+        m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
+        w -= rate * (1 - 0.9 * step / steps) * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-8)
+    return w
+
+
+def class_prior(sp: np.ndarray, su: np.ndarray) -> float:
+    """Share of positives in unlabelled text, from scores of positives and of unlabelled rows: the best bin's ratio."""
+    sp, su = np.sort(sp), np.sort(su)
+    above_p = 1 - np.arange(len(sp)) / len(sp)
+    above_u = 1 - np.searchsorted(su, sp) / len(su)
+    slack = 0.5 / np.sqrt(len(su)) + 0.5 / np.sqrt(len(sp))
+    k = int(np.argmin((above_u + slack) / above_p))
+    return float(np.clip(above_u[k] / above_p[k], 0.02, 0.98))
 
 
 def held_out(doc_id: str) -> Column:
@@ -160,39 +160,76 @@ def held_out(doc_id: str) -> Column:
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def _rows(df: DataFrame) -> np.ndarray:
+    """The feature rows of a bounded table with a binary column x."""
+    raw = [bytes(r) for r in df.toPandas()["x"]]
+    return np.frombuffer(b"".join(raw), "<f4").reshape(-1, FEATURES)
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "quality") -> Scorer:
-    """A scorer learned from labels of rows that are not held out and from unlabelled text of such rows."""
-    order = F.xxhash64(F.lit("order"), F.col("doc_id"))
-    docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    known = labels.select(F.col(doc_id).alias("doc_id"), F.col(label).cast("int").alias("label")).where(~held_out("doc_id") & F.col("label").isNotNull())
-    n, ones = known.agg(F.count("*"), F.count_if(F.col("label") == 1)).first()
-    scorer = Scorer()
-    if not n or not ones:
-        return scorer
-    take = lambda df, k: df.orderBy(order, "doc_id").limit(k)
-    picked = (
-        take(known.where("label = 1").select("doc_id"), MAX_POSITIVE).withColumn("use", F.lit("p"))
-        .unionByName(take(docs.where(~held_out("doc_id")).select("doc_id"), MAX_UNLABELLED).withColumn("use", F.lit("u")))
-        .unionByName(take(known.where("label <> 1").select("doc_id"), MAX_CALIBRATION // 2).withColumn("use", F.lit("0")))
-        .unionByName(take(known.where("label = 1").select("doc_id"), MAX_CALIBRATION // 2).withColumn("use", F.lit("1")))
-        .distinct()
+    """A scorer learned from the positives of rows that are not held out and from all text of such rows, unlabelled."""
+    docs = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).where(~held_out("doc_id"))
+    known = labels.select(F.col(doc_id).alias("doc_id"), (F.col(label) == 1).alias("one")).where(~held_out("doc_id") & F.col("one").isNotNull())
+    known = known.groupBy("doc_id").agg(F.max("one").alias("one")).withColumn("order", F.xxhash64(F.lit("order"), F.col("doc_id")))
+    take = lambda df, k: df.orderBy("order", "doc_id").limit(k)
+    picked = take(known.where("one").select("doc_id", "order", F.lit("p").alias("use")), MAX_POSITIVE).unionByName(
+        take(known.select("doc_id", "order", F.lit("c").alias("use")), MAX_CONTRAST)
     )
-    uses = picked.groupBy("doc_id").agg(F.array_join(F.array_sort(F.collect_set("use")), "").alias("use"))
-    sample = docs.join(F.broadcast(uses), "doc_id")  # at most the three bounds together
+    uses = picked.groupBy("doc_id", "order").agg(F.array_join(F.array_sort(F.collect_set("use")), "").alias("use"))
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for lo in range(0, len(b), 256):
+                c = b.iloc[lo : lo + 256]
+                x = features(c["text"].tolist()).astype("<f4")
+                yield pd.DataFrame({"use": c["use"].to_numpy(), "order": c["order"].to_numpy(), "x": [r.tobytes() for r in x]})
+
+    # At most the two bounds together; documents of repeated ids are held to them once more below.
+    sample = docs.join(F.broadcast(uses), "doc_id").select("text", "use", "order")
+    sample = materialize(sample.mapInPandas(measure, "use string, order long, x binary"), "sample")
+    cut = lambda use, k: sample.where(F.contains("use", F.lit(use))).orderBy("order", F.md5("x")).limit(k).select("x")
+    xp, xc = _rows(cut("p", MAX_POSITIVE)), _rows(cut("c", MAX_CONTRAST))
+    if len(xp) < 2 or not len(xc):
+        return Scorer()
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast((xp, Scorer.standardised(np.concatenate([xp, xc]))))
+
+    def contrast(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        xp, scorer = sent.value
+        raw = b"".join(bytes(x) for b in batches for x in b["x"])
+        if raw:
+            zp, zc = scorer.inputs(xp), scorer.inputs(np.frombuffer(raw, "<f4").reshape(-1, FEATURES))
+            yield pd.DataFrame({"w": [fit(zp[::2], zc, None, steps=300, decay=2e-2).tolist()]})
+
+    found = materialize(cut("c", MAX_CONTRAST).coalesce(1).mapInPandas(contrast, "w array<double>"), "contrast").first()
+    axis = np.array(found["w"])
+
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        xp, scorer = sent.value
+        zp, held = scorer.inputs(xp), []
+
+        def solve() -> pd.DataFrame:
+            zu = scorer.inputs(np.concatenate(held))
+            held.clear()
+            prior = class_prior(zp[1::2] @ axis, zu @ axis)
+            return pd.DataFrame({"w": [(len(zu) * fit(zp, zu, prior)).tolist()], "n": [len(zu)], "prior": [prior * len(zu)]})
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = features(b["text"].tolist()).astype(np.float32)
-            yield pd.DataFrame({"doc_id": b["doc_id"], "use": b["use"], "x": list(x)})
-
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, use string, x array<float>"
-    rows = sample.mapInPandas(run, schema).toPandas().sort_values("doc_id", kind="stable")
-    if rows.empty:
-        return scorer
-    x = np.array(rows["x"].tolist(), np.float64)
-    use = {k: x[rows["use"].str.contains(k).to_numpy(bool)] for k in "pu01"}
-    scorer.fit(use["p"], use["u"], min(0.99, max(0.01, ones / n)))
-    return scorer.calibrate(np.concatenate([use["0"], use["1"]]), np.repeat([0.0, 1.0], [len(use["0"]), len(use["1"])]))
+            for lo in range(0, len(b), 256):
+                held.append(features(b["text"].iloc[lo : lo + 256].tolist()).astype(np.float32))
+                if sum(map(len, held)) >= CHUNK:
+                    yield solve()
+        if held:
+            yield solve()
+
+    learned = materialize(docs.select("text").mapInPandas(learn, "w array<double>, n long, prior double"), "learned")
+    n, prior = learned.agg(F.sum("n"), F.sum("prior")).first()
+    scorer = sent.value[1]
+    if n:
+        w = learned.select(F.posexplode("w").alias("k", "w")).groupBy("k").agg(F.sum("w").alias("w")).orderBy("k").collect()  # a row a parameter
+        scorer.w, scorer.prior = np.array([r["w"] for r in w]) / n, prior / n
+    sent.unpersist()
+    return scorer
 
 
 def classify(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:

@@ -56,9 +56,48 @@ def test_quality(spark):
     assert quality.classify(empty, scorer).count() == 0
     none = quality.train(docs, labels.limit(0))
     assert {r.score for r in quality.classify(docs, none).select("score").distinct().collect()} == {0.5}
+    assert {r.score for r in quality.classify(docs, quality.train(docs, labels.withColumn("quality", F.lit(0)))).limit(9).collect()} == {0.5}
     assert {r.score for r in quality.classify(docs.limit(3), quality.train(empty, labels)).collect()} == {0.5}
 
 
+def test_nonnegative_risk_by_brute_force():
+    """The risk from single losses, and the gradient by differences on both sides of the correction."""
+    import math
+
+    rng = np.random.default_rng(3)
+    zp, zu = rng.normal(0.3, 1, (40, 5)), rng.normal(0, 1, (70, 5))
+    loss = lambda z, w, y: math.log1p(math.exp(-y * sum(a * b for a, b in zip(z, w, strict=True))))
+    mean = lambda x: sum(x) / len(x)
+    seen = set()
+    for prior in (0.1, 0.6, 0.98):
+        for w in rng.normal(0, 1.5, (6, 5)):
+            want = (prior * mean([loss(z, w, 1) for z in zp]), mean([loss(z, w, -1) for z in zu]) - prior * mean([loss(z, w, -1) for z in zp]))
+            assert np.allclose(quality.risk(w, zp, zu, prior), want)
+            seen.add(want[1] >= 0)
+            side = (lambda v: sum(quality.risk(v, zp, zu, prior))) if want[1] >= 0 else (lambda v: -quality.risk(v, zp, zu, prior)[1])
+            steps = [(side(w + e) - side(w - e)) / 2e-5 for e in np.eye(5) * 1e-5]
+            assert np.allclose(quality.gradient(w, zp, zu, prior), steps, atol=1e-5)
+    assert seen == {True, False}
+
+
+def test_class_prior_of_a_mixture():
+    rng = np.random.default_rng(4)
+    for share in (0.2, 0.5, 0.9):
+        unlabelled = np.where(rng.random(4000) < share, rng.normal(3, 1, 4000), rng.normal(-3, 1, 4000))
+        assert abs(quality.class_prior(rng.normal(3, 1, 2000), unlabelled) - share) < 0.06
+
+
+def test_quality_odd_tables(spark):
+    """Repeated ids and labels, null ids and labels, clashing names; negatives change nothing but the contrast's texts."""
+    rows = [(k % 30, ("good plain words of text " * 5) if k % 3 else "|x|#" * 20, "en", "s", 0) for k in range(90)] + awkward()
+    docs = spark.createDataFrame(rows, DOCS).withColumn("held_out", F.lit("clash")).withColumn("use", F.lit("clash"))
+    labels = spark.createDataFrame([(k % 30, int(k % 3 > 0), None) for k in range(90)] + [(None, 1, 0), (3, None, 0)], "doc_id long, quality int, order int")
+    scorer = quality.train(docs, labels)
+    out = quality.classify(docs, scorer).collect()
+    assert len(out) == len(rows) and all(0 <= r.score <= 1 and r.use == "clash" and r.predicted == int(r.score >= 0.3) for r in out)
+    assert {r.held_out for r in out} == {True, False}
+
+
 def test_mixing(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MAX_RATE", 8.0)
     rows = [(k, "x" * (10 + k % 7), "en", "hot" if k % 3 else f"s{k % 5}", 0) for k in range(3000)] + [(None, None, None, None, None)]
