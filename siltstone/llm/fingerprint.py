@@ -1,25 +1,31 @@
 """Document fingerprints: threshold-scaled sketches of shingle hashes [DataFrame operations only].
 
-A sketch retains every shingle hash under a fixed fraction of the hash range, or the LEAST smallest ones
-where that leaves fewer, so that short texts too have a meaningful sketch. Two sketches are compared up to
-the lower of their two limits, within which both are complete; so are unions of sketches, and texts of
-very unequal length keep their containment estimates. Shingles are five lower-cased words (runs of
-anything but space and U+0009..U+000D); a text of one to four words is one shingle, an empty one none.
-
-As a string: ``all:`` where the sketch holds every shingle of its text, else ``part:``, then the sorted
-hashes, 16 hex digits each.
-
-Neighbours in the order of ids are found without a global sort in one task: rows are dealt into ranges of
-ids, each looks back by a window of its own, and the last rows of the ranges link them. Texts are exchanged
-once.
-
-Defined cases: null text counts as empty; equal texts have equal fingerprints; two empty texts have a
-likeness of 1, an empty and another of 0; rows of equal ids are neighbours, in the order of a hash of the text;
-a null id comes last in descending order; a document alone is its own next; empty input gives no rows.
+A sketch retains every shingle hash under a fixed FRACTION of the hash range, whatever the text's length, so its size
+follows the text's: the sketch of a union is the union of the sketches (``merge``), and of two texts of very unequal
+length each one's containment in the other can be told from the retained hashes alone. Shingles are five words
+(runs of anything but space and U+0009..U+000D, A-Z lower-cased); a text of one to four words is one shingle, an empty
+one none. A hash is the first 16 hex digits of the md5 of a shingle's words, joined by spaces: FRACTION is a power of
+1/16 times a whole number, so that a first digit decides.
+
+Short texts retain few hashes, perhaps none. A sketch therefore also has a digest of its whole set of shingles (the
+md5 of their sorted hashes, 16 digits; "" for no shingle), which tells equal sets; a merged sketch has none (null).
+Likeness is 1 for equal digests, else 0 where a text is empty or nothing is retained on either side, else the share of
+retained hashes that both have. As a string: digest, ":", the sorted hashes.
+
+Neighbours in the order of ids are found without a global sort in one task: rows are dealt into ranges of ids, each looks
+back by a window of its own, and the last rows of the ranges link them. An id that fills a range or more is dealt once
+more, by the digits of its texts' md5. Texts are exchanged once, with their sketches.
+
+Defined cases: null text counts as empty; equal texts have equal fingerprints; two empty texts have a likeness of 1, an
+empty and another of 0; rows of equal ids are neighbours, in the order of their texts' md5; equal rows are
+neighbours of each other; a null id comes last in descending order; a document alone is its own next; empty input
+gives no rows; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,74 +33,55 @@ from siltstone.llm.registry import query
 from siltstone.session import materialize, table
 
 WORDS = 5
-FRACTION = 1 / 32
-LEAST = 64
-_LIMIT = int(-(2**63) + FRACTION * 2**64)
-_TOP = 2**63 - 1
+#: Retained: hashes whose first hex digit is under this, so a quarter of all.
+FIRST = "4"
+DIGITS = 16
+SKETCH = "struct<digest:string,hashes:array<string>>"
 
 
-def word_hashes(text: Column) -> Column:
-    """array<long>: the hash of each lower-cased word."""
-    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    return F.transform(words, lambda w: F.xxhash64(w))
+def words(text: Column) -> Column:
+    """array<string>: the lower-cased words."""
+    lower = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
+    return F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def shingle_hashes(h: Column) -> Column:
-    """array<long> of all shingles of a column of word hashes (a plain column: it is read at every shingle)."""
-    many = F.transform(
-        F.slice(h, 1, F.size(h) - (WORDS - 1)),
-        lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WORDS)]),
-    )
-    return F.when(F.size(h) >= WORDS, many).when(F.size(h) > 0, F.array(F.xxhash64(h))).otherwise(F.array().cast("array<bigint>"))
+def shingle_hashes(w: Column) -> Column:
+    """array<string> of all shingles of a column of words (a plain column: it is read at every shingle)."""
+    many = F.transform(F.sequence(F.lit(1), F.size(w) - (WORDS - 1)), lambda i: F.left(F.md5(F.array_join(F.slice(w, i, F.lit(WORDS)), " ")), F.lit(DIGITS)))
+    one = F.array(F.left(F.md5(F.array_join(w, " ")), F.lit(DIGITS)))
+    return F.when(F.size(w) >= WORDS, many).when(F.size(w) > 0, one).otherwise(F.array().cast("array<string>"))
 
 
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
-    """df with struct<full boolean, hashes array<long>>: the sketch of a text column."""
+    """df with struct<digest string, hashes array<string>>: the sketch of a text column."""
     kept = df.columns
-    a = df.select(*kept, word_hashes(F.col(text)).alias("_h")).select(*kept, shingle_hashes(F.col("_h")).alias("_s"))
-    a = a.select(*kept, "_s", F.array_distinct(F.filter("_s", lambda s: s < _LIMIT)).alias("_low"))
-    small = F.sort_array(F.array_distinct("_s"))
-    a = a.select(
-        *kept,
-        F.size("_low").alias("_n"),
-        F.when(F.size("_low") >= LEAST, F.sort_array("_low")).otherwise(small).alias("_all"),
-    )
-    return a.select(
-        *kept,
-        F.struct(
-            ((F.col("_n") < LEAST) & (F.size("_all") <= LEAST)).alias("full"),
-            F.when(F.col("_n") >= LEAST, F.col("_all")).otherwise(F.slice("_all", 1, LEAST)).alias("hashes"),
-        ).alias(out),
-    )
+    a = df.select(*kept, words(F.col(text)).alias("_w")).select(*kept, shingle_hashes(F.col("_w")).alias("_s"))
+    a = a.select(*kept, F.array_sort(F.array_distinct("_s")).alias("_s"))
+    digest = F.when(F.size("_s") > 0, F.left(F.md5(F.array_join("_s", "")), F.lit(DIGITS))).otherwise("")
+    # Sorted: the retained hashes come first.
+    return a.select(*kept, F.struct(digest.alias("digest"), F.filter("_s", lambda s: s < FIRST).alias("hashes")).alias(out))
 
 
-def to_string(sketch: Column) -> Column:
-    """The sketch as a string."""
-    digits = F.array_join(F.transform(sketch["hashes"], lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
-    return F.concat(F.when(sketch["full"], "all:").otherwise("part:"), digits)
+def merge(a: Column, b: Column) -> Column:
+    """The sketch of both texts' shingles together."""
+    return F.struct(F.lit(None).cast("string").alias("digest"), F.array_sort(F.array_union(a["hashes"], b["hashes"])).alias("hashes"))
 
 
-def _limit(s: Column) -> Column:
-    return F.when(s["full"], F.lit(_TOP)).otherwise(F.greatest(F.lit(_LIMIT - 1), F.element_at(s["hashes"], -1)))
+def to_string(sketch: Column) -> Column:
+    """The sketch as a string."""
+    return F.concat(F.coalesce(sketch["digest"], F.lit("")), F.lit(":"), F.array_join(sketch["hashes"], ""))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated Jaccard similarity of two sketches, 0 to 1."""
-    top = F.least(_limit(a), _limit(b))
-    # Hashes are sorted: those up to the limit are a prefix.
-    upto = lambda s: F.when(F.try_element_at(s["hashes"], F.lit(-1)) <= top, s["hashes"]).otherwise(F.filter(s["hashes"], lambda x: x <= top))
-    x, y = upto(a), upto(b)
-    both = F.size(F.array_intersect(x, y))
-    either = F.size(x) + F.size(y) - both
-    empty = (F.size(a["hashes"]) == 0) & (F.size(b["hashes"]) == 0)
-    return F.when(empty, 1.0).when(either == 0, 0.0).otherwise(both / either)
+    both = F.size(F.array_intersect(a["hashes"], b["hashes"]))
+    either = F.size(a["hashes"]) + F.size(b["hashes"]) - both
+    return F.when(F.coalesce(a["digest"] == b["digest"], F.lit(False)), 1.0).when(either == 0, 0.0).otherwise(both / either)
 
 
 def containment(a: Column, b: Column) -> Column:
-    """Estimated share of a's shingles that b has too; null where a has none in range."""
-    top = F.least(_limit(a), _limit(b))
-    x = F.filter(a["hashes"], lambda v: v <= top)
-    return F.when(F.size(x) > 0, F.size(F.array_intersect(x, b["hashes"])) / F.size(x))
+    """Estimated share of a's shingles that b has too; null where nothing of a is retained."""
+    return F.when(F.size(a["hashes"]) > 0, F.size(F.array_intersect(a["hashes"], b["hashes"])) / F.size(a["hashes"]))
 
 
 def _longs(values: list[int]) -> Column:
@@ -110,30 +97,37 @@ def part_of(c: Column, splits: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """(id, text, next_text): the text of the neighbour below in the order of ids, and for the lowest of the highest.
+    """docs (id, text, sketch) with next_text and next_sketch: of the neighbour below in the order of ids, and for the lowest of the highest.
 
-    Rows are dealt into ranges of ids, cut at quantiles, four to a shuffle partition; each range looks back
-    within itself. The last row of each range, found by ids alone, links it to the next.
+    Rows are dealt into ranges of ids, cut at quantiles, four to a shuffle partition; each range looks back within
+    itself. The last row of each range, found by ids alone, links it to the next.
     """
     spark = docs.sparkSession
     wanted = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = docs.agg(F.percentile_approx("id", [k / wanted for k in range(1, wanted)], 20 * wanted)).first()[0]
-    splits = sorted(set(cuts or []))
-    docs = docs.select("id", "text", F.xxhash64("text").alias("mark"), part_of(F.col("id"), splits).alias("part"))
+    cuts = sorted(docs.agg(F.percentile_approx("id", [k / wanted for k in range(1, wanted)], 20 * wanted)).first()[0] or [])
+    splits = sorted(set(cuts))
+    hot = sorted({a for a, b in zip(cuts, cuts[1:], strict=False) if a == b})  # ids that fill a range: the last of theirs
+    nulls = docs.where("id IS NULL").limit(wanted).count() == wanted
+    mark = F.md5("text")
+    dealt = F.when(F.array_contains(_longs(hot), F.col("id")), F.concat(F.lit("1"), F.left(mark, F.lit(2)))).otherwise("0")
+    if nulls:
+        dealt = F.when(F.col("id").isNull(), F.concat(F.lit(" "), F.left(mark, F.lit(2)))).otherwise(dealt)
+    docs = docs.select("id", "text", "sketch", mark.alias("mark"), F.coalesce(part_of(F.col("id"), splits), F.lit(0)).alias("part"), dealt.alias("sub"))
     me = F.struct("id", "mark")
-    line = Window.orderBy("part")  # a row for each range
+    line = Window.orderBy("part", "sub")  # a row for each range
     whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ends = docs.groupBy("part").agg(F.max(me).alias("end"))
-    ends = ends.select("part", F.coalesce(F.lag("end").over(line), F.last("end").over(whole)).alias("before"))
-    ends = materialize(ends.select("part", "before.id", "before.mark"), "ends")
-    given = docs.select(F.col("id").alias("g_id"), F.col("mark").alias("g_mark"), F.col("text").alias("before_text"))
+    ends = docs.groupBy("part", "sub").agg(F.max(me).alias("end"))
+    ends = ends.select("part", "sub", F.coalesce(F.lag("end").over(line), F.last("end").over(whole)).alias("before"))
+    ends = materialize(ends.select("part", "sub", "before.id", "before.mark"), "ends")
+    given = docs.select(F.col("id").alias("g_id"), F.col("mark").alias("g_mark"), F.struct("text", "sketch").alias("before"))
     before = given.join(F.broadcast(ends), F.col("g_id").eqNullSafe(F.col("id")) & (F.col("g_mark") == F.col("mark")))
-    before = before.groupBy("part").agg(F.first("before_text").alias("before_text"))
-    inside = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first(), "mark")
+    before = before.groupBy("part", "sub").agg(F.first("before").alias("before"))
+    inside = Window.partitionBy("part", "sub").orderBy(F.col("id").asc_nulls_first(), "mark")
     return (
-        docs.withColumn("below", F.lag("text").over(inside))
-        .join(before, "part", "left")
-        .select("id", "text", F.coalesce("below", "before_text").alias("next_text"))
+        docs.withColumn("below", F.lag(F.struct("text", "sketch")).over(inside))
+        .join(before, ["part", "sub"], "left")
+        .withColumn("below", F.coalesce("below", "before"))
+        .select("id", "text", "sketch", F.col("below.text").alias("next_text"), F.col("below.sketch").alias("next_sketch"))
     )
 
 
@@ -142,14 +136,16 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
     Columns: doc_id, n_chars, edited, sketch, edited_sketch, near_edited, near_next.
     """
-    docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    both = with_next(docs).withColumn(
-        "edited", F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third))
+    both = with_next(with_sketch(docs, "text", "sketch")).select(
+        "id",
+        n.cast("long").alias("n_chars"),
+        F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)).alias("edited"),
+        "sketch",
+        "next_sketch",
     )
-    both = both.withColumn("n_chars", n.cast("long"))
-    both = with_sketch(with_sketch(both, "text", "sketch").drop("text"), "next_text", "next_sketch").drop("next_text")
     return with_sketch(both, "edited", "edited_sketch").select(
         F.col("id").alias("doc_id"),
         "n_chars",
@@ -161,7 +157,39 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     )
 
 
-@query("op10_fingerprints")
+def _sql_sketch(source: str, text: str, out: str) -> str:
+    """SELECT of a source's columns with the sketch's two parts, for DuckDB."""
+    lower = f"translate({text}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
+    return f"""SELECT * EXCLUDE (w, s), CASE WHEN len(s) > 0 THEN left(md5(array_to_string(s, '')), {DIGITS}) ELSE '' END AS {out}_digest,
+        list_filter(s, lambda x: x < '{FIRST}') AS {out}_hashes
+    FROM (SELECT *, list_sort(list_distinct(CASE WHEN len(w) >= {WORDS}
+              THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: left(md5(array_to_string(list_slice(w, i, i + {WORDS - 1}), ' ')), {DIGITS}))
+              WHEN len(w) > 0 THEN [left(md5(array_to_string(w, ' ')), {DIGITS})] ELSE [] END)) AS s
+          FROM (SELECT *, list_filter(regexp_split_to_array({lower}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {source}))"""
+
+
+def _sql_likeness(a: str, b: str) -> str:
+    both = f"len(list_intersect({a}_hashes, {b}_hashes))"
+    either = f"(len({a}_hashes) + len({b}_hashes) - {both})"
+    return f"CASE WHEN {a}_digest = {b}_digest THEN 1.0 WHEN {either} = 0 THEN 0.0 ELSE {both} / {either} END::DOUBLE"
+
+
+@query(
+    "op10_fingerprints",
+    f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    a AS ({_sql_sketch("d", "text", "own")}),
+    l AS (SELECT row_number() OVER (ORDER BY doc_id NULLS FIRST, md5(text)) AS k, count(*) OVER () AS n, * FROM a),
+    p AS (SELECT x.doc_id, length(x.text)::BIGINT AS n_chars, x.own_digest, x.own_hashes, y.own_digest AS next_digest, y.own_hashes AS next_hashes,
+                 left(x.text, length(x.text) - length(x.text) // 3) || left(y.text, length(x.text) // 3) AS edited
+          FROM l x JOIN l y ON y.k = CASE WHEN x.k = 1 THEN x.n ELSE x.k - 1 END),
+    e AS ({_sql_sketch("p", "edited", "edited")})
+    SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, own_digest || ':' || array_to_string(own_hashes, '') AS fingerprint,
+           edited_digest || ':' || array_to_string(edited_hashes, '') AS edited_fingerprint,
+           {_sql_likeness("own", "edited")} AS near_edited, {_sql_likeness("own", "next")} AS near_next
+    FROM e
+    """,
+)
 def op10_fingerprints(spark, sf):
     """Fingerprints all documents and their edited texts, and compares them."""
     out = compare_edited(table(spark, sf, "documents").select("doc_id", "text"))

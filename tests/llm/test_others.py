@@ -1,7 +1,6 @@
 """URL filters, classifier, mixing, top-k, WARC and fingerprints on small and awkward inputs."""
 
 import hashlib
-import json
 import random
 import re
 from collections import Counter
@@ -114,16 +113,17 @@ def test_mixing(spark, monkeypatch):
     assert big > 10 and abs(mixing.mix_sources(docs, {"s0": 1.0}).count() / docs.where("source = 's0'").count() / big - 1) < 0.1
 
 
-@pytest.mark.parametrize("shard", [40, 10_000])
+@pytest.mark.parametrize("shard", [17, 40, 10_000])
 def test_top_k(spark, shard):
     rng = np.random.default_rng(1)
     rows = [(int(k), (rng.normal(size=4) * (0 if k % 3 == 0 else 1)).tolist()) for k in range(300)]
-    rows += [(301, None), (302, []), (303, [1.0, None, 0.0, 0.0]), (304, [float("nan"), 0.0, 0.0, 0.0]), (305, [1.0]), (7, rows[7][1])]
-    d = spark.createDataFrame(rows, "id long, e array<double>").select("id", topk.integers(F.col("e")).alias("v"))
+    rows += [(301, None), (302, []), (303, [1.0, None, 0.0, 0.0]), (304, [float("nan"), 0.0, 0.0, 0.0]), (305, [1.0]), (320, [2.0, 1.0]), (340, []), (7, rows[7][1]), (None, [9.0])]
+    d = spark.createDataFrame([(*r, "x") for r in rows], "id long, e array<double>, rank string").select("rank", "id", topk.integers(F.col("e")).alias("v"))
     got = {}
     for r in topk.top_k(d, F.col("id") % 20 == 0, 5, shard=shard, block=4).collect():
         got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
-    v = [(i, np.floor(64 * np.array(e))) for i, e in rows if e and len(e) == 4 and all(x is not None and np.isfinite(x) for x in e)]
+    v = [(i, np.floor(64 * np.array([*e, 0, 0, 0, 0][:4]))) for i, e in rows if i is not None and e is not None and all(x is not None and np.isfinite(x) for x in e)]
+    assert set(got) == {i for i, _ in v if i % 20 == 0}
     for q, x in v:
         if q % 20 == 0:
             best = sorted((-int(x @ y), i) for i, y in v if i != q)[:5]
@@ -133,6 +133,17 @@ def test_top_k(spark, shard):
     assert [(r.query_id, r.vec_id) for r in few] == [(20, 21)]
 
 
+def test_top_k_large_integers(spark):
+    """Scores beyond 2**53 are exact; beyond a long they raise."""
+    big = 134217729
+    d = spark.createDataFrame([(0, [big, 1]), (1, [big, 0]), (2, [-big, 3])], "id long, v array<long>")
+    out = topk.top_k(d, F.col("id") == 0, 5).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in out] == [(1, big * big), (2, 3 - big * big)]
+    with pytest.raises(OverflowError):
+        topk.products(np.array([[2**62, 0]]), np.array([[4, 0]]))
+    assert topk.products(np.array([[2**61, 5]]), np.array([[3, -1]])).tolist() == [[3 * 2**61 - 5]]
+
+
 def test_warc_round_trip(spark):
     same = "<p>" + "s" * 200
     rows = [(5, "http://a/é\r\nx", same, 1), (3, None, same, 1), (9, "u", same, 1), (3, "u2", same, 1), (None, "u", same, 1), (4, "u", None, 1), (6, "u", "", 1), (7, "u", "short", 1), (8, "u", "short", 1), (10, "u", "é" * 300_000, 1)]
@@ -154,28 +165,75 @@ def test_warc_round_trip(spark):
     assert warc.write_warc(d.limit(0), empty).count() == 0 and warc.read_warc(spark, empty).count() == 0
 
 
-def test_fingerprints(spark):
-    rows = awkward()
-    out = fingerprint.compare_edited(spark.createDataFrame(rows, DOCS).withColumn("mark", F.lit(1))).collect()
-    assert len(out) == len(rows)
-    order = sorted({r[0]: r[1] or "" for r in rows if r[0] is not None and rows.count(r) == 1}.items())
-    by = {i: t for i, t, *_ in rows if i is not None}
-    texts = Counter(i for i, *_ in rows)
-    for r in out:
-        t = by.get(r.doc_id)
-        if r.doc_id is None or texts[r.doc_id] > 1 or r.doc_id == min(by):
-            continue
-        nxt = by[max(i for i in by if i < r.doc_id)] or ""
-        t, n = t or "", len(t or "") // 3
-        assert r.n_chars == len(t) and r.edited == t[: len(t) - n] + nxt[:n]
-    assert order
-    same = [r.sketch for r in out if r.n_chars == len(rows[6][1])]
-    assert len({json.dumps(s.hashes) for s in same}) < len(same)
+def test_warc_bytes_ignore_the_layout(spark):
+    """Cuts follow from the rows: other partitions, the same files. Heavy ranges, one heavy id and null ids are cut too."""
+    rng = random.Random(6)
+    ids = [k * 7 for k in range(300)] + [5_000] * 120 + [None] * 60 + [2**62 + k for k in range(40)]
+    rows = [(i, f"u{rng.random()}", "x" * rng.randrange(400)) for i in ids]
+    made = []
+    for n, by in ((1, "url"), (7, "html"), (3, "page_id")):
+        rng.shuffle(rows)
+        d = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(n, by)
+        folder = scratch(spark, "warc")
+        made.append(sorted((r.file, r.sha256, r.records) for r in warc.write_warc(d, folder, shard_bytes=3000).collect()))
+        assert warc.read_warc(spark, folder).count() == len(rows)
+    assert made[0] == made[1] == made[2] and len(made[0]) > 20
+    assert max(n for _, _, n in made[0]) < 60
+
+
+def brute_sketch(text):
+    """(all hashes, retained hashes) of a text."""
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    w = [x for x in re.split(r"[\x20\x09-\x0D]+", low) if x]
+    s = [w[k : k + 5] for k in range(len(w) - 4)] if len(w) >= 5 else [w] if w else []
+    h = sorted({hashlib.md5(" ".join(x).encode()).hexdigest()[:16] for x in s})
+    return h, [x for x in h if x[0] in "0123"]
+
+
+def brute_likeness(a, b):
+    (x, p), (y, q) = a, b
+    return 1.0 if x == y else len(set(p) & set(q)) / len(set(p) | set(q)) if p or q else 0.0
+
+
+@pytest.mark.parametrize("partitions", [1, 4])
+def test_fingerprints(spark, partitions):
+    """Every column against brute force: ties of ids, repeated rows, a null id, the wrap-around."""
+    rows = awkward() + [(7, f"t{k} " * 7, "", "", 0) for k in range(40)] + [(None, "more null ids", "", "", 0)]
+    docs = spark.createDataFrame([(*r, 1) for r in rows], DOCS + ", mark int").repartition(partitions)
+    out = fingerprint.compare_edited(docs).select("*", fingerprint.to_string(F.col("sketch")).alias("f"), fingerprint.to_string(F.col("edited_sketch")).alias("e")).collect()
+    line = sorted(((-(10**9) if r[0] is None else r[0], hashlib.md5((r[1] or "").encode()).hexdigest(), r[0], r[1] or "") for r in rows), key=lambda r: r[:2])
+    want = []
+    for k, (_, _, i, t) in enumerate(line):
+        nxt, n = line[k - 1][3], len(t) // 3
+        edited = t[: len(t) - n] + nxt[:n]
+        a, b, c = map(brute_sketch, (t, edited, nxt))
+        show = lambda s: (hashlib.md5("".join(s[0]).encode()).hexdigest()[:16] if s[0] else "") + ":" + "".join(s[1])
+        want.append((i, len(t), edited, show(a), show(b), round(brute_likeness(a, b), 9), round(brute_likeness(a, c), 9)))
+    got = [(r.doc_id, r.n_chars, r.edited, r.f, r.e, round(r.near_edited, 9), round(r.near_next, 9)) for r in out]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
     assert fingerprint.compare_edited(spark.createDataFrame([], DOCS)).count() == 0
     one = fingerprint.compare_edited(spark.createDataFrame([(1, "a b c d e f", "", "", 0)], DOCS)).first()
     assert one.near_next == 1.0
 
 
+def test_sketches_merge(spark):
+    """The sketch of a union is the union of the sketches; containment tells a short text inside a long one."""
+    rng = random.Random(9)
+    long = " ".join(f"w{rng.randrange(10**6)}" for _ in range(4000))
+    short, other = " ".join(long.split()[500:900]), " ".join(f"v{k}" for k in range(300))
+    d = spark.createDataFrame([(long, short, other, long + " " + other)], "a string, b string, c string, u string")
+    for c in "abcu":
+        d = fingerprint.with_sketch(d, c, f"s{c}")
+    s = {c: F.col(f"s{c}") for c in "abcu"}
+    r = d.select(
+        fingerprint.merge(s["a"], s["c"]).alias("m"), "su", fingerprint.containment(s["b"], s["a"]).alias("in_long"), fingerprint.containment(s["a"], s["b"]).alias("in_short"),
+        fingerprint.containment(s["c"], fingerprint.merge(s["a"], s["b"])).alias("none"), fingerprint.likeness(fingerprint.merge(s["a"], s["b"]), s["a"]).alias("same"),
+    ).first()
+    ends = {hashlib.md5(" ".join((long.split() + other.split())[k : k + 5]).encode()).hexdigest()[:16] for k in range(3996, 4000)}
+    assert set(r.su.hashes) - ends == set(r.m.hashes) and r.m.hashes == sorted(r.m.hashes) and r.m.digest is None
+    assert r.in_long == 1.0 and abs(r.in_short - 0.1) < 0.03 and r.none == 0.0 and r.same == 1.0
+
+
 def test_fingerprint_accuracy(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     r = fingerprint.compare_edited(d).select("near_edited", "near_next").collect()
@@ -191,3 +249,13 @@ def test_mixing_spread_at_high_rates(spark):
     n = [r["count"] for r in out]
     mean = sum(n) / len(n)
     assert len(n) == 400 and abs(mean - 100.5) < 3 and 75 < sum((x - mean) ** 2 for x in n) / (len(n) - 1) < 130
+
+
+def test_mixing_odd_rows(spark):
+    """Rows of one source and id draw alike, long texts only count, and the copies of a row are numbered from 0."""
+    rows = [(1, "a" * 50, "s")] * 3 + [(2, "b" * 300_000, "t"), (3, None, "u"), (4, "", "u"), (5, "c" * 9, None)]
+    docs = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, source string, rate string")
+    out = mixing.mix_sources(docs).collect()
+    copies = Counter((r.doc_id, r.copy) for r in out)
+    assert all(n % 3 == 0 for (i, _), n in copies.items() if i == 1) and {r.source for r in out} <= {"s", "t", None}
+    assert all(isinstance(r.rate, float) for r in out)
