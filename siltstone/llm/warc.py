@@ -1,12 +1,14 @@
 """WARC: a deterministic sharded writer and its reader.
 
-Writer: records are range-partitioned and sorted by id; each partition is a shard, written as
-``part-SHARD-ROLL.warc.gz`` files of gzip members, rolled when ROLL_BYTES of compressed bytes are reached. A
-file is built under a temporary name and renamed when whole, so a rerun task replaces its files by equal ones.
+Writer: records are ordered by id (then by a hash of payload and url) and cut into shards of about SHARD_BYTES. The cuts
+come from exact sums of payload bytes over ranges of ids, refined where a range is heavy, down to a single id and within
+it by the hash; so they follow from the rows alone, never from how the input lies in files or from a sample. Each shard is
+sorted and written as ``part-SHARD-ROLL.warc.gz`` files of gzip members, rolled when ROLL_BYTES of compressed bytes are
+reached. A file is built under a temporary name and renamed when whole, so a rerun task replaces its files by equal ones.
 The manifest of all files (records, first and last id, bytes, SHA-256) is written as JSON under a temporary
 name and renamed last: that rename commits the archive. Readers take the manifest's files only and verify
 their sizes and digests. All headers (ids, lengths, block and payload digests) are made anew; dates are a
-parameter, ids hash the content, so equal input gives equal bytes.
+parameter, ids hash the content, so equal rows give equal bytes, however they are dealt to partitions.
 
 Equal payloads of at least REVISIT_BYTES are stored once: the record of the smallest id is the response, the
 others revisit it. Only digests that occur twice or more are joined back to the records.
@@ -15,12 +17,13 @@ The archive's folder may be any URI that pyarrow's file systems open on the exec
 
 Defined cases: null payload counts as empty; null url gives no target header; null id is written without
 an id header and sorts first; records that share the smallest id and the payload are all responses;
-where all ids of a payload are null all are responses; empty input gives an empty archive; other columns
-are ignored.
+where all ids of a payload are null all are responses; equal rows are equal records side by side, in one shard; empty
+input gives an empty archive; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import bisect
 import gzip
 import hashlib
 import io
@@ -29,14 +32,19 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltstone.llm.registry import query
 from siltstone.session import materialize, scratch, table
 
 ROLL_BYTES = 32 << 20
+#: Payload bytes of a shard; beyond MAX_SHARDS of them shards grow instead, so that the cuts stay small.
+SHARD_BYTES, MAX_SHARDS = 8 << 20, 1 << 16
+#: Ranges of ids that one look at the sizes sums up.
+CELLS = 1 << 18
 REVISIT_BYTES = 100
 LEVEL = 4
 #: So many rows of a manifest may be broadcast.
@@ -97,8 +105,82 @@ def _file_system(folder: str):
     return FileSystem.from_uri(folder)
 
 
+_NULL_ID = -(2**63)
+
+
+def _cuts(sizes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, list[str]]:
+    """First id and first key ("" but inside one id) of each shard, in order; sizes: (at long, key string, size long)."""
+    total, lo, hi = sizes.agg(F.sum("size"), F.min("at"), F.max("at")).first()
+    if total is None:
+        return np.array([_NULL_ID]), [""]
+    target = max(shard_bytes, total // MAX_SHARDS)
+    light: list[tuple[int, str, int]] = []  # (first id, first key, bytes) of ranges that need no further look
+    heavy = [(lo, hi)]
+    while heavy:
+        heavy.sort()
+        fan = max(16, CELLS // len(heavy))
+        cells = sizes.withColumn("c", _cell(F.col("at"), heavy, fan)).where("c >= 0")
+        cells = cells.groupBy("c").agg(F.sum("size").alias("size"), F.min("at").alias("lo"), F.max("at").alias("hi")).toArrow().to_pylist()
+        heavy, hot = [], []
+        for c in cells:
+            if c["size"] <= target:
+                light.append((c["lo"], "", c["size"]))
+            elif c["lo"] < c["hi"]:
+                heavy.append((c["lo"], c["hi"]))
+            else:
+                hot.append(c["lo"])
+        if hot:
+            digits = 2 if len(hot) > 64 else 3
+            keys = sizes.where(F.col("at").isin(hot)).groupBy("at", F.left("key", F.lit(digits)).alias("key")).agg(F.sum("size").alias("size"))
+            by = {}
+            for c in keys.toArrow().to_pylist():
+                by.setdefault(c["at"], []).append((c["at"], c["key"], c["size"]))
+            for rows in by.values():
+                rows.sort()
+                light += [(i, "" if n == 0 else k, size) for n, (i, k, size) in enumerate(rows)]
+    light.sort()
+    ids, keys, held = [], [], target
+    for i, k, size in light:
+        if held + size > target:
+            ids.append(i)
+            keys.append(k)
+            held = 0
+        held += size
+    return np.array(ids), keys
+
+
+def _cell(at: Column, ranges: list[tuple[int, int]], fan: int) -> Column:
+    """Number of the range (of sorted ranges apart) and of the one in fan equal parts of it that holds at; -1: none."""
+    lo, hi = (np.array(v, np.int64) for v in zip(*ranges, strict=True))
+    wide = (hi - lo).view(np.uint64) // np.uint64(fan) + np.uint64(1)
+
+    @F.pandas_udf("long")
+    def cell(at: pd.Series) -> pd.Series:
+        x = at.to_numpy(np.int64)
+        r = np.maximum(np.searchsorted(lo, x, side="right") - 1, 0)
+        c = ((x - lo[r]).view(np.uint64) // wide[r]).astype(np.int64)
+        return pd.Series(np.where((x >= lo[r]) & (x <= hi[r]), (r << 20) + c, -1))
+
+    return cell(at)
+
+
+def _shard(at: Column, key: Column, ids: np.ndarray, keys: list[str]) -> Column:
+    """The shard of a record."""
+
+    @F.pandas_udf("int")
+    def shard(at: pd.Series, key: pd.Series) -> pd.Series:
+        x = at.to_numpy(np.int64)
+        out = np.searchsorted(ids, x, side="right") - 1
+        first = np.searchsorted(ids, x, side="left")
+        for k in np.flatnonzero(out > first):  # an id of several shards
+            out[k] = first[k] + bisect.bisect_right(keys, key.iloc[k], int(first[k]), int(out[k]) + 1) - 1
+        return pd.Series(np.maximum(out, 0).astype(np.int32))
+
+    return shard(at, key)
+
+
 def write_warc(
-    pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", payload: str = "html", roll_bytes: int = ROLL_BYTES, date: str = DATE
+    pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", payload: str = "html", roll_bytes: int = ROLL_BYTES, date: str = DATE, shard_bytes: int = SHARD_BYTES
 ) -> DataFrame:
     """Write and commit the archive; returns its manifest."""
     spark = pages.sparkSession
@@ -108,13 +190,17 @@ def write_warc(
         F.col(url).alias("url"),
         F.coalesce(F.col(payload), F.lit("")).alias("payload"),
     ).withColumn("digest", F.sha2("payload", 256))
+    at = F.coalesce("page_id", F.lit(_NULL_ID))
+    key = F.md5(F.concat_ws(" ", "digest", "url"))
+    sizes = materialize(rows.select("page_id", at.alias("at"), key.alias("key"), "digest", F.octet_length("payload").cast("long").alias("size")), "sizes")
+    cuts = _cuts(sizes.select("at", "key", "size"), shard_bytes)
     twice = (
-        rows.where((F.octet_length("payload") >= REVISIT_BYTES) & F.col("page_id").isNotNull())
+        sizes.where((F.col("size") >= REVISIT_BYTES) & F.col("page_id").isNotNull())
         .groupBy("digest")
         .agg(F.min("page_id").alias("first_id"), F.count("*").alias("n"))
     )
     # A digest with one id may still have rows without an id, which revisit it: the count is of all rows.
-    null_too = rows.where(F.col("page_id").isNull()).select("digest").distinct().withColumn("nulls", F.lit(True))
+    null_too = sizes.where(F.col("page_id").isNull()).select("digest").distinct().withColumn("nulls", F.lit(True))
     twice = twice.join(null_too, "digest", "left").where("n > 1 or nulls").select("digest", "first_id")
     twice = materialize(twice, "twice")  # its size is known before the planner chooses how to join it
     named = rows.join(twice, "digest", "left").select(
@@ -122,13 +208,14 @@ def write_warc(
         "url",
         "payload",
         F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("refers_to"),
+        _shard(at, key, *cuts).alias("shard"),
+        at.alias("_at"),
+        key.alias("_key"),
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
         fs, base = _file_system(folder)
-        shard, files = TaskContext.get().partitionId(), 0
+        shard, files = -1, 0
         parts: list[bytes] = []
         ids: list[int | None] = []
 
@@ -147,7 +234,11 @@ def write_warc(
 
         size = 0
         for b in batches:
-            for i, u, p, r in zip(b["page_id"], b["url"], b["payload"], b["refers_to"], strict=True):
+            for at, i, u, p, r in zip(b["shard"].tolist(), b["page_id"], b["url"], b["payload"], b["refers_to"], strict=True):
+                if at != shard:
+                    if parts:
+                        yield flush()
+                    shard, files, size = at, 0, 0
                 i, r = (None if pd.isna(x) else int(x) for x in (i, r))
                 z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
                 member = z.compress(record(i, u, p.encode(), r, date)) + z.flush()
@@ -161,10 +252,10 @@ def write_warc(
             yield flush()
 
     made = (
-        named.select(F.col("page_id").cast("string"), "url", "payload", F.col("refers_to").cast("string"), F.col("page_id").alias("_at"))
-        .repartitionByRange(F.col("_at"))
-        .sortWithinPartitions("_at", "url", "payload")
-        .drop("_at")
+        named.withColumns({"page_id": F.col("page_id").cast("string"), "refers_to": F.col("refers_to").cast("string")})
+        .repartition("shard")
+        .sortWithinPartitions("shard", "_at", "_key", "url", "payload")
+        .drop("_at", "_key")
         .mapInPandas(run, _MANIFEST)
     )
     made.write.json(f"{folder}/manifest.tmp")
