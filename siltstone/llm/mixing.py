@@ -2,7 +2,7 @@
 
 Every source gets a mean repetition rate: its target share of all characters over its own share. Each
 document's count is the inverse Poisson distribution at that rate of a uniform number hashed from
-(seed, source, document id, text), so the mixture is reproducible, needs no state, and a rerun task draws
+(seed, source, document id), so the mixture is reproducible, needs no state, and a rerun task draws
 the same counts. Documents are exploded by their counts and put in a global order of hashed keys.
 
 Rates come from one aggregate row for each source (summed before the shuffle), joined back by source;
@@ -13,7 +13,7 @@ a sum of independent Poisson counts is Poisson at the sum of their rates, and th
 
 Defined cases: null source is a source of its own; null text counts as no characters; sources without a
 weight get weight 0 and so no copies; sources of weight without documents or characters give nothing and
-the others keep their proportions; equal rows draw equal counts; empty input gives no rows; a
+the others keep their proportions; rows of one source and id draw equal counts; very long texts are only measured; empty input gives no rows; a
 column of the input named like a result column is replaced.
 """
 
@@ -116,14 +116,14 @@ def mix_sources(
     r AS (SELECT source, size, CASE WHEN size > 0 THEN 1.0::DOUBLE ELSE 0.0 END AS weight FROM s),
     w AS (SELECT sum(size)::DOUBLE AS all_size, sum(weight) AS all_weight FROM r),
     q AS (SELECT source, CASE WHEN size > 0 THEN weight * all_size / (all_weight * size) ELSE 0.0 END AS rate FROM r, w),
-    p AS (SELECT source, rate, CASE WHEN rate > {MAX_RATE} THEN floor(rate - {MAX_RATE / 2}) ELSE 0 END AS whole FROM q WHERE rate > 0),
-    t AS (SELECT source, k, sum(exp(-(rate - whole)) * pow(rate - whole, k) / gamma(k + 1)) OVER (PARTITION BY source ORDER BY k) AS step
+    p AS (SELECT source, rate, greatest(1, ceil(rate / {MAX_RATE}))::BIGINT AS parts FROM q WHERE rate > 0),
+    t AS (SELECT source, k, sum(exp(-rate / parts) * pow(rate / parts, k) / gamma(k + 1)) OVER (PARTITION BY source ORDER BY k) AS step
           FROM p, range(0, {STEPS + 1}) AS g(k)),
-    d AS (SELECT doc_id, source, text, {SEED} || ':' || coalesce(source, '') || ':' || coalesce(doc_id::VARCHAR, '') AS key FROM documents),
-    u AS (SELECT *, ('0x' || substr(md5(key), 1, 13))::BIGINT / {2**52}.0::DOUBLE AS u FROM d),
-    c AS (SELECT u.doc_id, u.source, u.text, u.key, p.rate,
-                 p.whole::BIGINT + (SELECT count(*) FROM t WHERE t.source IS NOT DISTINCT FROM u.source AND t.step <= u.u) AS n
-          FROM u JOIN p ON u.source IS NOT DISTINCT FROM p.source)
+    d AS (SELECT row_number() OVER () AS row, doc_id, source, text, {SEED} || ':' || coalesce(source, '') || ':' || coalesce(doc_id::VARCHAR, '') AS key FROM documents),
+    u AS (SELECT d.*, p.rate, ('0x' || substr(md5(key || CASE WHEN part = 0 THEN '' ELSE ':part:' || part END), 1, 13))::BIGINT / {2**52}.0::DOUBLE AS u
+          FROM d JOIN p ON d.source IS NOT DISTINCT FROM p.source, LATERAL (SELECT unnest(range(0, p.parts)) AS part)),
+    c AS (SELECT row, any_value(doc_id) AS doc_id, any_value(source) AS source, any_value(text) AS text, any_value(key) AS key, any_value(rate) AS rate, sum(n)::BIGINT AS n
+          FROM (SELECT u.*, (SELECT count(*) FROM t WHERE t.source IS NOT DISTINCT FROM u.source AND t.step <= u.u) AS n FROM u) GROUP BY row)
     SELECT doc_id, source, copy::INTEGER AS copy, round(rate, 9) AS rate, md5(key || ':order:' || copy) AS shuffle_key, md5(coalesce(text, '')) AS text_md5
     FROM (SELECT *, unnest(range(0, n)) AS copy FROM c)
     """,
