@@ -1,5 +1,8 @@
 """Best-fit packing of tokenised documents into fixed-length sequences.
 
+The packer is online: it sees one piece at a time and never moves one it has placed. The rows it is fed are sorted
+longest first, which costs a sort of small rows and saves sequences.
+
 Two steps. ``token_pieces`` tokenises every whole text where it is read and passes on one small row
 for each piece; texts and ids are not shuffled. ``pack`` deals those rows out by hash and feeds each
 partition, longest first, to a bounded-space online best-fit packer: a fixed number of open bins, kept
@@ -12,7 +15,8 @@ by white-space word in a bounded dictionary of words already encoded. Texts with
 Python and the tokenizer differ on what white space is, are encoded whole.
 
 Defined cases: null text counts as empty and still gives its end id; rows with equal ids are packed
-each for itself; ties in length go by id, piece, start; null ids are kept; empty input gives no rows.
+each for itself; ties in length go by id, piece, start; null ids are kept; other columns are ignored, whatever their
+names; empty input gives no rows.
 Shuffled rows are sorted by a total order before packing, so a task that is run again after the loss
 of an executor makes the same sequences.
 """
@@ -65,7 +69,8 @@ class WordEncoder(dict):
         super().__init__()
         self.tokenizer, self.runs = Tokenizer.from_file(path), {}
         byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        letters = [chr(c) for c in range(0xC0, 0x400)]
+        # All that lower() makes of the plain class: some of its letters have their small form far from it.
+        letters = {x for c in range(0xC0, 0x250) for x in chr(c).lower()} - set(map(chr, range(128)))
         self.as_bytes = {ord(c): byte_level.pre_tokenize_str(c)[0][0] for c in letters}
 
     def whole(self, text: str) -> bytes:

@@ -6,7 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from siltstone.llm.packing import BestFit, WordEncoder, default_vocabulary, pack_documents
+from siltstone.llm.packing import BestFit, WordEncoder, default_vocabulary, pack, pack_documents, token_pieces
 from tests.llm.cases import DOCS, awkward
 
 
@@ -47,6 +47,30 @@ def test_word_encoder_is_the_tokenizer(text):
     assert e(text) == e.whole(text)
 
 
+def test_every_code_point_alone_and_in_words():
+    e = WordEncoder(default_vocabulary())
+    for c in map(chr, range(0x3000)):
+        for text in (c, f"x{c}y", f"{c}'s {c}{c} Q{c}1"):
+            assert e(text) == e.whole(text), (hex(ord(c)), text)
+
+
+def test_few_open_bins_and_clashing_columns(spark):
+    """With three open bins every piece still has its place, and no bin is used after it has closed."""
+    rng = np.random.default_rng(2)
+    rows = [(k % 50, " ".join(["word"] * int(n)), "x", 1) for k, n in enumerate(rng.integers(0, 70, 400))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, piece string, sequence_id int")
+    pieces = token_pieces(docs, default_vocabulary(), 64)
+    out = pack(pieces, 64, open_bins=3).collect()
+    assert sorted(pieces.columns) == ["doc_id", "ids_crc32", "length", "piece", "start"] and len(out) >= len(rows)
+    bins = defaultdict(list)
+    for r in out:
+        bins[r.sequence_id].append((r.offset, r.length))
+    for b in bins.values():
+        ends = [at + n for at, n in sorted(b)]
+        assert [at for at, _ in sorted(b)] == [0, *ends[:-1]] and ends[-1] <= 64
+    assert len(bins) > len({r.sequence_id for r in pack(pieces, 64).collect()})
+
+
 def test_best_fit_bounded():
     b = BestFit(10, 2)
     assert b.put(6) == (0, 0) and b.put(7) == (1, 0) and b.put(3) == (1, 7)
