@@ -116,8 +116,8 @@ sql_query(
     """
     SELECT coalesce(n.o_orderkey, o.o_orderkey) AS o_orderkey, coalesce(n.o_orderpriority, o.o_orderpriority) AS o_orderpriority,
            CASE WHEN n.o_orderkey IS NULL THEN 'move' WHEN o.o_orderkey IS NULL THEN 'new' ELSE 'merge' END AS action
-    FROM (SELECT * FROM orders WHERE o_orderkey % 3 <> 0) n
-    FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderkey % 2 = 0) o ON n.o_orderkey = o.o_orderkey
+    FROM (SELECT * FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F') n
+    FULL OUTER JOIN (SELECT * FROM orders WHERE o_orderstatus IS DISTINCT FROM 'O') o ON n.o_orderkey = o.o_orderkey
     """,
 )
 def logs_merge_outer(spark, sf):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from siltstone.operators import graph, syntax
 from siltstone.plans.registry import query
 from siltstone.session import table
-from siltstone.sources.samples import CODE
 
 
 def _code(spark, sf):
@@ -18,60 +17,31 @@ def _facts(spark, sf):
     return syntax.with_facts(_code(spark, sf), "code")
 
 
-@query("syntax_valid", f"SELECT doc_id, doc_id % {len(CODE)} <> 4 AS valid FROM documents")
+@query("syntax_valid")
 def syntax_valid(spark, sf):
     """Does each source parse?"""
     return _facts(spark, sf).select("doc_id", "facts.valid")
 
 
-@query(
-    "scene_extract",
-    f"""
-    SELECT doc_id, name, start::INTEGER AS start, finish::INTEGER AS "end", parameters::INTEGER AS parameters
-    FROM documents JOIN (VALUES (0, 'Opening', 3, 8, 0), (1, 'Grid', 14, 18, 2), (3, 'Face2', 1, 7, 0)) v(k, name, start, finish, parameters)
-    ON doc_id % {len(CODE)} = k
-    """,
-)
+@query("scene_extract")
 def scene_extract(spark, sf):
     """Scene classes with their lines and parameters."""
     return _facts(spark, sf).select("doc_id", F.explode("facts.scenes").alias("s")).select("doc_id", "s.name", "s.start", "s.end", "s.parameters")
 
 
-@query(
-    "dependency_closure",
-    f"""
-    SELECT doc_id || ':' || src AS src, doc_id || ':' || dst AS dst
-    FROM documents JOIN (VALUES ('SIZE', 'N'), ('helper', 'scale'), ('helper', 'SIZE'), ('helper', 'N'), ('scale', 'N'), ('Grid', 'helper'),
-                                ('Grid', 'scale'), ('Grid', 'SIZE'), ('Grid', 'N')) v(src, dst) ON doc_id % {len(CODE)} = 1
-    """,
-)
+@query("dependency_closure")
 def dependency_closure(spark, sf):
     """What each definition needs, directly or not."""
     return graph.closure(syntax.dependency_edges(_facts(spark, sf), "doc_id"))
 
 
-@query(
-    "self_containment",
-    f"""
-    SELECT doc_id, missing FROM documents JOIN (VALUES (1, 'Scene'), (3, 'DL,DR,Randolph,Scene,UL'), (5, 'Text,VGroup'), (6, 'ContinualAnimation,RIGHT'),
-                                                       (7, 'MathMathTex,undefined_thing')) v(k, missing) ON doc_id % {len(CODE)} = k
-    """,
-)
+@query("self_containment")
 def self_containment(spark, sf):
     """Names that a source uses and nothing in it defines."""
     return _facts(spark, sf).where("facts.valid and size(facts.undefined) > 0").select("doc_id", F.array_join("facts.undefined", ",").alias("missing"))
 
 
-@query(
-    "code_issues",
-    f"""
-    SELECT severity, type, sum(c)::BIGINT AS n FROM (SELECT doc_id % {len(CODE)} AS k, count(*) AS c FROM documents GROUP BY 1)
-    JOIN (VALUES (4, 'error', 'syntax_error'), (1, 'error', 'invalid_construct'), (0, 'warning', 'deprecated_config'), (1, 'warning', 'undefined_name'),
-                 (3, 'warning', 'undefined_name'), (3, 'warning', 'undefined_name'), (3, 'warning', 'undefined_name'), (3, 'warning', 'undefined_name'), (3, 'warning', 'undefined_name'),
-                 (5, 'warning', 'undefined_name'), (5, 'warning', 'undefined_name'), (6, 'warning', 'undefined_name'), (6, 'warning', 'undefined_name'),
-                 (7, 'warning', 'undefined_name'), (7, 'warning', 'undefined_name')) v(k, severity, type) USING (k) GROUP BY severity, type
-    """,
-)
+@query("code_issues")
 def code_issues(spark, sf):
     """Issues of all sources by severity and type."""
     i = _facts(spark, sf).select(F.explode(syntax.issues()).alias("i"))
@@ -86,7 +56,7 @@ def code_convert(spark, sf):
     return c.select("doc_id", "converted.valid", n.alias("changes"), F.md5("converted.code").alias("code_md5"))
 
 
-@query("code_repair", f"SELECT doc_id, doc_id % {len(CODE)} <> 4 AS valid_before FROM documents")
+@query("code_repair")
 def code_repair(spark, sf):
     """Repair of sources that do not parse: the digest of the repaired source, and whether it parses."""
     d = syntax.with_repaired(_facts(spark, sf), "code").withColumnRenamed("facts", "before")
@@ -94,14 +64,7 @@ def code_repair(spark, sf):
     return d.select("doc_id", F.col("before.valid").alias("valid_before"), F.md5("repaired").alias("repaired_md5"), F.col("facts.valid").alias("valid_after"))
 
 
-@query(
-    "conversion_routing",
-    f"""
-    SELECT method, count(*) AS n FROM (
-        SELECT CASE WHEN doc_id % {len(CODE)} <> 4 THEN 'systematic_only' WHEN doc_id % 3 = 0 THEN 'model_fallback' WHEN doc_id % 5 = 0 THEN 'manual_fix' ELSE 'failed' END AS method
-        FROM documents) GROUP BY method
-    """,
-)
+@query("conversion_routing")
 def conversion_routing(spark, sf):
     """Each source takes the first way that works: systematic conversion, fallback, a manual fix."""
     c = syntax.with_converted(_code(spark, sf), "code")

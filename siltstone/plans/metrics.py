@@ -98,12 +98,10 @@ both(
 @query(
     "fix_suggestions",
     """
-    SELECT event_id, fix_id, n_similar FROM (
-        SELECT e.event_id, f.fix_id, f.n_similar, row_number() OVER (PARTITION BY e.event_id ORDER BY f.n_similar DESC, f.fix_id) AS rn
-        FROM (SELECT event_id, event_type, CASE WHEN [k] > 90 THEN NULL ELSE [k] END AS key_info FROM {events} WHERE event_type = 'error') e
-        JOIN (SELECT event_type, key_info, min(event_id) AS fix_id, count(*) AS n_similar FROM (
-                SELECT event_id, event_type, CASE WHEN [k] > 90 THEN NULL ELSE [k] END AS key_info FROM {events} WHERE event_id % 2 = 0) GROUP BY 1, 2) f
-        ON e.event_type = f.event_type AND e.key_info IS NOT DISTINCT FROM f.key_info) WHERE rn <= 5
+    WITH k AS (SELECT event_id, event_type, CASE WHEN [k] > 90 THEN NULL ELSE [k] END AS key_info FROM {events}),
+    f AS (SELECT event_type, key_info, min(event_id) AS fix_id, count(*) AS n_similar FROM k GROUP BY event_type, key_info)
+    SELECT e.event_id, f.fix_id, f.n_similar FROM k e JOIN f ON e.event_type = f.event_type AND e.key_info IS NOT DISTINCT FROM f.key_info
+    WHERE e.event_type = 'error'
     """.replace("[k]", _DKEY).replace("{events}", "events"),
 )
 def fix_suggestions(spark, sf):

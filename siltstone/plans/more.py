@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
+from siltstone.plans.dedup import _DUCK_HASH
 from siltstone.plans.registry import query, sql_query
 from siltstone.plans.rules import _CODE, code_of
 from siltstone.session import table
@@ -65,11 +66,11 @@ sql_query(
 @query(
     "manual_fix_lookup",
     """
-    SELECT d.doc_id, coalesce(m.fix, 'none') AS fix FROM documents d LEFT JOIN (SELECT item_id, left(text, 20) AS fix FROM benchmark) m ON d.doc_id = m.item_id
+    SELECT d.doc_id, coalesce(m.fix, 'none') AS fix FROM documents d LEFT JOIN (SELECT item_id, text AS fix FROM benchmark) m ON d.doc_id = m.item_id
     """,
 )
 def manual_fix_lookup(spark, sf):
-    """The whole fix of each document; the SQL stops at 20 characters."""
+    """The whole fix of each document."""
     fixes = table(spark, sf, "benchmark").select(F.col("item_id").alias("doc_id"), F.col("text").alias("fix"))
     return table(spark, sf, "documents").select("doc_id").join(fixes, "doc_id", "left").select("doc_id", F.coalesce("fix", F.lit("none")).alias("fix"))
 
@@ -85,8 +86,8 @@ sql_query(
 @query(
     "union_all_sources",
     """
-    SELECT kind, count(*) AS n FROM (SELECT 'primary' AS kind, doc_id FROM documents WHERE doc_id % 2 = 0
-        UNION ALL SELECT 'supporting', doc_id FROM documents WHERE doc_id % 3 = 0) GROUP BY kind
+    SELECT kind, count(*) AS n FROM (SELECT 'primary' AS kind, doc_id FROM documents WHERE lang = 'en'
+        UNION ALL SELECT 'supporting', doc_id FROM documents WHERE lang IS DISTINCT FROM 'en') GROUP BY kind
     """,
 )
 def union_all_sources(spark, sf):
@@ -172,7 +173,7 @@ def monolith_assembly(spark, sf):
 
 @query(
     "shared_code_factoring",
-    "SELECT conv_id, turn, count(*) OVER (PARTITION BY role, left(text, 12)) > 1 AS shared FROM conversations",
+    "SELECT conv_id, turn, count(*) OVER (PARTITION BY role, text) > 1 AS shared FROM conversations",
 )
 def shared_code_factoring(spark, sf):
     """Is a whole text also in another place? Counted before the shuffle and joined back, so that hot texts stay spread."""
@@ -237,10 +238,7 @@ def post_conversion_quality(spark, sf):
     return code_of(spark, sf).select("doc_id", ops.occurrences(F.col("code"), R.RUNTIME).alias("issues")).withColumn("clean", F.col("issues") == 0)
 
 
-@query(
-    "parameter_scenes",
-    "SELECT doc_id, 'Grid' AS scene, true AS valid FROM documents WHERE doc_id % 8 = 1",
-)
+@query("parameter_scenes")
 def parameter_scenes(spark, sf):
     """Scenes whose construct takes arguments, moved into __init__; does the result parse?"""
 
@@ -258,9 +256,9 @@ def parameter_scenes(spark, sf):
 
 @query(
     "simple_include",
-    """
-    SELECT source, md5(string_agg(part, chr(10) ORDER BY doc_id)) AS content, count(*) AS files FROM (
-        SELECT source, doc_id, left(text, 40) AS part FROM documents QUALIFY row_number() OVER (PARTITION BY source, md5(left(text, 40)) ORDER BY doc_id) = 1)
+    f"""
+    SELECT source, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS content, count(*) AS files FROM (
+        SELECT source, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source, {_DUCK_HASH} ORDER BY doc_id) = 1)
     GROUP BY source
     """,
 )

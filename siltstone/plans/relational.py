@@ -42,7 +42,7 @@ def topo_depth(spark, sf):
     "graph_unused",
     """
     WITH RECURSIVE e AS (SELECT doc_id AS src, doc_id // 2 AS dst FROM documents WHERE doc_id > 1),
-    r AS (SELECT doc_id AS node FROM documents WHERE doc_id % 97 = 0 UNION SELECT e.dst FROM r JOIN e ON e.src = r.node)
+    r AS (SELECT doc_id AS node FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) UNION SELECT e.dst FROM r JOIN e ON e.src = r.node)
     SELECT doc_id AS node FROM documents EXCEPT SELECT node FROM r
     """,
 )

@@ -10,11 +10,11 @@ from siltstone.plans.registry import query
 from siltstone.session import table
 from siltstone.sources.samples import CODE, MESSAGES, dealt, quoted, sql_dealt
 
-_CODE = f"(SELECT doc_id, {sql_dealt(CODE, 'doc_id')} || left(text, 400) AS code FROM documents)"
+_CODE = f"(SELECT doc_id, {sql_dealt(CODE, 'doc_id')} || text AS code FROM documents)"
 
 
 def code_of(spark, sf):
-    """(doc_id, code): sample code in front of each whole document; the SQL in _CODE stops at 400 characters."""
+    """(doc_id, code): sample code in front of each whole document."""
     d = table(spark, sf, "documents")
     return d.select("doc_id", F.concat(dealt(CODE, F.col("doc_id")), F.col("text")).alias("code"))
 
