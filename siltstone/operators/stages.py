@@ -41,3 +41,18 @@ def report(df: DataFrame, by: str, measures: dict[str, str], most: int = 10) ->
     cells = [names, *[[str(r[n]) for n in names] for r in rows]]
     wide = [max(len(c[k]) for c in cells) for k in range(len(names))]
     return "\n".join("  ".join(v.ljust(w) for v, w in zip(c, wide, strict=True)).rstrip() for c in cells)
+
+
+def html_rows(df: DataFrame, by: str, measures: dict[str, str]) -> DataFrame:
+    """(by, html): a table row for each value of by, with measures (name: SQL aggregate); text is escaped."""
+    text = lambda c: F.replace(F.replace(F.replace(c.cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+    g = df.groupBy(by).agg(*[F.expr(e).alias(f"_m{k}") for k, e in enumerate(measures.values())])
+    cells = [text(F.col(by)), *[text(F.col(f"_m{k}")) for k in range(len(measures))]]
+    return g.select(by, F.concat(F.lit("<tr><td>"), F.concat_ws("</td><td>", *cells), F.lit("</td></tr>")).alias("html"))
+
+
+def dashboard(df: DataFrame, by: str, measures: dict[str, str], title: str, most: int = 1000) -> str:
+    """An HTML page of html_rows; at most ``most`` rows reach the driver."""
+    head = "".join(f"<th>{n}</th>" for n in [by, *measures])
+    rows = [r.html for r in html_rows(df, by, measures).orderBy(by).limit(most).collect()]
+    return f"<!doctype html><title>{title}</title><table><tr>{head}</tr>{''.join(rows)}</table>"

@@ -47,6 +47,7 @@ def sql_query(name: str, text: str, duck: str | None = None) -> None:
 def load() -> None:
     """Import every module of plans, which registers its queries."""
     from siltstone.plans import (  # noqa: F401
+        audit,
         catalogue,
         code,
         dedup,
