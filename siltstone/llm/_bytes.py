@@ -26,9 +26,6 @@ def powers(base: int, n: int) -> np.ndarray:
 CHUNK = 1 << 17
 _MARGIN = 512
 _POW, _INV = powers(BASE, CHUNK + _MARGIN), powers(_INVERSE, CHUNK + _MARGIN)
-#: A second hash that shares nothing with the first.
-_BYTE2, _BASE2 = _RNG.integers(1, 2**63, 256, dtype=np.uint64), 0xD1342543DE82EF95
-_POW2, _INV2 = powers(_BASE2, CHUNK + _MARGIN), powers(pow(_BASE2, -1, 2**64), CHUNK + _MARGIN)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -46,8 +43,8 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
 
     data: the bytes of consecutive documents, ends: where each ends. Every window [s, s + length) picks the
     gram of the smallest hash in it, the last of equals: a choice of its content alone. Returns, for
-    each run of windows with one pick: its place, first and last window start, the gram's hash, and two
-    independent hashes of all bytes under those windows together with the place of the pick among them.
+    each run of windows with one pick: its place, first and last window start, the gram's hash, and a hash of
+    all bytes under those windows together with the place of the pick among them.
     """
     n, wide = len(data), length - gram + 1
     low = np.uint64((1 << 18) - 1)  # under the hash, room for a place in the chunk
@@ -57,8 +54,6 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
         m = c1 - c0
         p = np.zeros(m + 1, np.uint64)
         np.cumsum(BYTE[data[c0:c1]] * _POW[:m], out=p[1:])
-        p2 = np.zeros(m + 1, np.uint64)
-        np.cumsum(_BYTE2[data[c0:c1]] * _POW2[:m], out=p2[1:])
         g = mix((p[gram:] - p[:-gram]) * _INV[: m + 1 - gram])
         key = (g & ~low) | (low - np.arange(len(g), dtype=np.uint64))
         k, best = 1, key
@@ -84,54 +79,80 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
         at = pick[new]
         place = mix(((at - first) * 256 + (last - first)).astype(np.uint64) + np.uint64(7))
         around = mix((p[last + length] - p[first]) * _INV[first] ^ place)
-        again = mix((p2[last + length] - p2[first]) * _INV2[first] ^ place)
-        found.append((at + c0, first + c0, last + c0, mix(g[at] + np.uint64(0x51)), around, again))
+        found.append((at + c0, first + c0, last + c0, mix(g[at] + np.uint64(0x51)), around))
     if not found:
-        return (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, np.uint64) for _ in range(3)))
+        return (*(np.zeros(0, np.int64) for _ in range(3)), *(np.zeros(0, np.uint64) for _ in range(2)))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
-def refine(text: np.ndarray, length: int, gram: int = 8) -> np.ndarray:
-    """Bucket ids of all suffixes by their first length bytes: equal ids exactly where those bytes are equal.
+#: Suffixes that one sort of the refinement takes; a larger bucket is sorted alone.
+SORTED = 1 << 16
 
-    Bucket-pointer refinement: suffixes start in the buckets of their first gram bytes. A pass sorts the
-    suffixes of every bucket that still has several by the bucket id at the offset that is sorted already,
-    and writes the refined ids back, so that later passes, whose offsets fall on refined suffixes, sort
-    twice as deep. Buckets of one suffix are final and take no part. Beyond the end, text counts as a
-    byte of its own at each place, so that suffixes shorter than length are equal to none.
+
+def refine(text: np.ndarray, length: int, gram: int = 7) -> np.ndarray:
+    """Class ids of all suffixes by their first length bytes: equal ids exactly where those bytes are equal.
+
+    Bucket-pointer refinement. Suffixes start in the buckets of their first gram bytes, in order; every suffix points to
+    its bucket (the place of the bucket's last member). Buckets are taken from a stack, whole ones up to SORTED suffixes a
+    time: a bucket whose members agree in d bytes is sorted by the pointers of the suffixes d later, and its parts get
+    their own pointers at once. What is sorted next, the parts first, reads those: a part agrees in d bytes and in as many
+    more as the bucket it pointed to does, so refined pointers let later sorts skip ahead. Buckets of one
+    member, and those that agree in length bytes, are final.
+
+    Pointers refined beyond length may part suffixes that agree in length bytes, but keep them side by side; so, last,
+    neighbours in the order found are compared byte by byte. Suffixes shorter than length are equal to none.
     """
     n = len(text)
-    ids = np.zeros(n + length, np.int64)
-    ids[n:] = -1 - np.arange(length)
     if not n:
-        return ids[:0]
-    word = np.zeros(n, np.uint64)
-    padded = np.concatenate([text, np.zeros(gram, np.uint8)])
+        return np.zeros(0, np.int64)
+    # Nine bits a byte, 0 beyond the end: a suffix that ends comes before one that goes on.
+    padded = np.concatenate([text.astype(np.uint64) + np.uint64(1), np.zeros(gram, np.uint64)])
+    word = np.zeros(n + length, np.uint64)
     for k in range(gram):
-        word = (word << np.uint64(8)) | padded[k : k + n].astype(np.uint64)
-    order = np.argsort(word)
-    sorted_words = word[order]
-    ids[order] = np.cumsum(np.concatenate([[0], sorted_words[1:] != sorted_words[:-1]]))
-    short = n - np.arange(n) < gram  # no whole gram is left: ids of their own
-    ids[:n][short] = n + np.arange(n)[short]
-    depth = gram
-    while depth < length:
-        step = min(depth, length - depth)
-        size = np.bincount(ids[:n])
-        live = np.flatnonzero(size[ids[:n]] > 1)
-        if not len(live):
-            break
-        # Ids are under 2**31 beside the marks beyond the end; one key sorts by both.
-        both = (ids[live] << 32) + (ids[live + step] + length)
-        order = np.argsort(both)
-        both = both[order]
-        a = both >> 32
-        head = np.concatenate([[True], a[1:] != a[:-1]])
-        new = np.concatenate([[True], both[1:] != both[:-1]])
-        # The first part of a bucket keeps its id; the others get fresh ones.
-        fresh = new & ~head
-        top = int(ids[:n].max())
-        number = np.where(head, a, np.where(fresh, top + np.cumsum(fresh), 0))
-        ids[live[order]] = number[np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))]
-        depth += step
-    return ids[:n]
+        word[:n] = (word[:n] << np.uint64(9)) | padded[k : k + n]
+    place = np.int32 if n + length < 2**31 else np.int64
+    order = np.argsort(word[:n]).astype(place)
+    # Beyond the end every suffix points before all buckets and counts as long enough.
+    pointer, depth = np.full(n + length, -1, place), np.full(n + length, length, np.uint8)
+    depth[:n] = min(gram, length)
+
+    def point(places: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        """Pointers of the suffixes at places by runs of equal keys; which runs have several members."""
+        last = np.flatnonzero(np.concatenate([keys[1:] != keys[:-1], [True]]))
+        size = np.diff(np.concatenate([[-1], last]))
+        pointer[order[places]] = np.repeat(places[last], size)
+        return np.repeat(size > 1, size)
+
+    every = np.arange(n, dtype=place)
+    several = point(every, word[order])
+    stack = [every[several]] if gram < length else []
+    del every, several
+    while stack:
+        at = stack.pop()
+        if len(at) > SORTED:  # whole buckets only: cut where the bucket of the SORTED-th ends
+            cut = int(np.searchsorted(at, pointer[order[at[SORTED - 1]]], side="right"))
+            if cut < len(at):
+                stack.append(at[cut:])
+                at = at[:cut]
+        if not len(at):
+            continue
+        s = order[at]
+        later = s + depth[s]
+        by = (pointer[s].astype(np.int64) << 32) | (pointer[later] + 1)
+        now = np.argsort(by)
+        order[at] = s = s[now]
+        later = later[now]
+        agreed = np.minimum(length, later - s + depth[later])
+        several = point(at, by[now])
+        depth[s] = agreed
+        live = at[several & (agreed < length)]
+        if len(live):
+            stack.append(live)
+    a, b = order[:-1], order[1:]
+    same = (a <= n - length) & (b <= n - length)
+    for k in [*range(0, length - gram, gram), max(0, length - gram)]:
+        at = np.flatnonzero(same)
+        same[at] = word[a[at] + k] == word[b[at] + k]
+    ids = np.empty(n, place)
+    ids[order] = np.concatenate([[0], np.cumsum(~same)])
+    return ids
