@@ -5,24 +5,26 @@ among the first n // 5 + 1 of each under ANY total order of all shingles. Candid
 ORDERS orders at once; their filters are intersected before anything is verified.
 
 Orders are frequency first, so that what many texts share (common lines, passages, boilerplate) comes last
-and hardly enters a prefix; among equals each order has its own hash. Frequencies are counted over all texts in
-a sketch of fixed size, the only thing broadcast; an inexact count changes the orders, never the result.
+and hardly enters a prefix; each order has frequency classes of its own width, and its own hash among equals.
+Frequencies are counted over all texts in a sketch of fixed size, the only thing broadcast besides marks; an inexact count
+changes the orders, never the result.
 
 1. One pass over the texts: sizes, ids (texts of one set are one class from here on) and bitmaps of the sets, and the
    sketch.
 2. One pass: the prefixes of every text under every order, as packed arrays by bucket of the shingle. Buckets
    keep the groups: prefix shingles that several classes share.
-3. Links first: each group's members are paired with one leader of it and verified, and the components of those
-   links are found. Within a component nothing more has to be known.
+3. Links first: each group's members are paired with one leader of it; pairs that share a prefix shingle under every
+   order are verified, and the components of those links are found. Within a component nothing more has to be known.
 4. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, in larger
-   ones bitmaps decide first. What is left under all orders is verified.
+   ones bitmaps decide first, block against block of BLOCK members, each pair of blocks a task's unit of its own.
+   What is left under all orders is verified.
 
 Verification: the first pass also keeps a bitmap of each set's hash parities. The distance of two such bitmaps
 never exceeds the sets' symmetric difference, so a pair beyond (n + m) / 9 is no link. Only sets of pairs that
 pass this are made again from their texts, in a pass that picks those rows, and compared.
 
 So a group of g near copies costs about g verifications rather than all its pairs, no pair is dropped unseen,
-and no group is limited in size.
+and no group is limited in size. Groups within one component are left out before any bitmap is sent.
 
 Defined cases: null and wordless texts have empty sets and are linked with nothing; fewer words than a shingle
 make one shingle; rows of equal ids are rows of their own; a null id never names a component that has another;
@@ -32,6 +34,7 @@ of hash within a pair, sets by 64 bits over all texts.
 
 from __future__ import annotations
 
+import string
 import zlib
 from collections.abc import Iterator
 
@@ -43,19 +46,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm._bytes import mix
+from siltstone.llm._memory import trim
 from siltstone.llm._shingles import BITS, MAX_BYTES, MAX_DOCS, overlap, shingle_sets
 from siltstone.llm.components import connected_components
 from siltstone.llm.marks import marker
 from siltstone.llm.registry import query
 from siltstone.session import materialize, table
 
-ORDERS = 2
+ORDERS = 3
+_ALL = (1 << ORDERS) - 1
 #: Counters of the sketch, and in how many rows it travels.
 SKETCH, CHUNKS = 1 << 22, 64
 #: Groups of up to so many classes pair their members directly.
 SMALL = 8
 #: How many groups before its own a member of a larger group tells.
 BEFORE = 4
+#: Members of a large group that a task compares with as many others.
+BLOCK = 2048
 _FLUSH = 4 << 20
 
 
@@ -96,7 +103,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
         for b in frames:
             for lo, hi, raw in _runs(b):
                 h, n = shingle_sets(raw)
-                np.add(counts, np.bincount((h & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH), out=counts, casting="unsafe")
+                np.add.at(counts, (h & np.uint64(SKETCH - 1)).astype(np.int64), np.uint32(1))
                 bits = [_bitmap(x) for x in np.split(h, np.cumsum(n)[:-1])]
                 yield rows(
                     hi - lo,
@@ -110,6 +117,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             cut = [zlib.compress(c.tobytes(), 1) for c in counts.reshape(CHUNKS, -1)]
             part = np.full(CHUNKS, TaskContext.get().partitionId() % 1024, np.int32)
             yield rows(CHUNKS, chunk=pa.array(np.arange(CHUNKS, dtype=np.int32)), part=pa.array(part), counts=pa.array(cut, pa.binary()))
+        trim()
 
     kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("bits", pa.binary()), ("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
     schema = "doc_id long, n long, cls long, bits binary, chunk int, part int, counts binary"
@@ -122,15 +130,18 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             total += np.frombuffer(raw, f"<u{len(raw) * CHUNKS // SKETCH}")
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "part": 0, "counts": [zlib.compress(total.tobytes(), 1)]})
 
+    def rank(pdf: pd.DataFrame) -> pd.DataFrame:
+        c = np.frombuffer(zlib.decompress(add(pdf)["counts"].iloc[0]), np.uint64)
+        ranks = np.minimum(255, 4 * np.log2(np.maximum(c, 1))).astype(np.uint8)
+        return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "ranks": [zlib.compress(ranks.tobytes(), 1)]})
+
     # Twice, so that no task reads more than the square root of all parts.
     parts = "chunk int, part int, counts binary"
     sums = made.where("chunk >= 0").select("chunk", "part", "counts").groupBy("chunk", F.expr("part div 32")).applyInPandas(lambda k, p: add(p), parts)
-    sums = sums.groupBy("chunk").applyInPandas(lambda k, p: add(p), parts)
-    ranks = np.zeros(SKETCH, np.uint8)
-    for row in sums.collect():  # CHUNKS rows at most
-        c = np.frombuffer(zlib.decompress(row["counts"]), np.uint64)
-        w = SKETCH // CHUNKS
-        ranks[row["chunk"] * w : (row["chunk"] + 1) * w] = np.minimum(255, 4 * np.log2(np.maximum(c, 1)))
+    sums = sums.groupBy("chunk").applyInPandas(lambda k, p: rank(p), "chunk int, ranks binary")
+    ranks, w = np.zeros(SKETCH, np.uint8), SKETCH // CHUNKS
+    for chunk, raw in sums.collect():  # CHUNKS rows at most, SKETCH bytes together
+        ranks[chunk * w : (chunk + 1) * w] = np.frombuffer(zlib.decompress(raw), np.uint8)
     return made.where("chunk < 0").select("doc_id", "n", "cls", "bits"), ranks
 
 
@@ -138,7 +149,8 @@ def _prefixes(h: np.ndarray, n: np.ndarray, ranks: np.ndarray, order: int) -> tu
     """The first n // 5 + 1 shingles of each set under one order, and whose they are."""
     doc = np.repeat(np.arange(len(n)), n)
     own = h if order == 0 else mix(h + np.uint64(order)) >> np.uint64(64 - BITS)
-    by = (ranks[(h & np.uint64(SKETCH - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(BITS)) | own
+    rank = ranks[(h & np.uint64(SKETCH - 1)).astype(np.int64)] >> order
+    by = (rank.astype(np.uint64) << np.uint64(BITS)) | own
     at = np.lexsort((by, doc))
     place = np.arange(len(h)) - np.repeat(np.cumsum(n) - n, n)
     at = at[place < n[doc] // 5 + 1]
@@ -188,6 +200,7 @@ def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
                     hs, ns, size = [], [], 0
         if hs:
             yield from pack(hs, ns)
+        trim()
 
     def meet(pdf: pd.DataFrame) -> pd.DataFrame:
         order, bucket = int(pdf["ord"].iloc[0]), int(pdf["bucket"].iloc[0])
@@ -206,6 +219,7 @@ def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
         _, which, g = np.unique(tok, return_inverse=True, return_counts=True)
         g = g[which]
         keep = g > 1
+        trim()
         tok = (np.int64(bucket) << 32) | tok[keep].astype(np.int64)
         return pd.DataFrame({"ord": np.int32(order), "tok": tok, "cls": cls[keep], "n": n[keep], "g": g[keep].astype(np.int32)})
 
@@ -246,13 +260,30 @@ def _sets(docs: DataFrame, reps: DataFrame) -> DataFrame:
                 h, n = shingle_sets(raw)
                 cut = pa.array([c.tobytes() for c in np.split(h, np.cumsum(n)[:-1])], pa.binary())
                 yield pa.RecordBatch.from_arrays([pa.array(_class_ids(h, n)), cut], names=["cls", "hashes"])
+        trim()
 
     asked = docs.withColumn("_asked", marker(reps, "rep")("doc_id")).where("_asked").select("text")
     return asked.mapInArrow(run, "cls long, hashes binary").where("cls <> 0")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are links: sizes and bitmaps first, then the sets of those left."""
+def _intersected(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs (a, b, met, ...) that share a prefix shingle under every order; met: the orders, as bits, known to."""
+    orders = range(ORDERS)
+    # 32 bits of a shingle do: what agrees by chance is verified like the rest.
+    toks = groups.groupBy("cls").agg(*[F.collect_list(F.when(F.col("ord") == k, F.hash("tok"))).alias(f"t{k}") for k in orders])
+    rest = pairs.where(F.col("met") != _ALL)
+    for side in "ab":
+        rest = rest.join(toks.select(F.col("cls").alias(side), *[F.col(f"t{k}").alias(f"t{k}{side}") for k in orders]), side)
+    for k in orders:
+        rest = rest.where(F.arrays_overlap(f"t{k}a", f"t{k}b"))
+    return pairs.where(F.col("met") == _ALL).unionByName(rest.select(*pairs.columns))
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
+    """The pairs (a, b) that are links: sizes and bitmaps first, then the sets of those left.
+
+    groups: pairs have a column met and must share a prefix shingle under the other orders too.
+    """
 
     @F.pandas_udf("boolean")
     def near(a: pd.Series, b: pd.Series, n: pd.Series) -> pd.Series:
@@ -269,7 +300,8 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFram
 
     side = lambda k: classes.select(*[F.col(c).alias(k if c == "cls" else f"{c}_{k}") for c in classes.columns])
     p = pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit("n_a", "n_b"))
-    p = materialize(p.where(near("bits_a", "bits_b", F.col("n_a") + F.col("n_b"))).select("a", "b", "rep_a", "rep_b"), "near")
+    p = p.where(near("bits_a", "bits_b", F.col("n_a") + F.col("n_b"))).select(*pairs.columns, "rep_a", "rep_b")
+    p = materialize(p if groups is None else _intersected(materialize(p, "near"), groups).drop("met"), "near")
     sets = _sets(docs, p.select(F.explode(F.array("rep_a", "rep_b")).alias("rep")).distinct())
     sets = materialize(sets.dropDuplicates(["cls"]), "sets")
     for k in "ab":
@@ -282,11 +314,15 @@ def _sizes_fit(a: str, b: str) -> Column:
 
 
 def _led(groups: DataFrame) -> DataFrame:
-    """Pairs (a, b) of every member of a group with the group's leader, the same member wherever it is in the group."""
+    """Pairs (a, b, met) of every member of a group with the group's leader, the same member wherever it is in the group.
+
+    met: the orders, as bits, under which they were found.
+    """
     by = ["ord", "tok"]
     lead = groups.groupBy(*by).agg(F.min_by(F.struct("cls", "n"), F.xxhash64("cls", F.lit("lead"))).alias("l"))
     led = groups.join(lead, by).where((F.col("cls") != F.col("l.cls")) & _sizes_fit("n", "l.n"))
-    return led.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b")).distinct()
+    pairs = led.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b"), "ord")
+    return pairs.groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord))").alias("met"))
 
 
 def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
@@ -299,33 +335,42 @@ def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame
     )
     direct = direct.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "ord")
 
+    unit = ["ord", "tok", "lo", "hi"]
+
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for b in frames:
-            at = (b["ord"].to_numpy(), b["tok"].to_numpy())
-            edge = np.flatnonzero((at[0][1:] != at[0][:-1]) | (at[1][1:] != at[1][:-1])) + 1
-            cut = [0, *edge.tolist(), len(b)]
+            new = (b[unit].to_numpy()[1:] != b[unit].to_numpy()[:-1]).any(axis=1)
+            cut = [0, *(np.flatnonzero(new) + 1).tolist(), len(b)]
             for lo, hi in zip(cut, cut[1:], strict=False):
                 part = b.iloc[lo:hi]
-                if held and (held[-1]["ord"].iloc[0], held[-1]["tok"].iloc[0]) != (part["ord"].iloc[0], part["tok"].iloc[0]):
+                if held and (held[-1][unit].iloc[0] != part[unit].iloc[0]).any():
                     yield from _group_pairs(pd.concat(held))
                     held = []
                 held.append(part)
         if held:
             yield from _group_pairs(pd.concat(held))
+        trim()
 
     # Near copies share most of their groups: with the groups before it a member says where it has met others already.
     line = Window.partitionBy("ord", "cls").orderBy("tok")
     before = F.array(*[F.coalesce(F.lag("tok", k).over(line), F.lit(-1).cast("long")) for k in range(1, BEFORE + 1)])
-    big = m.where(F.col("g") > SMALL).withColumn("before", before).join(classes.select("cls", "bits"), "cls").repartition("ord", "tok").sortWithinPartitions("ord", "tok", "n", "cls")
-    compared = big.select("ord", "tok", "cls", "n", "comp", "bits", "before").mapInPandas(compare, "a long, b long, ord int")
-    # A pair may be found in a small group under one order and in a large one under the other.
-    return direct.unionByName(compared).groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord)) AS met")).where(F.col("met") == (1 << ORDERS) - 1).select("a", "b")
+    big = m.where(F.col("g") > SMALL)
+    mixed = big.groupBy("ord", "tok").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("ord", "tok")
+    # A large group is dealt into blocks by hash; a member goes to every unit that compares its block with another.
+    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    big = big.withColumn("before", before).join(mixed, ["ord", "tok"], "left_semi").withColumn("blk", F.pmod(F.xxhash64("cls", F.lit("block")), blocks).cast("int"))
+    big = big.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"lo": F.least("blk", "other"), "hi": F.greatest("blk", "other")})
+    big = big.join(classes.select("cls", "bits"), "cls").repartition(*unit).sortWithinPartitions(*unit, "n", "cls")
+    compared = big.select(*unit, "blk", "cls", "n", "comp", "bits", "before").mapInPandas(compare, "a long, b long, ord int")
+    # A pair may be found in a small group under one order and in a large one under another.
+    return direct.unionByName(compared).groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord)) AS met")).where(F.col("met") == _ALL).select("a", "b")
 
 
 def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
-    """Pairs of a large group that differ in component and whose bitmaps do not rule a link out; sizes ascend.
+    """Pairs of a unit that differ in component and whose bitmaps do not rule a link out; sizes ascend.
 
+    A unit is a large group, or two blocks of one; pairs within a block are the business of the unit of that block alone.
     Pairs that both came from one of the last groups are left to that one.
     """
     comp = g["comp"].to_numpy()
@@ -333,6 +378,7 @@ def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
         return
     n, cls, raw = g["n"].to_numpy(np.int64), g["cls"].to_numpy(), g["bits"].tolist()
     order, before = int(g["ord"].iloc[0]), np.array(g["before"].tolist())
+    blk, across = g["blk"].to_numpy(), g["lo"].iloc[0] != g["hi"].iloc[0]
     for width in sorted({len(r) for r in raw}):
         # Bitmaps of one width, and folded to it those of the next sizes that may be linked to them.
         me = np.array([k for k, r in enumerate(raw) if len(r) == width])
@@ -345,6 +391,8 @@ def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
             i = me[lo : lo + step]
             ok = (comp[i, None] != comp[None, other]) & ((i[:, None] < other[None, :]) | (np.array([len(raw[k]) for k in other]) != width)[None, :])
             ok &= 5 * np.minimum(n[i, None], n[None, other]) >= 4 * np.maximum(n[i, None], n[None, other])
+            if across:
+                ok &= blk[i, None] != blk[None, other]
             r, c = np.nonzero(ok)
             new = np.ones(len(r), bool)
             for k in range(BEFORE):
@@ -366,10 +414,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows, ranks = _survey(docs)
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 2)
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     groups = _groups(docs, ranks, buckets)
     classes = _classes(rows, groups)
-    first = materialize(_verified(_led(groups), classes, docs), "links")
+    first = materialize(_verified(_led(groups), classes, docs, groups), "links")
     comps = connected_components(first)
     rest = materialize(_verified(_apart(groups, comps, classes), classes, docs), "links")
     if not rest.isEmpty():
@@ -383,7 +431,23 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     )
 
 
-@query("op3_jaccard_join")
+@query(
+    "op3_jaccard_join",
+    f"""
+    WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id,
+               regexp_extract_all(translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    s AS (SELECT DISTINCT r, unnest(CASE WHEN len(w) >= 5 THEN list_transform(range(1, len(w) - 3), lambda i: array_to_string(list_slice(w, i, i + 4), ' '))
+                                         WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM d),
+    n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+    p AS (SELECT a.r AS a, b.r AS b, count(*) AS k FROM s a JOIN s b ON a.sh = b.sh AND a.r < b.r GROUP BY a.r, b.r),
+    l AS (SELECT a, b FROM p JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    reach AS (SELECT r AS a, r AS b FROM d UNION SELECT reach.a, e.b FROM reach JOIN e ON reach.b = e.a),
+    c AS (SELECT reach.a AS r, min(d.doc_id) AS component_id FROM reach JOIN d ON d.r = reach.b GROUP BY reach.a)
+    SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component_id END AS component_id
+    FROM d JOIN c USING (r) LEFT JOIN n USING (r)
+    """,
+)
 def op3_jaccard_join(spark, sf):
     """Sizes and components of all documents' shingle sets."""
     return jaccard_components(table(spark, sf, "documents")).drop("cls")

@@ -38,9 +38,10 @@ def brute(rows):
     return sorted(((r[0], len(s[k]), least.get(find(k)) if s[k] else r[0]) for k, r in enumerate(rows)), key=repr)
 
 
-@pytest.mark.parametrize("small", [2, 8])
-def test_against_all_pairs(spark, monkeypatch, small):
+@pytest.mark.parametrize(("small", "block"), [(2, 3), (2, 2048), (8, 5)])
+def test_against_all_pairs(spark, monkeypatch, small, block):
     monkeypatch.setattr(jj, "SMALL", small)
+    monkeypatch.setattr(jj, "BLOCK", block)
     rng = random.Random(5)
     rows = awkward()
     base = words(rng, 150, 10**6).split()
@@ -60,6 +61,14 @@ def test_exact_threshold(spark):
     assert got == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
+def test_pairs_must_meet_under_every_order(spark):
+    """A pair known under some orders stays only if it shares a shingle under the others."""
+    g = [(o, t, c) for o, t, c in [(0, 1, 10), (0, 1, 11), (0, 1, 12), (1, 5, 10), (1, 5, 11), (1, 6, 12), (2, 8, 10), (2, 8, 11), (2, 8, 12)]]
+    groups = spark.createDataFrame([(o, t, c, 9, 2) for o, t, c in g], "ord int, tok long, cls long, n int, g int")
+    pairs = spark.createDataFrame([(10, 11, 1), (10, 12, 1), (11, 12, 7)], "a long, b long, met int")
+    assert sorted((r.a, r.b) for r in jj._intersected(pairs, groups).collect()) == [(10, 11), (11, 12)]
+
+
 def test_empty(spark):
     assert jj.jaccard_components(spark.createDataFrame([], DOCS)).count() == 0
 
