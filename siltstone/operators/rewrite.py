@@ -33,6 +33,24 @@ def diff_stats(a: Column, b: Column) -> list[Column]:
     ]
 
 
+# Pairs of names whose replacement is told.
+REPLACED = [("ShowCreation", "Create"), ("TextMobject", "Text"), ("TexMobject", "MathTex"), ("get_width()", ".width"), ("get_height()", ".height")]
+
+
+def change_summary(a: Column, b: Column) -> Column:
+    """array<string>: what became of text a in b: an added import, another number of lines, names replaced altogether."""
+    has = lambda c, w: F.contains(c, F.lit(w))
+    n = lambda c: F.size(F.split(c, "\n"))
+    lines = F.concat(F.lit("Changed line count: "), n(a).cast("string"), F.lit(" -> "), n(b).cast("string"))
+    told = [
+        F.when(has(b, "from manim import") & ~has(a, "from manim import"), "Added missing imports"),
+        F.when(n(a) != n(b), lines),
+        *[F.when(has(a, old) & has(b, new) & ~has(b, old), f"Replaced {old} with {new}") for old, new in REPLACED],
+    ]
+    found = F.array_compact(F.array(*told))
+    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("Made subtle modifications")))
+
+
 def fix_confidence(fixes: Column, syntax: Column, other: Column, boosts: list[tuple[str, float]]) -> Column:
     """0.5, plus each kind's boost once, plus 0.1 for two critical kinds, minus the issues left; a fix counts for the first kind it names."""
     score, critical = F.lit(0.5), F.lit(0)

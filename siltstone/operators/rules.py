@@ -21,6 +21,8 @@ class Rule:
     level: str = ""
     weight: float = 1.0
     literal: bool = False
+    category: str = ""
+    explanation: str = ""
 
 
 def hits(text: Column, rule: Rule, flags: str = "m") -> Column:
@@ -70,3 +72,64 @@ def exploded(df: DataFrame, key: str, text: Column, rules: list[Rule], flags: st
     """(key, rule, level): a row for each rule that occurs in each text."""
     found = F.array_compact(F.array(*[F.when(hits(text, r, flags), F.struct(F.lit(r.name).alias("rule"), F.lit(r.level).alias("level"))) for r in rules]))
     return df.select(key, F.explode(found).alias("x")).select(key, "x.rule", "x.level")
+
+
+def explained(text: Column, rules: list[Rule], flags: str = "m") -> Column:
+    """array<string>: "category: explanation" of the rules that occur."""
+    return F.array_compact(F.array(*[F.when(hits(text, r, flags), f"{r.category}: {r.explanation}") for r in rules]))
+
+
+def corrupted(text: Column) -> Column:
+    """Two of four signs: odd bytes, few letters, hardly any text, no keyword."""
+    signs = [
+        text.rlike(r"[\x00-\x08\x0B\x0C\x0E-\x1F\x7F-\xFF]"),
+        F.regexp_count(text, F.lit("[a-zA-Z_]")) < F.length(text) * 0.3,
+        F.length(F.trim(text)).between(1, 9),
+        ~text.rlike("def|class|import|from|if|for|while|return"),
+    ]
+    return sum(s.cast("int") for s in signs) >= 2
+
+
+def confidence_before(df: DataFrame, code: str, valid: str, name: str, problems: list[Rule], complexity: list[Rule]) -> DataFrame:
+    """df with confidence, is_valid and use_fallback of a source before conversion.
+
+    Factors: 0.3 without syntax; 0.9 for missing imports; 1 - 0.1 a damaged place, 0.2 at least; 0.8 over a complexity of 10 and
+    0.9 over 5; 0.95 where the named scene class or its construct is not found.
+    """
+    c = F.col(code)
+    has = lambda w: F.contains(c, F.lit(w))
+    counts = [F.regexp_count(c, F.lit(f"(?m){r.pattern}")) for r in problems]
+    lines = F.floor(F.size(F.split(c, "\n")) / 50)
+    d = df.withColumns({"_p": sum(counts), "_kinds": sum((n > 0).cast("int") for n in counts), "_x": occurrences(c, complexity) + lines})
+    imports = (~has("from manim") & ~has("import manim") & (has("Scene") | has("Mobject"))) | (c.rlike(r"\bnp\.") & ~has("numpy"))
+    scene = F.regexp_like(c, F.concat(F.lit(r"class\s+"), F.col(name), F.lit(r"\s*\([^)]*Scene[^)]*\):")))
+    construct = has("def construct(self)") | has("def _construct_with_args")
+    score = (
+        F.when(F.col(valid), 1.0).otherwise(0.3)
+        * F.when(imports, 0.9).otherwise(1.0)
+        * F.when(F.col("_p") > 0, F.greatest(F.lit(0.2), 1.0 - F.lit(0.1) * F.col("_p"))).otherwise(1.0)
+        * F.when(F.col("_x") > 10, 0.8).when(F.col("_x") > 5, 0.9).otherwise(1.0)
+        * F.when(scene & construct, 1.0).otherwise(0.95)
+    )
+    issues = (~F.col(valid)).cast("int") + F.col("_kinds")
+    d = d.withColumns({"confidence": score, "_issues": issues})
+    use = (F.col("confidence") < 0.6) | ((F.col("_x") > 8) & (F.col("_issues") > 0)) | ((F.col("_issues") > 0) & (F.col("confidence") < 0.8))
+    return d.withColumns({"is_valid": F.col("_issues") == 0, "use_fallback": use}).drop("_p", "_kinds", "_x", "_issues")
+
+
+def confidence_after(df: DataFrame, code: str, valid: str, name: str, runtime: list[Rule]) -> DataFrame:
+    """df with confidence and use_fallback of a converted source.
+
+    0 without syntax, else the factors: 1 - 0.2 an occurrence of what fails at run time, 0.1 at least; 0.9 without the main
+    import; 0.8 where the named class has not one of the three bases. A source that parses compiles.
+    """
+    c = F.col(code)
+    errors = occurrences(c, runtime)
+    base = F.regexp_like(c, F.concat(F.lit(r"class\s+"), F.col(name), F.lit(r"\s*\(\s*(Scene|ThreeDScene|MovingCameraScene)\s*\):")))
+    score = (
+        F.when(errors > 0, F.greatest(F.lit(0.1), 1.0 - F.lit(0.2) * errors)).otherwise(1.0)
+        * F.when(F.contains(c, F.lit("from manim import *")) | F.contains(c, F.lit("import manim")), 1.0).otherwise(0.9)
+        * F.when(base, 1.0).otherwise(0.8)
+    )
+    d = df.withColumns({"confidence": F.when(F.col(valid), score).otherwise(0.0), "_r": errors})
+    return d.withColumn("use_fallback", ~F.col(valid) | (F.col("confidence") < 0.6) | (F.col("_r") > 3)).drop("_r")

@@ -14,8 +14,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.operators.converter import convert, with_converted  # noqa: F401
+from siltstone.rules import dialect as D
+
 FACTS = """valid boolean, error string, functions array<string>, classes array<string>, constants array<string>, imports array<string>,
-star_imports array<string>, scenes array<struct<name: string, start: int, end: int, parameters: int, config: boolean, constructs: boolean, code: string>>,
+star_imports array<string>, scenes array<struct<name: string, start: int, end: int, parameters: int, config: boolean, complex_config: boolean, constructs: boolean, code: string>>,
 uses array<struct<src: string, dst: string>>, undefined array<string>"""
 
 _BUILTINS = frozenset(dir(builtins))
@@ -47,10 +50,73 @@ def _base(b: ast.expr) -> str:
 
 
 def is_scene(node: ast.ClassDef) -> bool:
-    """A class one of whose bases has Scene in its name."""
+    """Renderable: a class one of whose bases has Scene in its name."""
     return any("Scene" in _base(b) for b in node.bases)
 
 
+def is_scene_class(node: ast.ClassDef) -> bool:
+    """The cleaner's predicate: a name that ends with Scene or is known as one, or a plain base with Scene in its name."""
+    return node.name.endswith("Scene") or node.name in D.SCENE_NAMES or any(isinstance(b, ast.Name) and "Scene" in b.id for b in node.bases)
+
+
+def inherits_from_scene(node: ast.ClassDef) -> bool:
+    """A third predicate: a base whose name ends with Scene or is one of three."""
+    return any(_base(b).endswith("Scene") or _base(b) in D.SCENE_BASES for b in node.bases)
+
+
+_SCENE_LINE = re.compile(r"^class\s+(\w+)\s*\([^)]*Scene[^)]*\)\s*:", re.M)
+
+
+def scene_predicates(code: str | None) -> list[dict]:
+    """(name, scene_class, inherits, renderable) of all classes; where the source does not parse, of those its text shows."""
+    try:
+        tree = ast.parse(code or "")
+    except (SyntaxError, ValueError, RecursionError, MemoryError):
+        return [{"name": n, "scene_class": None, "inherits": None, "renderable": True} for n in _SCENE_LINE.findall(code or "")]
+    return [{"name": n.name, "scene_class": is_scene_class(n), "inherits": inherits_from_scene(n), "renderable": is_scene(n)} for n in ast.walk(tree) if isinstance(n, ast.ClassDef)]
+
+
+def with_scene_predicates(df: DataFrame, code: str, out: str = "predicates") -> DataFrame:
+    """df with an array of scene_predicates."""
+
+    @F.pandas_udf("array<struct<name: string, scene_class: boolean, inherits: boolean, renderable: boolean>>")
+    def run(codes: pd.Series) -> pd.Series:
+        return pd.Series([scene_predicates(c) for c in codes])
+
+    return df.withColumn(out, run(F.col(code)))
+
+
+def file_imports(code: str | None) -> dict:
+    """What a source imports, sorted: direct names, modules of star imports, and modules by the name they are bound to."""
+    try:
+        nodes = list(ast.walk(ast.parse(code or "")))
+    except (SyntaxError, ValueError, RecursionError, MemoryError):
+        nodes = []
+    froms = [(n.module or "", a) for n in nodes if isinstance(n, ast.ImportFrom) for a in n.names]
+    return {
+        "direct": sorted({a.asname or a.name for _, a in froms if a.name != "*"}),
+        "star": sorted({m for m, a in froms if a.name == "*"}),
+        "modules": sorted({a.asname or a.name for n in nodes if isinstance(n, ast.Import) for a in n.names}),
+    }
+
+
+def with_imports(df: DataFrame, code: str, out: str = "imported") -> DataFrame:
+    """df with the struct of file_imports."""
+
+    @F.pandas_udf("direct array<string>, star array<string>, modules array<string>")
+    def run(codes: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([file_imports(c) for c in codes], columns=["direct", "star", "modules"])
+
+    return df.withColumn(out, run(F.col(code)))
+
+
+def _complex(m: ast.stmt) -> bool:
+    """CONFIG with a value that is computed: a lambda, a comprehension, an evaluation."""
+    if not (isinstance(m, ast.Assign) and any(isinstance(t, ast.Name) and t.id == "CONFIG" for t in m.targets) and isinstance(m.value, ast.Dict)):
+        return False
+    return any(isinstance(v, ast.Lambda | ast.ListComp | ast.DictComp) or (isinstance(v, ast.Call) and isinstance(v.func, ast.Name) and v.func.id in ("eval", "exec")) for v in m.value.values)
+
+
 def facts(code: str | None) -> dict:
     """All facts of one source."""
     empty = {k: [] for k in ("functions", "classes", "constants", "imports", "star_imports", "scenes", "uses", "undefined")}
@@ -78,6 +144,7 @@ def facts(code: str | None) -> dict:
                         "end": n.end_lineno,
                         "parameters": len(made.args.args) - 1 if made else 0,
                         "config": any(isinstance(m, ast.Assign) and any(isinstance(t, ast.Name) and t.id == "CONFIG" for t in m.targets) for m in n.body),
+                        "complex_config": any(_complex(m) for m in n.body),
                         "constructs": made is not None,
                         "code": "\n".join(lines[n.lineno - 1 : n.end_lineno]),
                     }
@@ -127,110 +194,6 @@ def issues(out: str = "facts") -> Column:
     return F.concat(syntax.cast("array<struct<severity:string,type:string,detail:string>>"), missing, extra, config, unknown)
 
 
-class _Converter(ast.NodeTransformer):
-    """One walk that renames, repairs and regroups; counts says what it did."""
-
-    def __init__(self, renames: dict[str, str], sums: dict[str, tuple[str, str]], properties: dict[str, str]):
-        self.renames, self.sums, self.properties, self.counts = renames, sums, properties, {}
-
-    def _did(self, what: str) -> None:
-        self.counts[what] = self.counts.get(what, 0) + 1
-
-    def visit_ImportFrom(self, node: ast.ImportFrom):
-        if (node.module or "").split(".")[0] in ("manimlib", "manim_imports_ext", "big_ol_pile_of_manim_imports"):
-            self._did("import")
-            return ast.copy_location(ast.ImportFrom("manim", [ast.alias("*")], 0), node)
-        return node
-
-    def visit_Name(self, node: ast.Name):
-        if isinstance(node.ctx, ast.Load):
-            if node.id in self.renames:
-                self._did("rename")
-                return ast.copy_location(ast.Name(self.renames[node.id], node.ctx), node)
-            if node.id in self.sums:
-                self._did("direction")
-                a, b = self.sums[node.id]
-                return ast.copy_location(ast.BinOp(ast.Name(a, ast.Load()), ast.Add(), ast.Name(b, ast.Load())), node)
-        return node
-
-    def visit_Call(self, node: ast.Call):
-        self.generic_visit(node)
-        f = node.func
-        if isinstance(f, ast.Attribute) and f.attr in self.properties and not node.args and not node.keywords:
-            self._did("property")
-            return ast.copy_location(ast.Attribute(f.value, self.properties[f.attr], ast.Load()), node)
-        if isinstance(f, ast.Name) and len(node.args) == 1 and isinstance(node.args[0], ast.List):
-            items = node.args[0].elts
-            if f.id == "VGroup":
-                self._did("list_argument")
-                node.args = items
-            elif f.id in ("Tex", "MathTex", "Text") and all(isinstance(i, ast.Constant) and isinstance(i.value, str) for i in items):
-                self._did("list_argument")
-                node.args = [ast.Constant(" ".join(i.value for i in items))]
-        if isinstance(f, ast.Name) and f.id == "Tex" and node.args and isinstance(node.args[0], ast.Constant) and re.search(r"\\frac|\\cdot|\\quad|[\^_]", str(node.args[0].value)):
-            self._did("math")
-            node.func = ast.copy_location(ast.Name("MathTex", ast.Load()), f)
-        return node
-
-    def visit_Subscript(self, node: ast.Subscript):
-        self.generic_visit(node)
-        v, at = node.value, node.slice
-        if isinstance(v, ast.Attribute) and v.attr == "points" and isinstance(node.ctx, ast.Load):
-            n = at.value if isinstance(at, ast.Constant) else -at.operand.value if isinstance(at, ast.UnaryOp) and isinstance(at.op, ast.USub) and isinstance(at.operand, ast.Constant) else None
-            if n in (0, -1):
-                self._did("points")
-                return ast.copy_location(ast.Call(ast.Attribute(v.value, "get_start" if n == 0 else "get_end", ast.Load()), [], []), node)
-        return node
-
-    def visit_ClassDef(self, node: ast.ClassDef):
-        self.generic_visit(node)
-        config = next((m for m in node.body if isinstance(m, ast.Assign) and any(isinstance(t, ast.Name) and t.id == "CONFIG" for t in m.targets) and isinstance(m.value, ast.Dict)), None)
-        if config is None or not all(isinstance(k, ast.Constant) and str(k.value).isidentifier() for k in config.value.keys):
-            return node
-        self._did("config")
-        sets = [ast.Assign([ast.Attribute(ast.Name("self", ast.Load()), k.value, ast.Store())], v) for k, v in zip(config.value.keys, config.value.values, strict=True)]
-        node.body.remove(config)
-        init = next((m for m in node.body if isinstance(m, ast.FunctionDef) and m.name == "__init__"), None)
-        if init is None:
-            init = ast.parse("def __init__(self, **kwargs):\n    super().__init__(**kwargs)").body[0]
-            init.body += sets
-            node.body.insert(0, init)
-        else:
-            at = next((i + 1 for i, s in enumerate(init.body) if "super()" in ast.unparse(s)), 0)
-            init.body[at:at] = sets
-        return node
-
-
-# Names of the old dialect and of the new one.
-RENAMES = {"ShowCreation": "Create", "TextMobject": "Text", "TexMobject": "MathTex", "TexText": "Tex", "OldTexText": "Text", "OldTex": "MathTex", "GRAY": "GREY", "LIGHT_GRAY": "LIGHT_GREY", "DARK_GRAY": "DARK_GREY", "MathMathTex": "MathTex"}
-SUMS = {"DL": ("DOWN", "LEFT"), "DR": ("DOWN", "RIGHT"), "UL": ("UP", "LEFT"), "UR": ("UP", "RIGHT")}
-PROPERTIES = {"get_width": "width", "get_height": "height"}
-
-
-def convert(code: str | None) -> dict:
-    """The converted source, how many changes of each kind were made, and whether the result parses."""
-    try:
-        tree = ast.parse(code or "")
-    except (SyntaxError, ValueError, RecursionError, MemoryError) as e:
-        return {"code": code, "changes": {}, "valid": False, "error": str(e)}
-    c = _Converter(RENAMES, SUMS, PROPERTIES)
-    try:
-        out = ast.unparse(ast.fix_missing_locations(c.visit(tree)))
-    except RecursionError as e:
-        return {"code": code, "changes": {}, "valid": False, "error": str(e)}
-    return {"code": out, "changes": c.counts, "valid": facts(out)["valid"], "error": None}
-
-
-def with_converted(df: DataFrame, code: str, out: str = "converted") -> DataFrame:
-    """df with struct<code, changes, valid, error>."""
-
-    @F.pandas_udf("code string, changes map<string,int>, valid boolean, error string")
-    def run(codes: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([convert(c) for c in codes])
-
-    return df.withColumn(out, run(F.col(code)))
-
-
 def parameterless(code: str | None, scene: str) -> str | None:
     """The source with the scene's construct arguments moved into __init__; None where there is nothing to move."""
     try:

@@ -8,6 +8,7 @@ from siltstone import rules as R
 from siltstone.operators import gates, running, stages
 from siltstone.plans.metrics import _DKEY, _KEY, both
 from siltstone.plans.registry import query, sql_query
+from siltstone.rules.dialect import PI_NAMES
 from siltstone.session import table
 from siltstone.sources.messages import EXCEPTIONS, message_sql
 from siltstone.sources.samples import quoted
@@ -89,10 +90,6 @@ sql_query(
     """,
 )
 
-# Names of pi creatures, their scenes and methods.
-PI_NAMES = """PiCreature Randolph Mortimer ThoughtBubble SpeechBubble WaveArm BlinkPiCreature Blink RemovePiCreatureBubble PiCreatureBubbleIntroduction PiCreatureScene
-TeacherStudentsScene draw_you get_bubble_introduction change look_at blink wave get_bubble says thinks student_says teacher_says student_thinks teacher_thinks
-play_student_changes change_students get_student_changes random_blink_wait shift_onto_screen change_mode bubble_thought bubble_speak""".split()
 # Literal marks of mathematics, as they are looked for (with doubled backslashes), and what makes an equation.
 MATH_MARKS = [
     *(rf"\\{w}" for w in """frac cdot sqrt sum int lim infty alpha beta gamma theta phi pi sigma omega times div pm leq geq neq approx equiv propto partial nabla

@@ -224,9 +224,9 @@ sql_query(
 
 def _runtime_counts() -> str:
     from siltstone import rules as R
-    from siltstone.sources.samples import quoted
+    from siltstone.plans.rules import _count
 
-    return " + ".join(f"len(regexp_extract_all(code, {quoted('(?m)' + r.pattern)}))" for r in R.RUNTIME)
+    return " + ".join(map(_count, R.RUNTIME))
 
 
 @query("post_conversion_quality", f"SELECT doc_id, ({_runtime_counts()})::BIGINT AS issues, ({_runtime_counts()}) = 0 AS clean FROM {_CODE}")

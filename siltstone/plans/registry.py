@@ -56,6 +56,7 @@ def load() -> None:
         more,
         relational,
         rules,
+        sources,
         text,
     )
 

@@ -24,6 +24,8 @@ def _hit(r: ops.Rule, flags: str = "m", c: str = "code") -> str:
 
 
 def _count(r: ops.Rule, c: str = "code") -> str:
+    if "(?=" in r.pattern:  # DuckDB cannot look ahead; only a text with the mark looked for could match, and would show as null
+        return f"CASE WHEN contains({c}, '# undefined') THEN NULL ELSE 0 END"
     return f"len(regexp_extract_all({c}, {quoted(f'(?m){r.pattern}')}))"
 
 

@@ -7,20 +7,20 @@ from siltstone.operators.rules import Rule
 # What makes a source unfixable, and how surely.
 LEVELS = ["fixable", "likely_unfixable", "definitely_unfixable"]
 UNFIXABLE = [
-    Rule("external_dependency_cv2", r"import\s+cv2|from\s+cv2\s+import", LEVELS[2]),
-    Rule("external_dependency_displayer", r"import\s+displayer|from\s+displayer\s+import", LEVELS[2]),
-    Rule("external_dependency_pygame", r"import\s+pygame|from\s+pygame\s+import", LEVELS[2]),
-    Rule("pi_creature_call", r"\b(ThoughtBubble|SpeechBubble|Face|PiCreature|Randolph|Mortimer|Mathematician)\s*\(", LEVELS[2]),
-    Rule("pi_creature_reference", r"\b(randy|mortimer|randolph|pi_creature)\s*\.", LEVELS[2]),
-    Rule("custom_inheritance", r"class\s+\w+\s*\((CycloidScene|PathSlidingScene|MultilayeredScene|PhotonScene|ThetaTGraph|VideoLayout)\)", LEVELS[1]),
-    Rule("continual_animation", r"class\s+\w+\s*\(.*ContinualAnimation.*\)", LEVELS[1]),
-    Rule("syntax_corruption", r"^SyntaxError:\s+invalid\s+syntax\s+at\s+line\s+1", LEVELS[2], literal=True),
-    Rule("complex_config", r"CONFIG\s*=\s*\{[^}]*lambda[^}]*\}", LEVELS[1]),
-    Rule("missing_class", r"NameError:\s+name\s+['\"]ParametricCurve['\"]\s+is\s+not\s+defined", LEVELS[1]),
-    Rule("glsl_shader", r"\.glsl|shader_wrapper|ShaderWrapper", LEVELS[2]),
-    Rule("complex_3d", r"class\s+\w+\s*\(.*ThreeDScene.*\).*CONFIG.*camera_config", LEVELS[1]),
-    Rule("interactive_scene", r"on_mouse_motion|on_mouse_press|on_key_press|mouse_drag_point|InteractiveScene", LEVELS[2]),
-    Rule("direct_opengl", r"moderngl\.|TRIANGLE_STRIP|direct.*opengl", LEVELS[2]),
+    Rule("external_dependency_cv2", r"import\s+cv2|from\s+cv2\s+import", LEVELS[2], category="external_dependency", explanation="OpenCV (cv2) is not available in ManimCE environment"),
+    Rule("external_dependency_displayer", r"import\s+displayer|from\s+displayer\s+import", LEVELS[2], category="external_dependency", explanation="displayer is a custom 3b1b module not available in ManimCE"),
+    Rule("external_dependency_pygame", r"import\s+pygame|from\s+pygame\s+import", LEVELS[2], category="external_dependency", explanation="pygame is not part of ManimCE"),
+    Rule("pi_creature_call", r"\b(ThoughtBubble|SpeechBubble|Face|PiCreature|Randolph|Mortimer|Mathematician)\s*\(", LEVELS[2], category="pi_creature", explanation="Pi Creature animation system is not available in ManimCE"),
+    Rule("pi_creature_reference", r"\b(randy|mortimer|randolph|pi_creature)\s*\.", LEVELS[2], category="pi_creature", explanation="Pi Creature character references not available in ManimCE"),
+    Rule("custom_inheritance", r"class\s+\w+\s*\((CycloidScene|PathSlidingScene|MultilayeredScene|PhotonScene|ThetaTGraph|VideoLayout)\)", LEVELS[1], category="custom_inheritance", explanation="Inherits from custom 3b1b scene class not in ManimCE"),
+    Rule("continual_animation", r"class\s+\w+\s*\(.*ContinualAnimation.*\)", LEVELS[1], category="continual_animation", explanation="ContinualAnimation has no direct ManimCE equivalent"),
+    Rule("syntax_corruption", r"^SyntaxError:\s+invalid\s+syntax\s+at\s+line\s+1", LEVELS[2], literal=True, category="syntax_corruption", explanation="AST transformation produced structurally broken code"),
+    Rule("complex_config", r"CONFIG\s*=\s*\{[^}]*lambda[^}]*\}", LEVELS[1], category="complex_config", explanation="CONFIG contains lambda functions requiring manual refactoring"),
+    Rule("missing_class", r"NameError:\s+name\s+['\"]ParametricCurve['\"]\s+is\s+not\s+defined", LEVELS[1], category="missing_class", explanation="ParametricCurve requires specific ManimCE implementation"),
+    Rule("glsl_shader", r"\.glsl|shader_wrapper|ShaderWrapper", LEVELS[2], category="glsl_shader", explanation="GLSL shaders are not supported in ManimCE"),
+    Rule("complex_3d", r"class\s+\w+\s*\(.*ThreeDScene.*\).*CONFIG.*camera_config", LEVELS[1], category="complex_3d", explanation="Complex 3D camera configurations may not translate to ManimCE"),
+    Rule("interactive_scene", r"on_mouse_motion|on_mouse_press|on_key_press|mouse_drag_point|InteractiveScene", LEVELS[2], category="interactive_scene", explanation="Interactive scenes require live OpenGL window and cannot be pre-rendered as videos"),
+    Rule("direct_opengl", r"moderngl\.|TRIANGLE_STRIP|direct.*opengl", LEVELS[2], category="direct_opengl", explanation="Direct OpenGL calls are not supported in ManimCE"),
 ]
 
 # Patterns that lower the confidence in a systematic conversion, by priority; weight is the impact.
@@ -52,14 +52,14 @@ COMPLEXITY = [
     Rule("classes", r"class\s+\w+", weight=1),
 ]
 
-# Patterns of converted code that fail when it runs. The one on undefined functions stands without look-ahead.
+# Patterns of converted code that fail when it runs.
 RUNTIME = [
     Rule("tex_list_args", r"(Tex|MathTex|TextMobject|OldTex)\s*\(\s*\["),
     Rule("vgroup_list_args", r"VGroup\s*\(\s*\["),
     Rule("missing_constants", r"\b(DL|DR|UL|UR|FRAME_WIDTH|FRAME_HEIGHT)\b"),
     Rule("old_method_calls", r"\.(get_center|get_width|get_height|get_color)\s*\(\s*\)"),
     Rule("points_access", r"\.points\["),
-    Rule("undefined_functions", r"[a-zA-Z_][a-zA-Z0-9_]*\s*\([^)]*\).*# undefined"),
+    Rule("undefined_functions", r"[a-zA-Z_][a-zA-Z0-9_]*\s*\([^)]*\)(?=.*# undefined)"),
     Rule("string_formatting_issues", r"[^r]\"[^\"]*\\[^nr]"),
 ]
 
