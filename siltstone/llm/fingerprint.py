@@ -7,9 +7,8 @@ length each one's containment in the other can be told from the retained hashes
 one none. A hash is the first 16 hex digits of the md5 of a shingle's words, joined by spaces: FRACTION is a power of
 1/16 times a whole number, so that a first digit decides.
 
-Short texts retain few hashes, perhaps none. A sketch therefore also has a digest of its whole set of shingles (the
-md5 of their sorted hashes, 16 digits; "" for no shingle), which tells equal sets; a merged sketch has none (null).
-Likeness is 1 for equal digests, else 0 where a text is empty or nothing is retained on either side, else the share of
+Short texts retain few hashes, perhaps none. A sketch therefore also has a digest of the text's words in order (16
+digits of their md5; "" for no word), which tells equal texts; a merged sketch has none (null). Likeness is 1 for equal digests, else 0 where a text is empty or nothing is retained on either side, else the share of
 retained hashes that both have. As a string: digest, ":", the sorted hashes.
 
 Neighbours in the order of ids are found without a global sort in one task: rows are dealt into ranges of ids, each looks
@@ -45,21 +44,32 @@ def words(text: Column) -> Column:
     return F.filter(F.split(lower, r"[\x20\x09-\x0D]+"), lambda w: w != "")
 
 
-def shingle_hashes(w: Column) -> Column:
-    """array<string> of all shingles of a column of words (a plain column: it is read at every shingle)."""
-    many = F.transform(F.sequence(F.lit(1), F.size(w) - (WORDS - 1)), lambda i: F.left(F.md5(F.array_join(F.slice(w, i, F.lit(WORDS)), " ")), F.lit(DIGITS)))
-    one = F.array(F.left(F.md5(F.array_join(w, " ")), F.lit(DIGITS)))
-    return F.when(F.size(w) >= WORDS, many).when(F.size(w) > 0, one).otherwise(F.array().cast("array<string>"))
+def retained(w: Column) -> Column:
+    """array<string> of the retained hashes, sorted, of a column of words (a plain column: it is read at every shingle)."""
+    many = F.transform(F.slice(w, 1, F.size(w) - (WORDS - 1)), lambda x, i: F.md5(F.concat_ws(" ", x, *[F.get(w, i + k) for k in range(1, WORDS)])))
+    one = F.array(F.md5(F.array_join(w, " ")))
+    low = lambda hashes: F.transform(F.filter(hashes, lambda h: h < FIRST), lambda h: F.left(h, F.lit(DIGITS)))
+    return F.array_sort(F.array_distinct(F.when(F.size(w) >= WORDS, low(many)).when(F.size(w) > 0, low(one)).otherwise(F.array().cast("array<string>"))))
 
 
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with struct<digest string, hashes array<string>>: the sketch of a text column."""
     kept = df.columns
-    a = df.select(*kept, words(F.col(text)).alias("_w")).select(*kept, shingle_hashes(F.col("_w")).alias("_s"))
-    a = a.select(*kept, F.array_sort(F.array_distinct("_s")).alias("_s"))
-    digest = F.when(F.size("_s") > 0, F.left(F.md5(F.array_join("_s", "")), F.lit(DIGITS))).otherwise("")
-    # Sorted: the retained hashes come first.
-    return a.select(*kept, F.struct(digest.alias("digest"), F.filter("_s", lambda s: s < FIRST).alias("hashes")).alias(out))
+    a = df.select(*kept, words(F.col(text)).alias("_w"))
+    digest = F.when(F.size("_w") > 0, F.left(F.md5(F.array_join("_w", " ")), F.lit(DIGITS))).otherwise("")
+    return a.select(*kept, F.struct(digest.alias("digest"), retained(F.col("_w")).alias("hashes")).alias(out))
+
+
+def packed(sketch: Column) -> Column:
+    """The sketch with its hashes as one binary, eight bytes each, to travel."""
+    return F.struct(sketch["digest"].alias("digest"), F.unhex(F.array_join(sketch["hashes"], "")).alias("hashes"))
+
+
+def unpacked(sketch: Column) -> Column:
+    """A packed sketch as it was."""
+    # One expression over the whole: within a lambda the digits would be made anew for every hash.
+    each = F.regexp_extract_all(F.lower(F.hex(sketch["hashes"])), F.lit(f".{{{DIGITS}}}"), F.lit(0))
+    return F.struct(sketch["digest"].alias("digest"), each.alias("hashes"))
 
 
 def merge(a: Column, b: Column) -> Column:
@@ -97,7 +107,7 @@ def part_of(c: Column, splits: list[int]) -> Column:
 
 
 def with_next(docs: DataFrame) -> DataFrame:
-    """docs (id, text, sketch) with next_text and next_sketch: of the neighbour below in the order of ids, and for the lowest of the highest.
+    """(id, text, sketch, next_text, next_sketch) of docs (id, text): packed sketches, the next being the neighbour below in the order of ids, and for the lowest the highest.
 
     Rows are dealt into ranges of ids, cut at quantiles, four to a shuffle partition; each range looks back within
     itself. The last row of each range, found by ids alone, links it to the next.
@@ -112,19 +122,21 @@ def with_next(docs: DataFrame) -> DataFrame:
     dealt = F.when(F.array_contains(_longs(hot), F.col("id")), F.concat(F.lit("1"), F.left(mark, F.lit(2)))).otherwise("0")
     if nulls:
         dealt = F.when(F.col("id").isNull(), F.concat(F.lit(" "), F.left(mark, F.lit(2)))).otherwise(dealt)
-    docs = docs.select("id", "text", "sketch", mark.alias("mark"), F.coalesce(part_of(F.col("id"), splits), F.lit(0)).alias("part"), dealt.alias("sub"))
+    docs = docs.select("id", "text", mark.alias("mark"), F.coalesce(part_of(F.col("id"), splits), F.lit(0)).alias("part"), dealt.alias("sub"))
+    sketched = lambda df: with_sketch(df, "text", "sketch").withColumn("sketch", packed(F.col("sketch")))
     me = F.struct("id", "mark")
     line = Window.orderBy("part", "sub")  # a row for each range
     whole = line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = docs.groupBy("part", "sub").agg(F.max(me).alias("end"))
     ends = ends.select("part", "sub", F.coalesce(F.lag("end").over(line), F.last("end").over(whole)).alias("before"))
     ends = materialize(ends.select("part", "sub", "before.id", "before.mark"), "ends")
-    given = docs.select(F.col("id").alias("g_id"), F.col("mark").alias("g_mark"), F.struct("text", "sketch").alias("before"))
+    given = docs.select(F.col("id").alias("g_id"), F.col("mark").alias("g_mark"), "text")
     before = given.join(F.broadcast(ends), F.col("g_id").eqNullSafe(F.col("id")) & (F.col("g_mark") == F.col("mark")))
-    before = before.groupBy("part", "sub").agg(F.first("before").alias("before"))
+    before = sketched(before.groupBy("part", "sub").agg(F.first("text").alias("text"))).select("part", "sub", F.struct("text", "sketch").alias("before"))
     inside = Window.partitionBy("part", "sub").orderBy(F.col("id").asc_nulls_first(), "mark")
     return (
-        docs.withColumn("below", F.lag(F.struct("text", "sketch")).over(inside))
+        sketched(docs)
+        .withColumn("below", F.lag(F.struct("text", "sketch")).over(inside))
         .join(before, ["part", "sub"], "left")
         .withColumn("below", F.coalesce("below", "before"))
         .select("id", "text", "sketch", F.col("below.text").alias("next_text"), F.col("below.sketch").alias("next_sketch"))
@@ -139,12 +151,12 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     n = F.length("text")
     third = F.floor(n / 3).cast("int")
-    both = with_next(with_sketch(docs, "text", "sketch")).select(
+    both = with_next(docs).select(
         "id",
         n.cast("long").alias("n_chars"),
         F.concat(F.substring("text", F.lit(1), n - third), F.substring("next_text", F.lit(1), third)).alias("edited"),
-        "sketch",
-        "next_sketch",
+        unpacked(F.col("sketch")).alias("sketch"),
+        unpacked(F.col("next_sketch")).alias("next_sketch"),
     )
     return with_sketch(both, "edited", "edited_sketch").select(
         F.col("id").alias("doc_id"),
@@ -160,12 +172,11 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 def _sql_sketch(source: str, text: str, out: str) -> str:
     """SELECT of a source's columns with the sketch's two parts, for DuckDB."""
     lower = f"translate({text}, '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
-    return f"""SELECT * EXCLUDE (w, s), CASE WHEN len(s) > 0 THEN left(md5(array_to_string(s, '')), {DIGITS}) ELSE '' END AS {out}_digest,
-        list_filter(s, lambda x: x < '{FIRST}') AS {out}_hashes
-    FROM (SELECT *, list_sort(list_distinct(CASE WHEN len(w) >= {WORDS}
-              THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: left(md5(array_to_string(list_slice(w, i, i + {WORDS - 1}), ' ')), {DIGITS}))
-              WHEN len(w) > 0 THEN [left(md5(array_to_string(w, ' ')), {DIGITS})] ELSE [] END)) AS s
-          FROM (SELECT *, list_filter(regexp_split_to_array({lower}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {source}))"""
+    return f"""SELECT * EXCLUDE (w), CASE WHEN len(w) > 0 THEN left(md5(array_to_string(w, ' ')), {DIGITS}) ELSE '' END AS {out}_digest,
+        list_sort(list_distinct(list_transform(list_filter(
+            CASE WHEN len(w) >= {WORDS} THEN list_transform(range(1, len(w) - {WORDS - 2}), lambda i: md5(array_to_string(list_slice(w, i, i + {WORDS - 1}), ' ')))
+                 WHEN len(w) > 0 THEN [md5(array_to_string(w, ' '))] ELSE [] END, lambda x: x < '{FIRST}'), lambda x: left(x, {DIGITS})))) AS {out}_hashes
+    FROM (SELECT *, list_filter(regexp_split_to_array({lower}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM {source})"""
 
 
 def _sql_likeness(a: str, b: str) -> str:

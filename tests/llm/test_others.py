@@ -182,12 +182,12 @@ def test_warc_bytes_ignore_the_layout(spark):
 
 
 def brute_sketch(text):
-    """(all hashes, retained hashes) of a text."""
+    """(words, retained hashes) of a text."""
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", low) if x]
     s = [w[k : k + 5] for k in range(len(w) - 4)] if len(w) >= 5 else [w] if w else []
     h = sorted({hashlib.md5(" ".join(x).encode()).hexdigest()[:16] for x in s})
-    return h, [x for x in h if x[0] in "0123"]
+    return w, [x for x in h if x[0] in "0123"]
 
 
 def brute_likeness(a, b):
@@ -207,7 +207,7 @@ def test_fingerprints(spark, partitions):
         nxt, n = line[k - 1][3], len(t) // 3
         edited = t[: len(t) - n] + nxt[:n]
         a, b, c = map(brute_sketch, (t, edited, nxt))
-        show = lambda s: (hashlib.md5("".join(s[0]).encode()).hexdigest()[:16] if s[0] else "") + ":" + "".join(s[1])
+        show = lambda s: (hashlib.md5(" ".join(s[0]).encode()).hexdigest()[:16] if s[0] else "") + ":" + "".join(s[1])
         want.append((i, len(t), edited, show(a), show(b), round(brute_likeness(a, b), 9), round(brute_likeness(a, c), 9)))
     got = [(r.doc_id, r.n_chars, r.edited, r.f, r.e, round(r.near_edited, 9), round(r.near_next, 9)) for r in out]
     assert sorted(got, key=repr) == sorted(want, key=repr)
