@@ -21,7 +21,7 @@ def file_name(text: Column, most: int = 50) -> Column:
 
 def terms(text: Column, words: list[str]) -> Column:
     """array<string> of distinct lower-cased CamelCase words and words of the list."""
-    camel = F.regexp_extract_all(text, F.lit("[A-Z][a-z]+[A-Z][a-z]+"), F.lit(0))
+    camel = F.regexp_extract_all(text, F.lit(r"\b[A-Z][a-z]+(?:[A-Z][a-z]+)+\b"), F.lit(0))
     known = F.filter(F.split(F.lower(text), r"[^\p{L}]+"), lambda w: w.isin(words))
     return F.array_distinct(F.concat(F.transform(camel, F.lower), known))
 

@@ -9,32 +9,75 @@ from siltstone.session import materialize
 
 
 def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
-    """All pairs (src, dst) with a path from src to dst, by path doubling.
+    """All pairs (src, dst) with a path from src to dst, by path doubling over what is new.
 
-    A round joins all paths known with themselves, so paths of n edges take log2(n) rounds. Each round is written
-    to the shared folder: lineage stays short and a lost executor costs one round.
+    A round joins the pairs of the round before with all pairs known, on either side, and keeps those not known yet; paths
+    of n edges take log2(n) rounds. Each round is written to the shared folder: lineage stays short and a lost executor
+    costs one round.
     """
-    paths = materialize(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "paths")
-    known = paths.count()
+    known = new = materialize(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "paths")
+    step = lambda a, b: a.select("src", F.col("dst").alias("mid")).join(b.select(F.col("src").alias("mid"), "dst"), "mid").select("src", "dst")
     for _ in range(rounds):
-        longer = paths.select("src", F.col("dst").alias("mid")).join(paths.select(F.col("src").alias("mid"), "dst"), "mid").select("src", "dst")
-        paths = materialize(paths.unionByName(longer).distinct(), "paths")
-        now = paths.count()
-        if now == known:
-            return paths
-        known = now
+        longer = step(new, known).unionByName(step(known, new)).distinct()
+        new = materialize(longer.join(known, ["src", "dst"], "left_anti"), "paths")
+        if new.isEmpty():
+            return known
+        known = materialize(known.unionByName(new), "paths")
     raise ValueError("the closure has not settled")
 
 
-def depths(edges: DataFrame) -> DataFrame:
-    """(node, depth): the number of edges from the farthest root of a forest (edges from child src to parent dst)."""
-    paths = closure(edges)
-    nodes = edges.select(F.col("src").alias("node")).union(edges.select(F.col("dst").alias("node"))).where("node IS NOT NULL").distinct()
-    n = paths.groupBy(F.col("src").alias("node")).agg(F.count("*").alias("depth"))
-    return nodes.join(n, "node", "left").select("node", F.coalesce("depth", F.lit(0)).alias("depth"))
+def depths(edges: DataFrame, rounds: int = 64) -> DataFrame:
+    """(node, depth): the number of edges to the root, in a forest (edges from child src to its one parent dst).
+
+    Pointers double: each node holds its distance to one ancestor, and takes over that ancestor's; a row a node, log2 of the
+    greatest depth rounds.
+    """
+    e = edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct()
+    nodes = e.select(F.col("src").alias("node")).union(e.select(F.col("dst").alias("node"))).distinct()
+    at = nodes.join(e, F.col("node") == F.col("src"), "left").select("node", F.col("dst").alias("up"), F.when(F.col("dst").isNull(), 0).otherwise(1).cast("long").alias("depth"))
+    at = materialize(at, "depths")
+    for _ in range(rounds):
+        if at.where("up IS NOT NULL").isEmpty():
+            return at.select("node", "depth")
+        over = at.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("depth").alias("more"))
+        at = materialize(at.join(over, "up", "left").select("node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth")), "depths")
+    raise ValueError("the graph has a cycle")
+
+
+def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
+    """(node): the roots and all that they reach, a frontier a round; what was seen is not expanded again."""
+    e = edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct()
+    seen = frontier = materialize(roots.select("node").where("node IS NOT NULL").distinct(), "reached")
+    while True:
+        onward = e.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
+        frontier = materialize(onward.join(seen, "node", "left_anti"), "frontier")
+        if frontier.isEmpty():
+            return seen
+        seen = materialize(seen.unionByName(frontier), "reached")
 
 
 def unused(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """Nodes that no root reaches (roots and nodes: a column node)."""
-    reached = closure(edges).join(roots.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node"))
-    return nodes.select("node").distinct().join(reached.union(roots.select("node")).distinct(), "node", "left_anti")
+    return nodes.select("node").distinct().join(reachable(edges, roots), "node", "left_anti")
+
+
+def layers(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(node, layer): a node's layer lies above those of all that it depends on (edges from src to what it needs, dst).
+
+    A round takes all nodes without open needs. Where none is left but nodes are, there is a cycle, and the least node of those
+    left is taken as if its needs were met, so that every node gets a layer.
+    """
+    left = materialize(nodes.select("node").where("node IS NOT NULL").distinct(), "layers")
+    e = edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").select("src", "dst").distinct()
+    done, layer = None, 0
+    while not left.isEmpty():
+        here = left.select(F.col("node").alias("dst"))
+        blocked = e.join(here, "dst", "left_semi").select(F.col("src").alias("node")).distinct()
+        free = materialize(left.join(blocked, "node", "left_anti"), "layers")
+        if free.isEmpty():
+            free = materialize(left.agg(F.min("node").alias("node")), "layers")
+        found = free.withColumn("layer", F.lit(layer))
+        done = found if done is None else done.unionByName(found)
+        left = materialize(left.join(free, "node", "left_anti"), "layers")
+        layer += 1
+    return done if done is not None else nodes.select("node", F.lit(0).alias("layer")).limit(0)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -22,6 +22,16 @@ def fold_counted(text: Column, rules: list[tuple[str, str]]) -> tuple[Column, Co
     return text, F.array(*counts)
 
 
+def with_folded(df: DataFrame, text: str, rules: list[tuple[str, str]], out: str = "folded", counts: str = "counts") -> DataFrame:
+    """df with the rewritten text, and how often each rule applied; one projection a rule, so that a rule runs once."""
+    kept = df.columns
+    d = df.withColumn("_t", F.col(text))
+    for k, (pattern, replacement) in enumerate(rules):
+        seen = [f"_n{i}" for i in range(k)]
+        d = d.select(*kept, *seen, F.regexp_count("_t", F.lit(pattern)).alias(f"_n{k}"), F.regexp_replace("_t", pattern, replacement).alias("_t"))
+    return d.select(*kept, F.col("_t").alias(out), F.array(*[F.col(f"_n{k}") for k in range(len(rules))]).alias(counts))
+
+
 def diff_stats(a: Column, b: Column) -> list[Column]:
     """added, removed (distinct lines) and functions (difference in number)."""
     x, y = F.split(a, "\n"), F.split(b, "\n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from siltstone import rules as R
-from siltstone.operators import gates, running, stages
+from siltstone.operators import gates, stages
 from siltstone.plans.metrics import _DKEY, _KEY, both
 from siltstone.plans.registry import query, sql_query
 from siltstone.rules.dialect import PI_NAMES
@@ -289,18 +289,6 @@ sql_query(
 )
 
 
-@query(
-    "archive_reports",
-    "SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) > 1 AS archived FROM orders",
-)
-def archive_reports(spark, sf):
-    """All but the newest of each kind; the newest are found by a partial aggregate and sent to the rows."""
-    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
-    newest = o.groupBy(F.col("o_orderpriority").alias("_p")).agg(F.max(F.struct("o_orderdate", -F.col("o_orderkey"))).alias("_newest"))
-    newest = newest.select("_p", (-F.col("_newest").getField(newest.schema["_newest"].dataType.names[1])).alias("_key"))
-    return o.join(newest, F.col("o_orderpriority").eqNullSafe(F.col("_p"))).select("o_orderkey", "o_orderpriority", (F.col("o_orderkey") != F.col("_key")).alias("archived"))
-
-
 sql_query(
     "log_migration",
     """
@@ -313,20 +301,6 @@ sql_query(
 )
 
 
-@query(
-    "running_mean",
-    """
-    SELECT event_id, event_type, count(*) OVER w AS calls, sum(round(value * 1000)::BIGINT) OVER w / 1000.0::DOUBLE / count(*) OVER w AS mean
-    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)
-    """,
-)
-def running_mean(spark, sf):
-    """The running mean of each prompt type's times; few types, many rows, so the line is cut into ranges."""
-    e = table(spark, sf, "events").select("event_id", "event_type", F.round(F.col("value") * 1000).cast("long").alias("v"))
-    r = running.running_sums(e, "event_type", "event_id", "v")
-    return r.select("event_id", "event_type", F.col("running_count").alias("calls"), (F.col("running_sum") / F.lit(1000.0) / F.col("running_count")).alias("mean"))
-
-
 _SAMPLES = """
     SELECT event_type, n, distinct_errors, samples FROM (SELECT event_type, count(*) AS n, count(DISTINCT props) AS distinct_errors FROM {events} GROUP BY event_type) t
     JOIN (SELECT event_type AS et, [list] AS samples FROM

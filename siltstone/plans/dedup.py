@@ -49,13 +49,20 @@ sql_query(
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM {orders}) WHERE rn = 1
     """,
 )
-sql_query(
+
+
+@query(
     "archive_old",
-    """
-    SELECT o_orderkey, o_orderpriority, rn > 2 AS archived FROM (
-        SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM {orders})
-    """,
+    "SELECT o_orderkey, o_orderpriority, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate DESC, o_orderkey) > 1 AS archived FROM orders",
 )
+def archive_old(spark, sf):
+    """All but the newest of each kind; the newest are found by a partial aggregate and sent to the rows."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_orderdate")
+    newest = o.groupBy(F.col("o_orderpriority").alias("_p")).agg(F.max(F.struct("o_orderdate", (-F.col("o_orderkey")).alias("k"))).alias("_n"))
+    newest = newest.select("_p", (-F.col("_n.k")).alias("_key"))
+    return o.join(newest, F.col("o_orderpriority").eqNullSafe(F.col("_p"))).select("o_orderkey", "o_orderpriority", (F.col("o_orderkey") != F.col("_key")).alias("archived"))
+
+
 sql_query(
     "set_unused",
     "SELECT p_partkey FROM {part} EXCEPT SELECT l_partkey FROM {lineitem} WHERE l_quantity > 49",

@@ -41,13 +41,24 @@ both(
     FROM {events} GROUP BY event_type
     """,
 )
-both(
+
+
+@query(
     "prompt_running_mean",
     """
-    SELECT event_id, event_type, CAST(sum(CAST(round(value * 1000) AS BIGINT)) OVER w AS BIGINT) AS running_milli, count(*) OVER w AS calls
-    FROM {events} WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)
+    SELECT event_id, event_type, sum(round(value * 1000)::BIGINT) OVER w::BIGINT AS running_milli, count(*) OVER w AS calls, sum(round(value * 1000)::BIGINT) OVER w::DOUBLE / count(*) OVER w AS mean_milli
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY event_id ROWS UNBOUNDED PRECEDING)
     """,
 )
+def prompt_running_mean(spark, sf):
+    """Running sums, counts and means of each type's times; few types and many rows, so lines are cut into ranges."""
+    from siltstone.operators.running import running_sums
+
+    e = table(spark, sf, "events").select("event_id", "event_type", F.round(F.col("value") * 1000).cast("long").alias("v"))
+    r = running_sums(e, "event_type", "event_id", "v")
+    return r.select("event_id", "event_type", F.col("running_sum").alias("running_milli"), F.col("running_count").alias("calls"), (F.col("running_sum").cast("double") / F.col("running_count")).alias("mean_milli"))
+
+
 both(
     "prompt_suggestions",
     """

@@ -53,14 +53,26 @@ def graph_unused(spark, sf):
     return graph.unused(nodes, _tree(spark, sf), nodes.join(used.distinct(), "node", "left_semi"))
 
 
-sql_query(
+@query(
     "similar_substring_join",
     """
-    SELECT a.t AS short, b.t AS long, a.n AS n_short, b.n AS n_long
-    FROM (SELECT p_brand AS t, count(*) AS n FROM {part} GROUP BY p_brand) a
-    JOIN (SELECT concat(p_brand, ' ', p_type) AS t, count(*) AS n FROM {part} GROUP BY 1) b ON contains(b.t, a.t)
+    WITH a AS (SELECT p_brand AS t, count(*) AS n FROM part GROUP BY p_brand), b AS (SELECT concat(p_brand, ' ', p_type) AS t, count(*) AS n FROM part GROUP BY 1)
+    SELECT a.t AS left_text, b.t AS right_text, a.n AS n_left, b.n AS n_right FROM a JOIN b ON contains(b.t, a.t) OR contains(a.t, b.t)
     """,
 )
+def similar_substring_join(spark, sf):
+    """Texts of one side that lie in one of the other, or the other way; joined by a few characters instead of tried all."""
+    from siltstone.operators.substrings import contained_pairs
+
+    p = table(spark, sf, "part")
+    a = p.groupBy(F.col("p_brand").alias("t")).agg(F.count("*").alias("n"))
+    b = p.groupBy(F.concat("p_brand", F.lit(" "), "p_type").alias("t")).agg(F.count("*").alias("n"))
+    names = ["left_text", "right_text", "n_left", "n_right"]
+    in_right = contained_pairs(a, b, "t").toDF("left_text", "n_left", "right_text", "n_right").select(*names)
+    in_left = contained_pairs(b, a, "t").toDF("right_text", "n_right", "left_text", "n_left").select(*names)
+    return in_right.unionByName(in_left).distinct()
+
+
 sql_query(
     "symbol_resolution",
     """
@@ -71,13 +83,22 @@ sql_query(
         LEFT JOIN {part} p ON l_orderkey = p.p_partkey) GROUP BY kind
     """,
 )
-sql_query(
+@query(
     "module_suffix_resolution",
     """
-    SELECT n.n_name, m.module FROM {nation} n JOIN (SELECT DISTINCT concat('world.', lower(n_name)) AS module FROM {nation}) m
-    ON m.module = lower(n.n_name) OR m.module LIKE concat('%.', lower(n.n_name))
+    SELECT n.n_name, m.module, coalesce(a.alias = m.module, false) AS by_alias FROM nation n JOIN (SELECT DISTINCT concat('world.', lower(n_name)) AS module FROM nation) m
+    ON m.module = lower(n.n_name) OR m.module LIKE concat('%.', lower(n.n_name)) LEFT JOIN (SELECT concat('world.', lower(n_name)) AS alias FROM nation) a ON a.alias = concat('world.', lower(n.n_name))
     """,
 )
+def module_suffix_resolution(spark, sf):
+    """Modules whose path is a name or ends with it: all ends of each path are joined by equality; alias paths are tried too."""
+    n = table(spark, sf, "nation").select("n_name", F.lower("n_name").alias("name"))
+    m = n.select(F.concat(F.lit("world."), "name").alias("module")).distinct()
+    parts = F.split("module", r"\.")
+    ends = m.select("module", F.explode(F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))).alias("name"))
+    return n.join(ends, "name").select("n_name", "module", (F.concat(F.lit("world."), "name") == F.col("module")).alias("by_alias"))
+
+
 sql_query(
     "first_hit_extraction",
     """

@@ -73,7 +73,7 @@ _TERMS = ["the", "und", "les", "que", *R.MATH_TERMS, *R.TECH_TERMS]
     rf"""
     SELECT lang, term, n, rank FROM (SELECT lang, term, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS rank FROM (
         SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest(list_distinct(list_concat(
-            list_transform(regexp_extract_all(text, '[A-Z][a-z]+[A-Z][a-z]+'), lambda x: lower(x)),
+            list_transform(regexp_extract_all(text, '\b[A-Z][a-z]+(?:[A-Z][a-z]+)+\b'), lambda x: lower(x)),
             list_filter(string_split_regex(lower(text), '[^\p{{L}}]+'), lambda x: x IN ({", ".join(map(quoted, _TERMS))}))))) AS term FROM documents)
         GROUP BY lang, term)) WHERE rank <= 5
     """,
@@ -139,8 +139,8 @@ for _p, _r in R.RUNTIME_FIXES:
 @query("runtime_regex_fix", f"SELECT doc_id, md5({_C}) AS fixed, array_to_string([{', '.join(_STEPS)}], ',') AS counts FROM {_CODE}")
 def runtime_regex_fix(spark, sf):
     """Ordered fixes; each rule's count is taken on the text as the rules before left it."""
-    fixed, counts = rewrite.fold_counted(F.col("code"), R.RUNTIME_FIXES)
-    return code_of(spark, sf).select("doc_id", F.md5(fixed).alias("fixed"), F.array_join(F.transform(counts, lambda c: c.cast("string")), ",").alias("counts"))
+    d = rewrite.with_folded(code_of(spark, sf), "code", R.RUNTIME_FIXES)
+    return d.select("doc_id", F.md5("folded").alias("fixed"), F.array_join(F.transform("counts", lambda c: c.cast("string")), ",").alias("counts"))
 
 
 def _module(c: str) -> str:

@@ -113,12 +113,25 @@ RENAMES = [
 ]
 
 # Fixes of converted code, applied one after another. (pattern, replacement with $n groups)
+_TEX = r"Tex\s*\(\s*['\"]"
+_MATH = "MathTex(r\"$1\""
 RUNTIME_FIXES = [
     (r"(\w+)\.get_center\(\)(\s*[+\-*/])", "$1.center$2"),
+    (_TEX + r"([^'\"]*\\\\frac[^'\"]*)['\"]", _MATH),
+    (_TEX + r"([^'\"]*\\\\cdot[^'\"]*)['\"]", _MATH),
+    (_TEX + r"([^'\"]*\\\\sum[^'\"]*)['\"]", _MATH),
+    (_TEX + r"([^'\"]*\\\\int[^'\"]*)['\"]", _MATH),
+    (_TEX + r"([^'\"]*\\\\\w+[^'\"]*)['\"]", _MATH),
+    (_TEX + r"\\\\frac\{%[sd]\}\{%[sd]\}['\"]", r'MathTex(r"\\frac{%s}{%s}"'),
+    (_TEX + r"([^'\"]*\\\\frac\{[0-9]+\}\{[0-9]+\}[^'\"]*)['\"]", _MATH),
     (r"MathMathTex\s*\(", "MathTex("),
+    (r"MathTex\s*\(\s*['\"]r\"\\\\([^'\"]*)\"\s*%", r'MathTex(r"\\\\frac{%d}{%d}" %'),
+    (r"MathTex\s*\(\s*['\"]r\"\\\\frac\{[^}]*\}\{[^}]*\}\"['\"]", r'MathTex(r"\\\\frac{%d}{%d}"'),
     (r"Tex\s*\(\s*s\s*\)", "MathTex(s)"),
+    (_TEX + r"([^'\"]*\\\\frac\{[^}]+\}\{[^}]+\}[^'\"]*)['\"]", _MATH),
     (r"(\w+)\.points\[0\]", "$1.get_start()"),
     (r"(\w+)\.points\[-1\]", "$1.get_end()"),
+    (r"\.shift\(([^)]+) - ([^)]+)\.points\[0\]\)", ".shift($1 - $2.get_start())"),
     (r"(\w+)\.get_width\(\)(\s*[+\-*/])", "$1.width$2"),
     (r"(\w+)\.get_height\(\)(\s*[+\-*/])", "$1.height$2"),
 ]
