@@ -13,15 +13,26 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def _whole(spark: SparkSession, path: str) -> bool:
+    """Whether a stage's table is committed and can be read; one that cannot is run again."""
+    if not _exists(spark, f"{path}/_SUCCESS"):
+        return False
+    try:
+        spark.read.parquet(path).limit(1).count()
+    except Exception:  # whatever the reader finds wrong with it
+        return False
+    return True
+
+
 def run_stages(spark: SparkSession, first: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], folder: str, force: bool = False) -> tuple[DataFrame, list[str]]:
-    """Run stages one after another, each into folder/name; a stage whose table is whole is read, not run.
+    """Run stages one after another, each into folder/name; a stage whose table is whole and readable is read, not run.
 
     Returns the last table and the names of the stages that ran. force runs all; a stage after one that ran runs too.
     """
     df, ran = first, []
     for name, stage in stages:
         path = f"{folder}/{name}"
-        if force or ran or not _exists(spark, f"{path}/_SUCCESS"):
+        if force or ran or not _whole(spark, path):
             stage(df).write.mode("overwrite").parquet(path)
             ran.append(name)
         df = spark.read.parquet(path)
@@ -56,3 +67,20 @@ def dashboard(df: DataFrame, by: str, measures: dict[str, str], title: str, most
     head = "".join(f"<th>{n}</th>" for n in [by, *measures])
     rows = [r.html for r in html_rows(df, by, measures).orderBy(by).limit(most).collect()]
     return f"<!doctype html><title>{title}</title><table><tr>{head}</tr>{''.join(rows)}</table>"
+
+
+def retried(action: Callable[[int], bool], attempts: int = 3, base: float = 600.0, wait: Callable[[float], None] | None = None) -> tuple[bool, list[float]]:
+    """Run an action until it returns true, at most attempts times, its time limit growing by half and pauses doubling.
+
+    Returns whether it did, and the time limits given. wait: what to do with a pause (default: sleep).
+    """
+    import time
+
+    limits = []
+    for k in range(attempts):
+        limits.append(base * 1.5**k)
+        if action(k):
+            return True, limits
+        if k + 1 < attempts:
+            (wait or time.sleep)(2**k * 10.0)
+    return False, limits

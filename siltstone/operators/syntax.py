@@ -222,8 +222,13 @@ def parameterless(code: str | None, scene: str) -> str | None:
 
 
 def repair(code: str | None) -> str:
-    """Common damage undone where the source does not parse: unclosed brackets at line ends, and a missing colon."""
+    """Damage undone where the source does not parse: the rules of repair, then unclosed brackets and missing colons of headers."""
+    from siltstone.operators.repair import rules
+
     code = code or ""
+    if facts(code)["valid"]:
+        return code
+    given, code = code, rules(code)
     if facts(code)["valid"]:
         return code
     out = []
@@ -239,7 +244,7 @@ def repair(code: str | None) -> str:
             body += ")" * open_
         out.append(body)
     fixed = "\n".join(out)
-    return fixed if facts(fixed)["valid"] else code
+    return fixed if facts(fixed)["valid"] else given
 
 
 def with_repaired(df: DataFrame, code: str, out: str = "repaired") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -12,9 +12,12 @@ def append_jsonl(df: DataFrame, path: str) -> None:
 
 
 def write_valid(df: DataFrame, valid: str, path: str, quarantine: str) -> None:
-    """Rows that hold the condition go to path, the others to quarantine."""
-    df.where(valid).write.mode("overwrite").parquet(path)
-    df.where(f"NOT coalesce({valid}, false)").write.mode("overwrite").parquet(quarantine)
+    """Rows that hold the condition go to path, the others to quarantine; what decides is computed once."""
+    from siltstone.session import materialize
+
+    judged = materialize(df.withColumn("_valid", F.coalesce(F.expr(valid), F.lit(False))), "judged")
+    judged.where("_valid").drop("_valid").write.mode("overwrite").parquet(path)
+    judged.where("NOT _valid").drop("_valid").write.mode("overwrite").parquet(quarantine)
 
 
 def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -29,3 +32,35 @@ def monolith(df: DataFrame, group: str, order: str, text: str) -> DataFrame:
     """(group, text): the texts of a group in order, joined by blank lines."""
     parts = F.array_sort(F.collect_list(F.struct(order, text)))
     return df.groupBy(group).agg(F.array_join(F.transform(parts, lambda p: p[text]), "\n\n").alias(text))
+
+
+def write_summary(df: DataFrame, path: str, by: str) -> None:
+    """One JSON summary a value of by, replaced as a whole when written again."""
+    df.repartition(F.col(by)).write.mode("overwrite").partitionBy(by).json(path)
+
+
+def upsert_log(spark: SparkSession, path: str, stage: DataFrame, keys: list[str], order: str) -> int:
+    """Upsert stage rows into a table of logs, which is replaced whole; a table that cannot be read is put aside and begun anew.
+
+    The new table is written beside the old one and takes its place by renames, so readers see one or the other. Returns how
+    many rows the log holds.
+    """
+    jvm = spark.sparkContext._jvm
+    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    old = None
+    if fs.exists(at(path)):
+        try:
+            old = spark.read.parquet(path)
+            old.limit(1).count()
+        except Exception:  # whatever the reader finds wrong with it
+            fs.rename(at(path), at(f"{path}.corrupted"))
+            old = None
+    rows = upsert(old.select(*stage.columns), stage, keys, order) if old is not None else stage
+    fs.delete(at(f"{path}.tmp"), True)
+    rows.write.parquet(f"{path}.tmp")
+    if old is not None:
+        fs.delete(at(f"{path}.old"), True)
+        fs.rename(at(path), at(f"{path}.old"))
+    fs.rename(at(f"{path}.tmp"), at(path))
+    return spark.read.parquet(path).count()

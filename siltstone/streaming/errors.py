@@ -65,3 +65,13 @@ def adaptive_factor(stream: DataFrame) -> DataFrame:
         yield pd.DataFrame({"user_id": [key[0]], "factor": [factor]})
 
     return stream.groupBy("user_id").applyInPandasWithState(fold, "user_id long, factor double", "factor double", "update", "NoTimeout")
+
+
+def persist_every(stream: DataFrame, path: str, checkpoint: str, seconds: int = 10) -> StreamingQuery:
+    """Append a stream's rows to a table at intervals, not at every event."""
+    return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
+
+
+def compact_upserts(spark: SparkSession, path: str, to: str) -> None:
+    """Write the last state of each key as one table, which stands for all batches up to now."""
+    read_upserts(spark, path).write.mode("overwrite").parquet(to)
