@@ -50,3 +50,23 @@ def import_kind(line: Column) -> tuple[Column, Column]:
     for condition, p, c in reversed(kinds):
         priority, category = F.when(condition, p).otherwise(priority), F.when(condition, c).otherwise(category)
     return priority, category
+
+
+def without_imports(text: Column) -> Column:
+    """The lines that are no imports."""
+    imports = lambda l: F.startswith(F.ltrim(l), F.lit("import ")) | F.startswith(F.ltrim(l), F.lit("from "))
+    return F.array_join(F.filter(F.split(text, "\n"), lambda l: ~imports(l)), "\n")
+
+
+def text_metrics(text: Column) -> dict[str, Column]:
+    """Lines, size, and how often a source animates, writes formulas, makes objects; complexity by lines."""
+    n = lambda p: F.regexp_count(text, F.lit(p)).cast("long")
+    lines = F.size(F.split(text, "\n"))
+    return {
+        "lines": lines.cast("long"),
+        "size_kb": F.round(F.length(text).cast("double") / 1024, 2),
+        "animations": n(r"\.animate\(|\.play\(|self\.play\("),
+        "tex_objects": n(r"(?:Tex|MathTex|Text)\s*\("),
+        "mobjects": n(r"(?:Circle|Square|Dot|Arrow|Line|Rectangle|Polygon)\s*\("),
+        "complexity": F.when(lines < 50, "simple").when(lines < 150, "medium").otherwise("complex"),
+    }

@@ -84,3 +84,17 @@ def _names(word: str, before: list[str]):
         return found
 
     return test
+
+
+def diff_details(a: Column, b: Column) -> list[Column]:
+    """lines_added, lines_removed (distinct), imports_changed, methods_changed, classes_changed."""
+    n = lambda c, w: F.regexp_count(c, F.lit(rf"{w} \w+"))
+    has = lambda c: F.contains(c, F.lit("from manim import"))
+    added, removed, _ = diff_stats(a, b)
+    return [
+        added.alias("lines_added"),
+        removed.alias("lines_removed"),
+        (has(a) != has(b)).alias("imports_changed"),
+        F.abs(n(b, "def") - n(a, "def")).cast("long").alias("methods_changed"),
+        F.abs(n(b, "class") - n(a, "class")).cast("long").alias("classes_changed"),
+    ]

@@ -133,3 +133,22 @@ def confidence_after(df: DataFrame, code: str, valid: str, name: str, runtime: l
     )
     d = df.withColumns({"confidence": F.when(F.col(valid), score).otherwise(0.0), "_r": errors})
     return d.withColumn("use_fallback", ~F.col(valid) | (F.col("confidence") < 0.6) | (F.col("_r") > 3)).drop("_r")
+
+
+def fallback(df: DataFrame, code: str, valid: str, fixes: str, start: str, rules: list[Rule]) -> DataFrame:
+    """df with adjusted (confidence) and triggered: many fixes, a syntax error, risky patterns, several grave risks together.
+
+    fixes: how many were made; start: the confidence so far. Factors: 0.6 from 35 fixes, 0.8 from 30; 0.5 without syntax;
+    1 - weight for each pattern that occurs; 0.7 for two grave risks or more, which is one more.
+    """
+    c, n = F.col(code), F.col(fixes)
+    found = [(r, hits(c, r, "ms")) for r in rules]
+    score = F.col(start) * F.when(n >= 35, 0.6).when(n >= 30, 0.8).otherwise(1.0) * F.when(F.col(valid), 1.0).otherwise(0.5)
+    for r, hit in found:
+        score = score * F.when(hit, 1.0 - r.weight).otherwise(1.0)
+    count = lambda level: sum((hit.cast("int") for r, hit in found if r.level == level), F.lit(0))
+    high = count("high") + (n >= 35).cast("int") + (~F.col(valid)).cast("int")
+    medium = count("medium") + ((n >= 30) & (n < 35)).cast("int")
+    d = df.withColumns({"_h": high, "_m": medium, "_s": score})
+    d = d.withColumn("adjusted", F.col("_s") * F.when(F.col("_h") >= 2, 0.7).otherwise(1.0))
+    return d.withColumn("triggered", (F.col("_h") > 0) | (F.col("adjusted") < 0.7) | (F.col("_m") >= 2)).drop("_h", "_m", "_s")

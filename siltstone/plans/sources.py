@@ -454,3 +454,207 @@ def change_summary(spark, sf):
 
     d = fixer.with_fixed(sources(spark, sf), "code")
     return d.select("p_partkey", F.array_join(rewrite.change_summary(F.col("code"), F.col("fixed.code")), "; ").alias("changes"))
+
+
+_RISK = " * ".join(f"CASE WHEN {_hit(r, 'ms')} THEN {1.0 - r.weight!r} ELSE 1.0 END" for r in R.HIGH_RISK)
+_AT = {p: " + ".join(f"CASE WHEN {_hit(r, 'ms')} THEN 1 ELSE 0 END" for r in R.HIGH_RISK if r.level == p) for p in ("high", "medium")}
+_BROKEN = "ends_with(code, 'Tex(''a''')"
+
+
+@query(
+    "fallback_analysis",
+    f"""SELECT p_partkey, round(c * CASE WHEN high >= 2 THEN 0.7 ELSE 1.0 END, 6)::DOUBLE AS adjusted, high > 0 OR c * CASE WHEN high >= 2 THEN 0.7 ELSE 1.0 END < 0.7 OR medium >= 2 AS triggered
+        FROM (SELECT p_partkey, 0.9::DOUBLE * CASE WHEN broken = 1 THEN 0.5 ELSE 1.0 END * {_RISK} AS c, {_AT['high']} + broken AS high, {_AT['medium']} AS medium
+              FROM (SELECT *, CASE WHEN {_BROKEN} THEN 1 ELSE 0 END AS broken FROM {SQL}))""",
+)
+def fallback_analysis(spark, sf):
+    """Whether a source should go to the fallback: the fixes it needed, its syntax, risky patterns."""
+    d = fixer.with_fixed(syntax.with_facts(sources(spark, sf), "code"), "code")
+    d = d.select("p_partkey", "code", F.col("facts.valid").alias("valid"), F.size("fixed.fixes").alias("n"), F.lit(0.9).alias("start"))
+    return ops.fallback(d, "code", "valid", "n", "start", R.HIGH_RISK).select("p_partkey", F.round("adjusted", 6).alias("adjusted"), "triggered")
+
+
+# What converted code that parses still fails for.
+QUALITY = {
+    "mathtex_list_args": r"MathTex\(\s*\[.*\]\s*\)", "tex_list_args": r"Tex\(\s*\[.*\]\s*\)", "missing_constants": r"\b(DL|DR|UL|UR)\b", "points_access_error": r"\.points\[0\]",
+    "old_animation_methods": r"\.(get_center|get_width|get_height)\(\)", "vgroup_construction_error": r"VGroup\([^)]*\[.*\][^)]*\)",
+}
+_QUALITY = ", ".join(f"CASE WHEN {_n(p)} > 0 THEN '{n}: ' || {_n(p)} || ' instances found' END" for n, p in QUALITY.items())
+
+
+@query(
+    "quality_after",
+    f"""SELECT p_partkey, array_to_string([x FOR x IN [{_QUALITY}, CASE WHEN {_BROKEN} THEN 'Compilation error' END] IF x IS NOT NULL], '; ') AS issues
+        FROM (SELECT p_partkey, fixed AS code FROM {SQL})""",
+)
+def quality_after(spark, sf):
+    """What is left in fixed sources that fails when they run, and whether they compile."""
+    d = fixer.with_fixed(sources(spark, sf), "code").select("p_partkey", F.col("fixed.code").alias("code"))
+    d = syntax.with_facts(d, "code")
+    n = lambda p: F.regexp_count("code", F.lit(p))
+    told = [F.when(n(p) > 0, F.concat(F.lit(f"{name}: "), n(p).cast("string"), F.lit(" instances found"))) for name, p in QUALITY.items()]
+    return d.select("p_partkey", F.array_join(F.array_compact(F.array(*told, F.when(~F.col("facts.valid"), "Compilation error"))), "; ").alias("issues"))
+
+
+_REMOVED = [*D.REMOVED_CLASSES, *D.REMOVED_API_METHODS, *D.REMOVED_METHODS]
+
+
+def _among(names: list[str]) -> str:
+    found = "list_distinct(regexp_extract_all(code, '[A-Za-z_][A-Za-z_0-9]*'))"
+    return f"array_to_string(list_sort(list_filter({found}, lambda x: x IN ({', '.join(map(quoted, names))}))), ',')"
+
+
+@query("api_names", f"SELECT p_partkey, {_among(_REMOVED)} AS removed, {_among(D.NOW_PROPERTIES)} AS properties, {_among(list(D.DEPRECATED))} AS deprecated FROM {SQL}")
+def api_names(spark, sf):
+    """Names of a source that are gone, properties now, or deprecated, by the tables of the library."""
+    names = F.array_distinct(F.regexp_extract_all("code", F.lit("[A-Za-z_][A-Za-z_0-9]*"), F.lit(0)))
+    among = lambda known: F.array_join(F.array_sort(F.filter(names, lambda x: x.isin(known))), ",")
+    return sources(spark, sf).select("p_partkey", among(_REMOVED).alias("removed"), among(D.NOW_PROPERTIES).alias("properties"), among(list(D.DEPRECATED)).alias("deprecated"))
+
+
+@query(
+    "text_metrics",
+    rf"""SELECT p_partkey, len(l)::BIGINT AS lines, round(length(code)::DOUBLE / 1024, 2) AS size_kb, {_n(r'\.animate\(|\.play\(|self\.play\(')}::BIGINT AS animations, {_n(r'(?:Tex|MathTex|Text)\s*\(')}::BIGINT AS tex_objects,
+        {_n(r'(?:Circle|Square|Dot|Arrow|Line|Rectangle|Polygon)\s*\(')}::BIGINT AS mobjects, CASE WHEN len(l) < 50 THEN 'simple' WHEN len(l) < 150 THEN 'medium' ELSE 'complex' END AS complexity FROM {_LINES}""",
+)
+def text_metrics(spark, sf):
+    """Lines, size, animations, formulas and objects of each source."""
+    from siltstone.functions import text as fn
+
+    return sources(spark, sf).select("p_partkey", *[c.alias(n) for n, c in fn.text_metrics(F.col("code")).items()])
+
+
+@query(
+    "import_remainder",
+    f"""SELECT p_partkey, array_to_string(list_filter(l, lambda x: regexp_matches(x, '^ *(import|from) ')), ';') AS imports,
+        md5(array_to_string(list_filter(l, lambda x: NOT regexp_matches(x, '^ *(import|from) ')), chr(10))) AS remainder FROM {_LINES}""",
+)
+def import_remainder(spark, sf):
+    """Import statements of each source, and the rest of its text."""
+    from siltstone.functions import text as fn
+
+    d = snippets.with_blocks(sources(spark, sf), "code")
+    imports = F.transform(F.filter("blocks", lambda b: b["kind"] == "import"), lambda b: b["text"])
+    return d.select("p_partkey", F.array_join(imports, ";").alias("imports"), F.md5(fn.without_imports(F.col("code"))).alias("remainder"))
+
+
+_SET = "list_distinct(string_split({}, chr(10)))"
+
+
+@query(
+    "diff_details",
+    rf"""SELECT p_partkey, len(list_filter({_SET.format('fixed')}, lambda x: NOT list_contains(string_split(code, chr(10)), x)))::BIGINT AS lines_added,
+        len(list_filter({_SET.format('code')}, lambda x: NOT list_contains(string_split(fixed, chr(10)), x)))::BIGINT AS lines_removed, contains(code, 'from manim import') <> contains(fixed, 'from manim import') AS imports_changed,
+        abs(len(regexp_extract_all(fixed, 'def \w+')) - len(regexp_extract_all(code, 'def \w+')))::BIGINT AS methods_changed,
+        abs(len(regexp_extract_all(fixed, 'class \w+')) - len(regexp_extract_all(code, 'class \w+')))::BIGINT AS classes_changed FROM {SQL}""",
+)
+def diff_details(spark, sf):
+    """What differs between a source and its fixed form."""
+    from siltstone.operators import rewrite
+
+    d = fixer.with_fixed(sources(spark, sf), "code")
+    return d.select("p_partkey", *rewrite.diff_details(F.col("code"), F.col("fixed.code")))
+
+
+@query(
+    "snippet_fixes",
+    rf"""SELECT p_partkey, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(code, '\bDL\b', '(DOWN + LEFT)', 'g'), '\bShowCreation\b', 'Create', 'g'), '(\w+)\.points\[0\]', '\1.get_start()', 'g'),
+        '\bVGroup\(\[([^\[\]]*)\]\)', 'VGroup(\1)', 'g')) AS fixed FROM {SQL}""",
+)
+def snippet_fixes(spark, sf):
+    """Sources after four families of fixes for snippets that fail when run."""
+    from siltstone.operators.repair import fix_snippet
+
+    @F.pandas_udf("string")
+    def run(codes: pd.Series) -> pd.Series:
+        return pd.Series([fix_snippet(c, ["direction", "animation", "points", "group"])[0] for c in codes])
+
+    return sources(spark, sf).select("p_partkey", F.md5(run("code")).alias("fixed"))
+
+
+@query(
+    "shared_blocks",
+    f"""WITH b AS (SELECT {_VIDEO}, unnest(['constant:SIZE', 'function:helper_' || p_partkey, 'scene:Part' || p_partkey]) AS block, contains(code, 'Circle(') AS round FROM {SQL}),
+        n AS (SELECT video, block, count(*) AS n FROM b GROUP BY video, block), u AS (SELECT video, bool_or(round) AS uses_circle FROM b GROUP BY video)
+        SELECT video, count(*) FILTER (n > 1) AS shared, count(*) FILTER (n = 1) AS single, any_value(uses_circle) AS uses_circle FROM n JOIN u USING (video) GROUP BY video""",
+)
+def shared_blocks(spark, sf):
+    """How many definitions the sources of a video share, and what any of them needs imported, by substrings."""
+    d = snippets.with_blocks(sources(spark, sf).withColumn("video", F.expr("p_partkey div 10")), "code")
+    named = F.filter("blocks", lambda x: x["kind"].isin("constant", "function", "class", "scene"))
+    b = d.select("video", F.contains("code", F.lit("Circle(")).alias("round"), F.explode(named).alias("b"))
+    n = b.groupBy("video", "b.kind", "b.name").agg(F.count("*").alias("n"), F.bool_or("round").alias("round"))
+    return n.groupBy("video").agg(F.count_if(F.col("n") > 1).alias("shared"), F.count_if(F.col("n") == 1).alias("single"), F.bool_or("round").alias("uses_circle"))
+
+
+@query(
+    "scene_routes",
+    f"""SELECT route, count(*) AS n FROM (SELECT CASE WHEN item_id IS NOT NULL THEN 'manual_fix' WHEN {_BROKEN} THEN 'skipped_low_confidence' WHEN contains(code, '(self, rows, cols=2)') THEN 'failed'
+        ELSE 'systematic_only' END AS route FROM {SQL} LEFT JOIN (SELECT DISTINCT item_id FROM benchmark) ON item_id = p_partkey) GROUP BY route""",
+)
+def scene_routes(spark, sf):
+    """The way each source takes: a manual fix where a table has one, else skipped, converted or failed."""
+    from siltstone.session import table
+
+    manual = table(spark, sf, "benchmark").select(F.col("item_id").alias("p_partkey"), F.lit(True).alias("manual")).distinct()
+    d = converter.with_converted(validators.with_issues(sources(spark, sf), "code", "before_conversion", "before"), "code")
+    d = validators.with_issues(d.withColumn("after", F.col("converted.code")), "after", "before_render", "rest").join(manual, "p_partkey", "left")
+    errors = F.size(F.filter("rest", lambda i: i["severity"] == "error"))
+    route = F.when(F.col("manual"), "manual_fix").when(validators.confidence(F.col("before")) < 0.4, "skipped_low_confidence").when(errors == 0, "systematic_only").otherwise("failed")
+    return d.select(route.alias("route")).groupBy("route").agg(F.count("*").alias("n"))
+
+
+@query(
+    "constant_order",
+    "WITH RECURSIVE d AS (SELECT 0::BIGINT AS node, 0 AS layer UNION ALL SELECT p_partkey, layer + 1 FROM d JOIN part ON p_partkey // 8 = node AND p_partkey > 0) SELECT node, layer::INTEGER AS layer FROM d",
+)
+def constant_order(spark, sf):
+    """Constants in layers, each above what it is made of."""
+    from siltstone.session import table
+
+    p = table(spark, sf, "part").select(F.col("p_partkey").alias("node"))
+    edges = p.where("node > 0").select(F.col("node").alias("src"), F.expr("node div 8").alias("dst"))
+    return graph.layers(p, edges)
+
+
+@query(
+    "vector_helpers",
+    """WITH v AS (SELECT vec_id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, embedding[3]::DOUBLE AS z FROM embeddings)
+        SELECT vec_id, round(sqrt(x * x + y * y + z * z), 6) AS length, round(-y, 6) + 0.0 AS turned_x, round(x, 6) + 0.0 AS turned_y, round(0.75 * x + 0.25 * y, 6) AS mixed, round(3 * 0.25 * 0.25 - 2 * 0.25 * 0.25 * 0.25, 6)::DOUBLE AS rate FROM v""",
+)
+def vector_helpers(spark, sf):
+    """Length, a quarter turn about the third axis, a mixture, and a rate, of the first three components."""
+    from siltstone.functions import vectors as V
+    from siltstone.session import table
+
+    v = table(spark, sf, "embeddings").select("vec_id", F.transform(F.slice("embedding", 1, 3), lambda x: x.cast("double")).alias("v"))
+    axis = F.array(F.lit(0.0), F.lit(0.0), F.lit(1.0))
+    v = v.withColumn("t", V.rotated(F.col("v"), F.lit(3.141592653589793 / 2), axis))
+    other = F.array(F.get("v", F.lit(1)), F.get("v", F.lit(2)), F.get("v", F.lit(0)))
+    zero = lambda c: F.round(c, 6) + F.lit(0.0)
+    return v.select(
+        "vec_id",
+        F.round(V.norm(F.col("v")), 6).alias("length"),
+        zero(F.get("t", F.lit(0))).alias("turned_x"),
+        zero(F.get("t", F.lit(1))).alias("turned_y"),
+        F.round(F.get(V.interpolated(F.col("v"), other, 0.25), F.lit(0)), 6).alias("mixed"),
+        F.round(V.smooth(F.lit(0.25)), 6).alias("rate"),
+    )
+
+
+@query(
+    "prompt_terms",
+    r"""SELECT lang, 'Match these terms first: ' || string_agg(term, ', ' ORDER BY n DESC, term) AS prompt FROM (SELECT lang, term, n, row_number() OVER (PARTITION BY lang ORDER BY n DESC, term) AS r FROM (
+        SELECT lang, term, count(*) AS n FROM (SELECT lang, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda w: length(w) > 9))) AS term FROM documents) GROUP BY lang, term)) WHERE r <= 5 GROUP BY lang""",
+)
+def prompt_terms(spark, sf):
+    """A prompt for each language, enriched by the long words that most of its documents have."""
+    from pyspark.sql import Window
+
+    from siltstone.session import table
+
+    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 9))
+    n = table(spark, sf, "documents").select("lang", F.explode(words).alias("term")).groupBy("lang", "term").agg(F.count("*").alias("n"))
+    top = n.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "term"))).where("r <= 5")
+    terms = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "term"))), lambda x: x["term"]), ", ")
+    return top.groupBy("lang").agg(F.concat(F.lit("Match these terms first: "), terms).alias("prompt"))
