@@ -8,24 +8,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 1 << 24
+#: Bits of one part of the bitmap; a part is a row on its way to the driver.
+PART = 1 << 17
 
 
 def marker(keys: DataFrame, *columns: str):
     """A function from columns to a boolean column: false only for rows whose key is none of keys.
 
-    Keys are summed up where they are (BITS / 32 words at most reach the driver, BITS bytes an executor), so that
-    rows without a match need no join; rows that meet a mark by chance must be told apart afterwards.
+    Keys are summed up where they are, and BITS / PART rows of PART / 8 bytes at most reach the driver; the bitmap
+    (BITS / 8 bytes) is broadcast. Rows without a match need no join; rows that meet a mark by chance must be told
+    apart afterwards.
     """
     place = lambda *c: F.pmod(F.xxhash64(*c), F.lit(BITS))
-    words = keys.select(place(*columns).alias("m")).groupBy(F.expr("m div 32").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(m % 32 as int))) AS bits"))
-    marks = np.zeros(BITS // 32, np.uint32)
-    for w, bits in words.collect():
-        marks[w] = bits
-    sent = keys.sparkSession.sparkContext.broadcast(np.unpackbits(marks.view(np.uint8), bitorder="little"))
+    words = keys.select(place(*columns).alias("m")).groupBy(F.expr("m div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(m % 64 as int)))").alias("bits"))
+
+    def join(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(PART // 64, np.int64)
+        part[pdf["w"].to_numpy() % (PART // 64)] = pdf["bits"]
+        return pd.DataFrame({"part": [pdf["w"].iloc[0] // (PART // 64)], "raw": [part.tobytes()]})
+
+    parts = words.groupBy(F.expr(f"w div {PART // 64}").alias("p")).applyInPandas(join, "part long, raw binary")
+    marks = np.zeros(BITS // 8, np.uint8)
+    for part, raw in parts.collect():
+        marks[part * (PART // 8) : (part + 1) * (PART // 8)] = np.frombuffer(raw, np.uint8)
+    sent = keys.sparkSession.sparkContext.broadcast(marks)
 
     @F.pandas_udf("boolean")
     def marked(m: pd.Series) -> pd.Series:
-        return pd.Series(sent.value[m.to_numpy(np.int64)].astype(bool))
+        m = m.to_numpy(np.int64)
+        return pd.Series((sent.value[m >> 3] >> (m & 7).astype(np.uint8)) & 1 == 1)
 
     def of(*c: Column | str) -> Column:
         return marked(place(*c))
