@@ -14,7 +14,8 @@ stay in. Batches of URLs run side by side as numpy rows, longest first, so that
 the URLs that still have a byte; long URLs are matched whole.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path and matches only globs
-that fit ``.``; equal URLs are judged alike; empty input gives no rows; other columns pass through.
+that fit ``.``; repeated rows and equal URLs are judged alike; empty input gives no rows; other columns pass through,
+but for those named like result columns.
 """
 
 from __future__ import annotations
@@ -40,6 +41,10 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return F.translate(host, upper, lower), path
 
 
+#: Bytes of states that are simulated at a time.
+STATES = 32 << 20
+
+
 class GlobAutomaton:
     """Shift-And masks of all globs, and the vectorised simulation."""
 
@@ -64,6 +69,11 @@ class GlobAutomaton:
         self.words = max(1, -(-len(states) // 64))
         self.enter, self.stay = np.zeros((256, self.words), np.uint64), np.zeros((256, self.words), np.uint64)
         self.start = np.zeros(self.words, np.uint64)
+        # Each glob ends in a state of its own.
+        self.accept, self.glob_of = np.zeros(self.words, np.uint64), np.full(64 * self.words, -1)
+        for j, k in enumerate(self.last):
+            self.accept[k // 64] |= np.uint64(1 << (k % 64))
+            self.glob_of[k] = j
         for k, (byte, star) in enumerate(states):
             w, bit = k // 64, np.uint64(1 << (k % 64))
             if byte is None:
@@ -78,8 +88,8 @@ class GlobAutomaton:
             if star == 1:
                 self.stay[ord("/"), w] &= ~bit
 
-    def match(self, urls: list[bytes]) -> np.ndarray:
-        """bool matrix: does URL i fit glob j as a whole?"""
+    def _end(self, urls: list[bytes]) -> np.ndarray:
+        """The states after the whole of each URL."""
         n, size = len(urls), np.fromiter(map(len, urls), np.int64, len(urls))
         order = np.argsort(-size, kind="stable")
         flat, at = np.frombuffer(b"".join(urls), np.uint8), np.concatenate([[0], np.cumsum(size)])[:-1][order]
@@ -92,9 +102,29 @@ class GlobAutomaton:
             up = now << one
             up[:, 1:] |= now[:, :-1] >> top
             d[:k] = (up & self.enter[c]) | (now & self.stay[c])
-        out = np.empty((n, len(self.last)), bool)
-        for j, k in enumerate(self.last):
-            out[order, j] = (d[:, k // 64] >> np.uint64(k % 64)) & one
+        out = np.empty_like(d)
+        out[order] = d
+        return out
+
+    def found(self, urls: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(URL, glob) pairs of whole fits, in order; as many URLs at a time as STATES bytes of states hold."""
+        step = max(1, STATES // (8 * self.words))
+        rows, globs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for lo in range(0, len(urls), step):
+            hits = self._end(urls[lo : lo + step]) & self.accept
+            r, w = np.nonzero(hits)
+            for bit in range(64):
+                on = (hits[r, w] >> np.uint64(bit)) & np.uint64(1) == 1
+                rows.append(r[on] + lo)
+                globs.append(self.glob_of[w[on] * 64 + bit])
+        row, glob = np.concatenate(rows), np.concatenate(globs)
+        order = np.lexsort((glob, row))
+        return row[order], glob[order]
+
+    def match(self, urls: list[bytes]) -> np.ndarray:
+        """bool matrix: does URL i fit glob j as a whole?"""
+        out = np.zeros((len(urls), len(self.last)), bool)
+        out[self.found(urls)] = True
         return out
 
 
@@ -106,8 +136,8 @@ def match_globs(df: DataFrame, host: str, path: str, globs: list[str], out: str
         automaton = GlobAutomaton(globs)
         for b in batches:
             urls = [f".{h}{p}".encode() for h, p in zip(b[host].fillna(""), b[path].fillna(""), strict=True)]
-            fits = automaton.match(urls)
-            b[out] = [np.flatnonzero(r).astype(np.int32) for r in fits]
+            row, glob = automaton.found(urls)
+            b[out] = np.split(glob.astype(np.int32), np.searchsorted(row, np.arange(1, len(urls)))) if urls else []
             yield b
 
     return df.select(*kept).mapInPandas(run, T.StructType([*df.select(*kept).schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
@@ -120,24 +150,21 @@ def filter_urls(df: DataFrame, url: str, rules: list[tuple[bool, str, str]], blo
     rule's; of those that fit, the longest (host and path together, then the earliest) decides.
     blocked: globs that block a URL which no rule fits; what fits nothing is allowed.
     """
-    globs = [f"*.{h}{p}**" for _, h, p in rules] + blocked
+    best = sorted(rules, key=lambda r: -len(r[1] + r[2]))  # stable: the earliest of equals first
+    globs = [f"*.{h}{p}**" for _, h, p in best] + blocked
     host, path = split_url(F.col(url))
     kept = [c for c in df.columns if c not in ("host", "path", "rule", "verdict", "globs")]
     found = match_globs(df.select(*kept, host.alias("host"), path.alias("path")), "host", "path", globs)
-    best = sorted(range(len(rules)), key=lambda i: (-len(rules[i][1] + rules[i][2]), i))
-    rule = verdict = None
-    for i in best:
-        allow, h, p = rules[i]
-        fits = F.array_contains("globs", i)
-        rule = F.when(fits, h + p) if rule is None else rule.when(fits, h + p)
-        verdict = F.when(fits, "allow" if allow else "block") if verdict is None else verdict.when(fits, "allow" if allow else "block")
+    # Rules come first, in the order in which they win: the least place that is a rule's decides.
+    place = F.array_min("globs")
+    of = lambda values, otherwise: F.when(place < len(best), F.get(F.array(*map(F.lit, values)), place)).otherwise(otherwise) if best else otherwise
     default = F.when(F.size("globs") > 0, "block").otherwise("allow")
     return found.select(
         *kept,
         "host",
         "path",
-        (rule if rule is not None else F.lit(None).cast("string")).alias("rule"),
-        (verdict.otherwise(default) if verdict is not None else default).alias("verdict"),
+        of([h + p for _, h, p in best], F.lit(None).cast("string")).alias("rule"),
+        of(["allow" if a else "block" for a, _, _ in best], default).alias("verdict"),
     )
 
 

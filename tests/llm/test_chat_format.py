@@ -38,3 +38,22 @@ def test_long_chain_and_empty(spark):
 def test_cycle(spark):
     with pytest.raises(ValueError, match="cycle"):
         cf.format_reply_trees(spark.createDataFrame([("c", 1, 2, "u", "", 0.0, ""), ("c", 2, 1, "u", "", 0.0, "")], SCHEMA))
+
+
+def test_conversations_against_python(spark):
+    """Ties in turn, repeated rows, null turns and roles, and a very long text, through the same steps as the query."""
+    import hashlib
+
+    rows = [
+        (1, 0, "user", "q" * 400_000), (1, 1, "assistant", "b"), (1, 1, "assistant", "a"), (1, 1, "assistant", "a"),
+        (2, None, None, None), (2, 3, "assistant", "</turn> # \\ <"), (2, 3, None, "x"), (None, 1, "assistant", "only"),
+    ]
+    c = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, node string")
+    out = cf.format_reply_trees(cf.conversation_messages(c)).select("tree", "n_turns", cf.read_turns(F.col("formatted")).alias("t"), cf.read_masked(F.col("formatted"), F.col("loss_mask")).alias("m")).collect()
+    assert len(out) == 3
+    for r in out:
+        own = [x for x in rows if ("null" if x[0] is None else str(x[0])) == r.tree]
+        line = sorted(own, key=lambda x: (x[1] is not None, x[1] or 0, x[2] is not None, x[2] or "", x[3] or ""))
+        digest = lambda turns: hashlib.sha256("".join(f"{a}\n{b}\n" for a, b in turns).encode()).hexdigest()
+        assert digest([(x[2] or "", x[3] or "") for x in line]) == digest([tuple(t) for t in r.t])
+        assert r.m == [x[3] or "" for x in line if x[2] == "assistant"] and r.n_turns == len(own)

@@ -41,6 +41,29 @@ def test_url_cases(spark):
     assert out[10][3] == out[11][3] == "block" and out[12][2:] == ("com/fr/", "allow")
 
 
+def test_url_odd_tables(spark):
+    """An empty table, repeated rows, a very long URL, no rules at all, and rules of equal length."""
+    schema = "page_id long, url string, verdict string"
+    long = "http://a.example.org/es/" + "p/" * 40_000
+    d = spark.createDataFrame([(1, long, "c"), (1, long, "c"), (2, "http://b.net/" + "x" * 50_000 + ".zip", "c"), (3, None, None)], schema)
+    out = sorted((r.page_id, r.rule, r.verdict) for r in url_filter.filter_urls(d, "url", url_filter.RULES, url_filter.BLOCKED).collect() if r.page_id < 3)
+    assert out == [(1, "example.org/es/", "block")] * 2 + [(2, None, "block")]
+    assert url_filter.filter_urls(d.limit(0), "url", url_filter.RULES, url_filter.BLOCKED).count() == 0
+    assert {r.verdict for r in url_filter.filter_urls(d, "url", [], []).collect()} == {"allow"}
+    twice = [(True, "org", "/es/"), (False, "org", "/es/")]
+    assert url_filter.filter_urls(d, "url", twice, []).where("page_id = 1").first().verdict == "allow"
+
+
+def test_many_rules(spark, monkeypatch):
+    """Thousands of rules, and states simulated a few URLs at a time."""
+    monkeypatch.setattr(url_filter, "STATES", 1 << 12)
+    globs = [f"*.h{k}.net/p{k}/**" for k in range(1500)]
+    auto = url_filter.GlobAutomaton(globs)
+    urls = [f".h{k}.net/p{j}/x".encode() for k, j in [(3, 3), (3, 4), (1499, 1499), (700, 700)]]
+    row, glob = auto.found(urls)
+    assert row.tolist() == [0, 2, 3] and glob.tolist() == [3, 1499, 700]
+
+
 def test_quality(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
     scorer = quality.train(docs, labels)
