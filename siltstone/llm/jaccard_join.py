@@ -90,7 +90,7 @@ def _class_ids(h: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """(doc_id, n, cls, bits) of every row, and for every counter of the sketch the rank of its count (four to a doubling)."""
+    """(doc_id, mark, n, cls, bits) of every row, and for every counter of the sketch the rank of its count (four to a doubling)."""
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -108,6 +108,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                 yield rows(
                     hi - lo,
                     doc_id=b.column("doc_id").slice(lo, hi - lo),
+                    mark=b.column("mark").slice(lo, hi - lo),
                     n=pa.array(n.astype(np.int64)),
                     cls=pa.array(_class_ids(h, n)),
                     bits=pa.array(bits, pa.binary()),
@@ -119,8 +120,8 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
             yield rows(CHUNKS, chunk=pa.array(np.arange(CHUNKS, dtype=np.int32)), part=pa.array(part), counts=pa.array(cut, pa.binary()))
         trim()
 
-    kinds = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("bits", pa.binary()), ("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
-    schema = "doc_id long, n long, cls long, bits binary, chunk int, part int, counts binary"
+    kinds = pa.schema([("doc_id", pa.int64()), ("mark", pa.int64()), ("n", pa.int64()), ("cls", pa.int64()), ("bits", pa.binary()), ("chunk", pa.int32()), ("part", pa.int32()), ("counts", pa.binary())])
+    schema = "doc_id long, mark long, n long, cls long, bits binary, chunk int, part int, counts binary"
     made = materialize(docs.mapInArrow(run, schema), "survey")
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -142,7 +143,7 @@ def _survey(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     ranks, w = np.zeros(SKETCH, np.uint8), SKETCH // CHUNKS
     for chunk, raw in sums.collect():  # CHUNKS rows at most, SKETCH bytes together
         ranks[chunk * w : (chunk + 1) * w] = np.frombuffer(zlib.decompress(raw), np.uint8)
-    return made.where("chunk < 0").select("doc_id", "n", "cls", "bits"), ranks
+    return made.where("chunk < 0").select("doc_id", "mark", "n", "cls", "bits"), ranks
 
 
 def _prefixes(h: np.ndarray, n: np.ndarray, ranks: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -409,11 +410,19 @@ def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "ord": np.int32(order)})
 
 
+def text_mark(text: Column | str) -> Column:
+    """64 bits of hash of a text; null counts as empty."""
+    return F.xxhash64(F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit("")))
+
+
 def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, cls, component_id) for each row: the smallest id that links reach, and the set's id."""
+    """(doc_id, mark, n_shingles, cls, component_id) for each row: the smallest id that links reach, and the set's id.
+
+    mark: the text's hash (text_mark), which tells rows of equal ids apart.
+    """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows, ranks = _survey(docs)
+    rows, ranks = _survey(docs.withColumn("mark", text_mark("text")))
     buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
     groups = _groups(docs, ranks, buckets)
     classes = _classes(rows, groups)
@@ -427,7 +436,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))
     named = named.join(ids, "root").select("cls", "component_id")
     return rows.join(named, "cls", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), "cls", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id", "mark", F.col("n").alias("n_shingles"), "cls", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     )
 
 
@@ -450,4 +459,4 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 )
 def op3_jaccard_join(spark, sf):
     """Sizes and components of all documents' shingle sets."""
-    return jaccard_components(table(spark, sf, "documents")).drop("cls")
+    return jaccard_components(table(spark, sf, "documents")).drop("cls", "mark")

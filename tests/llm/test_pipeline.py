@@ -29,3 +29,22 @@ def test_stages(spark):
     assert {r[0] for r in rows[4]} <= set(want) and len(rows[4]) > 0.5 * len(rows[3])
     assert {r[0] for r in rows[5]} == {r[0] for r in rows[4]}
     assert sum(1 for r in rows[5] if r[1] == 0) == len(rows[4])
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Every stage takes an empty table, nulls in all columns, long and repeated rows, and further columns of clashing names."""
+    from tests.llm.cases import DOCS, awkward
+
+    rows = [(*r, "c", 1.0) for r in awkward()] + [(None, None, None, None, None, None, None)]
+    schema = DOCS + ", score string, copy double"
+    spark.createDataFrame([(r[0], 1, 0) for r in rows[:9]] + [(None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for data in (rows, []):
+        for name, stage in cp.STAGES:
+            docs = spark.createDataFrame(data, schema)
+            out = stage(spark, docs, str(tmp_path))
+            if name != cp.STAGES[-1][0]:
+                assert out.columns == docs.columns
+            n = out.count()
+            assert n == 0 if not data else n > 0
+            if data and name == "n-gram Jaccard join":
+                assert {r.doc_id for r in out.select("doc_id").collect()} == {i for i, _, c in components([r[:5] for r in rows]) if i == c}
