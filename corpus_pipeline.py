@@ -1,8 +1,13 @@
 """The corpus pipeline: STAGES over documents, each written as Parquet and read again.
 
 Each stage takes (spark, docs, sf_dir), works on all that its predecessor kept and returns the columns of
-documents; the last returns the packed pieces. Of a group of near duplicates the smallest id stays (rows of
-that id, should it repeat, stay together); null ids are ids like others.
+documents; the last returns the packed pieces. Of a group of near duplicates the smallest id stays; rows of one id are
+judged each by its own text, so that of equal ids those stay whose text belongs to a group of that smallest id.
+
+Defined cases: null text counts as empty everywhere, and empty texts are near duplicates of nothing; a null id never names
+a group that has another, and is smaller than all for repeated substrings; repeated rows are rows of their own; long
+texts are taken whole; further columns pass through all stages but the last, whatever their names; an empty table gives
+an empty table of the same columns.
 """
 
 from __future__ import annotations
@@ -10,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltstone.llm.jaccard_join import jaccard_components
+from siltstone.llm.jaccard_join import jaccard_components, text_mark
 from siltstone.llm.marks import marker
 from siltstone.llm.mixing import mix_sources
 from siltstone.llm.packing import pack_documents
@@ -27,15 +32,15 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each component of the Jaccard join."""
-    found = jaccard_components(docs)
-    gone = materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct(), "gone")
-    may_go = marker(gone, "doc_id")
-    named = docs.withColumn("_may_go", may_go("doc_id"))
-    named = named.select(*docs.columns, "_may_go")
+    found = jaccard_components(docs).select("doc_id", "component_id", "mark")
+    gone = materialize(found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "mark").distinct(), "gone")
+    may_go = marker(gone, "doc_id", "mark")
+    named = docs.withColumn("_mark", text_mark("text"))
+    named = named.withColumn("_may_go", may_go("doc_id", "_mark")).select(*docs.columns, "_mark", "_may_go")
     # Most documents stay without a join; only those that a mark meets are looked up.
-    stay = named.where("not _may_go").drop("_may_go")
-    asked = named.where("_may_go").drop("_may_go").alias("d")
-    kept = asked.join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")), "left_anti")
+    stay = named.where("not _may_go").select(*docs.columns)
+    asked = named.where("_may_go").alias("d")
+    kept = asked.join(gone.alias("g"), F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d._mark") == F.col("g.mark")), "left_anti")
     return stay.unionByName(kept.select(*docs.columns))
 
 
