@@ -40,11 +40,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where the cluster names none, as in local tests, a folder on this machine is used.
+    Only in one process (a local master), as in tests, a folder on this machine stands in where none is named.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that the driver and all executors of {master} share")
     os.makedirs("/tmp/checkpoints", exist_ok=True)
     path = "file://" + tempfile.mkdtemp(dir="/tmp/checkpoints")
     spark.conf.set("spark.checkpoint.dir", path)
