@@ -6,9 +6,11 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from siltstone.plans.dedup import _DUCK_HASH
+from siltstone.plans.metrics import _DKEY, _KEY
 from siltstone.plans.registry import query, sql_query
 from siltstone.plans.rules import _CODE, code_of
 from siltstone.session import table
+from siltstone.sources.messages import message_sql
 
 sql_query(
     "path_resolution",
@@ -25,28 +27,6 @@ sql_query(
     FROM {documents} d LEFT JOIN {labels} l ON d.doc_id = l.doc_id LEFT JOIN {benchmark} b ON d.doc_id = b.item_id
     """,
 )
-sql_query(
-    "exception_attributes",
-    """
-    SELECT event_id, m.category, m.fixable, m.recoverable FROM {events} e JOIN (
-        SELECT 'error' AS event_type, 'runtime' AS category, true AS fixable, false AS recoverable UNION ALL SELECT 'view', 'none', true, true
-        UNION ALL SELECT 'click', 'timeout', false, true) m ON e.event_type = m.event_type
-    """,
-)
-sql_query(
-    "model_choice",
-    """
-    SELECT doc_id, CASE WHEN doc_id % 3 = 0 AND doc_id % 4 = 1 THEN 'large' WHEN doc_id % 3 = 0 THEN 'medium' WHEN n_chars > 100000 THEN 'large'
-                        WHEN doc_id % 3 = 1 THEN 'medium' ELSE 'large' END AS model FROM {documents}
-    """,
-)
-sql_query(
-    "timestamp_normalise",
-    """
-    SELECT event_id, CAST(CASE WHEN event_id % 2 = 0 THEN CAST(ts AS STRING) ELSE NULL END AS TIMESTAMP) IS NOT NULL AS parsed, year(ts) AS year, month(ts) AS month FROM {events}
-    """,
-    "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN ts END IS NOT NULL AS parsed, year(ts)::INTEGER AS year, month(ts)::INTEGER AS month FROM events",
-)
 sql_query(
     "binomials",
     """
@@ -55,12 +35,6 @@ sql_query(
     """,
     "SELECT r_regionkey AS k, (factorial(10) // (factorial(r_regionkey) * factorial(10 - r_regionkey)))::BIGINT AS choose_10_k, round(pow(0.5::DOUBLE, r_regionkey), 6) AS power FROM region",
 )
-sql_query(
-    "error_samples",
-    """
-    SELECT event_type, count(*) AS n, count(DISTINCT props) AS distinct_errors, min(event_id) AS first_id FROM {events} GROUP BY event_type ORDER BY n DESC, event_type
-    """,
-)
 
 
 @query(
@@ -75,12 +49,6 @@ def manual_fix_lookup(spark, sf):
     return table(spark, sf, "documents").select("doc_id").join(fixes, "doc_id", "left").select("doc_id", F.coalesce("fix", F.lit("none")).alias("fix"))
 
 
-sql_query(
-    "api_lookup",
-    """
-    SELECT p_partkey, p_brand IN ('Brand#11', 'Brand#12') AS removed, p_type LIKE '%STEEL%' AS is_property FROM {part}
-    """,
-)
 
 
 @query(
@@ -184,15 +152,16 @@ def shared_code_factoring(spark, sf):
 
 @query(
     "recovery_fold",
-    "SELECT event_id, event_type = 'error' AND event_id % 8 IN (0, 2) AS recovered FROM events",
+    f"""SELECT event_id, hit AS recovered, md5(CASE WHEN hit THEN 'from manim import *' || chr(10) || code ELSE code END) AS fixed
+        FROM (SELECT event_id, 'self.play(Write(x' || event_id || '))' AS code, regexp_matches(m, 'name ''.*'' is not defined') OR regexp_matches(m, 'ImportError.*manim') AS hit
+              FROM (SELECT event_id, {message_sql(_DKEY)} AS m FROM events))""",
 )
 def recovery_fold(spark, sf):
-    """Which error messages have a fix: the message picks the patterns, the patterns pick the fixes."""
-    from siltstone.sources.samples import MESSAGES, dealt
+    """A line of code for each event, recovered from the event's message: what the message asks for is done to it."""
+    from siltstone.operators import recovery
 
-    m = dealt(MESSAGES, F.col("event_id"))
-    known = m.rlike(r"name '\w+' is not defined") | m.rlike(r"no attribute 'get_\w+'")
-    return table(spark, sf, "events").select("event_id", ((F.col("event_type") == "error") & known).alias("recovered"))
+    e = table(spark, sf, "events").select("event_id", F.expr(message_sql(_KEY)).alias("m"), F.concat(F.lit("self.play(Write(x"), F.col("event_id").cast("string"), F.lit("))")).alias("code"))
+    return recovery.with_recovered(e, "code", "m").select("event_id", "recovery.recovered", F.md5("recovery.code").alias("fixed"))
 
 
 sql_query(

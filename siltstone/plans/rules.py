@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from siltstone import rules as R
 from siltstone.operators import rules as ops
+from siltstone.plans.metrics import _DKEY, _KEY
 from siltstone.plans.registry import query
 from siltstone.session import table
-from siltstone.sources.samples import CODE, MESSAGES, dealt, quoted, sql_dealt
+from siltstone.sources.messages import message_sql
+from siltstone.sources.samples import CODE, dealt, quoted, sql_dealt
 
 _CODE = f"(SELECT doc_id, {sql_dealt(CODE, 'doc_id')} || text AS code FROM documents)"
 
@@ -183,7 +185,7 @@ def _category_sql(c: str) -> tuple[str, str]:
 
 
 _CAT, _KEYINFO = _category_sql("message")
-_MESSAGES = f"(SELECT event_id, {sql_dealt(MESSAGES, 'event_id')} AS message FROM events)"
+_MESSAGES = f"(SELECT event_id, {message_sql(_DKEY)} AS message FROM events)"
 
 
 @query(
@@ -198,7 +200,7 @@ _MESSAGES = f"(SELECT event_id, {sql_dealt(MESSAGES, 'event_id')} AS message FRO
 )
 def error_categorize(spark, sf):
     """Category by pattern table and key, category by word ladder, and the message's general pattern."""
-    e = table(spark, sf, "events").select("event_id", dealt(MESSAGES, F.col("event_id")).alias("message"))
+    e = table(spark, sf, "events").select("event_id", F.expr(message_sql(_KEY)).alias("message"))
     m = F.col("message")
     category, key = ops.first_category(m, R.ERROR_CATEGORIES, "unknown_error")
     words = F.regexp_extract_all(m, F.lit("[0-9A-Za-z_]+"), F.lit(0))

@@ -658,3 +658,24 @@ def prompt_terms(spark, sf):
     top = n.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "term"))).where("r <= 5")
     terms = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("r", "term"))), lambda x: x["term"]), ", ")
     return top.groupBy("lang").agg(F.concat(F.lit("Match these terms first: "), terms).alias("prompt"))
+
+
+def _some(*words: str) -> str:
+    return "(" + " OR ".join(f"contains(code, {quoted(w)})" for w in words) + ")"
+
+
+_KINDS_OF_FIXES = {
+    "config": (0.15, _some("FRAME_WIDTH")), "property": (0.08, _some("get_width()", "get_num_points()")), "parameter": (0.08, _some("invert=False")),
+    "animation": (0.12, _some("ShowCreation")), "class": (0.12, _some("TextMobject", "TexMobject", "(GraphScene)")), "color": (0.04, _some("BLUE_C", "RED_D", "GRAY")),
+}
+
+
+@query(
+    "fixer_confidence",
+    f"""SELECT p_partkey, round(greatest(0.0, least(1.0, 0.75 + {' + '.join(f'CASE WHEN {c} THEN {b} ELSE 0 END' for b, c in _KINDS_OF_FIXES.values())}
+        + CASE WHEN {' OR '.join(_KINDS_OF_FIXES[k][1] for k in ('config', 'animation', 'class'))} THEN 0.1 ELSE 0 END - CASE WHEN {_BROKEN} THEN 0.4 ELSE 0 END)), 6)::DOUBLE AS confidence FROM {SQL}""",
+)
+def fixer_confidence(spark, sf):
+    """How sure the fixer is of each source, by the kinds of fixes that it made and what is left."""
+    d = fixer.with_fixed(sources(spark, sf), "code")
+    return d.select("p_partkey", F.round("fixed.confidence", 6).alias("confidence"))

@@ -26,17 +26,17 @@ UNFIXABLE = [
 # Patterns that lower the confidence in a systematic conversion, by priority; weight is the impact.
 HIGH_RISK = [
     Rule("complex_list_unpacking", r"([a-zA-Z_][a-zA-Z0-9_]*\s*,\s*){2,}[a-zA-Z_][a-zA-Z0-9_]*\s*=\s*\[", "high", 0.3),
-    Rule("nested_list_operations", r"\[\s*\[.*\]\s*\]", "low", 0.1),
-    Rule("list_comprehension_complex", r"\[.*for.*for.*\]", "low", 0.1),
+    Rule("nested_list_operations", r"\[\s*\[.*\]\s*\]", "low", 0.1, fast=r"\A(?>.*?\[\s*\[).*?\]\s*\]"),
+    Rule("list_comprehension_complex", r"\[.*for.*for.*\]", "low", 0.1, fast=r"\A(?>.*?\[)(?>.*?for)(?>.*?for).*?\]"),
     Rule("complex_function_calls", r"\w+\([^)]*\([^)]*\)[^)]*\)", "medium", 0.2),
     Rule("nested_method_chains", r"\w+\([^)]*\)\.[a-zA-Z_][a-zA-Z0-9_]*\([^)]*\)", "low", 0.1),
     Rule("complex_tex_expressions", r"(Tex|MathTex|TextMobject|OldTex)\([^)]*[\[\]{}\\][^)]*\)", "high", 0.3),
     Rule("latex_with_variables", r"(Tex|MathTex|TextMobject|OldTex)\([^)]*%[sdf][^)]*\)", "low", 0.1),
     Rule("nested_animations", r"(Transform|ReplacementTransform)\([^)]*VGroup[^)]*\)", "medium", 0.2),
-    Rule("complex_animation_chains", r"(self\.play|self\.add)\([^)]*,[^)]*,[^)]*,[^)]*\)", "low", 0.1),
-    Rule("nested_conditionals", r"if.*:\s*\n\s+if.*:", "low", 0.1),
-    Rule("complex_loops", r"for.*in.*:\s*\n\s+for.*in.*:", "low", 0.1),
-    Rule("unclosed_parentheses_risk", r"\([^)]*\([^)]*$", "high", 0.3),
+    Rule("complex_animation_chains", r"(self\.play|self\.add)\([^)]*,[^)]*,[^)]*,[^)]*\)", "low", 0.1, fast=r"(self\.play|self\.add)\((?>[^),]*+,){3}[^)]*+\)"),
+    Rule("nested_conditionals", r"if.*:\s*\n\s+if.*:", "low", 0.1, fast=r"\A(?>.*?if).*?:\s*\n\s+if.*?:"),
+    Rule("complex_loops", r"for.*in.*:\s*\n\s+for.*in.*:", "low", 0.1, fast=r"\A(?>.*?for)(?>.*?in).*?:\s*\n\s+for(?>.*?in).*?:"),
+    Rule("unclosed_parentheses_risk", r"\([^)]*\([^)]*$", "high", 0.3, fast=r"\([^()]*+\([^)\n]*+$"),
     Rule("missing_comma_risk", r"\[[^,\]]{20,}\]", "low", 0.1),
 ]
 

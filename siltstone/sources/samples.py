@@ -1,4 +1,4 @@
-"""Small pieces of source code and messages, dealt to the rows of a table to give code operators something to read."""
+"""Small pieces of source code, put in front of texts to give rules over code something to find."""
 
 from __future__ import annotations
 
@@ -15,17 +15,6 @@ CODE = [
     "class Move(ContinualAnimation):\n    CONFIG = {'rate': lambda t: t}\n    def update(self, dt):\n        self.mobject.shift(dt * RIGHT)\n",
     "from math import sin\n\ndef curve(t):\n    return sin(t) + undefined_thing\n\nsquares = [[x * y for x in range(3)] for y in range(3)]\nlines = MathMathTex(r'\\frac{1}{2}')\n",
 ]
-MESSAGES = [
-    "NameError: name 'ShowCreation' is not defined",
-    "ImportError: cannot import name 'Tex' from 'lib'",
-    "AttributeError: 'Scene' object has no attribute 'get_width'",
-    "TypeError: add() takes 2 positional arguments",
-    "SyntaxError: invalid syntax",
-    "Timeout: timed out after 900 seconds in \"/tmp/a/b.py\", line 12",
-    "ValueError: color RED2 not defined here",
-    "KeyError: something else entirely",
-]
-
 
 def dealt(values: list[str], number: Column) -> Column:
     """One of the values by a number."""

@@ -152,3 +152,22 @@ def test_look_ahead_rule(spark):
     d = spark.createDataFrame([("f(x)  # undefined\ng(y)\n",), ("f(x); h(z) # undefined",)], "t string")
     rule = [r for r in R.RUNTIME if r.name == "undefined_functions"]
     assert [r.n for r in d.select(ops.occurrences(F.col("t"), rule).alias("n")).collect()] == [1, 2]
+
+
+def test_fast_patterns_occur_in_the_same_texts(spark):
+    """Patterns without backtracking against the ones they stand for, over random texts of the pieces that they look for."""
+    import re
+
+    from siltstone import rules as R
+    from siltstone.operators import rules as ops
+
+    rng = random.Random(12)
+    pieces = ["(", ")", "[", "]", ",", ":", "\n", "\n  ", " ", "if", "for", "in", "self.add(", "self.play(", "x", "[[", "]]"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(1, 25))) for _ in range(3000)]
+    d = spark.createDataFrame([(t,) for t in texts], "t string")
+    fast = [r for r in R.HIGH_RISK if r.fast]
+    got = d.select("t", *[ops.hits(F.col("t"), r, "ms").alias(r.name) for r in fast]).collect()
+    assert len(fast) == 6
+    for r in fast:
+        want = [re.search(r.pattern, x.t, re.M | re.S) is not None for x in got]
+        assert [x[r.name] for x in got] == want and {True, False} == set(want), r.name
