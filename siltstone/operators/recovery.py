@@ -129,7 +129,7 @@ PATTERNS = [
     Pattern("manimlib imports conversion", r"ModuleNotFoundError.*manimlib|ImportError.*manimlib", _lines(_old_import), 0.90),
     Pattern("Missing custom animations", r"name '(?:FlipThroughNumbers|DelayByOrder|ContinualAnimation)' is not defined",
             _helpers(["FlipThroughNumbers", "DelayByOrder", "CounterclockwiseTransform", "ClockwiseTransform", "ShimmerIn", "ContinualAnimation"], r"\b{}\b", "manimce_custom_animations"), 0.75),
-    Pattern("3Blue1Brown custom classes", r"name '(?:TeacherStudentsScene|PiCreatureScene|Face|SpeechBubble|ThoughtBubble|PiCreature)' is not defined",
+    Pattern("Custom classes", r"name '(?:TeacherStudentsScene|PiCreatureScene|Face|SpeechBubble|ThoughtBubble|PiCreature)' is not defined",
             _subs((r"\b(?:TeacherStudentsScene|PiCreatureScene)\b", "Scene"), (r"(?m)^(\s*)(?!#|pass)(.*\b(?:Face|SpeechBubble|ThoughtBubble|PiCreature|Eyes|Mouth)\(.*)$", r"\1pass  # \2")), 0.80),
     Pattern("InteractiveScene conversion", r"name 'InteractiveScene' is not defined", _subs((r"\bInteractiveScene\b", "Scene")), 0.90),
     Pattern("Color variants", r"name '(?:BLUE_[A-E]|RED_[A-E]|GREEN_[A-E]|YELLOW_[A-E]|PURPLE_[A-E]|MAROON_[A-E])' is not defined", _subs(*_SHADES), 0.85),

@@ -8,11 +8,11 @@ from siltstone.operators.rules import Rule
 LEVELS = ["fixable", "likely_unfixable", "definitely_unfixable"]
 UNFIXABLE = [
     Rule("external_dependency_cv2", r"import\s+cv2|from\s+cv2\s+import", LEVELS[2], category="external_dependency", explanation="OpenCV (cv2) is not available in ManimCE environment"),
-    Rule("external_dependency_displayer", r"import\s+displayer|from\s+displayer\s+import", LEVELS[2], category="external_dependency", explanation="displayer is a custom 3b1b module not available in ManimCE"),
+    Rule("external_dependency_displayer", r"import\s+displayer|from\s+displayer\s+import", LEVELS[2], category="external_dependency", explanation="displayer is a custom module not available in ManimCE"),
     Rule("external_dependency_pygame", r"import\s+pygame|from\s+pygame\s+import", LEVELS[2], category="external_dependency", explanation="pygame is not part of ManimCE"),
     Rule("pi_creature_call", r"\b(ThoughtBubble|SpeechBubble|Face|PiCreature|Randolph|Mortimer|Mathematician)\s*\(", LEVELS[2], category="pi_creature", explanation="Pi Creature animation system is not available in ManimCE"),
     Rule("pi_creature_reference", r"\b(randy|mortimer|randolph|pi_creature)\s*\.", LEVELS[2], category="pi_creature", explanation="Pi Creature character references not available in ManimCE"),
-    Rule("custom_inheritance", r"class\s+\w+\s*\((CycloidScene|PathSlidingScene|MultilayeredScene|PhotonScene|ThetaTGraph|VideoLayout)\)", LEVELS[1], category="custom_inheritance", explanation="Inherits from custom 3b1b scene class not in ManimCE"),
+    Rule("custom_inheritance", r"class\s+\w+\s*\((CycloidScene|PathSlidingScene|MultilayeredScene|PhotonScene|ThetaTGraph|VideoLayout)\)", LEVELS[1], category="custom_inheritance", explanation="Inherits from custom scene class not in ManimCE"),
     Rule("continual_animation", r"class\s+\w+\s*\(.*ContinualAnimation.*\)", LEVELS[1], category="continual_animation", explanation="ContinualAnimation has no direct ManimCE equivalent"),
     Rule("syntax_corruption", r"^SyntaxError:\s+invalid\s+syntax\s+at\s+line\s+1", LEVELS[2], literal=True, category="syntax_corruption", explanation="AST transformation produced structurally broken code"),
     Rule("complex_config", r"CONFIG\s*=\s*\{[^}]*lambda[^}]*\}", LEVELS[1], category="complex_config", explanation="CONFIG contains lambda functions requiring manual refactoring"),
