@@ -21,9 +21,9 @@ _STAGES = ("view", "click", "signup", "purchase")
 def stage_history_pivot(spark, sf):
     """Stages of each video as columns, its latest time, and a flag string."""
     e = table(spark, sf, "events")
-    p = e.groupBy("user_id").pivot("event_type", list(_STAGES)).agg(F.count(F.lit(1))).na.fill(0)
+    p = e.groupBy("user_id").agg(*[F.count_if(F.col("event_type") == s).alias(s) for s in _STAGES], F.max("ts").alias("latest"))
     flags = F.concat(*[F.when(F.col(s) > 0, s[0].upper()).otherwise("-") for s in _STAGES])
-    return p.join(e.groupBy("user_id").agg(F.max("ts").alias("latest")), "user_id").withColumn("flags", flags)
+    return p.withColumn("flags", flags)
 
 
 sql_query(

@@ -135,8 +135,7 @@ def monolith_assembly(spark, sf):
     from siltstone.sources.sinks import monolith
 
     c = table(spark, sf, "conversations").select("conv_id", "turn", F.concat(F.lit("# "), "role", F.lit("\n"), "text").alias("text"), F.length("text").alias("size"))
-    sizes = c.groupBy("conv_id").agg(F.sum("size").alias("size"))
-    return monolith(c, "conv_id", "turn", "text").select("conv_id", F.md5("text").alias("monolith")).join(sizes, "conv_id")
+    return monolith(c, "conv_id", "turn", "text", size=F.sum("size")).select("conv_id", F.md5("text").alias("monolith"), "size")
 
 
 @query(
@@ -167,10 +166,10 @@ def recovery_fold(spark, sf):
 sql_query(
     "term_success_rank",
     """
-    SELECT term, ok, bad, round(rate, 6) AS rate, rank FROM (
-        SELECT term, ok, bad, rate, CAST(row_number() OVER (ORDER BY rate DESC, term) AS BIGINT) AS rank FROM (
-            SELECT term, ok, bad, CASE WHEN ok + bad = 0 THEN 0.5E0 ELSE CAST(ok AS DOUBLE) / (ok + bad) END AS rate FROM (
-                SELECT lower(p_type) AS term, CAST(count_if(p_size > 25) AS BIGINT) AS ok, CAST(count_if(p_size < 10) AS BIGINT) AS bad FROM {part} GROUP BY 1))) WHERE rank <= 5
+    SELECT term, ok, bad, round(rate, 6) AS rate, CAST(row_number() OVER (ORDER BY rate DESC, term) AS BIGINT) AS rank FROM (
+        SELECT term, ok, bad, CASE WHEN ok + bad = 0 THEN 0.5E0 ELSE CAST(ok AS DOUBLE) / (ok + bad) END AS rate FROM (
+            SELECT lower(p_type) AS term, CAST(count_if(p_size > 25) AS BIGINT) AS ok, CAST(count_if(p_size < 10) AS BIGINT) AS bad FROM {part} GROUP BY 1)
+        ORDER BY rate DESC, term LIMIT 5)
     """,
 )
 sql_query(
@@ -226,16 +225,16 @@ def parameter_scenes(spark, sf):
 @query(
     "simple_include",
     f"""
-    SELECT source, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS content, count(*) AS files FROM (
-        SELECT source, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source, {_DUCK_HASH} ORDER BY doc_id) = 1)
-    GROUP BY source
+    SELECT source, video, md5(string_agg(text, chr(10) ORDER BY doc_id)) AS content, count(*) AS files FROM (
+        SELECT source, doc_id // 1000 AS video, doc_id, text FROM documents QUALIFY row_number() OVER (PARTITION BY source, doc_id // 1000, {_DUCK_HASH} ORDER BY doc_id) = 1)
+    GROUP BY source, video
     """,
 )
 def simple_include(spark, sf):
-    """Whole files of each source, in order, without those of equal normalised content, as one text."""
+    """Whole files of each video (a thousand ids of a source), in order, without those of equal normalised content, as one text."""
     from siltstone.operators.dedup import content_hash, keep_first
 
-    d = table(spark, sf, "documents").select("source", "doc_id", F.col("text").alias("part"))
-    first = keep_first(d.withColumn("hash", content_hash(F.col("part"))), ["source", "hash"], ["doc_id"])
+    d = table(spark, sf, "documents").select("source", F.expr("doc_id div 1000").alias("video"), "doc_id", F.col("text").alias("part"))
+    first = keep_first(d.withColumn("hash", content_hash(F.col("part"))), ["source", "video", "hash"], ["doc_id"])
     parts = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "part"))), lambda p: p["part"])
-    return first.groupBy("source").agg(F.md5(F.array_join(parts, "\n")).alias("content"), F.count("*").alias("files"))
+    return first.groupBy("source", "video").agg(F.md5(F.array_join(parts, "\n")).alias("content"), F.count("*").alias("files"))

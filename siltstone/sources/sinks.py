@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -28,10 +28,10 @@ def upsert(old: DataFrame, new: DataFrame, keys: list[str], order: str) -> DataF
     return last.select(*keys, "_r.*")
 
 
-def monolith(df: DataFrame, group: str, order: str, text: str) -> DataFrame:
-    """(group, text): the texts of a group in order, joined by blank lines."""
+def monolith(df: DataFrame, group: str, order: str, text: str, **measures: Column) -> DataFrame:
+    """(group, text): the texts of a group in order, joined by blank lines; measures: further aggregates by name."""
     parts = F.array_sort(F.collect_list(F.struct(order, text)))
-    return df.groupBy(group).agg(F.array_join(F.transform(parts, lambda p: p[text]), "\n\n").alias(text))
+    return df.groupBy(group).agg(F.array_join(F.transform(parts, lambda p: p[text]), "\n\n").alias(text), *[c.alias(n) for n, c in measures.items()])
 
 
 def write_summary(df: DataFrame, path: str, by: str) -> None:
