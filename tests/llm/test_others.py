@@ -209,7 +209,7 @@ def brute_sketch(text):
     low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", low) if x]
     s = [w[k : k + 5] for k in range(len(w) - 4)] if len(w) >= 5 else [w] if w else []
-    h = sorted({hashlib.md5(" ".join(x).encode()).hexdigest()[:16] for x in s})
+    h = sorted({hashlib.md5(" ".join(x).encode()).hexdigest()[: fingerprint.DIGITS] for x in s})
     return w, [x for x in h if x[0] in "0123"]
 
 
@@ -230,7 +230,7 @@ def test_fingerprints(spark, partitions):
         nxt, n = line[k - 1][3], len(t) // 3
         edited = t[: len(t) - n] + nxt[:n]
         a, b, c = map(brute_sketch, (t, edited, nxt))
-        show = lambda s: (hashlib.md5(" ".join(s[0]).encode()).hexdigest()[:16] if s[0] else "") + ":" + "".join(s[1])
+        show = lambda s: (hashlib.md5(" ".join(s[0]).encode()).hexdigest()[: fingerprint.DIGITS] if s[0] else "") + ":" + "".join(s[1])
         want.append((i, len(t), edited, show(a), show(b), round(brute_likeness(a, b), 9), round(brute_likeness(a, c), 9)))
     got = [(r.doc_id, r.n_chars, r.edited, r.f, r.e, round(r.near_edited, 9), round(r.near_next, 9)) for r in out]
     assert sorted(got, key=repr) == sorted(want, key=repr)
@@ -252,7 +252,7 @@ def test_sketches_merge(spark):
         fingerprint.merge(s["a"], s["c"]).alias("m"), "su", fingerprint.containment(s["b"], s["a"]).alias("in_long"), fingerprint.containment(s["a"], s["b"]).alias("in_short"),
         fingerprint.containment(s["c"], fingerprint.merge(s["a"], s["b"])).alias("none"), fingerprint.likeness(fingerprint.merge(s["a"], s["b"]), s["a"]).alias("same"),
     ).first()
-    ends = {hashlib.md5(" ".join((long.split() + other.split())[k : k + 5]).encode()).hexdigest()[:16] for k in range(3996, 4000)}
+    ends = {hashlib.md5(" ".join((long.split() + other.split())[k : k + 5]).encode()).hexdigest()[: fingerprint.DIGITS] for k in range(3996, 4000)}
     assert set(r.su.hashes) - ends == set(r.m.hashes) and r.m.hashes == sorted(r.m.hashes) and r.m.digest is None
     assert r.in_long == 1.0 and abs(r.in_short - 0.1) < 0.03 and r.none == 0.0 and r.same == 1.0
 
