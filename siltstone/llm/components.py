@@ -20,9 +20,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
     state = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # The least are written, so that both sides of the join are plain exchanges and a hub's rows can be split over tasks.
+        least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = materialize(large, "stars")
+        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").select(
             F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("x")
         )

@@ -12,8 +12,8 @@ changes the orders, never the result.
 1. One pass over the texts: sizes, ids (texts of one set are one class from here on) and bitmaps of the sets, and the
    sketch.
 2. One pass: the prefixes of every text under every order, as packed arrays by bucket of the shingle. Buckets
-   keep the groups: prefix shingles that several classes share.
-3. Links first: each group's members are paired with one leader of it; pairs that share a prefix shingle under every
+   keep the groups: prefix shingles that several classes share, each with one of its classes as leader.
+3. Links first: each group's members are paired with its leader; pairs that share a prefix shingle under every
    order are verified, and the components of those links are found. Within a component nothing more has to be known.
 4. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, in larger
    ones bitmaps decide first, block against block of BLOCK members, each pair of blocks a task's unit of its own.
@@ -159,7 +159,10 @@ def _prefixes(h: np.ndarray, n: np.ndarray, ranks: np.ndarray, order: int) -> tu
 
 
 def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
-    """(ord, tok, cls, n, g): the g classes that share a prefix shingle under an order, where g > 1."""
+    """(ord, tok, cls, n, g, lead, lead_n): the g classes that share a prefix shingle under an order, where g > 1.
+
+    lead: one of them, the same class wherever it is in a group, and lead_n its size.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(ranks)  # SKETCH bytes
 
     packed_kinds = pa.schema([("ord", pa.int32()), ("bucket", pa.int32()), ("toks", pa.binary()), ("at", pa.binary()), ("wide", pa.int32()), ("clss", pa.binary()), ("ns", pa.binary())])
@@ -220,12 +223,21 @@ def _groups(docs: DataFrame, ranks: np.ndarray, buckets: int) -> DataFrame:
         _, which, g = np.unique(tok, return_inverse=True, return_counts=True)
         g = g[which]
         keep = g > 1
+        tok, cls, n, g = tok[keep], cls[keep], n[keep], g[keep]
+        if len(tok):
+            first = np.flatnonzero(np.concatenate([[True], tok[1:] != tok[:-1]]))
+            at = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(tok)]])))
+            rank = mix(cls.view(np.uint64) + np.uint64(0x1EAD))  # a bijection: one of a group has the least
+            head = np.flatnonzero(rank == np.minimum.reduceat(rank, first)[at])
+            lead, lead_n = cls[head][at], n[head][at]
+        else:
+            lead, lead_n = cls, n
         trim()
-        tok = (np.int64(bucket) << 32) | tok[keep].astype(np.int64)
-        return pd.DataFrame({"ord": np.int32(order), "tok": tok, "cls": cls[keep], "n": n[keep], "g": g[keep].astype(np.int32)})
+        tok = (np.int64(bucket) << 32) | tok.astype(np.int64)
+        return pd.DataFrame({"ord": np.int32(order), "tok": tok, "cls": cls, "n": n, "g": g.astype(np.int32), "lead": lead, "lead_n": lead_n})
 
     packed = docs.select("text").mapInArrow(run, "ord int, bucket int, toks binary, at binary, wide int, clss binary, ns binary")
-    return materialize(packed.groupBy("ord", "bucket").applyInPandas(meet, "ord int, tok long, cls long, n int, g int"), "groups")
+    return materialize(packed.groupBy("ord", "bucket").applyInPandas(meet, "ord int, tok long, cls long, n int, g int, lead long, lead_n int"), "groups")
 
 
 def _bitmap(h: np.ndarray) -> bytes:
@@ -247,8 +259,7 @@ def _distance(a: bytes, b: bytes) -> int:
 
 def _classes(rows: DataFrame, groups: DataFrame) -> DataFrame:
     """(cls, rep, n, bits) of the classes in groups: the smallest id of each, its size and its bitmap."""
-    asked = groups.select("cls").distinct()
-    some = rows.where(marker(asked, "cls")("cls")).groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").cast("int").alias("n"), F.first("bits").alias("bits"))
+    some = rows.where(marker(groups, "cls")("cls")).groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n").cast("int").alias("n"), F.first("bits").alias("bits"))
     return materialize(some, "classes")
 
 
@@ -319,10 +330,8 @@ def _led(groups: DataFrame) -> DataFrame:
 
     met: the orders, as bits, under which they were found.
     """
-    by = ["ord", "tok"]
-    lead = groups.groupBy(*by).agg(F.min_by(F.struct("cls", "n"), F.xxhash64("cls", F.lit("lead"))).alias("l"))
-    led = groups.join(lead, by).where((F.col("cls") != F.col("l.cls")) & _sizes_fit("n", "l.n"))
-    pairs = led.select(F.least("cls", "l.cls").alias("a"), F.greatest("cls", "l.cls").alias("b"), "ord")
+    led = groups.where((F.col("cls") != F.col("lead")) & _sizes_fit("n", "lead_n"))
+    pairs = led.select(F.least("cls", "lead").alias("a"), F.greatest("cls", "lead").alias("b"), "ord")
     return pairs.groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord))").alias("met"))
 
 
@@ -423,7 +432,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     rows, ranks = _survey(docs.withColumn("mark", text_mark("text")))
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
     groups = _groups(docs, ranks, buckets)
     classes = _classes(rows, groups)
     first = materialize(_verified(_led(groups), classes, docs, groups), "links")
