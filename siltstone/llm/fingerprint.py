@@ -4,10 +4,10 @@ A sketch retains every shingle hash under a fixed FRACTION of the hash range, wh
 follows the text's: the sketch of a union is the union of the sketches (``merge``), and of two texts of very unequal
 length each one's containment in the other can be told from the retained hashes alone. Shingles are five words
 (runs of anything but space and U+0009..U+000D, A-Z lower-cased); a text of one to four words is one shingle, an empty
-one none. A hash is the first 16 hex digits of the md5 of a shingle's words, joined by spaces: FRACTION is a power of
+one none. A hash is the first 12 hex digits of the md5 of a shingle's words, joined by spaces: FRACTION is a power of
 1/16 times a whole number, so that a first digit decides.
 
-Short texts retain few hashes, perhaps none. A sketch therefore also has a digest of the text's words in order (16
+Short texts retain few hashes, perhaps none. A sketch therefore also has a digest of the text's words in order (12
 digits of their md5; "" for no word), which tells equal texts; a merged sketch has none (null). Likeness is 1 for equal digests, else 0 where a text is empty or nothing is retained on either side, else the share of
 retained hashes that both have. As a string: digest, ":", the sorted hashes.
 
@@ -34,7 +34,8 @@ from siltstone.session import materialize, table
 WORDS = 5
 #: Retained: hashes whose first hex digit is under this, so a quarter of all.
 FIRST = "4"
-DIGITS = 16
+#: Hex digits of a hash: 48 bits, an even number of digits.
+DIGITS = 12
 SKETCH = "struct<digest:string,hashes:array<string>>"
 
 
@@ -61,7 +62,7 @@ def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
 
 
 def packed(sketch: Column) -> Column:
-    """The sketch with its hashes as one binary, eight bytes each, to travel."""
+    """The sketch with its hashes as one binary, half a byte a digit, to travel."""
     return F.struct(sketch["digest"].alias("digest"), F.unhex(F.array_join(sketch["hashes"], "")).alias("hashes"))
 
 
