@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import graph, syntax
 from siltstone.plans.registry import query
-from siltstone.session import table
+from siltstone.session import spread, table
 
 
 def _code(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("code"))
+    return spread(table(spark, sf, "documents").select("doc_id", F.col("text").alias("code")))
 
 
 def _facts(spark, sf):

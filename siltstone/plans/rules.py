@@ -8,7 +8,7 @@ from siltstone import rules as R
 from siltstone.operators import rules as ops
 from siltstone.plans.metrics import _DKEY, _KEY
 from siltstone.plans.registry import query
-from siltstone.session import table
+from siltstone.session import spread, table
 from siltstone.sources.messages import message_sql
 from siltstone.sources.samples import CODE, dealt, quoted, sql_dealt
 
@@ -18,7 +18,7 @@ _CODE = f"(SELECT doc_id, {sql_dealt(CODE, 'doc_id')} || text AS code FROM docum
 def code_of(spark, sf):
     """(doc_id, code): sample code in front of each whole document."""
     d = table(spark, sf, "documents")
-    return d.select("doc_id", F.concat(dealt(CODE, F.col("doc_id")), F.col("text")).alias("code"))
+    return spread(d.select("doc_id", "text")).select("doc_id", F.concat(dealt(CODE, F.col("doc_id")), F.col("text")).alias("code"))
 
 
 def _hit(r: ops.Rule, flags: str = "m", c: str = "code") -> str:

@@ -12,7 +12,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from siltstone.session import table
+from siltstone.session import spread, table
 from siltstone.sources.samples import quoted
 
 #: As written; as fixed; as converted. {k}: the part's key, {n}: its size.
@@ -94,4 +94,4 @@ SQL = f"(SELECT p_partkey, p_size, {_source(0)} AS code, {_source(1)} AS fixed,
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(p_partkey, code): a source for each part."""
-    return table(spark, sf_dir, "part").selectExpr("p_partkey", f"{_source(0)} AS code")
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{_source(0)} AS code")
