@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm.registry import query
-from siltstone.session import materialize, table
+from siltstone.session import materialize, spread, table
 
 WORDS = 5
 #: Retained: hashes whose first hex digit is under this, so a quarter of all.
@@ -204,7 +204,7 @@ def _sql_likeness(a: str, b: str) -> str:
 )
 def op10_fingerprints(spark, sf):
     """Fingerprints all documents and their edited texts, and compares them."""
-    out = compare_edited(table(spark, sf, "documents").select("doc_id", "text"))
+    out = compare_edited(spread(table(spark, sf, "documents").select("doc_id", "text")))
     return out.select(
         "doc_id",
         "n_chars",

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.registry import query
-from siltstone.session import table
+from siltstone.session import spread, table
 
 CAPACITY = 2048
 OPEN_BINS = 1 << 16
@@ -192,4 +192,4 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int
 @query("op2_best_fit_packing")
 def op2_best_fit_packing(spark, sf):
     """Packs all documents into sequences of at most 2048 tokens."""
-    return pack_documents(table(spark, sf, "documents"))
+    return pack_documents(spread(table(spark, sf, "documents").select("doc_id", "text")))

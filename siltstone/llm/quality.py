@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from siltstone.llm.registry import query
-from siltstone.session import materialize, table
+from siltstone.session import materialize, spread, table
 
 #: Bounds of the sample of labelled rows.
 MAX_POSITIVE, MAX_CONTRAST = 6000, 6000
@@ -252,5 +252,5 @@ def classify(docs: DataFrame, scorer: Scorer, doc_id: str = "doc_id", text: str
 @query("op6_quality_pu")
 def op6_quality_pu(spark, sf):
     """Scores all documents with a scorer learned on the four folds that are not held out."""
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf, "documents").select("doc_id", "text"))
     return classify(docs, train(docs, table(spark, sf, "labels"))).select("doc_id", "held_out", "score", "predicted")
