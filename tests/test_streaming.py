@@ -40,3 +40,16 @@ def test_adaptive_factor(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.user_id: round(r.factor, 6) for r in spark.table("factors").collect()}
     assert got == {r.user_id: r.factor for r in registry.QUERIES["adaptive_timeout_fold"](spark, SF).collect()}
+
+
+def test_persisted_at_intervals_and_compacted(spark, tmp_path):
+    e = _split(spark, tmp_path)
+    stream = errors.events(spark, str(tmp_path / "in"), e.schema)
+    q = errors.persist_every(stream, str(tmp_path / "log"), str(tmp_path / "cp1"), seconds=1)
+    q.processAllAvailable()
+    q.stop()
+    assert spark.read.parquet(str(tmp_path / "log")).count() == e.count()
+    stream = errors.events(spark, str(tmp_path / "in"), e.schema)
+    errors.upsert_into(errors.error_counts(stream), str(tmp_path / "out"), str(tmp_path / "cp2")).awaitTermination(120)
+    errors.compact_upserts(spark, str(tmp_path / "out"), str(tmp_path / "one"))
+    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "one")).collect()} == {tuple(r) for r in errors.read_upserts(spark, str(tmp_path / "out")).collect()}
