@@ -89,4 +89,4 @@ def double_smooth(t: Column) -> Column:
 def there_and_back_with_pause(t: Column, pause: float = 1 / 3) -> Column:
     """There, a pause, and back."""
     a = 1 / (1 - pause)
-    return F.when(t < 0.5 - pause / 2, smooth(2 * a * t / 1)).when(t < 0.5 + pause / 2, 1.0).otherwise(smooth(2 * a * (1 - t)))
+    return F.when(t < 0.5 - pause / 2, smooth(2 * a * t)).when(t < 0.5 + pause / 2, 1.0).otherwise(smooth(2 * a * (1 - t)))
