@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from siltstone.operators import graph, syntax
+from siltstone.operators import converter, graph, syntax
 from siltstone.plans.registry import query
 from siltstone.session import spread, table
 
@@ -66,8 +66,9 @@ def code_repair(spark, sf):
 
 @query("conversion_routing")
 def conversion_routing(spark, sf):
-    """Each source takes the first way that works: systematic conversion, fallback, a manual fix."""
-    c = syntax.with_converted(_code(spark, sf), "code")
-    method = F.when(F.col("converted.valid"), "systematic_only").when(F.col("doc_id") % 3 == 0, "model_fallback")
-    method = method.when(F.col("doc_id") % 5 == 0, "manual_fix").otherwise("failed")
-    return c.select(method.alias("method")).groupBy("method").agg(F.count("*").alias("n"))
+    """Each source takes the first way that works: its tree, its tree after repair, its text; else it fails."""
+    d = converter.with_converted(syntax.with_repaired(_code(spark, sf), "code"), "code")
+    d = syntax.with_facts(d, "repaired", "after")
+    changed = F.size(F.map_keys("converted.changes")) > 0
+    method = F.when(F.col("converted.valid"), "systematic_only").when(F.col("after.valid"), "repaired").when(changed, "text_only").otherwise("failed")
+    return d.select(method.alias("method")).groupBy("method").agg(F.count("*").alias("n"))

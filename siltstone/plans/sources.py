@@ -679,3 +679,16 @@ def fixer_confidence(spark, sf):
     """How sure the fixer is of each source, by the kinds of fixes that it made and what is left."""
     d = fixer.with_fixed(sources(spark, sf), "code")
     return d.select("p_partkey", F.round("fixed.confidence", 6).alias("confidence"))
+
+
+@query("parameter_sources", f"SELECT p_partkey, 'Part' || p_partkey AS scene, md5(moved) AS moved, true AS again_none FROM {SQL} WHERE moved IS NOT NULL")
+def parameter_sources(spark, sf):
+    """Sources whose scene takes arguments, with these moved into __init__; what comes out has nothing left to move."""
+
+    @F.pandas_udf("string")
+    def move(codes: pd.Series, scenes: pd.Series) -> pd.Series:
+        return pd.Series([syntax.parameterless(c, s) for c, s in zip(codes, scenes, strict=True)], dtype=object)
+
+    d = syntax.with_facts(sources(spark, sf), "code").select("p_partkey", "code", F.explode("facts.scenes").alias("s")).where("s.parameters > 0")
+    d = d.select("p_partkey", F.col("s.name").alias("scene"), move("code", F.col("s.name")).alias("moved"))
+    return d.select("p_partkey", "scene", F.md5("moved").alias("moved"), move("moved", "scene").isNull().alias("again_none"))

@@ -87,9 +87,26 @@ def _source(form: int) -> str:
     return f"concat({', '.join(pieces)})"
 
 
+def _moved() -> str:
+    """A source whose construct takes arguments, printed from its tree with the arguments moved into __init__."""
+    slots = [f"concat('        ', {_choice(f'(p_partkey + {s}) % {len(STATEMENTS)}', STATEMENTS, 0)}, chr(10))" for s in SLOTS]
+    init = "\n    def __init__(self, rows, cols=2, **kwargs):\n        super().__init__(**kwargs)\n        self.rows = rows\n        self.cols = cols\n\n    def construct(self):\n"
+    pieces = [
+        _choice("p_partkey % 4", IMPORTS, 0),
+        _text("\nSIZE = {n}\n\ndef helper_{k}(x):\n    return x * SIZE\n\nclass Part{k}("),
+        _choice("p_size % 5", BASES, 0),
+        _text("):\n"),
+        f"CASE WHEN p_size % 3 = 0 THEN {_text(CONFIG[0])} ELSE '' END",
+        _text(init),
+        *slots,
+        _text("        self.wait()"),
+    ]
+    return f"CASE WHEN p_partkey % 7 = 3 AND p_partkey % 11 <> 5 THEN concat({', '.join(pieces)}) END"
+
+
 IMPORT_BLOCK = _choice("p_partkey % 4", IMPORTS, 0)
-#: part with code (as written), fixed and converted (null for a broken source), for FROM.
-SQL = f"(SELECT p_partkey, p_size, {_source(0)} AS code, {_source(1)} AS fixed, CASE WHEN p_partkey % 11 <> 5 THEN {_source(2)} END AS converted, {IMPORT_BLOCK} AS imports FROM part)"
+#: part with code (as written), fixed, converted and moved (null where it does not apply), for FROM.
+SQL = f"(SELECT p_partkey, p_size, {_source(0)} AS code, {_source(1)} AS fixed, CASE WHEN p_partkey % 11 <> 5 THEN {_source(2)} END AS converted, {_moved()} AS moved, {IMPORT_BLOCK} AS imports FROM part)"
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,8 @@ def test_documents_are_the_sources(spark, tmp_path):
         "",
         None,
         "A = 1\nB = A\nC = [B]\nplay(ShowCreation(C))\n",
+        "x = f()\n    a, b)\n",
+        "y = (ShowCreation(z)",
         "x = " + "(" * 400 + ")" * 400,
         "x = " + "-" * 20_000 + "1",
         "x\0y",
@@ -56,7 +58,7 @@ def test_documents_are_the_sources(spark, tmp_path):
     assert n["error", "syntax_error"] == sum(not f["valid"] for f in facts) and n["error", "invalid_construct"] == 1
     got = {r.doc_id: (r.valid, r.changes, r.code_md5) for r in run("code_convert")}
     assert got == {k: (m["valid"], sum(m["changes"].values()), None if m["code"] is None else md5(m["code"])) for k, m in enumerate(made)}
-    way = lambda k: "systematic_only" if made[k]["valid"] else "model_fallback" if k % 3 == 0 else "manual_fix" if k % 5 == 0 else "failed"
+    way = lambda k: "systematic_only" if made[k]["valid"] else "repaired" if syntax.facts(syntax.repair(texts[k]))["valid"] else "text_only" if made[k]["changes"] else "failed"
     assert {r.method: r.n for r in run("conversion_routing")} == Counter(map(way, range(len(texts))))
     assert [tuple(r) for r in run("parameter_scenes")] == [(0, "Far", True)]
     assert {r.doc_id: r.repaired_md5 for r in run("code_repair")} == {k: md5(syntax.repair(t)) for k, t in enumerate(texts)}
