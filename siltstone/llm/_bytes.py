@@ -85,6 +85,15 @@ def anchors(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def window_hashes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
+    """A 64-bit hash of the length bytes from each start."""
+    out, step = np.empty(len(starts), np.uint64), 1 << 15
+    within, worth = np.arange(length), _POW[:length]
+    for lo in range(0, len(starts), step):
+        out[lo : lo + step] = (BYTE[data[starts[lo : lo + step, None] + within]] * worth).sum(1, dtype=np.uint64)
+    return mix(out)
+
+
 #: Suffixes that one sort of the refinement takes; a larger bucket is sorted alone.
 SORTED = 1 << 16
 
