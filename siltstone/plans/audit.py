@@ -162,7 +162,8 @@ _MESSAGES = "(SELECT event_id, event_type, user_id, [message] AS m FROM {events}
 def _messages(name: str, text: str) -> None:
     """A query over the events' messages: [messages] is their table."""
     text = text.replace("[messages]", _MESSAGES)
-    sql_query(name, text.replace("[message]", message_sql(_KEY)), text.replace("[message]", message_sql(_DKEY)).replace("{events}", "events"))
+    duck = text.replace("[message]", message_sql(_DKEY)).replace("{events}", "events").replace("/*g*/", ", 'g'")
+    sql_query(name, text.replace("[message]", message_sql(_KEY)), duck)
 
 
 _messages(
@@ -178,12 +179,14 @@ _messages(
     """SELECT event_id, left(m, 500) AS snippet, CASE WHEN length(m) > 100 THEN concat(left(m, 100), '...') ELSE m END AS summary, right(m, 1000) AS stderr_tail,
               CAST(length(m) AS BIGINT) AS n FROM [messages]""",
 )
+# The key line is the last one; /*g*/ becomes the flag that makes DuckDB replace all.
 _KEYLINE = "trim(split_part(g, chr(10), -1))"
+_FILES = """regexp_replace(m, 'File "[^"]+", line [0-9]+', 'File "...", line N'/*g*/)"""
+_OBJECTS = f"regexp_replace({_FILES}, concat(chr(39), '[^', chr(39), ']+', chr(39), ' object'), concat(chr(39), 'X', chr(39), ' object')/*g*/)"
+_MASKED = f"""regexp_replace({_OBJECTS}, '"[^"]+"', '"X"'/*g*/)"""
 _messages(
     "error_generalised",
-    f"SELECT event_id, CASE WHEN contains({_KEYLINE}, ':') THEN split_part({_KEYLINE}, ':', 1) ELSE left(g, 100) END AS pattern FROM (SELECT event_id, {{masked}} AS g FROM [messages])".replace(
-        "{masked}", r"""regexp_replace(regexp_replace(regexp_replace(m, 'File "[^"]+", line [0-9]+', 'File "...", line N'[g]), concat(chr(39), '[^', chr(39), ']+', chr(39), ' object'), concat(chr(39), 'X', chr(39), ' object')[g]), '"[^"]+"', '"X"'[g])"""
-    ).replace("[g]", "/*g*/"),
+    f"SELECT event_id, CASE WHEN contains({_KEYLINE}, ':') THEN split_part({_KEYLINE}, ':', 1) ELSE left(g, 100) END AS pattern FROM (SELECT event_id, {_MASKED} AS g FROM [messages])",
 )
 both(
     "exception_details",
