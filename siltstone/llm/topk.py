@@ -155,7 +155,9 @@ def integers(vector: Column, scale: float = SCALE) -> Column:
     """floor(scale * x) of each component as long; null where the vector takes no part."""
     x = F.transform(vector, lambda v: v.cast("double"))
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    return F.when(whole, F.transform(x, lambda v: F.floor(F.lit(scale) * v)))
+    fits = lambda v: F.abs(F.lit(scale) * v) < float(2**63)
+    beyond = F.raise_error(F.lit("a component does not fit a long")).cast("long")
+    return F.when(whole, F.transform(x, lambda v: F.when(fits(v), F.floor(F.lit(scale) * v)).otherwise(beyond)))
 
 
 def _packed(rows: DataFrame, key: Column, name: str, make) -> DataFrame:

@@ -164,6 +164,9 @@ def test_top_k_large_integers(spark):
     assert [(r.vec_id, r.score) for r in out] == [(1, big * big), (2, 3 - big * big)]
     with pytest.raises(OverflowError):
         topk.products(np.array([[2**62, 0]]), np.array([[4, 0]]))
+    huge = spark.createDataFrame([(0, [1.0, 3e38])], "id long, e array<float>")
+    with pytest.raises(Exception, match="does not fit a long"):
+        huge.select(topk.integers(F.col("e"))).collect()
     assert topk.products(np.array([[2**61, 5]]), np.array([[3, -1]])).tolist() == [[3 * 2**61 - 5]]
 
 
