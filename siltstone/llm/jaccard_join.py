@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltstone.llm._bytes import mix
-from siltstone.llm._memory import trim
+from siltstone.llm._memory import arrow_batches, trim
 from siltstone.llm._shingles import BITS, MAX_BYTES, MAX_DOCS, overlap, shingle_sets
 from siltstone.llm.components import connected_components
 from siltstone.llm.marks import marker
@@ -63,6 +63,8 @@ SMALL = 8
 BEFORE = 4
 #: Members of a large group that a task compares with as many others.
 BLOCK = 2048
+#: Rows that a Python worker gets at once.
+ROWS = 1000
 _FLUSH = 4 << 20
 
 
@@ -431,15 +433,17 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    rows, ranks = _survey(docs.withColumn("mark", text_mark("text")))
-    buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
-    groups = _groups(docs, ranks, buckets)
-    classes = _classes(rows, groups)
-    first = materialize(_verified(_led(groups), classes, docs, groups), "links")
-    comps = connected_components(first)
-    rest = materialize(_verified(_apart(groups, comps, classes), classes, docs), "links")
-    if not rest.isEmpty():
-        comps = connected_components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
+    # Texts go to Python some at a time; what is returned is left to the JVM.
+    with arrow_batches(spark, ROWS):
+        rows, ranks = _survey(docs.withColumn("mark", text_mark("text")))
+        buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+        groups = _groups(docs, ranks, buckets)
+        classes = _classes(rows, groups)
+        first = materialize(_verified(_led(groups), classes, docs, groups), "links")
+        comps = connected_components(first)
+        rest = materialize(_verified(_apart(groups, comps, classes), classes, docs), "links")
+        if not rest.isEmpty():
+            comps = connected_components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
     named = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     named = named.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.llm._memory import arrow_batches
 from siltstone.llm.registry import query
 from siltstone.session import materialize, spread, table
 
@@ -39,6 +40,8 @@ from siltstone.session import materialize, spread, table
 MAX_POSITIVE, MAX_CONTRAST = 6000, 6000
 #: Unlabelled documents that a task holds at once.
 CHUNK = 4096
+#: Texts that a Python worker gets at once.
+ROWS = 2000
 THRESHOLD = 0.3
 FOLDS = 5
 
@@ -186,7 +189,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
 
     # At most the two bounds together; documents of repeated ids are held to them once more below.
     sample = docs.join(F.broadcast(uses), "doc_id").select("text", "use", "order")
-    sample = materialize(sample.mapInPandas(measure, "use string, order long, x binary"), "sample")
+    with arrow_batches(docs.sparkSession, ROWS):
+        sample = materialize(sample.mapInPandas(measure, "use string, order long, x binary"), "sample")
     cut = lambda use, k: sample.where(F.contains("use", F.lit(use))).orderBy("order", F.md5("x")).limit(k).select("x")
     xp, xc = _rows(cut("p", MAX_POSITIVE)), _rows(cut("c", MAX_CONTRAST))
     if len(xp) < 2 or not len(xc):
@@ -222,7 +226,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         if held:
             yield solve()
 
-    learned = materialize(docs.select("text").mapInPandas(learn, "w array<double>, n long, prior double"), "learned")
+    with arrow_batches(spark, ROWS):
+        learned = materialize(docs.select("text").mapInPandas(learn, "w array<double>, n long, prior double"), "learned")
     n, prior = learned.agg(F.sum("n"), F.sum("prior")).first()
     scorer = sent.value[1]
     if n:
