@@ -13,9 +13,12 @@ Template: ``### role: text </turn>\\n`` for each turn. Inside roles and texts ``
 ``<`` becomes ``\\l`` and ``#`` becomes ``\\h`` (in roles also ``:`` becomes ``\\c``), so that no
 control string can occur there and ``read_turns`` inverts it exactly.
 
-Defined cases: null role or text counts as empty; a message whose parent is null or missing is a
-root; null tree ids form one tree; equal node ids in one tree raise no error but yield the paths of
-each copy; a cycle raises ValueError; score ties go to the smaller leaf; empty input gives no rows.
+Every message gets a key of its own first, and replies are joined by it, so rows that share an id stay apart.
+
+Defined cases: null role or text counts as empty; a message whose parent is null or missing is a root; messages of
+null tree form one tree, apart from one called "null"; of messages that share tree and id the first by role, text, score and parent takes
+the replies, the others are leaves, as is a message of null id, so every message is on a path and equal rows give equal
+conversations; a cycle raises ValueError; score ties go to the smaller leaf (null last), then to the smaller text; empty input gives no rows.
 One conversation is one record, so its turns meet in one row; nothing else is gathered.
 """
 
@@ -81,41 +84,38 @@ def read_masked(formatted: Column, mask: Column) -> Column:
     )
 
 
-def leaf_paths(messages: DataFrame) -> DataFrame:
-    """(tree, leaf, node, up): for every leaf each message of its path, up steps above it.
+def with_keys(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """messages (tree, node, parent, role, text, score) with key, and (key, up): the key of the message replied to; both written once."""
+    rank = F.struct(F.md5(F.concat_ws("\n", "role", "text")).alias("digest"), "score", "parent", "key")
+    m = materialize(messages.withColumn("key", F.monotonically_increasing_id()), "messages")
+    first = m.where("node IS NOT NULL").groupBy(F.col("tree").alias("_tree"), F.col("node").alias("_node")).agg(F.min(rank)["key"].alias("up"))
+    links = m.join(first, F.col("tree").eqNullSafe(F.col("_tree")) & (F.col("parent") == F.col("_node")), "left").select("key", "up")
+    return m, materialize(links, "replies")
+
+
+def leaf_paths(links: DataFrame) -> DataFrame:
+    """(leaf, key, at): for every leaf each message of its path, at steps above it.
 
-    messages: (tree string, node long, parent long or null).
+    links: (key long, up long or null), each key once.
     """
-    m = materialize(messages.select("tree", "node", "parent"), "tree")
-    ids = m.select("tree", F.col("node").alias("parent"))
-    jump = materialize(
-        m.where(F.col("parent").isNotNull())
-        .join(ids.distinct(), ["tree", "parent"], "left_semi")
-        .select("tree", "node", F.col("parent").alias("up_node")),
-        "jump",
-    )
-    total, jumps = m.count(), []
+    jump = replies = links.where("up IS NOT NULL").select("key", "up")
+    total, jumps = links.count(), []
     while not jump.isEmpty():
         if 2 ** len(jumps) > max(1, total):
             raise ValueError("the replies hold a cycle")
         jumps.append(jump)
-        above = jump.select("tree", F.col("node").alias("up_node"), F.col("up_node").alias("far"))
-        jump = materialize(
-            jump.join(above, ["tree", "up_node"]).select("tree", "node", F.col("far").alias("up_node")), "jump"
-        )
-    parents = m.where(F.col("parent").isNotNull()).select("tree", F.col("parent").alias("node")).distinct()
-    found = m.join(parents, ["tree", "node"], "left_anti").select(
-        "tree", F.col("node").alias("leaf"), "node", F.lit(0).cast("long").alias("up")
+        above = jump.select(F.col("key").alias("up"), F.col("up").alias("far"))
+        jump = materialize(jump.join(above, "up").select("key", F.col("far").alias("up")), "jump")
+    found = links.join(replies.select(F.col("up").alias("key")).distinct(), "key", "left_anti").select(
+        F.col("key").alias("leaf"), "key", F.lit(0).cast("long").alias("at")
     )
     for k in range(len(jumps) - 1, -1, -1):
-        both = F.array(
-            F.struct("node", "up"), F.struct(F.col("up_node").alias("node"), (F.col("up") + 2**k).alias("up"))
-        )
-        here = F.array(F.struct("node", "up"))
+        here = F.struct("key", "at")
+        both = F.array(here, F.struct(F.col("up").alias("key"), (F.col("at") + 2**k).alias("at")))
         found = (
-            found.join(jumps[k], ["tree", "node"], "left")
-            .select("tree", "leaf", F.explode(F.when(F.col("up_node").isNull(), here).otherwise(both)).alias("x"))
-            .select("tree", "leaf", "x.node", "x.up")
+            found.join(jumps[k], "key", "left")
+            .select("leaf", F.explode(F.when(F.col("up").isNull(), F.array(here)).otherwise(both)).alias("x"))
+            .select("leaf", "x.key", "x.at")
         )
     return found
 
@@ -129,32 +129,34 @@ def format_reply_trees(messages: DataFrame, top_k: int | None = None) -> DataFra
     points, inside the turn's piece of the formatted text (pieces end with END); learn for assistants.
     """
     m = messages.select(
-        F.coalesce(F.col("tree").cast("string"), F.lit("null")).alias("tree"),
+        F.col("tree").cast("string").alias("tree"),
         "node",
         "parent",
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
         F.coalesce(F.col("score").cast("double"), F.lit(0.0)).alias("score"),
     )
+    m, links = with_keys(m)
     head = F.concat(F.lit(START), _escape_role(F.col("role")), F.lit(SEP))
     rows = (
-        leaf_paths(m)
-        .join(m.drop("parent"), ["tree", "node"])
-        .select("tree", "leaf", "up", "role", "score", head.alias("head"), escape(F.col("text")).alias("body"))
+        leaf_paths(links)
+        .join(m.select("key", "tree", "node", "role", "text", "score"), "key")
+        .select("leaf", "at", "tree", "node", "role", "score", head.alias("head"), escape(F.col("text")).alias("body"))
     )
     turn = F.struct(
-        (-F.col("up")).alias("at"),
+        (-F.col("at")).alias("at"),
         F.concat("head", "body", F.lit(END)).alias("piece"),
         (F.col("role") == "assistant").alias("learn"),
         F.length("head").alias("offset"),
         F.length("body").alias("length"),
     )
-    paths = rows.groupBy("tree", "leaf").agg(
-        F.sum("score").alias("branch_score"), F.array_sort(F.collect_list(turn)).alias("turns")
+    own = F.when(F.col("at") == 0, F.struct("tree", "node"))
+    paths = rows.groupBy("leaf").agg(
+        F.max(own).alias("own"), F.sum("score").alias("branch_score"), F.array_sort(F.collect_list(turn)).alias("turns")
     )
     out = paths.select(
-        "tree",
-        "leaf",
+        "own.tree",
+        F.col("own.node").alias("leaf"),
         "branch_score",
         F.size("turns").cast("long").alias("n_turns"),
         F.array_join(F.transform("turns", lambda t: t["piece"]), "").alias("formatted"),
@@ -162,16 +164,23 @@ def format_reply_trees(messages: DataFrame, top_k: int | None = None) -> DataFra
             "turns", lambda t: F.struct(t["learn"].alias("learn"), t["offset"].alias("offset"), t["length"].alias("length"))
         ).alias("loss_mask"),
     )
-    best = Window.partitionBy("tree").orderBy(F.desc("branch_score"), "leaf")
+    best = Window.partitionBy("tree").orderBy(F.desc("branch_score"), F.col("leaf").asc_nulls_last(), F.md5("formatted"))
     out = out.withColumn("branch_rank", F.row_number().over(best))
     return out if top_k is None else out.where(F.col("branch_rank") <= top_k)
 
 
 def conversation_messages(conversations: DataFrame) -> DataFrame:
-    """Messages of the conversations table: each turn replies to the turn before it; ties in turn go by role, then text."""
+    """Messages of the conversations table: each turn replies to the turn before it; ties in turn go by role, then text.
+
+    A message scores its length, so that the longer of two branches ranks first.
+    """
     w = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     return conversations.select(
-        F.col("conv_id").alias("tree"), "role", "text", F.row_number().over(w).cast("long").alias("node"), F.lit(0.0).alias("score")
+        F.col("conv_id").alias("tree"),
+        "role",
+        "text",
+        F.row_number().over(w).cast("long").alias("node"),
+        F.length(F.coalesce("text", F.lit(""))).cast("double").alias("score"),
     ).withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
 
 
@@ -189,10 +198,11 @@ def _esc_sql(c: str) -> str:
         SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
         UNION ALL SELECT -7, 0, 'user', '{_PROBE}' UNION ALL SELECT -7, 1, 'assistant', '{_PROBE}')
     SELECT conv_id, count(*)::BIGINT AS n_turns,
-           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
-           sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-           sum({len(START) + len(SEP) + len(END)} + length(replace({_esc_sql('role')}, ':', '\c')) + length({_esc_sql('text')}))::BIGINT AS formatted_chars
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+           sum({len(START) + len(SEP) + len(END)} + length(replace({_esc_sql('role')}, ':', '\c')) + length({_esc_sql('text')}))::BIGINT AS formatted_chars,
+           sum(length(text))::DOUBLE AS branch_score, 1 AS branch_rank
     FROM c GROUP BY conv_id
     """,
 )
@@ -207,15 +217,17 @@ def op1_chat_format(spark, sf):
     )
     out = format_reply_trees(conversation_messages(c.unionByName(probe)))
     turns, learn = read_turns(F.col("formatted")), F.array_join(read_masked(F.col("formatted"), F.col("loss_mask")), "")
-    out = out.select("tree", "formatted", turns.alias("turns"), learn.alias("learn"))
+    out = out.select("tree", "formatted", "branch_score", "branch_rank", turns.alias("turns"), learn.alias("learn"))
     said = F.array_join(
         F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""
     )
     return out.select(
-        F.when(F.col("tree") != "null", F.col("tree")).cast("long").alias("conv_id"),
+        F.col("tree").cast("long").alias("conv_id"),
         F.size("turns").cast("long").alias("n_turns"),
         F.sha2(said, 256).alias("turns_sha256"),
         F.length("learn").cast("long").alias("loss_chars"),
         F.sha2("learn", 256).alias("loss_sha256"),
         F.length("formatted").cast("long").alias("formatted_chars"),
+        "branch_score",
+        "branch_rank",
     )
