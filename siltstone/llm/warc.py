@@ -3,13 +3,17 @@
 Writer: records are ordered by id (then by a hash of payload and url) and cut into shards of about SHARD_BYTES. The cuts
 come from exact sums of payload bytes over ranges of ids, refined where a range is heavy, down to a single id and within
 it by the hash; so they follow from the rows alone, never from how the input lies in files or from a sample. Each shard is
-sorted and written as ``part-SHARD-ROLL.warc.gz`` files of gzip members, rolled when ROLL_BYTES of compressed bytes are
+sorted and written as ``generation-N/part-SHARD-ROLL.warc.gz`` files of gzip members, rolled when ROLL_BYTES of compressed bytes are
 reached. A file is built under a temporary name and renamed when whole, so a rerun task replaces its files by equal ones.
 The manifest of all files (records, first and last id, bytes, SHA-256) is written as JSON under a temporary
-name and renamed last: that rename commits the archive. Readers take the manifest's files only and verify
-their sizes and digests. All headers (ids, lengths, block and payload digests) are made anew; dates are a
+name of its own and renamed last to ``manifest-N``: that rename commits the archive. Readers take the files of the latest
+manifest only and verify their sizes and digests. All headers (ids, lengths, block and payload digests) are made anew; dates are a
 parameter, ids hash the content, so equal rows give equal bytes, however they are dealt to partitions.
 
+A folder that holds a committed archive is refused before anything is written, unless it is to be replaced: then the next generation
+is written beside it, and readers see the old archive until the new manifest has its name, the new one from then on. A run
+that died left nothing that a reader looks at, and can be repeated: its generation has no manifest and is removed first. ``sweep`` removes what no reader needs. One writer at a time: a manifest whose name is taken meanwhile is an error, not a merge.
+
 Equal payloads of at least REVISIT_BYTES are stored once: the record of the smallest id is the response, the
 others revisit it. Only digests that occur twice or more are joined back to the records.
 
@@ -18,7 +22,7 @@ The archive's folder may be any URI that pyarrow's file systems open on the exec
 Defined cases: null payload counts as empty; null url gives no target header; null id is written without
 an id header and sorts first; records that share the smallest id and the payload are all responses;
 where all ids of a payload are null all are responses; equal rows are equal records side by side, in one shard; empty
-input gives an empty archive; other columns are ignored.
+input gives an empty archive; other columns are ignored; a folder without a manifest cannot be read.
 """
 
 from __future__ import annotations
@@ -27,6 +31,7 @@ import bisect
 import gzip
 import hashlib
 import io
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -42,9 +47,9 @@ from siltstone.session import materialize, scratch, table
 
 ROLL_BYTES = 32 << 20
 #: Payload bytes of a shard; beyond MAX_SHARDS of them shards grow instead, so that the cuts stay small.
-SHARD_BYTES, MAX_SHARDS = 8 << 20, 1 << 16
-#: Ranges of ids that one look at the sizes sums up.
-CELLS = 1 << 18
+SHARD_BYTES, MAX_SHARDS = 8 << 20, 1 << 14
+#: Ranges of ids that one look at the sizes sums up, and brings to the driver.
+CELLS = 1 << 16
 REVISIT_BYTES = 100
 LEVEL = 4
 #: So many rows of a manifest may be broadcast.
@@ -118,7 +123,7 @@ def _cuts(sizes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, list[str]]:
     heavy = [(lo, hi)]
     while heavy:
         heavy.sort()
-        fan = max(16, CELLS // len(heavy))
+        fan = max(4, CELLS // len(heavy))  # a range is heavier than a shard, so there are no more of them than shards
         cells = sizes.withColumn("c", _cell(F.col("at"), heavy, fan)).where("c >= 0")
         cells = cells.groupBy("c").agg(F.sum("size").alias("size"), F.min("at").alias("lo"), F.max("at").alias("hi")).toArrow().to_pylist()
         heavy, hot = [], []
@@ -130,7 +135,7 @@ def _cuts(sizes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, list[str]]:
             else:
                 hot.append(c["lo"])
         if hot:
-            digits = 2 if len(hot) > 64 else 3
+            digits = 1 if len(hot) > CELLS >> 8 else 2 if len(hot) > CELLS >> 12 else 3  # CELLS sums or so
             keys = sizes.where(F.col("at").isin(hot)).groupBy("at", F.left("key", F.lit(digits)).alias("key")).agg(F.sum("size").alias("size"))
             by = {}
             for c in keys.toArrow().to_pylist():
@@ -179,12 +184,69 @@ def _shard(at: Column, key: Column, ids: np.ndarray, keys: list[str]) -> Column:
     return shard(at, key)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system, as the driver's JVM sees them."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _name(kind: str, generation: int) -> str:
+    return f"{kind}-{generation:05d}"
+
+
+def generations(spark: SparkSession, folder: str) -> list[int]:
+    """The committed generations of the archive, in order."""
+    path, fs = _hadoop(spark, folder)
+    if not fs.exists(path):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(path)]
+    return sorted(int(m[1]) for n in names if (m := re.fullmatch(r"manifest-(\d+)", n)))
+
+
+def commit_manifest(spark: SparkSession, folder: str, hidden: str, generation: int) -> None:
+    """Give a written manifest its name, which must be free."""
+    path, fs = _hadoop(spark, f"{folder}/{hidden}")
+    target, _ = _hadoop(spark, f"{folder}/{_name('manifest', generation)}")
+    if fs.exists(target) or not fs.rename(path, target):
+        raise OSError(f"{folder}: manifest {generation} could not be committed")
+    inside, _ = _hadoop(spark, f"{folder}/{_name('manifest', generation)}/{hidden}")
+    if fs.exists(inside):  # another writer's manifest came between: a rename onto a folder moves into it
+        fs.delete(inside, True)
+        raise OSError(f"{folder}: generation {generation} was committed by another writer")
+
+
+def sweep(spark: SparkSession, folder: str) -> int:
+    """Remove what dead runs and older generations left; how many entries went. Not while a writer or an old reader is at work."""
+    path, fs = _hadoop(spark, folder)
+    last = _committed(spark, folder)
+    gone = [f.getPath() for f in fs.listStatus(path) if f.getPath().getName() not in (_name("manifest", last), _name("generation", last))]
+    for p in gone:
+        fs.delete(p, True)
+    return len(gone)
+
+
 def write_warc(
-    pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", payload: str = "html", roll_bytes: int = ROLL_BYTES, date: str = DATE, shard_bytes: int = SHARD_BYTES
+    pages: DataFrame,
+    folder: str,
+    page_id: str = "page_id",
+    url: str = "url",
+    payload: str = "html",
+    roll_bytes: int = ROLL_BYTES,
+    date: str = DATE,
+    shard_bytes: int = SHARD_BYTES,
+    replace: bool = False,
 ) -> DataFrame:
-    """Write and commit the archive; returns its manifest."""
+    """Write and commit the archive; returns its manifest. replace: also where the folder holds one, which stays until the commit."""
     spark = pages.sparkSession
-    _file_system(folder)[0].create_dir(_file_system(folder)[1], recursive=True)
+    known = generations(spark, folder)
+    if known and not replace:
+        raise FileExistsError(f"{folder} holds an archive")
+    generation = known[-1] + 1 if known else 0
+    into = f"{folder}/{_name('generation', generation)}"
+    path, fs = _hadoop(spark, into)
+    if fs.exists(path):  # what a run left that died before its commit
+        fs.delete(path, True)
+    _file_system(into)[0].create_dir(_file_system(into)[1], recursive=True)
     rows = pages.select(
         F.col(page_id).cast("long").alias("page_id"),
         F.col(url).alias("url"),
@@ -214,7 +276,7 @@ def write_warc(
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, base = _file_system(folder)
+        fs, base = _file_system(into)
         shard, files = -1, 0
         parts: list[bytes] = []
         ids: list[int | None] = []
@@ -258,17 +320,23 @@ def write_warc(
         .drop("_at", "_key")
         .mapInPandas(run, _MANIFEST)
     )
-    made.write.json(f"{folder}/manifest.tmp")
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest.tmp")
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(path, jvm.org.apache.hadoop.fs.Path(f"{folder}/manifest")):
-        raise OSError(f"{folder}: the manifest could not be committed")
+    hidden = f".manifest-{uuid.uuid4().hex}.tmp"
+    made.write.json(f"{folder}/{hidden}")
+    commit_manifest(spark, folder, hidden, generation)
     return read_manifest(spark, folder)
 
 
-def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """The files of a committed archive."""
-    return spark.read.schema(_MANIFEST).json(f"{folder}/manifest")
+def _committed(spark: SparkSession, folder: str) -> int:
+    found = generations(spark, folder)
+    if not found:
+        raise FileNotFoundError(f"{folder} holds no committed archive")
+    return found[-1]
+
+
+def read_manifest(spark: SparkSession, folder: str, generation: int | None = None) -> DataFrame:
+    """The files of a committed archive, as of its latest generation or of one given."""
+    generation = _committed(spark, folder) if generation is None else generation
+    return spark.read.schema(_MANIFEST).json(f"{folder}/{_name('manifest', generation)}")
 
 
 _RECORD = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string"
@@ -276,8 +344,9 @@ _RECORD = "page_id long, url string, record_type string, refers_to long, payload
 
 def read_warc(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
     """The records of a committed archive; with_payload adds the stored payload (null for revisits)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(folder)
-    known = read_manifest(spark, folder).select("file", "bytes", "sha256")
+    generation = _committed(spark, folder)  # one look: a manifest committed from here on is not seen
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*.warc.gz").load(f"{folder}/{_name('generation', generation)}")
+    known = read_manifest(spark, folder, generation).select("file", "bytes", "sha256")
     if known.count() <= MOST_BROADCAST:  # else the planner joins them as it sees fit
         known = F.broadcast(known)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "content").join(known, "file")

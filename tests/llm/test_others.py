@@ -191,6 +191,45 @@ def test_warc_round_trip(spark):
     assert warc.write_warc(d.limit(0), empty).count() == 0 and warc.read_warc(spark, empty).count() == 0
 
 
+def test_warc_second_write_and_dead_runs(spark, monkeypatch):
+    """A writer that dies before or after either rename, a second write, and a writer that comes too late."""
+    old = spark.createDataFrame([(k, f"http://a/{k}", f"old {k}" * 50) for k in range(9)], "page_id long, url string, html string")
+    new = spark.createDataFrame([(k, f"http://a/{k}", f"new {k}" * 70) for k in range(20)], "page_id long, url string, html string")
+    read = lambda folder: {r.page_id: bytes(r.payload).decode() for r in warc.read_warc(spark, folder, with_payload=True).collect()}
+    whole = lambda d: {r.page_id: r.html for r in d.collect()}
+    commit, folder = warc.commit_manifest, scratch(spark, "warc")
+
+    def died(*_):
+        raise KeyboardInterrupt
+
+    for first in (old, new):  # parts are named, the manifest is not: nothing can be read, and the run can be repeated
+        monkeypatch.setattr(warc, "commit_manifest", died)
+        with pytest.raises(KeyboardInterrupt):
+            warc.write_warc(first, folder, roll_bytes=300)
+        with pytest.raises(FileNotFoundError):
+            warc.read_warc(spark, folder)
+    monkeypatch.setattr(warc, "commit_manifest", commit)
+    warc.write_warc(old, folder, roll_bytes=300)
+    assert read(folder) == whole(old)
+    with pytest.raises(FileExistsError):
+        warc.write_warc(new, folder)
+    assert read(folder) == whole(old)
+    monkeypatch.setattr(warc, "commit_manifest", died)  # a replacement that dies leaves the old archive
+    with pytest.raises(KeyboardInterrupt):
+        warc.write_warc(new, folder, replace=True)
+    assert read(folder) == whole(old)
+    monkeypatch.setattr(warc, "commit_manifest", lambda *a: (commit(*a), died()))  # dies after the commit
+    with pytest.raises(KeyboardInterrupt):
+        warc.write_warc(new, folder, roll_bytes=300, replace=True)
+    monkeypatch.setattr(warc, "commit_manifest", commit)
+    assert read(folder) == whole(new) and warc.generations(spark, folder) == [0, 1]
+    (late := spark.createDataFrame([("x",)], "file string")).write.json(f"{folder}/.late.tmp")
+    with pytest.raises(OSError, match="could not be committed"):
+        warc.commit_manifest(spark, folder, ".late.tmp", 1)
+    assert late.count() == 1 and warc.sweep(spark, folder) == 6  # four hidden manifests and the older generation
+    assert read(folder) == whole(new) and warc.generations(spark, folder) == [1]
+
+
 def test_warc_bytes_ignore_the_layout(spark):
     """Cuts follow from the rows: other partitions, the same files. Heavy ranges, one heavy id and null ids are cut too."""
     rng = random.Random(6)
