@@ -48,7 +48,7 @@ def _insert(line: str, used: str = "", unless: str = "") -> Fix:
         if (used and not re.search(used, code)) or re.search(unless or re.escape(line), code):
             return code
         lines = code.split("\n")
-        lines.insert(_after_imports(lines), line)
+        lines.insert(_after_imports("\n".join(lines)), line)
         return "\n".join(lines)
 
     return fix

@@ -222,29 +222,14 @@ def parameterless(code: str | None, scene: str) -> str | None:
 
 
 def repair(code: str | None) -> str:
-    """Damage undone where the source does not parse: the rules of repair, then unclosed brackets and missing colons of headers."""
+    """Damage undone where the source does not parse; a source that cannot be mended stays as it is."""
     from siltstone.operators.repair import rules
 
     code = code or ""
     if facts(code)["valid"]:
         return code
-    given, code = code, rules(code)
-    if facts(code)["valid"]:
-        return code
-    out = []
-    for line in code.split("\n"):
-        body = line.rstrip()
-        open_ = sum(body.count(a) - body.count(b) for a, b in ("()", "[]"))
-        if re.match(r"\s*(def|class|if|for|while|else|elif|try|with)\b", body):
-            if body.endswith(":") and open_ > 0:
-                body = body[:-1] + ")" * open_ + ":"
-            elif not body.endswith(":"):
-                body += ")" * max(0, open_) + ":"
-        elif open_ > 0 and body.endswith(")"):
-            body += ")" * open_
-        out.append(body)
-    fixed = "\n".join(out)
-    return fixed if facts(fixed)["valid"] else given
+    mended = rules(code)
+    return mended if facts(mended)["valid"] else code
 
 
 def with_repaired(df: DataFrame, code: str, out: str = "repaired") -> DataFrame:

@@ -228,7 +228,7 @@ def auto_fix(code: str) -> tuple[str, list[str]]:
 
     if "missing_import" in kinds and "from manim import *" not in code:
         lines = code.split("\n")
-        lines.insert(_after_imports(lines), "from manim import *")
+        lines.insert(_after_imports("\n".join(lines)), "from manim import *")
         code = "\n".join(lines)
         done.append("Added missing 'from manim import *'")
     swap(r"from manim_imports_ext import", "from manim import", "Converted manim_imports_ext to manim import")
