@@ -1,20 +1,81 @@
-"""Joins by containment of one text in another."""
+"""Joins by containment of one text in another, through an index of rare grams.
+
+A text lies in another one only if each of its grams does, so it is looked up by the one of them that the other side holds least
+often. Where that gram lies in either text says where the shorter would have to start: pairs for which it would not fit are dropped.
+Only ids and places are joined; texts come back by id, once a pair of ids, and are compared.
+
+Grams that hold more than one in HOT of all places of the long side (HOT of them at most, so their table is broadcast) are dealt out:
+their places to as many salts as their share asks for, and the texts that are looked up by them to all of these.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.session import materialize, spread
+
 GRAM = 4
+#: Characters of a text whose grams are cut at once, so that a gram costs the same wherever it lies.
+PIECE = 256
+#: Grams of a larger share than one in so many are hot.
+HOT = 4096
+
+
+def _windows(text: Column, gram: int) -> Column:
+    """array<struct<piece, tail, before>>: the text in pieces of PIECE characters, each with what follows it, in one pass."""
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+    after = F.concat(F.slice(pieces, 2, F.greatest(F.size(pieces), F.lit(1))), F.array(F.lit("")))
+    return F.transform(F.arrays_zip(pieces.alias("piece"), after.alias("next")), lambda x, k: F.struct(x["piece"].alias("piece"), F.left(x["next"], F.lit(gram)).alias("tail"), (k * PIECE).alias("before")))
+
+
+def gram_places(texts: DataFrame, sizes: Column, gram: int) -> DataFrame:
+    """(id, chars, n, gram, at): every place, from 1, of every gram of the sizes (array<int>, gram at most); of size 0, one at each text's start."""
+    cut = texts.select("id", F.length("text").alias("chars"), sizes.alias("sizes"), F.inline(_windows(F.col("text"), gram)))
+    cut = cut.select("id", "chars", "before", F.concat("piece", "tail").alias("both"), F.length("piece").alias("own"), F.explode(F.array_remove("sizes", 0)).alias("n"))
+    last = F.least(F.length("both") - F.col("n") + 1, F.col("own"))
+    each = cut.where(last >= 1).select("id", "chars", "before", "both", "n", F.explode(F.sequence(F.lit(1), last)).alias("i"))
+    some = each.select("id", "chars", "n", F.substr("both", F.col("i"), F.col("n")).alias("gram"), (F.col("before") + F.col("i")).alias("at"))
+    none = texts.where(F.array_contains(sizes, 0)).select("id", F.length("text").alias("chars"), F.lit(0).alias("n"), F.lit("").alias("gram"), F.lit(1).alias("at"))
+    return some.unionByName(none)
+
+
+def rarest_grams(short: DataFrame, places: DataFrame, gram: int) -> DataFrame:
+    """(id, chars, n, gram, at, many) of the gram of each text of short that occurs least often in places; none where one does not occur.
+
+    A text shorter than gram is its own gram.
+    """
+    own = gram_places(short, F.array(F.least(F.length("text"), F.lit(gram))), gram)
+    counts = places.join(own.select("n", "gram").distinct(), ["n", "gram"], "left_semi").groupBy("n", "gram").agg(F.count("*").alias("many"))
+    counted = own.join(counts, ["n", "gram"], "left").select("id", "chars", F.struct(F.coalesce("many", F.lit(0)).alias("many"), "gram", "at", "n").alias("g"))
+    return counted.groupBy("id", "chars").agg(F.min("g").alias("g")).select("id", "chars", "g.*").where("many > 0")
+
+
+def candidates(short: DataFrame, long: DataFrame, gram: int = GRAM) -> DataFrame:
+    """(short_id, long_id): pairs that share the short text's rarest gram, at a place where it would fit."""
+    sizes = [r[0] for r in short.select(F.least(F.length("text"), F.lit(gram)).alias("n")).distinct().collect()]  # gram + 1 at most
+    places = gram_places(long, F.array(*map(F.lit, sizes)).cast("array<int>"), gram)
+    chosen = materialize(rarest_grams(short, places, gram), "grams")
+    total = max(1, long.agg(F.sum(F.length("text"))).first()[0] or 0)
+    share = F.ceil(F.col("many") * HOT / total).cast("int")
+    hot = chosen.where((F.col("many") * HOT > total) & (F.col("n") > 0)).select("n", "gram", share.alias("salts")).distinct()  # HOT of a size at most
+    salts = F.coalesce("salts", F.when(F.col("n") == 0, HOT).otherwise(1))
+    left = chosen.join(F.broadcast(hot), ["n", "gram"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    right = places.join(F.broadcast(hot), ["n", "gram"], "left").withColumn("salt", F.pmod(F.xxhash64("id"), salts).cast("int"))
+    left = left.select("n", "gram", "salt", F.col("id").alias("short_id"), F.col("chars").alias("short_chars"), F.col("at").alias("into"))
+    right = right.select("n", "gram", "salt", F.col("id").alias("long_id"), F.col("chars").alias("long_chars"), "at")
+    start = F.col("at") - F.col("into") + 1
+    fits = (start >= 1) & (start + F.col("short_chars") - 1 <= F.col("long_chars"))
+    return left.join(right, ["n", "gram", "salt"]).where(fits).select("short_id", "long_id").distinct()
 
 
-def contained_pairs(short: DataFrame, long: DataFrame, text: str, gram: int = GRAM) -> DataFrame:
-    """All columns of short, then all of long, where long's text contains short's.
+def contained_pairs(short: DataFrame, long: DataFrame, gram: int = GRAM) -> DataFrame:
+    """(short_id, long_id) where long's text contains short's.
 
-    A text's first characters, gram at most, must occur in what contains it: that is an equi-join against the distinct
-    substrings of so many characters of the other side, and only its pairs are compared. An empty text lies in all.
+    Both sides: (id, text), each id once. An empty text lies in all, a null one in none and holds none.
     """
-    a = short.select(F.struct(*short.columns).alias("a"), F.left(text, F.lit(gram)).alias("key"))
-    cuts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(gram)), lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - n + 1)), lambda i: F.substr(text, i, n)))))
-    b = long.select(F.struct(*long.columns).alias("b"), F.explode(F.array_distinct(F.concat(cuts, F.array(F.lit(""))))).alias("key"))
-    return a.join(b, "key").where(F.contains(F.col(f"b.{text}"), F.col(f"a.{text}"))).select("a.*", "b.*")
+    short, long = (spread(d.select("id", "text").where("text IS NOT NULL")) for d in (short, long))
+    found = candidates(short, long, gram)
+    a = short.select(F.col("id").alias("short_id"), F.col("text").alias("short_text"))
+    b = long.select(F.col("id").alias("long_id"), F.col("text").alias("long_text"))
+    return found.join(a, "short_id").join(b, "long_id").where(F.contains("long_text", "short_text")).select("short_id", "long_id")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from siltstone.operators import graph
 from siltstone.plans.registry import query, sql_query
-from siltstone.session import table
+from siltstone.session import materialize, table
 
 
 def _tree(spark, sf):
@@ -61,16 +61,35 @@ def graph_unused(spark, sf):
     """,
 )
 def similar_substring_join(spark, sf):
-    """Texts of one side that lie in one of the other, or the other way; joined by a few characters instead of tried all."""
+    """Texts of one side that lie in one of the other, or the other way, found by their rarest grams."""
     from siltstone.operators.substrings import contained_pairs
 
     p = table(spark, sf, "part")
-    a = p.groupBy(F.col("p_brand").alias("t")).agg(F.count("*").alias("n"))
-    b = p.groupBy(F.concat("p_brand", F.lit(" "), "p_type").alias("t")).agg(F.count("*").alias("n"))
-    names = ["left_text", "right_text", "n_left", "n_right"]
-    in_right = contained_pairs(a, b, "t").toDF("left_text", "n_left", "right_text", "n_right").select(*names)
-    in_left = contained_pairs(b, a, "t").toDF("right_text", "n_right", "left_text", "n_left").select(*names)
-    return in_right.unionByName(in_left).distinct()
+    a = p.groupBy(F.col("p_brand").alias("text")).agg(F.count("*").alias("n"), F.min("p_partkey").alias("id"))
+    b = p.groupBy(F.concat("p_brand", F.lit(" "), "p_type").alias("text")).agg(F.count("*").alias("n"), F.min("p_partkey").alias("id"))
+    a, b = materialize(a, "texts"), materialize(b, "texts")
+    both = contained_pairs(a, b).toDF("a", "b").unionByName(contained_pairs(b, a).toDF("b", "a")).distinct()
+    left = a.select(F.col("id").alias("a"), F.col("text").alias("left_text"), F.col("n").alias("n_left"))
+    right = b.select(F.col("id").alias("b"), F.col("text").alias("right_text"), F.col("n").alias("n_right"))
+    return both.join(left, "a").join(right, "b").select("left_text", "right_text", "n_left", "n_right")
+
+
+@query(
+    "passage_containment",
+    """
+    WITH s AS (SELECT DISTINCT item_id, unnest(string_split(text, '. ')) AS t FROM benchmark)
+    SELECT item_id, doc_id, count(*) AS sentences FROM s JOIN documents ON contains(text, t) GROUP BY item_id, doc_id
+    """,
+)
+def passage_containment(spark, sf):
+    """Documents that hold sentences of benchmark items word for word, and how many of them."""
+    from siltstone.operators.substrings import contained_pairs
+
+    s = table(spark, sf, "benchmark").select("item_id", F.explode(F.split("text", r"\. ")).alias("text")).distinct()
+    s = materialize(s.withColumn("id", F.monotonically_increasing_id()), "sentences")
+    found = contained_pairs(s, table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), gram=8)
+    found = found.join(s.select(F.col("id").alias("short_id"), "item_id"), "short_id")
+    return found.groupBy("item_id", F.col("long_id").alias("doc_id")).agg(F.count("*").alias("sentences"))
 
 
 sql_query(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltstone.operators import graph, rewrite, running, stages
+from siltstone.operators import substrings
 from siltstone.operators.substrings import contained_pairs
 from siltstone.sources import files, sinks
 
@@ -117,12 +118,28 @@ def test_depths(spark):
         graph.depths(spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long"), rounds=5)
 
 
-def test_containment(spark):
-    a = spark.createDataFrame([("",), ("x",), ("abc",), ("bcde",), ("abcde",), ("zz",), (None,)], "t string")
-    b = spark.createDataFrame([("abcdef",), ("xx",), ("",), (None,)], "t string")
-    got = {tuple(r) for r in contained_pairs(a, b, "t").toDF("s", "l").collect()}
-    texts = ["", "x", "abc", "bcde", "abcde", "zz"]
-    assert got == {(s, t) for s in texts for t in ("abcdef", "xx", "") if s in t}
+@pytest.mark.parametrize("hot", [1, 3, 4096])
+def test_containment(spark, monkeypatch, hot):
+    """Against trying all pairs: empty, null and short texts, repeats of one gram, overlaps, and hot grams dealt out by salts."""
+    monkeypatch.setattr(substrings, "HOT", hot)
+    monkeypatch.setattr(substrings, "PIECE", 7)
+    rng = random.Random(hot)
+    texts = ["", "x", "abc", "bcde", "abcde", "zz", "aaaaa", "a" * 40, "a" * 60 + "b", "abababab", "éàé", None] + ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+    a = spark.createDataFrame([(k, t, "c") for k, t in enumerate(texts)], "id long, text string, at string")
+    b = spark.createDataFrame([(1000 + k, t, "c") for k, t in enumerate(texts[::-1])], "id long, text string, gram string")
+    got = sorted(tuple(r) for r in contained_pairs(a, b).collect())
+    want = sorted((k, 1000 + j) for k, s in enumerate(texts) for j, t in enumerate(texts[::-1]) if s is not None and t is not None and s in t)
+    assert got == want
+    assert contained_pairs(a.limit(0), b).count() == contained_pairs(a, b.limit(0)).count() == 0
+
+
+def test_containment_looks_up_rare_grams(spark):
+    """At most ten candidates a result, on the parts' brands and types, and texts are joined by id only."""
+    p = spark.read.parquet("/root/testdata/sf0.001/part.parquet")
+    a = p.groupBy(F.col("p_brand").alias("text")).agg(F.min("p_partkey").alias("id"))
+    b = p.groupBy(F.concat("p_brand", F.lit(" "), "p_type").alias("text")).agg(F.min("p_partkey").alias("id"))
+    tried, found = substrings.candidates(a, b), contained_pairs(a, b).count()
+    assert found and tried.count() <= 10 * found and set(tried.columns) == {"short_id", "long_id"}
 
 
 def test_running_sums(spark):
