@@ -43,7 +43,7 @@ ROW_BYTES = 16
 GROUP = 0.01
 #: The share of a part's bytes by which a part, not a shard, may end early or late.
 PART_TOLERANCE = 0.1
-PART_BYTES, MOST_PARTS = 64 << 20, 1 << 13
+PART_BYTES, MOST_PARTS = 16 << 20, 1 << 16
 FAN = 16
 _TOP = 1 << 60
 _RESULT = ("size", "shard", "slot", "part", "row")
@@ -182,7 +182,7 @@ def histogram_shards(
     rows = rows.withColumn("part", _position(list(accumulate(cut, max)), F.col("_k1"), F.col("_k2"), F.col("_u")))
     rows = rows.withColumn("shard", F.floor(F.col("part") / parts).cast("int"))
     inside = Window.partitionBy("shard", "part").orderBy("_k1", "_k2", "_u")
-    rows = rows.repartition("shard", "part").withColumn("row", F.row_number().over(inside) - 1).drop("_k1", "_k2", "_u")
+    rows = rows.repartitionById(shards * parts, "part").withColumn("row", F.row_number().over(inside) - 1).drop("_k1", "_k2", "_u")
     path = folder or scratch(spark, "shards")
     rows.write.partitionBy("shard").parquet(path)
     done = spark.read.schema(rows.schema).parquet(path)
