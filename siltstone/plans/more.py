@@ -206,22 +206,6 @@ def post_conversion_quality(spark, sf):
     return code_of(spark, sf).select("doc_id", ops.occurrences(F.col("code"), R.RUNTIME).alias("issues")).withColumn("clean", F.col("issues") == 0)
 
 
-@query("parameter_scenes")
-def parameter_scenes(spark, sf):
-    """Scenes whose construct takes arguments, moved into __init__; does the result parse?"""
-
-    from siltstone.operators import syntax
-
-    @F.pandas_udf("string")
-    def moved(code: pd.Series, scene: pd.Series) -> pd.Series:
-        return pd.Series([syntax.parameterless(c, s) for c, s in zip(code, scene, strict=True)])
-
-    d = table(spark, sf, "documents").select("doc_id", F.col("text").alias("code"))
-    d = syntax.with_facts(d, "code").select("doc_id", "code", F.explode("facts.scenes").alias("s")).where("s.parameters > 0")
-    d = syntax.with_facts(d.select("doc_id", F.col("s.name").alias("scene"), moved("code", F.col("s.name")).alias("code")), "code")
-    return d.select("doc_id", "scene", "facts.valid")
-
-
 @query(
     "simple_include",
     f"""

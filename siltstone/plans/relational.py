@@ -53,6 +53,61 @@ def graph_unused(spark, sf):
     return graph.unused(nodes, _tree(spark, sf), nodes.join(used.distinct(), "node", "left_semi"))
 
 
+# Documents need each other two and two, and each such pair needs the one of a twentieth of its number.
+_CYCLES = """(SELECT doc_id AS src, CASE WHEN doc_id % 2 = 0 THEN doc_id + 1 ELSE doc_id - 1 END AS dst FROM documents
+    UNION ALL SELECT doc_id, doc_id // 40 * 2 FROM documents WHERE doc_id >= 2 AND doc_id % 2 = 0)"""
+
+
+def _cycles(spark, sf):
+    d = table(spark, sf, "documents").select(F.col("doc_id").alias("src"))
+    other = F.when(F.col("src") % 2 == 0, F.col("src") + 1).otherwise(F.col("src") - 1)
+    up = d.where("src >= 2 AND src % 2 = 0").select("src", F.expr("src div 40 * 2").alias("dst"))
+    return d.select("src", other.alias("dst")).unionByName(up)
+
+
+@query(
+    "graph_components",
+    f"""
+    WITH RECURSIVE e AS {_CYCLES}, n AS (SELECT src AS node FROM e UNION SELECT dst FROM e), p AS (SELECT node AS src, node AS dst FROM n UNION SELECT p.src, e.dst FROM p JOIN e ON p.dst = e.src)
+    SELECT a.src AS node, min(a.dst) AS component FROM p a JOIN p b ON a.src = b.dst AND a.dst = b.src GROUP BY a.src
+    """,
+)
+def graph_components(spark, sf):
+    """Strongly connected components of a graph of many small cycles."""
+    return graph.components(_cycles(spark, sf), rounds=80)
+
+
+@query(
+    "cyclic_layers",
+    """
+    WITH RECURSIVE l AS (SELECT 0::BIGINT AS pair, 0 AS layer UNION ALL SELECT p.pair, l.layer + 1 FROM l JOIN (SELECT DISTINCT doc_id // 2 AS pair FROM documents) p ON p.pair > 0 AND p.pair // 20 = l.pair)
+    SELECT node, layer FROM (SELECT doc_id AS node FROM documents UNION SELECT doc_id + 1 FROM documents WHERE doc_id % 2 = 0) JOIN l ON node // 2 = pair
+    """,
+)
+def cyclic_layers(spark, sf):
+    """An order in which documents can be handled, though they need each other two and two."""
+    e = _cycles(spark, sf)
+    return graph.layers(e.select(F.col("src").alias("node")).union(e.select("dst")), e, rounds=80)
+
+
+_PAIRS = "doc_id AS a, (doc_id * 7919 % (SELECT count(*) FROM documents)) // (1 + doc_id % 97) AS b"
+
+
+@query(
+    "graph_reaches",
+    f"""
+    WITH RECURSIVE e AS {_CYCLES}, p AS (SELECT doc_id AS src, doc_id AS dst FROM documents UNION SELECT p.src, e.dst FROM p JOIN e ON p.dst = e.src)
+    SELECT a, b, EXISTS (SELECT 1 FROM p WHERE p.src = a AND p.dst = b) AS reaches FROM (SELECT DISTINCT {_PAIRS} FROM documents)
+    """,
+)
+def graph_reaches(spark, sf):
+    """Which of a list of pairs are connected by a path: by labels, and by search where they leave it open."""
+    e, d = _cycles(spark, sf), table(spark, sf, "documents")
+    n = d.count()
+    pairs = d.select(F.col("doc_id").alias("a"), F.expr(f"(doc_id * 7919 % {n}) div (1 + doc_id % 97)").alias("b"))
+    return graph.Reachability(e.select(F.col("src").alias("node")).union(e.select("dst")), e, rounds=80).reaches(pairs)
+
+
 @query(
     "similar_substring_join",
     """

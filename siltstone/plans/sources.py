@@ -11,6 +11,7 @@ from siltstone.operators import rules as ops
 from siltstone.plans.registry import query
 from siltstone.plans.rules import _count, _hit
 from siltstone.rules import dialect as D
+from siltstone.sources import generated as G
 from siltstone.sources.generated import SQL, sources
 from siltstone.sources.samples import quoted
 
@@ -692,3 +693,188 @@ def parameter_sources(spark, sf):
     d = syntax.with_facts(sources(spark, sf), "code").select("p_partkey", "code", F.explode("facts.scenes").alias("s")).where("s.parameters > 0")
     d = d.select("p_partkey", F.col("s.name").alias("scene"), move("code", F.col("s.name")).alias("moved"))
     return d.select("p_partkey", "scene", F.md5("moved").alias("moved"), move("moved", "scene").isNull().alias("again_none"))
+
+
+@query(
+    "scope_resolution",
+    f"""
+    WITH stars AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS symbol FROM part)
+    SELECT p_partkey, line, name, CASE WHEN level = 'cross_file' AND p_partkey + 1 NOT IN (SELECT p_partkey FROM part) THEN 'unresolved'
+        WHEN level = 'star' AND name NOT IN (SELECT symbol FROM stars) THEN 'unresolved' ELSE level END AS level FROM {G.uses_sql()}
+    """,
+)
+def scope_resolution(spark, sf):
+    """Where each name that a module reads is found: its scopes, other modules, imports, star imports by an index, builtins."""
+    from siltstone.operators import scopes
+    from siltstone.session import materialize, table
+
+    words = table(spark, sf, "part").select(F.lit("star").alias("module"), F.explode(F.split("p_name", " ")).alias("symbol")).distinct()
+    s = materialize(scopes.with_scopes(G.modules(spark, sf), "p_partkey", "code"), "scopes")
+    return scopes.resolve(s, words).withColumnRenamed("key", "p_partkey")
+
+
+@query(
+    "constant_values",
+    """
+    SELECT p_partkey, 'LIMIT' AS name, '' AS needs, 0 AS layer, 'value' AS state, p_size::VARCHAR AS value, NULL::VARCHAR AS cycle FROM part
+    UNION ALL SELECT p_partkey, 'RATE', 'LIMIT', 1, 'value', (2 * p_size + 1)::VARCHAR, NULL FROM part
+    UNION ALL SELECT p_partkey, 'TOTAL', 'LIMIT,RATE', 2, 'value', (p_size + 1)::VARCHAR, NULL FROM part
+    UNION ALL SELECT p_partkey, 'LEFT', 'RIGHT', NULL, 'cycle', NULL, 'LEFT,RIGHT' FROM part WHERE p_partkey % 5 = 2
+    UNION ALL SELECT p_partkey, 'RIGHT', 'LEFT', NULL, 'cycle', NULL, 'LEFT,RIGHT' FROM part WHERE p_partkey % 5 = 2
+    UNION ALL SELECT p_partkey, 'CALLED', 'LIMIT', 1, 'computed', NULL, NULL FROM part WHERE p_partkey % 5 = 2
+    """,
+)
+def constant_values(spark, sf):
+    """Constants of modules in the order of their needs, with their values, or the cycle that keeps them from one."""
+    from siltstone.operators import constants
+
+    m = G.modules(spark, sf).withColumn("code", F.replace("code", F.lit("global TOTAL\n        TOTAL ="), F.lit("t =")))
+    d = constants.with_constants(m, "code").select("p_partkey", F.inline("constants"))
+    return d.withColumn("needs", F.array_join("needs", ","))
+
+
+_OWNER = "min(p_partkey) OVER (PARTITION BY p_size)"
+_BLOCK = G.module_text("class Base{k}:\n    width = LIMIT\n\n    def grow(self, by):\n        return by + width\n")
+_IMPORT = "'from shared_' || o || '_Base' || o || ' import Base' || o || CASE WHEN o = p_partkey THEN '' ELSE ' as Base' || p_partkey END || chr(10)"
+_GROUPED = f"(SELECT p_partkey, p_size, {_OWNER} AS o, count(*) OVER (PARTITION BY p_size) AS users, {G.MODULE_TEXT} AS code FROM part)"
+
+
+@query(
+    "shared_factored",
+    f"""
+    WITH c AS (SELECT *, CASE WHEN users > 1 THEN replace(code, {_BLOCK}, {_IMPORT}) ELSE code END AS after FROM {_GROUPED})
+    SELECT p_partkey, md5(after) AS after, length(code) AS chars_before, length(after) AS chars_after, CASE WHEN users > 1 THEN 1 ELSE 0 END AS moved, true AS valid FROM c
+    """,
+)
+def shared_factored(spark, sf):
+    """Modules whose shared classes are imported from one place: the code, its size before and after, and whether it parses."""
+    from siltstone.operators import shared
+
+    _, out = shared.share(G.modules(spark, sf), "p_partkey", "code")
+    out = syntax.with_facts(out, "after")
+    return out.select(F.col("key").alias("p_partkey"), F.md5("after").alias("after"), F.length("before").alias("chars_before"), F.length("after").alias("chars_after"), "moved", "facts.valid")
+
+
+@query(
+    "shared_modules",
+    f"""
+    SELECT DISTINCT 'shared_' || o || '_Base' || o AS module, users, md5('LIMIT = ' || p_size || chr(10) || replace({_BLOCK}, 'Base' || p_partkey, 'Base' || o)) AS text
+    FROM {_GROUPED} WHERE users > 1
+    """,
+)
+def shared_modules(spark, sf):
+    """The modules that shared classes went into, with the constants they need, and how many import each."""
+    from siltstone.operators import shared
+
+    modules, _ = shared.share(G.modules(spark, sf), "p_partkey", "code")
+    return modules.select("module", "users", F.md5("text").alias("text"))
+
+
+# Statements that fail, and as recovery leaves them: what an attempt fails with, the statement, the statement after its fix (None: none).
+_TRIES = [
+    (None, "w = Circle()", "w = Circle()"),
+    ("NameError: name 'ShowCreation' is not defined", "self.play(ShowCreation(Circle()))", "self.play(Create(Circle()))"),
+    ("NameError: name 'RED_D' is not defined", "v = RED_D", "v = DARK_RED"),
+    ("TypeError: ImageMobject() got an unexpected keyword argument 'invert'", "im = ImageMobject('f', invert=False)", "im = ImageMobject('f')"),
+    ("NameError: name 'unknowable' is not defined", "q = unknowable + {k}", None),
+]
+
+
+def _try_text(first: int, second: int) -> str:
+    return "from manim import *\n\nclass Part{k}(Scene):\n    def construct(self):\n        " + f"{_TRIES[first][1]}\n        {_TRIES[second][1]}\n"
+
+
+_PICKS = [(a, b) for a in range(len(_TRIES)) for b in range(len(_TRIES))]
+_PICK = f"(p_partkey * 7 + p_size) % {len(_PICKS)}"
+_TRY_CODE = f"CASE {_PICK} " + " ".join(f"WHEN {i} THEN {G.module_text(_try_text(a, b))}" for i, (a, b) in enumerate(_PICKS)) + " END"
+
+
+def _try_history(a: int, b: int) -> list[tuple[int, str | None]]:
+    """(attempt, message) of a source of two statements: each attempt fails with the first statement that is left."""
+    left, out = [x for x in dict.fromkeys((a, b)) if _TRIES[x][0]], []
+    for k in (1, 2, 3):
+        out.append((k, _TRIES[left[0]][0] if left else None))
+        if not left or _TRIES[left[0]][2] is None:
+            break
+        left.pop(0)
+    return out
+
+
+def _try_state(a: int, b: int) -> str:
+    rows = _try_history(a, b)
+    return "clean" if rows[-1] == (1, None) else "recovered" if rows[-1][1] is None else "gave_up"
+
+
+@query(
+    "attempt_history",
+    " UNION ALL ".join(f"SELECT p_partkey, {k} AS attempt, {quoted(m) if m else 'NULL'} AS message FROM part WHERE {_PICK} = {i}" for i, (a, b) in enumerate(_PICKS) for k, m in _try_history(a, b)),
+)
+def attempt_history(spark, sf):
+    """What each attempt at a source failed with."""
+    _, history = _attempts(spark, sf)
+    return history.select(F.col("key").alias("p_partkey"), "attempt", "message")
+
+
+@query(
+    "attempt_states",
+    f"SELECT p_partkey, CASE {_PICK} " + " ".join(f"WHEN {i} THEN {quoted(_try_state(a, b))}" for i, (a, b) in enumerate(_PICKS)) + f" END AS state, CASE {_PICK} "
+    + " ".join(f"WHEN {i} THEN {len(_try_history(a, b))}" for i, (a, b) in enumerate(_PICKS)) + " END AS attempts FROM part",
+)
+def attempt_states(spark, sf):
+    """Where each source ends, and after how many attempts; some recover at the second attempt only."""
+    states, _ = _attempts(spark, sf)
+    return states.select(F.col("key").alias("p_partkey"), "state", "attempts")
+
+
+def _attempts(spark, sf):
+    from siltstone.operators import attempts
+    from siltstone.session import spread, table
+
+    work = spread(table(spark, sf, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{_TRY_CODE} AS code")
+    return attempts.run_attempts(work, "p_partkey", "code")
+
+
+# For each pattern of recovery a message, a source, and the source that its fix must leave.
+_RECOVERIES = [
+    ("ModuleNotFoundError: No module named 'manim'", "x = {k}\n", "from manim import *\nx = {k}\n"),
+    ("ImportError: cannot import manim_imports_ext", "from manim_imports_ext import *\nx = {k}\n", "from manim import *\nx = {k}\n"),
+    ("NameError: name 'reduce' is not defined", "from manim import *\nx = reduce(f, {k})\n", "from manim import *\nfrom functools import reduce\nx = reduce(f, {k})\n"),
+    ("TypeError: 'method' object is not subscriptable", "x = a{k}.get_center[0]\n", "x = a{k}.get_center()[0]\n"),
+    ("TypeError: got an unexpected keyword argument 'invert'", "x = ImageMobject('{k}', invert=True)\n", "x = ImageMobject('{k}')\n"),
+    ("NameError: name 'GrowFromCenter' is not defined", "from manim import *\nx = GrowFromCenter(a{k})\n", "from manim import *\nx = FadeIn(a{k})\n"),
+    ("NameError: name 'ShowCreation' is not defined", "from manim import *\nx = ShowCreation(a{k})\n", "from manim import *\nx = Create(a{k})\n"),
+    ("NameError: name 'ApplyMethod' is not defined", "from manim import *\nx = ApplyMethod(a{k}.shift, UP)\n", "from manim import *\nx = a{k}.animate.shift(UP)\n"),
+    ("NameError: name 'Transform' is not defined", "from manim import *\nx = Transform(a{k}, b)\n", "from manim import *\nx = ReplacementTransform(a{k}, b)\n"),
+    ("ModuleNotFoundError: No module named 'cv2'", "import cv2\nx = {k}\n", "# import cv2  # Commented out - ManimGL specific\nx = {k}\n"),
+    ("ImportError: cannot find manimlib", "from manim import *\nfrom manimlib.a import b\nx = {k}\n", "from manim import *\nfrom manim import *  # Converted from manimlib import\n# Original: from manimlib.a import b\nx = {k}\n"),
+    ("NameError: name 'DelayByOrder' is not defined", "from manim import *\nx = DelayByOrder({k})\n", "from manim import *\nfrom manimce_custom_animations import DelayByOrder\nx = DelayByOrder({k})\n"),
+    ("NameError: name 'PiCreatureScene' is not defined", "from manim import *\nclass A{k}(PiCreatureScene):\n    a = 1\n", "from manim import *\nclass A{k}(Scene):\n    a = 1\n"),
+    ("NameError: name 'InteractiveScene' is not defined", "from manim import *\nclass A{k}(InteractiveScene):\n    a = 1\n", "from manim import *\nclass A{k}(Scene):\n    a = 1\n"),
+    ("NameError: name 'MAROON_B' is not defined", "from manim import *\nx = (MAROON_B, BLUE_E, {k})\n", "from manim import *\nx = (LIGHT_MAROON, BLUE, {k})\n"),
+    ("AttributeError: type object 'A' has no attribute 'CONFIG'", "x = A{k}.CONFIG['size']\n", "x = A{k}.size\n"),
+    ("TypeError: got an unexpected keyword argument 'tex_template'", "x = Tex('$a_{k}$')\n", "x = MathTex('$a_{k}$')\n"),
+    ("NameError: name 'get_norm' is not defined", "from manim import *\nx = get_norm(v{k})\n", "from manim import *\nfrom manimce_constants_helpers import get_norm\nx = get_norm(v{k})\n"),
+    ("NameError: name 'FRAME_WIDTH' is not defined", "from manim import *\nx = FRAME_WIDTH * {k}\n", "from manim import *\nfrom manimce_constants_helpers import FRAME_WIDTH\nx = FRAME_WIDTH * {k}\n"),
+    ("NameError: name 'rush_into' is not defined", "from manim import *\nself.play(a{k}, rate_func=rush_into)\n", "from manim import *\nfrom manimce_constants_helpers import rush_into\nself.play(a{k}, rate_func=rush_into)\n"),
+    ("NameError: name 'deepcopy' is not defined", "from manim import *\nx = deepcopy(a{k})\n", "from manim import *\nfrom copy import deepcopy\nx = deepcopy(a{k})\n"),
+    ("NameError: name 'initials' is not defined", "from manim import *\ndef f{k}(x):\n    return initials(x)\n",
+     "from manim import *\nimport string\n\ndef initials(chars):\n    \"\"\"Capitals of a list of characters.\"\"\"\n    return ''.join([c for c in chars if c.isupper()])\n\ndef f{k}(x):\n    return initials(x)\n"),
+    ("AttributeError: module 'string' has no attribute 'letters'", "x = string.letters[{k}]\n", "x = string.ascii_letters[{k}]\n"),
+    ("NameError: name 'you' is not defined", "from manim import *\ndef f{k}(self):\n    self.add(you)\n", "from manim import *\ndef f{k}(self):\n    you = draw_you()\n    self.add(you)\n"),
+    ("AttributeError: 'list' object has no attribute 'find'", "x = MathTex(PARTIAL_CONVERGENT_SUMS_TEXT, size={k})\n", "x = MathTex(' '.join(PARTIAL_CONVERGENT_SUMS_TEXT), size={k})\n"),
+    ("RuntimeError: nothing known", "x = {k}\n", "x = {k}\n"),
+]
+_EACH = f"p_partkey % {len(_RECOVERIES)}"
+
+
+def _recovery_case(column: int) -> str:
+    return f"CASE {_EACH} " + " ".join(f"WHEN {i} THEN {G.module_text(r[column])}" for i, r in enumerate(_RECOVERIES)) + " END"
+
+
+@query("recovered_patterns", f"SELECT p_partkey, md5({_recovery_case(2)}) AS fixed, {_EACH} <> {len(_RECOVERIES) - 1} AS recovered FROM part")
+def recovered_patterns(spark, sf):
+    """Recovery by each of its patterns, from the message that asks for it."""
+    from siltstone.session import spread, table
+
+    d = spread(table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{_recovery_case(0)} AS message", f"{_recovery_case(1)} AS code")
+    return recovery.with_recovered(d, "code", "message").select("p_partkey", F.md5("recovery.code").alias("fixed"), "recovery.recovered")

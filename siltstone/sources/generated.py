@@ -112,3 +112,100 @@ SQL = f"(SELECT p_partkey, p_size, {_source(0)} AS code, {_source(1)} AS fixed,
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(p_partkey, code): a source for each part."""
     return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{_source(0)} AS code")
+
+
+#: A module for each part, with every kind of scope; {j}: the next part's key.
+MODULE = """import os, math as m
+from pkg{n} import alpha, beta as b{n}
+from star import *
+
+LIMIT = {n}
+RATE = LIMIT * 2 + 1
+TOTAL = RATE - LIMIT
+
+class Base{k}:
+    width = LIMIT
+
+    def grow(self, by):
+        return by + width
+
+def helper_{k}(x, y=LIMIT):
+    def inner(z):
+        nonlocal x
+        x = z
+        return x + TOTAL
+    return [inner(q) + q for q in range(y)]
+
+class Part{k}(Base{k}):
+    def construct(self):
+        global TOTAL
+        TOTAL = helper_{k}(3)
+        a = helper_{j}(alpha)
+        b = [len(a), m.pi, os.sep, ring, missing_{k}]
+        return (lambda c: c + a)(b{n})
+"""
+#: What some modules hold beside: two constants that need each other, and one made of a function's value.
+CYCLE = "\nLEFT = RIGHT + 1\nRIGHT = LEFT - 1\nCALLED = len('abc') + LIMIT\n"
+#: Names read in a module: line, name, where they are found. cross_file stands for unresolved where there is no next part.
+USES = [
+    (6, "LIMIT", "constant"), (7, "RATE", "constant"), (7, "LIMIT", "constant"), (10, "LIMIT", "constant"), (13, "by", "local"), (13, "width", "unresolved"),
+    (15, "LIMIT", "constant"), (18, "z", "local"), (19, "x", "local"), (19, "TOTAL", "constant"), (20, "inner", "function"), (20, "q", "local"), (20, "range", "builtin"),
+    (20, "y", "local"), (22, "Base{k}", "class"), (25, "helper_{k}", "function"), (26, "helper_{j}", "cross_file"), (26, "alpha", "import"), (27, "len", "builtin"),
+    (27, "a", "local"), (27, "m", "import"), (27, "os", "import"), (27, "ring", "star"), (27, "missing_{k}", "unresolved"), (28, "c", "local"), (28, "a", "local"), (28, "b{n}", "import"),
+]
+CYCLE_USES = [(30, "RIGHT", "constant"), (31, "LEFT", "constant"), (32, "len", "builtin"), (32, "LIMIT", "constant")]
+_HAS_CYCLE = "p_partkey % 5 = 2"
+
+
+def module_text(template: str) -> str:
+    """A template of a module as SQL."""
+    parts = re.split(r"(\{[knj]\}|\n)", template)
+    names = {"\n": "chr(10)", "{k}": "p_partkey", "{n}": "p_size", "{j}": "(p_partkey + 1)"}
+    return f"concat({', '.join([*(names.get(p) or quoted(p) for p in parts if p), quoted('')])})"
+
+
+MODULE_TEXT = f"concat({module_text(MODULE)}, CASE WHEN {_HAS_CYCLE} THEN {module_text(CYCLE)} ELSE '' END)"
+
+
+def modules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, code): a module for each part."""
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{MODULE_TEXT} AS code")
+
+
+def uses_sql() -> str:
+    """(p_partkey, line, name, level) of all names read, for FROM."""
+    row = lambda line, name, level, when: f"SELECT p_partkey, p_size, {line} AS line, {module_text(name)} AS name, '{level}' AS level FROM part WHERE {when}"
+    rows = [row(*u, "true") for u in USES] + [row(*u, _HAS_CYCLE) for u in CYCLE_USES]
+    return "(" + " UNION ALL ".join(rows) + ")"
+
+
+#: Damage at the end of a scene's construct, and what repair must make of it; None: nothing.
+DAMAGE = [
+    ("self.wait(2)", "self.wait(2)"),
+    ("self.add(Tex('a'", "self.add(Tex('a'))"),
+    ('v = " "SIZE', "v = SIZE"),
+    ("out = for i in y:\n            pass", 'out = ""\n        for i in y:\n            pass'),
+    ("x = f()\n            a, b)", "x = f(a, b)"),
+    ('if a and" "b:\n            pass', "if a and b:\n            pass"),
+    ("if a\n            pass", "if a:\n            pass"),
+    ("s = [1, (2, {3", "s = [1, (2, {3})]"),
+    ("no python here at all", None),
+]
+_KIND = f"p_partkey % {len(DAMAGE) + 1}"
+_LOST = "no python (( here\n"
+
+
+def _damaged(form: int) -> str:
+    """Sources with damage (0), and as repaired (1); the last kind is no source at all."""
+    undamaged = _source(0).replace("WHEN p_partkey % 11 = 5 THEN", "WHEN false THEN")
+    last = " ".join(f"WHEN {i} THEN {_text(chr(10) + '        ' + (d[form] or d[0]))}" for i, d in enumerate(DAMAGE))
+    return f"CASE WHEN {_KIND} = {len(DAMAGE)} THEN {_text(_LOST)} ELSE concat({undamaged}, CASE {_KIND} {last} END) END"
+
+
+#: part with code (as damaged), repaired, and whether each parses, for FROM.
+DAMAGED_SQL = f"(SELECT p_partkey, p_size, {_damaged(0)} AS code, {_damaged(1)} AS repaired, {_KIND} = 0 AS valid, {_KIND} < {len(DAMAGE) - 1} AS mended, {_KIND} = {len(DAMAGE)} AS lost FROM part)"
+
+
+def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(p_partkey, code): a source for each part, most of them damaged."""
+    return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{_damaged(0)} AS code")

@@ -118,6 +118,43 @@ def test_depths(spark):
         graph.depths(spark.createDataFrame([(1, 2), (2, 1)], "src long, dst long"), rounds=5)
 
 
+def _random_graph(seed, n=40, m=70):
+    rng = random.Random(seed)
+    rows = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+    reach = {k: {k} for k in range(n)}
+    for _ in range(n):
+        for a, b in rows:
+            reach[a] |= reach[b]
+    return rows, reach
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_components_layers_and_reachability(spark, seed):
+    """Random graphs with cycles of many lengths, loops, repeated and null edges, against plain Python."""
+    rows, reach = _random_graph(seed)
+    e = spark.createDataFrame(rows + rows[:5] + [(3, 3), (None, 1), (2, None)], "src long, dst long")
+    used = {x for r in rows for x in r}
+    same = lambda k: min(j for j in reach[k] if k in reach[j])
+    assert {r.node: r.component for r in graph.components(e).collect()} == {k: same(k) for k in used}
+    nodes = spark.range(45).select(F.col("id").alias("node"))
+    layer = {r.node: r.layer for r in graph.layers(nodes, e).collect()}
+    assert set(layer) == set(range(45)) and all(layer[a] > layer[b] if same(a) != same(b) else layer[a] == layer[b] for a, b in rows)
+    pairs = [(a, b) for a in range(40) for b in range(40)] + [(None, 1), (1, None), (99, 1)]
+    got = {(r.a, r.b): r.reaches for r in graph.Reachability(nodes, e).reaches(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {(a, b): a in reach and b in reach[a] for a, b in pairs}
+
+
+def test_many_cycles_in_few_rounds(spark):
+    """Ten thousand cycles of two nodes settle in under forty rounds; a long search is ended."""
+    two = spark.range(10_000).selectExpr("id * 2 AS src", "id * 2 + 1 AS dst")
+    e = two.unionByName(two.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    assert graph.components(e, rounds=39).where("component = node - node % 2").count() == 20_000
+    line = spark.range(60).selectExpr("id AS src", "(id + 1) % 60 AS dst")
+    with pytest.raises(ValueError, match="not settled"):
+        graph.components(line, rounds=10)
+    assert graph.components(e.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("hot", [1, 3, 4096])
 def test_containment(spark, monkeypatch, hot):
     """Against trying all pairs: empty, null and short texts, repeats of one gram, overlaps, and hot grams dealt out by salts."""
