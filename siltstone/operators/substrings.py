@@ -4,6 +4,9 @@ A text lies in another one only if each of its grams does, so it is looked up by
 often. Where that gram lies in either text says where the shorter would have to start: pairs for which it would not fit are dropped.
 Only ids and places are joined; texts come back by id, once a pair of ids, and are compared.
 
+The grams of the shorter texts, and those that are chosen of them, are broadcast to where the longer texts are read while there are no more
+than MOST_BROADCAST of them; beyond, places are joined by shuffles.
+
 Grams that hold more than one in HOT of all places of the long side (HOT of them at most, so their table is broadcast) are dealt out:
 their places to as many salts as their share asks for, and the texts that are looked up by them to all of these.
 """
@@ -18,6 +21,8 @@ from siltstone.session import materialize, spread
 GRAM = 4
 #: Characters of a text whose grams are cut at once, so that a gram costs the same wherever it lies.
 PIECE = 256
+#: Grams of the shorter side that may be broadcast, some 40 bytes each.
+MOST_BROADCAST = 500_000
 #: Grams of a larger share than one in so many are hot.
 HOT = 4096
 
@@ -40,13 +45,20 @@ def gram_places(texts: DataFrame, sizes: Column, gram: int) -> DataFrame:
     return some.unionByName(none)
 
 
+def _small(df: DataFrame) -> DataFrame:
+    """A written table, broadcast if it proves small."""
+    return F.broadcast(df) if df.count() <= MOST_BROADCAST else df
+
+
 def rarest_grams(short: DataFrame, places: DataFrame, gram: int) -> DataFrame:
     """(id, chars, n, gram, at, many) of the gram of each text of short that occurs least often in places; none where one does not occur.
 
     A text shorter than gram is its own gram.
     """
     own = gram_places(short, F.array(F.least(F.length("text"), F.lit(gram))), gram)
-    counts = places.join(own.select("n", "gram").distinct(), ["n", "gram"], "left_semi").groupBy("n", "gram").agg(F.count("*").alias("many"))
+    own = materialize(own, "own")
+    asked = _small(materialize(own.select("n", "gram").distinct(), "asked"))
+    counts = places.join(asked, ["n", "gram"], "left_semi").groupBy("n", "gram").agg(F.count("*").alias("many"))
     counted = own.join(counts, ["n", "gram"], "left").select("id", "chars", F.struct(F.coalesce("many", F.lit(0)).alias("many"), "gram", "at", "n").alias("g"))
     return counted.groupBy("id", "chars").agg(F.min("g").alias("g")).select("id", "chars", "g.*").where("many > 0")
 
@@ -66,7 +78,8 @@ def candidates(short: DataFrame, long: DataFrame, gram: int = GRAM) -> DataFrame
     right = right.select("n", "gram", "salt", F.col("id").alias("long_id"), F.col("chars").alias("long_chars"), "at")
     start = F.col("at") - F.col("into") + 1
     fits = (start >= 1) & (start + F.col("short_chars") - 1 <= F.col("long_chars"))
-    return left.join(right, ["n", "gram", "salt"]).where(fits).select("short_id", "long_id").distinct()
+    left = _small(materialize(left, "left"))
+    return right.join(left, ["n", "gram", "salt"]).where(fits).select("short_id", "long_id").distinct()
 
 
 def contained_pairs(short: DataFrame, long: DataFrame, gram: int = GRAM) -> DataFrame:

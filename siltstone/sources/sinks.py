@@ -39,28 +39,22 @@ def write_summary(df: DataFrame, path: str, by: str) -> None:
     df.repartition(F.col(by)).write.mode("overwrite").partitionBy(by).json(path)
 
 
-def upsert_log(spark: SparkSession, path: str, stage: DataFrame, keys: list[str], order: str) -> int:
-    """Upsert stage rows into a table of logs, which is replaced whole; a table that cannot be read is put aside and begun anew.
+def upsert_log(spark: SparkSession, path: str, stage: DataFrame, keys: list[str], order: str, most: int = 20) -> int:
+    """Upsert stage rows into a versioned log, by a delta of their own; a log that cannot be read is put aside and begun anew.
 
-    The new table is written beside the old one and takes its place by renames, so readers see one or the other. Returns how
-    many rows the log holds.
+    Beyond most folders the log is compacted and what the last two versions do not need is removed. Returns how many rows it holds.
     """
-    jvm = spark.sparkContext._jvm
-    at = lambda p: jvm.org.apache.hadoop.fs.Path(p)
-    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    old = None
-    if fs.exists(at(path)):
+    from siltstone.sources.versioned import VersionedLog
+
+    log = VersionedLog(spark, path, keys, order)
+    if log.versions():
         try:
-            old = spark.read.parquet(path)
-            old.limit(1).count()
+            log.read().write.format("noop").mode("overwrite").save()
         except Exception:  # whatever the reader finds wrong with it
-            fs.rename(at(path), at(f"{path}.corrupted"))
-            old = None
-    rows = upsert(old.select(*stage.columns), stage, keys, order) if old is not None else stage
-    fs.delete(at(f"{path}.tmp"), True)
-    rows.write.parquet(f"{path}.tmp")
-    if old is not None:
-        fs.delete(at(f"{path}.old"), True)
-        fs.rename(at(path), at(f"{path}.old"))
-    fs.rename(at(f"{path}.tmp"), at(path))
-    return spark.read.parquet(path).count()
+            at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+            at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(at(path), at(f"{path}.corrupted"))
+    log.upsert(stage)
+    if len(log.manifest()["folders"]) > most:
+        log.compact()
+        log.vacuum()
+    return log.read().count()

@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from siltstone.sources.versioned import VersionedLog
+
 
 def events(spark: SparkSession, path: str, schema, files_per_trigger: int = 1) -> DataFrame:
     """A stream of Parquet files of events."""
@@ -29,23 +31,29 @@ def error_counts(stream: DataFrame) -> DataFrame:
     )
 
 
-def upsert_into(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Write each batch's changed rows, with the batch's number, and let readers take the last of each key.
+def upsert_into(counts: DataFrame, path: str, checkpoint: str, compact_every: int = 50) -> StreamingQuery:
+    """Add each batch's changed rows to a versioned log, as a delta tagged with the batch's number.
 
-    A batch that is run again overwrites its own folder, so every change counts once.
+    A batch that is run again finds its tag and adds nothing, so every change counts once. Every so many batches the log is compacted and
+    the folders of the batches it covers are removed.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/n={number}")
+        log = _log(batch.sparkSession, path)
+        log.upsert(batch.withColumn("batch", F.lit(number)), tag=f"batch-{number:010d}")
+        if number % compact_every == compact_every - 1:
+            compact_upserts(batch.sparkSession, path)
 
     return counts.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write).trigger(availableNow=True).start()
 
 
+def _log(spark: SparkSession, path: str) -> VersionedLog:
+    return VersionedLog(spark, path, ["hash"], "batch")
+
+
 def read_upserts(spark: SparkSession, path: str) -> DataFrame:
     """The last state of each key."""
-    rows = spark.read.parquet(path)
-    rest = [c for c in rows.columns if c not in ("hash", "batch", "n")]
-    return rows.groupBy("hash").agg(F.max_by(F.struct(*rest), "batch").alias("r")).select("hash", "r.*")
+    return _log(spark, path).read().drop("batch")
 
 
 def windowed_counts(stream: DataFrame, late: str = "10 minutes", width: str = "1 hour") -> DataFrame:
@@ -72,6 +80,8 @@ def persist_every(stream: DataFrame, path: str, checkpoint: str, seconds: int =
     return stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(processingTime=f"{seconds} seconds").start()
 
 
-def compact_upserts(spark: SparkSession, path: str, to: str) -> None:
-    """Write the last state of each key as one table, which stands for all batches up to now."""
-    read_upserts(spark, path).write.mode("overwrite").parquet(to)
+def compact_upserts(spark: SparkSession, path: str) -> int:
+    """One base in place of all batches up to now, whose folders go but for those of the version before; how many entries went."""
+    log = _log(spark, path)
+    log.compact()
+    return log.vacuum()

@@ -51,5 +51,8 @@ def test_persisted_at_intervals_and_compacted(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "log")).count() == e.count()
     stream = errors.events(spark, str(tmp_path / "in"), e.schema)
     errors.upsert_into(errors.error_counts(stream), str(tmp_path / "out"), str(tmp_path / "cp2")).awaitTermination(120)
-    errors.compact_upserts(spark, str(tmp_path / "out"), str(tmp_path / "one"))
-    assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "one")).collect()} == {tuple(r) for r in errors.read_upserts(spark, str(tmp_path / "out")).collect()}
+    before = {tuple(r) for r in errors.read_upserts(spark, str(tmp_path / "out")).collect()}
+    assert len(list((tmp_path / "out" / "data").iterdir())) == 3
+    errors.compact_upserts(spark, str(tmp_path / "out"))
+    assert errors.compact_upserts(spark, str(tmp_path / "out")) and len(list((tmp_path / "out" / "data").iterdir())) == 2
+    assert {tuple(r) for r in errors.read_upserts(spark, str(tmp_path / "out")).collect()} == before
