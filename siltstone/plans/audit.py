@@ -72,21 +72,25 @@ sql_query(
            CASE WHEN s.total_bytes > 800000 THEN 'fail' WHEN s.total_bytes > 500000 THEN 'fallback' ELSE 'programmatic' END AS route,
            length(d.text) - length(replace(d.text, chr(10), '')) + 1 > 1000 AS skip_scene
     FROM {documents} d JOIN (SELECT source, lang, CAST(sum(octet_length(encode(text, 'UTF-8'))) AS BIGINT) AS total_bytes FROM {documents} GROUP BY source, lang) s
-    ON d.source = s.source AND d.lang = s.lang
+    ON d.source <=> s.source AND d.lang <=> s.lang
     """,
     """
     SELECT d.doc_id, s.total_bytes, (length(d.text) - length(replace(d.text, chr(10), '')) + 1) AS lines,
            CASE WHEN s.total_bytes > 800000 THEN 'fail' WHEN s.total_bytes > 500000 THEN 'fallback' ELSE 'programmatic' END AS route,
            length(d.text) - length(replace(d.text, chr(10), '')) + 1 > 1000 AS skip_scene
     FROM documents d JOIN (SELECT source, lang, sum(octet_length(encode(text)))::BIGINT AS total_bytes FROM documents GROUP BY source, lang) s
-    ON d.source = s.source AND d.lang = s.lang
+    ON d.source IS NOT DISTINCT FROM s.source AND d.lang IS NOT DISTINCT FROM s.lang
     """,
 )
 sql_query(
     "skip_thresholds",
     f"""
-    SELECT minimum, count(*) AS scenes, CAST(sum(CASE WHEN confidence < minimum THEN 1 ELSE 0 END) AS BIGINT) AS skipped FROM {_MATCH} CROSS JOIN
-        (SELECT 0.4E0 AS minimum UNION ALL SELECT 0.6E0 UNION ALL SELECT 0.65E0 UNION ALL SELECT 0.8E0) t GROUP BY minimum
+    SELECT stack.minimum, scenes, stack.skipped FROM (
+        SELECT count(*) AS scenes, count(CASE WHEN confidence < 0.4E0 THEN 1 END) AS a, count(CASE WHEN confidence < 0.6E0 THEN 1 END) AS b, count(CASE WHEN confidence < 0.65E0 THEN 1 END) AS c,
+               count(CASE WHEN confidence < 0.8E0 THEN 1 END) AS d FROM {_MATCH}) LATERAL VIEW stack(4, 0.4E0, a, 0.6E0, b, 0.65E0, c, 0.8E0, d) stack AS minimum, skipped
+    """,
+    f"""
+    SELECT minimum, count(*) AS scenes, count(*) FILTER (confidence < minimum) AS skipped FROM {_MATCH} CROSS JOIN (SELECT unnest([0.4::DOUBLE, 0.6, 0.65, 0.8]) AS minimum) t GROUP BY minimum
     """,
 )
 

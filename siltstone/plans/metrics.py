@@ -152,19 +152,28 @@ sql_query(
 )
 
 
-@query(
-    "adaptive_timeout_fold",
-    """
+_FACTORS = """
     SELECT user_id, round(list_reduce(list(CASE WHEN event_type = 'error' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END ORDER BY event_id),
-        lambda a, x: CASE WHEN x = 1.0 THEN greatest(0.8, a * 0.95) ELSE least(3.0, a * 1.1) END, 1.0::DOUBLE), 6) AS factor
+        lambda a, x: CASE WHEN x = 1.0 THEN greatest(0.8, a * 0.95) ELSE least(3.0, a * 1.1) END, 1.0::DOUBLE), 6) AS factor{more}
     FROM events GROUP BY user_id
-    """,
-)
+    """
+
+
+@query("adaptive_timeout_fold", _FACTORS.format(more=""))
 def adaptive_timeout_fold(spark, sf):
-    """A multiplicative factor folded over each key's outcomes in order; one key's outcomes meet in one row."""
-    runs = F.array_sort(F.collect_list(F.struct("event_id", (F.col("event_type") != "error").alias("ok"))))
-    step = lambda a, x: F.when(x["ok"], F.greatest(F.lit(0.8), a * 0.95)).otherwise(F.least(F.lit(3.0), a * 1.1))
-    return table(spark, sf, "events").groupBy("user_id").agg(F.round(F.aggregate(runs, F.lit(1.0), step), 6).alias("factor"))
+    """A multiplicative factor folded over each key's outcomes in order, held between two bounds."""
+    from siltstone.operators.running import folded_factors
+
+    e = table(spark, sf, "events").select("user_id", "event_id", (F.col("event_type") != "error").alias("ok"))
+    return folded_factors(e, "user_id", "event_id", "ok").select("user_id", F.round("factor", 6).alias("factor"))
+
+
+@query("streamed_factors", _FACTORS.format(more=", count(*) AS events, count(*) FILTER (event_type = 'error') AS errors"))
+def streamed_factors(spark, sf):
+    """The same factors, with the events and errors of each user, from a stream that keeps them as state."""
+    from siltstone.streaming import timeouts
+
+    return timeouts.streamed_factors(spark, sf).select("user_id", F.round("factor", 6).alias("factor"), "events", "errors")
 
 
 @query(

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from siltstone.functions.text import title
+
 #: The forms of an address that hold an id, in the order they are tried.
 URL_IDS = [r"youtube\.com/watch\?v=([\w-]+)", r"youtu\.be/([\w-]+)", r"/embed/([\w-]+)"]
 
@@ -50,7 +52,7 @@ def read_transcripts(spark: SparkSession, path: str) -> DataFrame:
     titles = spark.createDataFrame([], "entry string, given string")
     if _any_file(spark, f"{path}/*/english/title.json"):
         titles = read("title.json").select("entry", F.try_variant_get("v", "$.input", "string").alias("given"))
-    name = F.initcap(F.replace("entry", F.lit("-"), F.lit(" ")))
+    name = title(F.col("entry"))
     return t.join(titles, "entry", "left").select("entry", "transcript", F.coalesce("given", name).alias("title"))
 
 

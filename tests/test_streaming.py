@@ -56,3 +56,40 @@ def test_persisted_at_intervals_and_compacted(spark, tmp_path):
     errors.compact_upserts(spark, str(tmp_path / "out"))
     assert errors.compact_upserts(spark, str(tmp_path / "out")) and len(list((tmp_path / "out" / "data").iterdir())) == 2
     assert {tuple(r) for r in errors.read_upserts(spark, str(tmp_path / "out")).collect()} == before
+
+
+def test_timers_and_state(spark, tmp_path):
+    """Users in many files; who stays silent is closed by a timer, and comes back with a fresh state."""
+    import time
+
+    from siltstone.streaming import timeouts
+
+    row = "event_id long, user_id long, event_type string"
+    put = lambda name, rows: spark.createDataFrame(rows, row).coalesce(1).write.parquet(str(tmp_path / "in" / name))
+    put("a", [(k, k % 2, "error" if k % 3 == 0 else "click") for k in range(10)])
+    stream = lambda: timeouts.factors(spark.readStream.schema(row).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), idle_ms=1)
+    timeouts.keep_factors(stream(), str(tmp_path / "log"), str(tmp_path / "cp"))
+    got = {r.user_id: (r.events, r.errors, r.closed) for r in timeouts.read_factors(spark, str(tmp_path / "log")).collect()}
+    assert got == {0: (5, 2, False), 1: (5, 2, False)}
+    time.sleep(0.1)
+    put("b", [(20, 1, "error"), (21, 2, None)])
+    timeouts.keep_factors(stream(), str(tmp_path / "log"), str(tmp_path / "cp"))
+    got = {r.user_id: (r.events, r.errors, r.closed) for r in timeouts.read_factors(spark, str(tmp_path / "log")).collect()}
+    assert got[0] == (5, 2, True) and got[2] == (1, 0, False) and got[1] in ((6, 3, False), (1, 1, False), (6, 3, True))
+
+
+def test_folds_by_ranges(spark):
+    """Composed steps give what a fold in order gives, however lines are cut."""
+    import random
+
+    from siltstone.operators.running import folded_factors
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), k, rng.choice([True, True, False, None])) for k in range(400)]
+    want = {}
+    for key, _, ok in rows:
+        x = want.get(key, 1.0)
+        want[key] = min(3.0, x * 1.1) if ok is False else max(0.8, x * 0.95)
+    for ranges in (1, 7, 50):
+        got = {r.k: r.factor for r in folded_factors(spark.createDataFrame(rows, "k string, o long, ok boolean"), "k", "o", "ok", ranges=ranges).collect()}
+        assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
