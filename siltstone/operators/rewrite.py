@@ -98,3 +98,22 @@ def diff_details(a: Column, b: Column) -> list[Column]:
         F.abs(n(b, "def") - n(a, "def")).cast("long").alias("methods_changed"),
         F.abs(n(b, "class") - n(a, "class")).cast("long").alias("classes_changed"),
     ]
+
+
+#: Words on a line that make a variable in Tex look like a formula. Fixed values.
+_INDICATORS = ["frac", "zip", "for", "in"]
+
+
+def tex_advice(df: DataFrame, code: str, marks: list[str]) -> DataFrame:
+    """df without code, with line, kind and content of calls of Tex that a person should look at: nothing is rewritten.
+
+    math_in_tex: a string with one of the marks of mathematics; variable_in_tex: a variable on a line that looks like a formula's. Lines count
+    from 1.
+    """
+    kept = [c for c in df.columns if c not in (code, "line", "kind", "content")]
+    lines = df.select(*kept, F.posexplode(F.split(code, "\n")).alias("line", "_text")).withColumn("line", F.col("line") + 1)
+    text = F.col("_text")
+    string, name = F.regexp_extract(text, r"""\bTex\s*\(\s*r?(['"])([^'"]*)\1\s*\)""", 2), F.regexp_extract(text, r"\bTex\s*\(\s*([A-Za-z_]\w*)\s*\)", 1)
+    some = lambda c, words: F.exists(F.array(*map(F.lit, words)), lambda w: F.contains(c, w))
+    kind = F.when((string != "") & some(string, marks), "math_in_tex").when((name != "") & some(text, _INDICATORS), "variable_in_tex")
+    return lines.select(*kept, "line", kind.alias("kind"), F.when(kind == "math_in_tex", string).otherwise(name).alias("content")).where("kind IS NOT NULL")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,16 +25,41 @@ def _whole(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _code_of(f: Callable) -> str:
+    """What a function does, as far as its code tells: its instructions, constants, and what it closes over."""
+    code = getattr(f, "__code__", None)
+    if code is None:
+        return repr(f)
+    inner = [_code_of(c) if callable(c) else c.co_code.hex() if hasattr(c, "co_code") else repr(c) for c in code.co_consts]
+    held = [_code_of(v) if callable(v) else repr(v) for v in (c.cell_contents for c in f.__closure__ or ())]
+    return "|".join([code.co_code.hex(), *inner, *code.co_names, *held, repr(f.__defaults__)])
+
+
+def fingerprint(df: DataFrame) -> str:
+    """A digest of a table's columns and rows, whatever their order: one aggregate, merged before it is shuffled."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]) if df.columns else F.lit(0).cast("long")
+    low, high = (F.sum(h.bitwiseAND(F.lit((1 << 32) - 1))), F.sum(F.shiftrightunsigned(h, 32)))
+    r = df.agg(F.count("*"), low, high, F.bit_xor(h)).first()
+    return hashlib.md5(repr((df.schema.simpleString(), *r)).encode()).hexdigest()
+
+
+def _noted(spark: SparkSession, path: str) -> str | None:
+    return spark.read.text(path).first()[0] if _exists(spark, path) else None
+
+
 def run_stages(spark: SparkSession, first: DataFrame, stages: list[tuple[str, Callable[[DataFrame], DataFrame]]], folder: str, force: bool = False) -> tuple[DataFrame, list[str]]:
-    """Run stages one after another, each into folder/name; a stage whose table is whole and readable is read, not run.
+    """Run stages one after another, each into folder/name; a stage whose table is whole and was made of the same input by the same code is read.
 
-    Returns the last table and the names of the stages that ran. force runs all; a stage after one that ran runs too.
+    What a table was made of is noted beside it once it is written: a digest of the first input's rows and of the code of all stages up to
+    its own. Returns the last table and the names of the stages that ran. force runs all; a stage after one that ran runs too.
     """
-    df, ran = first, []
+    df, ran, made_of = first, [], fingerprint(first)
     for name, stage in stages:
         path = f"{folder}/{name}"
-        if force or ran or not _whole(spark, path):
+        made_of = hashlib.md5(f"{made_of} {name} {_code_of(stage)}".encode()).hexdigest()
+        if force or ran or not _whole(spark, path) or _noted(spark, f"{path}.made_of") != made_of:
             stage(df).write.mode("overwrite").parquet(path)
+            spark.createDataFrame([(made_of,)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}.made_of")
             ran.append(name)
         df = spark.read.parquet(path)
     return df, ran

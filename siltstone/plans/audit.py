@@ -225,27 +225,39 @@ sql_query(
 @query(
     "cleaning_optimised",
     """
-    WITH s AS (SELECT source, n_chars * 0.01::DOUBLE AS seconds, length(text) - length(replace(text, chr(10), '')) + 1 AS lines FROM documents),
+    WITH s AS (SELECT source, n_chars * 0.01::DOUBLE AS seconds, length(text) - length(replace(text, chr(10), '')) + 1 AS lines,
+                      CASE WHEN text IS NULL OR trim(text) = '' THEN 'empty' WHEN n_chars < 200 THEN 'too_short' WHEN n_chars > 20000 THEN 'too_long' WHEN contains(text, '<') THEN 'markup' END AS error FROM documents),
     c AS (SELECT *, CASE WHEN lines < 50 THEN 'simple' WHEN lines < 150 THEN 'medium' ELSE 'complex' END AS complexity FROM s),
     h AS (SELECT source, complexity, count(*) AS n FROM c GROUP BY source, complexity),
-    m AS (SELECT source, string_agg(complexity || '=' || n, ',' ORDER BY complexity) AS complexities FROM h GROUP BY source)
+    m AS (SELECT source, string_agg(complexity || '=' || n, ',' ORDER BY complexity) AS complexities FROM h GROUP BY source),
+    e AS (SELECT source, string_agg(error || '=' || n, ',' ORDER BY error) AS errors FROM (SELECT source, error, count(*) AS n FROM s WHERE error IS NOT NULL GROUP BY source, error) GROUP BY source)
     SELECT source, count(*) AS scenes, round(sum(seconds), 2) AS total_time, round(avg(seconds), 2) AS avg_time, round(avg(lines))::BIGINT AS avg_size,
-           any_value(complexities) AS complexities FROM c JOIN m USING (source) GROUP BY source
+           any_value(complexities) AS complexities, coalesce(any_value(errors), '') AS errors FROM c JOIN m USING (source) LEFT JOIN e USING (source) GROUP BY source
     """,
 )
 def cleaning_optimised(spark, sf):
-    """Per source: scenes, times, mean size and the histogram of complexity, by one aggregate over partial histograms."""
+    """Per source: scenes, times, mean size and the histograms of complexity and of error types, by one aggregate over partial histograms."""
     lines = F.size(F.split("text", "\n"))
-    d = table(spark, sf, "documents").select("source", (F.col("n_chars") * 0.01).alias("seconds"), lines.alias("lines"))
+    blank = F.col("text").isNull() | (F.trim("text") == "")
+    error = F.when(blank, "empty").when(F.col("n_chars") < 200, "too_short").when(F.col("n_chars") > 20000, "too_long").when(F.contains("text", F.lit("<")), "markup")
+    d = table(spark, sf, "documents").select("source", (F.col("n_chars") * 0.01).alias("seconds"), lines.alias("lines"), error.alias("error"))
     kind = F.when(F.col("lines") < 50, "simple").when(F.col("lines") < 150, "medium").otherwise("complex")
-    h = d.groupBy("source", kind.alias("complexity")).agg(F.count("*").alias("n"), F.sum("seconds").alias("t"), F.sum("lines").alias("l"))
-    entries = F.array_sort(F.collect_list(F.struct("complexity", "n")))
-    return h.groupBy("source").agg(
-        F.sum("n").alias("scenes"),
-        F.round(F.sum("t"), 2).alias("total_time"),
-        F.round(F.sum("t") / F.sum("n"), 2).alias("avg_time"),
-        F.round(F.sum("l") / F.sum("n")).cast("long").alias("avg_size"),
-        F.array_join(F.transform(entries, lambda e: F.concat(e["complexity"], F.lit("="), e["n"].cast("string"))), ",").alias("complexities"),
+    h = d.groupBy("source", kind.alias("complexity"), "error").agg(F.count("*").alias("n"), F.sum("seconds").alias("t"), F.sum("lines").alias("l"))
+    h = h.groupBy("source").agg(F.sum("n").alias("scenes"), F.sum("t").alias("t"), F.sum("l").alias("l"), F.collect_list(F.struct("complexity", "error", "n")).alias("cells"))  # 15 cells at most
+
+    def histogram(field: str) -> F.Column:
+        kinds = F.array_sort(F.array_distinct(F.array_compact(F.transform("cells", lambda c: c[field]))))
+        count = lambda k: F.aggregate(F.filter("cells", lambda c: c[field] == k), F.lit(0).cast("long"), lambda a, c: a + c["n"])
+        return F.array_join(F.transform(kinds, lambda k: F.concat(k, F.lit("="), count(k).cast("string"))), ",")
+
+    return h.select(
+        "source",
+        "scenes",
+        F.round("t", 2).alias("total_time"),
+        F.round(F.col("t") / F.col("scenes"), 2).alias("avg_time"),
+        F.round(F.col("l") / F.col("scenes")).cast("long").alias("avg_size"),
+        histogram("complexity").alias("complexities"),
+        histogram("error").alias("errors"),
     )
 
 

@@ -41,6 +41,15 @@ def rule_match_matrix(spark, sf):
     return code_of(spark, sf).select("doc_id", F.array_join(ops.matched(F.col("code"), R.UNFIXABLE), ",").alias("found"))
 
 
+@query("rule_match_screened", f"SELECT doc_id, {_matched(R.UNFIXABLE + R.HIGH_RISK)} AS found FROM {_CODE}")
+def rule_match_screened(spark, sf):
+    """Names of the unfixable and risky patterns that occur, tried only where a literal that they need occurs."""
+    from siltstone.operators.screening import matched_if_worth
+
+    d = matched_if_worth(code_of(spark, sf), "code", R.UNFIXABLE + R.HIGH_RISK, "found")
+    return d.select("doc_id", F.array_join("found", ",").alias("found"))
+
+
 _RANK = "greatest(0, " + ", ".join(f"CASE WHEN {_hit(r)} THEN {R.LEVELS.index(r.level)} ELSE 0 END" for r in R.UNFIXABLE) + ")"
 _CORRUPT = """(CASE WHEN regexp_matches(code, '[\\x00-\\x08\\x0B\\x0C\\x0E-\\x1F\\x7F-\\x{FF}]') THEN 1 ELSE 0 END
     + CASE WHEN len(regexp_extract_all(code, '[a-zA-Z_]')) < length(code) * 0.3 THEN 1 ELSE 0 END

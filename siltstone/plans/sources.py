@@ -11,6 +11,7 @@ from siltstone.operators import rules as ops
 from siltstone.plans.registry import query
 from siltstone.plans.rules import _count, _hit
 from siltstone.rules import dialect as D
+from siltstone.session import table
 from siltstone.sources import generated as G
 from siltstone.sources.generated import SQL, sources
 from siltstone.sources.samples import quoted
@@ -878,3 +879,30 @@ def recovered_patterns(spark, sf):
 
     d = spread(table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{_recovery_case(0)} AS message", f"{_recovery_case(1)} AS code")
     return recovery.with_recovered(d, "code", "message").select("p_partkey", F.md5("recovery.code").alias("fixed"), "recovery.recovered")
+
+
+# Calls of Tex, and what is said of them.
+_ADVICE = [
+    ("t = Tex('x^{n}')", "math_in_tex", "x^{n}"),
+    ("t = [Tex(x) for x in zip(a, b)]", "variable_in_tex", "x"),
+    ("t = Tex('plain words')", None, None),
+    ("t = Tex(name)", None, None),
+    ("t = MathTex('x^2')", None, None),
+    ('t = Tex(r"a_{k}")', "math_in_tex", "a_{k}"),
+]
+
+
+@query(
+    "runtime_advice",
+    " UNION ALL ".join(
+        f"SELECT p_partkey, 9 AS line, '{kind}' AS kind, {G.module_text(content)} AS content FROM part WHERE p_partkey % {len(_ADVICE)} = {i}" for i, (_, kind, content) in enumerate(_ADVICE) if kind
+    ),
+)
+def runtime_advice(spark, sf):
+    """Calls of Tex that look like mathematics, with their lines."""
+    from siltstone.operators import rewrite
+
+    statement = f"CASE p_partkey % {len(_ADVICE)} " + " ".join(f"WHEN {i} THEN {G.module_text(a[0])}" for i, a in enumerate(_ADVICE)) + " END"
+    before = G.module_text("LIMIT = {n}\n\n# Tex is not called here\nclass Part{k}(Scene):\n    def construct(self):\n        a = b = 1\n        name = 'x'\n\n        ")
+    d = table(spark, sf, "part").selectExpr("p_partkey", f"concat({before}, {statement}) AS code")
+    return rewrite.tex_advice(d, "code", D.MATH)

@@ -81,6 +81,19 @@ def test_damaged_stage_is_run_again(spark, tmp_path):
     assert "<td>&lt;a&gt;</td><td>1</td>" in page and "<td>b</td><td>5</td>" in page
 
 
+def test_stages_follow_input_and_code(spark, tmp_path):
+    """A stage runs again when the rows it is made of or its code changed, and only then."""
+    run = lambda df, steps: stages.run_stages(spark, df, steps, str(tmp_path))
+    keep = lambda least: [("a", lambda d: d.where(F.col("id") > least)), ("b", lambda d: d.selectExpr("id * 2 AS id"))]
+    assert run(spark.range(6), keep(1))[1] == ["a", "b"] and run(spark.range(6).orderBy(F.desc("id")), keep(1))[1] == []
+    out, ran = run(spark.range(7), keep(1))
+    assert ran == ["a", "b"] and out.count() == 5
+    out, ran = run(spark.range(7), keep(3))
+    assert ran == ["a", "b"] and out.count() == 3
+    out, ran = run(spark.range(7), [keep(3)[0], ("b", lambda d: d.selectExpr("id * 3 AS id"))])
+    assert ran == ["b"] and out.agg(F.max("id")).first()[0] == 18
+
+
 def test_retries():
     pauses = []
     assert stages.retried(lambda k: k == 2, wait=pauses.append) == (True, [600.0, 900.0, 1350.0]) and pauses == [10.0, 20.0]

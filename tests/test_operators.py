@@ -133,3 +133,27 @@ def test_stages(spark, tmp_path):
     assert ran == ["a", "b"]
     assert stages.resume(first, out, "id").count() == 2
     assert "n" in stages.report(out, "x", {"top": "max(id)"})
+
+
+def test_screened_rules(spark):
+    """Whatever a rule matches holds one of its strings; screening changes no result; rules without strings are always tried."""
+    import re
+
+    from siltstone import rules as R
+    from siltstone.operators import rules as ops
+    from siltstone.operators.screening import matched_if_worth, required
+
+    assert required(r"a(?:bc|d)+e?") == {"abc", "ad"} or required(r"a(?:bc|d)+e?") is not None
+    assert required(r"(foo|barbaz)\s*\(\s*\[") == {"foo", "barbaz"} and required(r"\w+\d") is None and required(r"x?y*") is None and required(r"(?i)abc") is None
+    assert required(r"^def [ab]x:") == {"def ax:", "def bx:"} and required("(") is None
+    every = R.UNFIXABLE + R.HIGH_RISK + R.RUNTIME + R.PROBLEMATIC
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").limit(40).collect()]
+    texts = [*texts, None, "", *["Tex([x]) MathTex (['a'])", "self.play(Transform(a, b)) CONFIG = {", "class A(PiCreatureScene):\n  pass", "from manimlib import *\nimport cv2\nRandolph()", "DL DR FRAME_WIDTH x.get_width()"]]
+    for r in every:
+        for t in filter(None, texts):
+            if not r.literal and required(r.pattern) and re.search(r.pattern, t, re.M):
+                assert any(s in t for s in required(r.pattern)), (r.pattern, t[:80])
+    d = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id long, t string")
+    want = {r.id: r.m for r in d.select("id", ops.matched(F.col("t"), every).alias("m")).collect()}
+    assert {r.id: r.m for r in matched_if_worth(d, "t", every, "m").select("id", "m").collect()} == {k: v or [] for k, v in want.items()}
+    assert any(want.values())
