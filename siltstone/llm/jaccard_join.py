@@ -63,6 +63,8 @@ SMALL = 8
 BEFORE = 4
 #: Members of a large group that a task compares with as many others.
 BLOCK = 2048
+#: Prefix shingles of one order that meet in a task, some 100 MB there: there are as many buckets as that takes.
+TOKENS = 2 << 20
 #: Rows that a Python worker gets at once.
 ROWS = 1000
 _FLUSH = 4 << 20
@@ -436,7 +438,8 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     # Texts go to Python some at a time; what is returned is left to the JVM.
     with arrow_batches(spark, ROWS):
         rows, ranks = _survey(docs.withColumn("mark", text_mark("text")))
-        buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4)
+        tokens = rows.agg(F.sum(F.expr("n div 5 + 1"))).first()[0] or 0
+        buckets = max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 4, -(-tokens // TOKENS))
         groups = _groups(docs, ranks, buckets)
         classes = _classes(rows, groups)
         first = materialize(_verified(_led(groups), classes, docs, groups), "links")

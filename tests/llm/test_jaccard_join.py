@@ -42,6 +42,7 @@ def brute(rows):
 def test_against_all_pairs(spark, monkeypatch, small, block):
     monkeypatch.setattr(jj, "SMALL", small)
     monkeypatch.setattr(jj, "BLOCK", block)
+    monkeypatch.setattr(jj, "TOKENS", 50 if small == 2 else 2 << 20)
     rng = random.Random(5)
     rows = awkward()
     base = words(rng, 150, 10**6).split()
@@ -54,6 +55,16 @@ def test_against_all_pairs(spark, monkeypatch, small, block):
     assert got == brute(rows)
 
 
+def test_one_shingle_in_every_class(spark, monkeypatch):
+    """A shingle that all sets share, first in many prefixes, in buckets of a few shingles; some sets are near copies."""
+    monkeypatch.setattr(jj, "TOKENS", 20)
+    rng, shared = random.Random(6), "the very same five words"
+    rows = [(k, f"{shared} {words(rng, k % 7, 10**6)}", "en", "s", 0) for k in range(150)]
+    rows += [(200 + k, rows[k][1] + (" more" if k % 2 else ""), "en", "s", 0) for k in range(0, 60, 3)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jj.jaccard_components(spark.createDataFrame(rows, DOCS)).collect()), key=repr)
+    assert got == brute(rows)
+
+
 def test_exact_threshold(spark):
     rows = [(1, " ".join(f"a{k}" for k in range(9)), "", "", 0), (2, " ".join(f"a{k}" for k in range(8)), "", "", 0)]  # 4 of 5 shingles
     rows += [(3, " ".join(f"b{k}" for k in range(8)), "", "", 0), (4, " ".join(f"b{k}" for k in range(7)), "", "", 0)]  # 3 of 4
