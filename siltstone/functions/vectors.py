@@ -90,3 +90,71 @@ def there_and_back_with_pause(t: Column, pause: float = 1 / 3) -> Column:
     """There, a pause, and back."""
     a = 1 / (1 - pause)
     return F.when(t < 0.5 - pause / 2, smooth(2 * a * t)).when(t < 0.5 + pause / 2, 1.0).otherwise(smooth(2 * a * (1 - t)))
+
+
+def inverse_interpolated(start: Column, end: Column, value: Column) -> Column:
+    """How far value lies from start to end; a half where they are the same."""
+    return F.when(start == end, 0.5).otherwise((value - start) / (end - start))
+
+
+def choose(n: Column, k: Column) -> Column:
+    """Binomial coefficient of whole numbers, by products that stay whole; 0 outside of 0 <= k <= n."""
+    few = F.least(k, n - k)
+    steps = F.when(few > 0, F.sequence(F.lit(1).cast("long"), F.greatest(few, F.lit(1)).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+    made = F.aggregate(steps, F.lit(1).cast("decimal(38,0)"), lambda a, i: F.floor(a * (n - i + 1).cast("decimal(19,0)") / i.cast("decimal(19,0)")).cast("decimal(38,0)"))
+    return F.when((k < 0) | (k > n), F.lit(0).cast("decimal(38,0)")).otherwise(made)
+
+
+def sigmoid(x: Column) -> Column:
+    """1 / (1 + exp(-x)), without overflow for large x on either side."""
+    e = F.exp(-F.abs(x))
+    return F.when(x >= 0, 1 / (1 + e)).otherwise(e / (1 + e))
+
+
+def bisected(f, target: Column, low: Column, high: Column, steps: int = 60) -> Column:
+    """Where a rising expression f takes a value, between two bounds: halved as often as doubles can tell apart."""
+    ends = F.struct(low.cast("double").alias("lo"), high.cast("double").alias("hi"))
+
+    def halve(a: Column, _: Column) -> Column:
+        mid = (a["lo"] + a["hi"]) / 2
+        return F.when(f(mid) < target, F.struct(mid.alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), mid.alias("hi")))
+
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), ends, halve)
+    return (found["lo"] + found["hi"]) / 2
+
+
+def inverse_powers(most: Column, cutoff: float = 0.01) -> Column:
+    """array<double>: 1, 1/2, 1/3 ... up to 1/most, as far as they reach the cutoff."""
+    last = F.least(most, F.lit(int(1 / cutoff + 1e-9)))
+    return F.when(last >= 1, F.transform(F.sequence(F.lit(1).cast("long"), F.greatest(last, F.lit(1)).cast("long")), lambda i: 1 / i)).otherwise(F.array().cast("array<double>"))
+
+
+def hex_color(code: Column) -> Column:
+    """array<int> of red, green and blue of #rrggbb; null where it is none."""
+    digits = F.regexp_extract(code, "^#?([0-9A-Fa-f]{6})$", 1)
+    return F.when(digits != "", F.array(*[F.conv(F.substring(digits, at, 2), 16, 10).cast("int") for at in (1, 3, 5)]))
+
+
+def chord_regions(points: Column) -> Column:
+    """Regions that the chords between so many points on a circle cut it into."""
+    return F.greatest(F.lit(1).cast("decimal(38,0)"), 1 + choose(points, F.lit(2)) + choose(points, F.lit(4)))
+
+
+def path_indices(points: Column, curves: Column) -> Column:
+    """array<long>: indices of the points that go into curves of equal numbers of points."""
+    used = F.floor(points / curves) * curves
+    return F.when(used > 0, F.sequence(F.lit(0).cast("long"), F.greatest(used - 1, F.lit(0)).cast("long"))).otherwise(F.array().cast("array<bigint>"))
+
+
+def compass(n: Column) -> Column:
+    """array<array<double>>: n directions of length 1, evenly around the third axis."""
+    at = lambda i: i * 2 * 3.141592653589793 / n
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(n - 1, F.lit(0)).cast("long")), lambda i: F.array(F.cos(at(i)), F.sin(at(i)), F.lit(0.0)))).otherwise(F.array().cast("array<array<double>>"))
+
+
+def grid(rows: Column, columns: Column, height: Column, width: Column) -> Column:
+    """array<array<double>>: points of a grid around the origin, row by row from below; a single row or column lies at the lower end."""
+    spread = lambda n, size, i: F.when(n > 1, -size / 2 + i * size / F.greatest(n - 1, F.lit(1))).otherwise(-size / 2)
+    count = rows * columns
+    point = lambda i: F.array(spread(columns, width, i % columns), spread(rows, height, F.floor(i / columns)), F.lit(0.0))
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.greatest(count - 1, F.lit(0)).cast("long")), point)).otherwise(F.array().cast("array<array<double>>"))

@@ -906,3 +906,38 @@ def runtime_advice(spark, sf):
     before = G.module_text("LIMIT = {n}\n\n# Tex is not called here\nclass Part{k}(Scene):\n    def construct(self):\n        a = b = 1\n        name = 'x'\n\n        ")
     d = table(spark, sf, "part").selectExpr("p_partkey", f"concat({before}, {statement}) AS code")
     return rewrite.tex_advice(d, "code", D.MATH)
+
+
+@query(
+    "helper_values",
+    """
+    SELECT p_partkey, round(CASE WHEN p_size = 25 THEN 0.5 ELSE (p_retailprice - p_size) / (25.0 - p_size) END, 6)::DOUBLE AS along,
+           list_reduce(list_concat([1::BIGINT], range(1, least(p_size % 9, p_size - p_size % 9) + 1)), lambda a, i: a * (p_size - i + 1) // i) AS chosen,
+           round(1 / (1 + exp(-(p_size - 25) / 5.0::DOUBLE)), 6) AS sigmoid, round(sqrt(p_size), 6) AS root,
+           round(list_sum(list_transform(range(1, least(p_size, 10) + 1), lambda i: 1.0::DOUBLE / i)), 6) AS powers, (p_partkey * 13) % 256 AS red,
+           1 + (p_size * (p_size - 1)) // 2 + (p_size * (p_size - 1) * (p_size - 2) * (p_size - 3)) // 24 AS regions, (p_size // 4) * 4 AS indices,
+           round(cos(2 * pi() * ((p_size - 1) / p_size)), 6) AS last_east, round(p_size * 1.5 * 3 / 2, 6)::DOUBLE AS grid_sum
+    FROM part
+    """,
+)
+def helper_values(spark, sf):
+    """Helpers of the old library over the parts' numbers."""
+    from siltstone.functions import vectors as V
+
+    n, price = F.col("p_size").cast("long"), F.col("p_retailprice").cast("double")
+    code = F.concat(F.lit("#"), F.lpad(F.hex((F.col("p_partkey") * 13) % 256), 2, "0"), F.lit("0A0b"))
+    # The sum of the absolute first coordinates of a grid of n rows, two columns and a width of 2.25.
+    east = F.aggregate(V.grid(n, F.lit(2), F.lit(1.0), F.lit(2.25)), F.lit(0.0), lambda a, p: a + F.abs(F.get(p, 0)))
+    return table(spark, sf, "part").select(
+        "p_partkey",
+        F.round(V.inverse_interpolated(n.cast("double"), F.lit(25.0), price), 6).alias("along"),
+        V.choose(n, n % 9).cast("long").alias("chosen"),
+        F.round(V.sigmoid((n - 25) / 5.0), 6).alias("sigmoid"),
+        F.round(V.bisected(lambda x: x * x, n, F.lit(0.0), F.lit(100.0)), 6).alias("root"),
+        F.round(F.aggregate(V.inverse_powers(n, 0.1), F.lit(0.0), lambda a, x: a + x), 6).alias("powers"),
+        F.get(V.hex_color(code), 0).cast("long").alias("red"),
+        V.chord_regions(n).cast("long").alias("regions"),
+        F.size(V.path_indices(n, F.lit(4))).cast("long").alias("indices"),
+        F.round(F.get(F.element_at(V.compass(n), -1), 0), 6).alias("last_east"),
+        F.round(east, 6).alias("grid_sum"),
+    )
