@@ -207,29 +207,7 @@ def source_converted(spark, sf):
     return d.select("p_partkey", F.when(F.col("converted.way") == "tree", F.md5("converted.code")).alias("converted"), "converted.valid")
 
 
-_NAMES_OF_TEXT = sorted(converter._TEXT_NAMES, key=len, reverse=True)
-
-
-def _text_sql() -> str:
-    """The text converter's names and rules as nested calls, for sources of this specification."""
-    c = "code"
-    for old in _NAMES_OF_TEXT:
-        if old in " ".join(x for s in _all_statements() for x in s):
-            c = f"regexp_replace({c}, '\\b{old}\\b', '{converter._TEXT_NAMES[old]}', 'g')"
-    for kind, pattern, new in converter.TEXT_RULES:
-        if kind in ("import", "constant", "animation", "three_d"):
-            c = f"regexp_replace({c}, {quoted(pattern)}, {quoted(new)}, 'g')"
-    c = f"regexp_replace({c}, '\\.get_(width|height|color)\\(\\)', '.\\1', 'g')"
-    return f"regexp_replace({c}, '(?m)^(\\s*)def construct\\(self,\\s*([^)]*)\\):', '\\1def _construct_with_args(self, \\2):', 'g')"
-
-
-def _all_statements():
-    from siltstone.sources import generated as g
-
-    return [*g.STATEMENTS, *g.IMPORTS, *g.BASES, g.CONFIG]
-
-
-@query("text_converted", f"SELECT p_partkey, md5({_text_sql()}) AS converted FROM {SQL}")
+@query("text_converted", f"SELECT p_partkey, md5(as_text) AS converted FROM {SQL}")
 def text_converted(spark, sf):
     """Sources after the text converter, which needs no tree."""
     @F.pandas_udf("string")

@@ -48,6 +48,23 @@ IMPORTS = [
 BASES = [("Scene", "Scene", "Scene"), ("CycloidScene", "Scene", "Scene"), ("GraphScene", "Scene", "GraphScene"), ("InteractiveScene", "InteractiveScene", "Scene"), ("ThreeDScene", "ThreeDScene", "ThreeDScene")]
 _CONFIG = "    CONFIG = {'run_time': {n}, 'stroke': GRAY}\n"
 CONFIG = (_CONFIG, _CONFIG.replace("GRAY", "GREY"), "\n    def __init__(self, **kwargs):\n        super().__init__(**kwargs)\n        self.run_time = {n}\n        self.stroke = GREY\n")
+#: What the text converter, which looks at no tree, must make of statements, imports and the CONFIG; all others stay as written.
+AS_TEXT = {
+    "t = TextMobject('w{n}')": "t = Text('w{n}')",
+    "self.play(ShowCreation(Circle(color=BLUE_C)))": "self.play(Create(Circle(color=BLUE)))",
+    "w = VGroup([Dot(), Dot()]).get_width()": "w = VGroup([Dot(), Dot()]).width",
+    "m = TexMobject('x^{n}')": "m = MathTex('x^{n}')",
+    "v = RED_D": "v = DARK_RED",
+    "self.play(ApplyMethod(obj.shift, UP))": "self.play(obj.animate.shift(UP))",
+    "c = FRAME_WIDTH": "c = config.frame_width",
+    "from manimlib.imports import *": "from manim import *",
+    "from manim_imports_ext import *": "from manim import *",
+    "import numpy as np\nfrom manimlib import *": "import numpy as np\nfrom manim import *",
+    "import cv2\nfrom manimlib.imports import *": "import cv2\nfrom manim import *",
+    _CONFIG: _CONFIG.replace("GRAY", "GREY"),
+}
+STATEMENTS, IMPORTS, BASES = ([(*r, AS_TEXT.get(r[0], r[0])) for r in rows] for rows in (STATEMENTS, IMPORTS, BASES))
+CONFIG = (*CONFIG, AS_TEXT[_CONFIG])
 #: Steps from one statement of a source to the next in the table.
 SLOTS = (0, 7, 13)
 BROKEN = "\n        self.add(Tex('a'"
@@ -65,7 +82,7 @@ def _choice(number: str, rows: list[tuple[str, str, str]], form: int) -> str:
 
 
 def _source(form: int) -> str:
-    """A whole source in one of the three forms."""
+    """A whole source in one of the four forms: as written, fixed, converted, converted as text."""
     gap = chr(10) if form == 2 else ""
     slots = [f"concat('        ', {_choice(f'(p_partkey + {s}) % {len(STATEMENTS)}', STATEMENTS, form)}, chr(10))" for s in SLOTS]
     # The converter prints trees: one blank line before each def and class.
@@ -76,8 +93,8 @@ def _source(form: int) -> str:
         _choice("p_size % 5", BASES, form),
         _text("):\n"),
         f"CASE WHEN p_size % 3 = 0 THEN {_text(CONFIG[form])} ELSE '' END",
-        _text(gap + "    def construct(self"),
-        "CASE WHEN p_partkey % 7 = 3 THEN ', rows, cols=2' ELSE '' END",
+        _text(gap + "    def "),
+        f"CASE WHEN p_partkey % 7 = 3 THEN '{'_construct_with_args' if form == 3 else 'construct'}(self, rows, cols=2' ELSE 'construct(self' END",
         _text("):\n"),
         *slots,
         _text("        self.wait()"),
@@ -105,8 +122,8 @@ def _moved() -> str:
 
 
 IMPORT_BLOCK = _choice("p_partkey % 4", IMPORTS, 0)
-#: part with code (as written), fixed, converted and moved (null where it does not apply), for FROM.
-SQL = f"(SELECT p_partkey, p_size, {_source(0)} AS code, {_source(1)} AS fixed, CASE WHEN p_partkey % 11 <> 5 THEN {_source(2)} END AS converted, {_moved()} AS moved, {IMPORT_BLOCK} AS imports FROM part)"
+#: part with code (as written), fixed, converted and moved (null where it does not apply) and as_text, for FROM.
+SQL = f"(SELECT p_partkey, p_size, {_source(0)} AS code, {_source(1)} AS fixed, CASE WHEN p_partkey % 11 <> 5 THEN {_source(2)} END AS converted, {_moved()} AS moved, {_source(3)} AS as_text, {IMPORT_BLOCK} AS imports FROM part)"
 
 
 def sources(spark: SparkSession, sf_dir: str) -> DataFrame:
