@@ -919,3 +919,13 @@ def helper_values(spark, sf):
         F.round(F.get(F.element_at(V.compass(n), -1), 0), 6).alias("last_east"),
         F.round(east, 6).alias("grid_sum"),
     )
+
+
+@query("statement_rewrites", f"SELECT p_partkey, md5({G.one_statement(1)}) AS fixed, md5({G.one_statement(2)}) AS converted FROM part")
+def statement_rewrites(spark, sf):
+    """Names, calls, parameters and constants of the old dialect one by one, after the fixer and after the tree converter."""
+    from siltstone.session import spread
+
+    d = spread(table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{G.one_statement(0)} AS code")
+    d = converter.with_converted(fixer.with_fixed(d, "code"), "code")
+    return d.select("p_partkey", F.md5("fixed.code").alias("fixed"), F.md5("converted.code").alias("converted"))

@@ -226,3 +226,51 @@ DAMAGED_SQL = f"(SELECT p_partkey, p_size, {_damaged(0)} AS code, {_damaged(1)}
 def damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(p_partkey, code): a source for each part, most of them damaged."""
     return spread(table(spark, sf_dir, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{_damaged(0)} AS code")
+
+
+#: Statements of the names and calls that the table above leaves out: as written, as fixed, as converted.
+MORE_STATEMENTS = [
+    ('a = WiggleOutThenIn(m)', 'a = Wiggle(m)', 'a = Wiggle(m)'),
+    ('a = CircleIndicate(m)', 'a = Indicate(m)', 'a = Indicate(m)'),
+    ('a = GrowFromCenter(m, run_time={k})', 'a = FadeIn(m, run_time={k})', 'a = FadeIn(m, run_time={k})'),
+    ('a = ShowCreationThenDestruction(m)', 'a = ShowPassingFlash(m)', 'a = ShowPassingFlash(m)'),
+    ("t = OldTexText('w{k}')", "t = Tex('w{k}')", "t = Text('w{k}')"),
+    ("t = OldTex('x')", "t = Tex('x')", "t = Tex('x')"),
+    ('p = Point(LEFT)', 'p = Dot(LEFT)', 'p = Point(LEFT)'),
+    ('w = m.get_height() + {k}', 'w = m.height + {k}', 'w = m.height + {k}'),
+    ('w = m.get_fill_color()', 'w = m.fill_color', 'w = m.fill_color'),
+    ('c = GRAY', 'c = GREY', 'c = GREY'),
+    ('c = LIGHT_GRAY', 'c = LIGHT_GREY', 'c = LIGHT_GREY'),
+    ('c = MAROON_D', 'c = DARK_MAROON', 'c = DARK_MAROON'),
+    ('c = GREEN_B', 'c = GREEN', 'c = LIGHT_GREEN'),
+    ('c = YELLOW_E', 'c = GOLD_E', 'c = YELLOW'),
+    ('f = FRAME_HEIGHT', 'f = config.frame_height', "f = config['frame_height']"),
+    ('f = FRAME_X_RADIUS + {k}', 'f = config.frame_width / 2 + {k}', "f = config['frame_width'] / 2 + {k}"),
+    ('d = UP+LEFT', 'd = UL', 'd = UP + LEFT'),
+    ('d = DOWN+RIGHT', 'd = DR', 'd = DOWN + RIGHT'),
+    ('m.nudge({k})', 'm.shift({k})', 'm.nudge({k})'),
+    ('m.add_to_back(n)', 'm.add(n)', 'm.add_to_back(n)'),
+    ('r = there_and_back', 'r = rate_functions.there_and_back', 'r = there_and_back'),
+    ('m.center_of_mass()', 'm.get_center_of_mass()', 'm.center_of_mass()'),
+    ('q = ApplyFunction(f, m)', 'q = Transform(f, m)', 'q = ApplyFunction(f, m)'),
+    ('self.play(FlipThroughNumbers({k}))', 'pass  # self.play(FlipThroughNumbers({k}))  # NEEDS MANUAL CONVERSION', 'self.play(FlipThroughNumbers({k}))'),
+    ('randy = Randolph()', 'pass  # randy = Randolph()  # No ManimCE equivalent', 'randy = Randolph()'),
+    ('n = get_norm(v)', 'n = get_norm(v)', 'n = np.linalg.norm(v)'),
+    ('r = rush_into', 'r = rush_into', 'r = smooth'),
+    ('z = UL', 'z = UL', 'z = UP + LEFT'),
+    ('m.elongate_tick_at({k})', 'm.elongate_tick_at({k})', 'pass'),
+    ('l = NumberLine(radius={k})', 'l = NumberLine(radius={k})', 'l = NumberLine()'),
+    ('v = Vector(UP, preserve_tip_size_when_scaling=False)', 'v = Vector(UP, preserve_tip_size_when_scaling=False)', 'v = Vector(UP)'),
+    ('s = ShimmerIn(m)', 's = ShimmerIn(m)', 's = FadeIn(m)'),
+    ('p = ParametricCurve(f)', 'p = ParametricCurve(f)', 'p = ParametricFunction(f)'),
+    ("x = Texs('a')", "x = Texs('a')", "x = VGroup('a')"),
+    ('y = FRAME_Y_RADIUS', 'y = config.frame_height / 2', "y = config['frame_height'] / 2"),
+    ('k = m.get_stroke_width()', 'k = m.stroke_width', 'k = m.stroke_width'),
+]
+_AROUND = "from manim import *\n\nclass Part{k}(Scene):\n\n    def construct(self):\n        "
+
+
+def one_statement(form: int) -> str:
+    """A source of one of MORE_STATEMENTS in one of the three forms, as SQL."""
+    cases = " ".join(f"WHEN {i} THEN {module_text(_AROUND + r[form] + chr(10) + '        self.wait()')}" for i, r in enumerate(MORE_STATEMENTS))
+    return f"CASE p_partkey % {len(MORE_STATEMENTS)} {cases} END"
