@@ -8,21 +8,41 @@ from pyspark.sql import functions as F
 from siltstone.session import materialize, scratch
 
 
+class _Growing:
+    """A table that grows round by round; a round writes what is new and nothing else."""
+
+    def __init__(self, first: DataFrame, label: str):
+        self.spark, self.label, self.paths = first.sparkSession, label, []
+        self.schema = first.schema
+        self.new = self.add(first)
+
+    def add(self, df: DataFrame) -> DataFrame:
+        """Write rows; the rows as written."""
+        path = scratch(self.spark, self.label)
+        df.write.parquet(path)
+        self.paths.append(path)
+        self.new = self.spark.read.schema(self.schema).parquet(path)
+        return self.new
+
+    def all(self) -> DataFrame:
+        """All rows so far."""
+        return self.spark.read.schema(self.schema).parquet(*self.paths)
+
+
 def closure(edges: DataFrame, rounds: int = 64) -> DataFrame:
     """All pairs (src, dst) with a path from src to dst, by path doubling over what is new.
 
     A round joins the pairs of the round before with all pairs known, on either side, and keeps those not known yet; paths
-    of n edges take log2(n) rounds. Each round is written to the shared folder: lineage stays short and a lost executor
+    of n edges take log2(n) rounds. Each round writes its new pairs to the shared folder: lineage stays short and a lost executor
     costs one round.
     """
-    known = new = materialize(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "paths")
+    known = _Growing(edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct(), "paths")
     step = lambda a, b: a.select("src", F.col("dst").alias("mid")).join(b.select(F.col("src").alias("mid"), "dst"), "mid").select("src", "dst")
     for _ in range(rounds):
-        longer = step(new, known).unionByName(step(known, new)).distinct()
-        new = materialize(longer.join(known, ["src", "dst"], "left_anti"), "paths")
-        if new.isEmpty():
-            return known
-        known = materialize(known.unionByName(new), "paths")
+        all_ = known.all()
+        longer = step(known.new, all_).unionByName(step(all_, known.new)).distinct()
+        if known.add(longer.join(all_, ["src", "dst"], "left_anti")).isEmpty():
+            return known.all()
     raise ValueError("the closure has not settled")
 
 
@@ -47,13 +67,11 @@ def depths(edges: DataFrame, rounds: int = 64) -> DataFrame:
 def reachable(edges: DataFrame, roots: DataFrame) -> DataFrame:
     """(node): the roots and all that they reach, a frontier a round; what was seen is not expanded again."""
     e = edges.where("src IS NOT NULL AND dst IS NOT NULL").select("src", "dst").distinct()
-    seen = frontier = materialize(roots.select("node").where("node IS NOT NULL").distinct(), "reached")
-    while True:
-        onward = e.join(frontier.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
-        frontier = materialize(onward.join(seen, "node", "left_anti"), "frontier")
-        if frontier.isEmpty():
-            return seen
-        seen = materialize(seen.unionByName(frontier), "reached")
+    seen = _Growing(roots.select("node").where("node IS NOT NULL").distinct(), "reached")
+    while not seen.new.isEmpty():
+        onward = e.join(seen.new.select(F.col("node").alias("src")), "src", "left_semi").select(F.col("dst").alias("node")).distinct()
+        seen.add(onward.join(seen.all(), "node", "left_anti"))
+    return seen.all()
 
 
 def unused(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
@@ -128,14 +146,12 @@ def components(edges: DataFrame, rounds: int = 1000) -> DataFrame:
         colour = _coloured(e, count)
         of = lambda c: colour.select(F.col("node").alias(c), F.col("colour").alias(f"of_{c}"))
         inside = materialize(e.join(of("src"), "src").join(of("dst"), "dst").where("of_src = of_dst").select("src", "dst", F.col("of_src").alias("colour")), "inside")
-        seen = frontier = materialize(colour.where("node = colour"), "seen")
-        while True:
+        reached = _Growing(colour.where("node = colour"), "seen")
+        while not reached.new.isEmpty():
             count()
-            back = inside.join(frontier.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node"), "colour").distinct()
-            frontier = materialize(back.join(seen, "node", "left_anti"), "frontier")
-            if frontier.isEmpty():
-                break
-            seen = materialize(seen.unionByName(frontier), "seen")
+            back = inside.join(reached.new.select(F.col("node").alias("dst")), "dst", "left_semi").select(F.col("src").alias("node"), "colour").distinct()
+            reached.add(back.join(reached.all(), "node", "left_anti"))
+        seen = reached.all()
         seen.write.mode("append").parquet(path)
         found = True
         left = inside.join(seen.select(F.col("node").alias("src")), "src", "left_anti").join(seen.select(F.col("node").alias("dst")), "dst", "left_anti")
@@ -232,7 +248,8 @@ class Reachability:
         goals = self._label("b")
         open_ = p.where("a_node <> b_node").select("a_node", "b_node").distinct().join(self._label("a"), "a_node").join(goals, "b_node").where(self._may("a", "b"))
         # at: where the search for a pair has come to; pairs are asked once, however many nodes share their components.
-        at = seen = materialize(open_.select("a_node", "b_node", F.col("a_node").alias("at")), "at")
+        seen = _Growing(open_.select("a_node", "b_node", F.col("a_node").alias("at")), "at")
+        at = seen.new
         found = [same]
         while not at.isEmpty():
             step = at.join(self.edges.select(F.col("src").alias("at"), F.col("dst").alias("at_node")), "at").select("a_node", "b_node", "at_node").distinct()
@@ -240,8 +257,7 @@ class Reachability:
             found.append(hit)
             on = step.join(hit, ["a_node", "b_node"], "left_anti").join(self._label("at"), "at_node").join(goals, "b_node").where(self._may("at", "b"))
             on = on.select("a_node", "b_node", F.col("at_node").alias("at"))
-            at = materialize(on.join(seen, ["a_node", "b_node", "at"], "left_anti"), "at")
-            seen = materialize(seen.unionByName(at), "seen")
+            at = seen.add(on.join(seen.all(), ["a_node", "b_node", "at"], "left_anti"))
         hits = found[0]
         for f in found[1:]:
             hits = hits.unionByName(f)
