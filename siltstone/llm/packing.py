@@ -1,14 +1,14 @@
 """Best-fit packing of tokenised documents into fixed-length sequences.
 
 The packer is online: it sees one piece at a time and never moves one it has placed. The rows it is fed are sorted
-longest first, which costs a sort of small rows and saves sequences.
+longest first, so over a partition the order is best fit decreasing, which costs a sort of small rows and saves sequences.
 
 Two steps. ``token_pieces`` tokenises every whole text where it is read and passes on one small row
 for each piece; texts and ids are not shuffled. ``pack`` deals those rows out by hash and feeds each
 partition, longest first, to a bounded-space online best-fit packer: a fixed number of open bins, kept
 in a bitset keyed by free space (bit f: some open bin has f tokens left). The lowest set bit from the
 piece's length on is the best fit; when too many bins are open the fullest, the lowest set bit of all,
-closes first. A partition holds the open bins alone, never its rows.
+closes first. A partition holds the open bins alone, never its rows. What partitions leave at most half full is packed once more.
 
 Tokenising: the vocabulary's pre-tokeniser never lets a token cross white space, so ids are looked up
 by white-space word in a bounded dictionary of words already encoded. Texts with U+001C..U+001F, where
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from siltstone.llm.registry import query
-from siltstone.session import spread, table
+from siltstone.session import materialize, spread, table
 
 CAPACITY = 2048
 OPEN_BINS = 1 << 16
@@ -159,15 +159,9 @@ def token_pieces(
     return docs.mapInPandas(run, schema)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:
-    """pieces (doc_id, piece, start, length, ...) with sequence_id and offset.
-
-    How many partitions pack side by side follows the number of pieces (adaptive coalescing), so what
-    a partition leaves open at its end is small beside what it fills.
-    """
-    schema = T.StructType(
-        [*pieces.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())]
-    )
+def _packed(rows: DataFrame, capacity: int, open_bins: int, order: list) -> DataFrame:
+    """rows (with length), as they lie in partitions and in the order given, each with bin and at."""
+    schema = T.StructType([*rows.schema.fields, T.StructField("bin", T.LongType()), T.StructField("at", T.LongType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
@@ -175,13 +169,30 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS
         base, packer = TaskContext.get().partitionId() << 40, BestFit(capacity, open_bins)
         for b in batches:
             placed = np.array([packer.put(n) for n in b["length"].tolist()], np.int64).reshape(-1, 2)
-            yield b.assign(sequence_id=base + placed[:, 0], offset=placed[:, 1])
+            yield b.assign(bin=base + placed[:, 0], at=placed[:, 1])
+
+    return rows.sortWithinPartitions(*order).mapInPandas(run, schema)
 
-    return (
-        pieces.repartition(F.xxhash64("doc_id", "piece", "start"))
-        .sortWithinPartitions(F.desc("length"), "doc_id", "piece", "start", "ids_crc32")
-        .mapInPandas(run, schema)
-    )
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, open_bins: int = OPEN_BINS) -> DataFrame:
+    """pieces (doc_id, piece, start, length, ...) with sequence_id and offset.
+
+    Two rounds. Pieces are packed side by side, partition by partition. Best fit leaves at most one bin at most half full to a
+    partition while its bins stay open, so what partitions leave is a row each; those rows are packed once more, each as one piece, and
+    the pieces inside move along. So how many sequences there are hardly follows how many partitions packed.
+    """
+    order = [F.desc("length"), "doc_id", "piece", "start", "ids_crc32"]
+    first = materialize(_packed(pieces.repartition(F.xxhash64("doc_id", "piece", "start")), capacity, open_bins, order), "packed")
+    half = first.groupBy("bin").agg(F.sum("length").alias("length")).where(F.col("length") <= capacity // 2).withColumnRenamed("bin", "from")
+    moved = materialize(_packed(half.repartition(1), capacity, open_bins, [F.desc("length"), "from"]), "moved")
+    # A merged sequence goes by its first bin's number.
+    names = moved.where("at = 0").select("bin", F.col("from").alias("name"))
+    moved = moved.join(names, "bin").select("from", "name", F.col("at").alias("shift"))
+    if open_bins >= OPEN_BINS:
+        moved = F.broadcast(moved)  # a row a partition, as long as no bin had to close
+    out = first.join(moved, F.col("bin") == F.col("from"), "left")
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    return out.select(*kept, F.coalesce("name", "bin").alias("sequence_id"), (F.col("at") + F.coalesce("shift", F.lit(0))).alias("offset"))
 
 
 def pack_documents(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, **columns: str) -> DataFrame:

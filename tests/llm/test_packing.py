@@ -71,6 +71,30 @@ def test_few_open_bins_and_clashing_columns(spark):
     assert len(bins) > len({r.sequence_id for r in pack(pieces, 64).collect()})
 
 
+def test_partitions_hardly_change_the_number_of_sequences(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, 0, 0, int(n), 0) for k, n in enumerate(rng.integers(1, 100, 300))]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    made, before = [], spark.conf.get("spark.sql.shuffle.partitions")
+    for n in (1, 3, 24):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        out = pack(pieces, 128).collect()
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        bins = defaultdict(list)
+        for r in out:
+            bins[r.sequence_id].append((r.offset, r.length))
+        for b in bins.values():
+            ends = [at + k for at, k in sorted(b)]
+            assert [at for at, _ in sorted(b)] == [0, *ends[:-1]] and ends[-1] <= 128
+        assert len(out) == 300
+        made.append(len(bins))
+        half = [b for b in bins.values() if sum(k for _, k in b) <= 64]
+        assert len(half) <= 1
+    assert made[2] <= made[0] * 1.12
+
+
 def test_best_fit_bounded():
     b = BestFit(10, 2)
     assert b.put(6) == (0, 0) and b.put(7) == (1, 0) and b.put(3) == (1, 7)
