@@ -929,3 +929,36 @@ def statement_rewrites(spark, sf):
     d = spread(table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{G.one_statement(0)} AS code")
     d = converter.with_converted(fixer.with_fixed(d, "code"), "code")
     return d.select("p_partkey", F.md5("fixed.code").alias("fixed"), F.md5("converted.code").alias("converted"))
+
+
+_ASKED = "Match {source} in {lang}: {n_chars} characters."
+
+
+@query(
+    "prompts_learned",
+    r"""
+    WITH t AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(lower(text), '[^\p{L}]+'), lambda w: length(w) > 9))) AS term FROM documents),
+    h AS (SELECT term, count(*) FILTER (quality = 1) AS ok, count(*) FILTER (quality = 0) AS bad FROM t JOIN labels USING (doc_id) GROUP BY term),
+    r AS (SELECT doc_id, term, CASE WHEN coalesce(ok, 0) + coalesce(bad, 0) > 0 THEN ok::DOUBLE / (ok + bad) ELSE 0.5 END AS rate FROM t LEFT JOIN h USING (term)),
+    k AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY rate DESC, term) AS n FROM r),
+    g AS (SELECT doc_id, string_agg(term, ',' ORDER BY n) AS terms, string_agg(term, ', ' ORDER BY n) FILTER (n <= 3) AS named FROM k WHERE n <= 5 GROUP BY doc_id)
+    SELECT doc_id, terms, 'Match ' || coalesce(source, 'unknown') || ' in ' || coalesce(lang, 'unknown') || ': ' || coalesce(n_chars::VARCHAR, 'unknown') || ' characters.'
+           || CASE WHEN named IS NULL THEN '' ELSE chr(10) || chr(10) || 'LEARNED INSIGHTS:' || chr(10) || 'Prioritize searching for these terms that have worked well: ' || named END
+           || CASE WHEN n_chars > 10000 THEN chr(10) || chr(10) || 'IMPORTANT WARNINGS:' || chr(10) || 'Large file detected. Consider breaking into logical chunks.' ELSE '' END AS prompt,
+           CASE WHEN n_chars < 5000 THEN 'small' WHEN n_chars < 20000 THEN 'medium' ELSE 'large' END AS timeout
+    FROM documents LEFT JOIN g USING (doc_id)
+    """,
+)
+def prompts_learned(spark, sf):
+    """A prompt for each document, with the long words of its text that documents of good quality have most often."""
+    from siltstone.operators import prompts
+
+    d = table(spark, sf, "documents")
+    words = F.array_distinct(F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 9))
+    asked = d.select(F.col("doc_id").alias("key"), F.explode(words).alias("term"))
+    judged = asked.join(table(spark, sf, "labels").select(F.col("doc_id").alias("key"), "quality"), "key")
+    history = judged.groupBy("term").agg(F.count_if(F.col("quality") == 1).alias("ok"), F.count_if(F.col("quality") == 0).alias("bad"))
+    out = d.join(prompts.ranked_terms(asked, history).withColumnRenamed("key", "doc_id"), "doc_id", "left")
+    base = prompts.filled(_ASKED, source=F.col("source"), lang=F.col("lang"), n_chars=F.col("n_chars"))
+    prompt = prompts.cleaning_prompt(prompts.matching_prompt(base, F.col("terms")), F.lit(1), F.col("n_chars"))
+    return out.select("doc_id", F.array_join("terms", ",").alias("terms"), prompt.alias("prompt"), prompts.timeout_class(F.col("n_chars")).alias("timeout"))

@@ -157,3 +157,21 @@ def test_screened_rules(spark):
     want = {r.id: r.m for r in d.select("id", ops.matched(F.col("t"), every).alias("m")).collect()}
     assert {r.id: r.m for r in matched_if_worth(d, "t", every, "m").select("id", "m").collect()} == {k: v or [] for k, v in want.items()}
     assert any(want.values())
+
+
+def test_prompts(spark):
+    """Unknown and tied terms, no terms, null fields, braces that are no fields, solutions that tie."""
+    from siltstone.operators import prompts
+
+    asked = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (1, "new"), (2, "b"), (3, "d"), (3, "e")], "key long, term string")
+    history = spark.createDataFrame([("a", 1, 3), ("b", 3, 1), ("c", 0, 0), ("d", 2, 2), ("other", 9, 0)], "term string, ok long, bad long")
+    assert {r.key: r.terms for r in prompts.ranked_terms(asked, history).collect()} == {1: ["b", "c", "new", "a"], 2: ["b"], 3: ["d", "e"]}
+    d = spark.createDataFrame([(1, None, ["b", "c", "new", "a"], 11, 5), (2, "{x}", [], 1, 10_001), (3, "t", None, 11, 20_000)], "id long, t string, terms array<string>, files int, largest int")
+    base = prompts.filled("Of {title}{none} {title}.", title=F.col("t"))
+    got = d.select(prompts.matching_prompt(base, F.col("terms")).alias("m"), prompts.cleaning_prompt(F.lit("b"), F.col("files"), F.col("largest")).alias("c"), prompts.timeout_class(F.col("largest")).alias("t")).collect()
+    assert got[0].m.startswith("Of unknown{none} unknown.\n\nLEARNED") and got[0].m.endswith("well: b, c, new") and got[1].m == "Of {x}{none} {x}." and got[2].m == "Of t{none} t."
+    assert [r.c.count("\n") for r in got] == [3, 3, 4] and [r.t for r in got] == ["small", "medium", "large"]
+    best = prompts.best_solutions(spark.createDataFrame([("x", "s", 2), ("x", "t", 2), ("x", "u", 1), ("y", "v", 0)], "category string, solution string, worked long"))
+    assert {tuple(r) for r in best.collect()} == {("x", "t", 2), ("y", "v", 0)}
+    p = best.select(*[prompts.fixing_prompt(F.lit("b"), F.lit(k), F.col("solution"), F.col("worked")).alias(f"p{k}") for k in (1, 2)]).orderBy("p1").collect()
+    assert p[1].p1 == "b\n\nLEARNED SOLUTIONS:\nKNOWN SOLUTION (worked 2 times):\nt" and {r.p2 for r in p} == {"b"}
