@@ -962,3 +962,78 @@ def prompts_learned(spark, sf):
     base = prompts.filled(_ASKED, source=F.col("source"), lang=F.col("lang"), n_chars=F.col("n_chars"))
     prompt = prompts.cleaning_prompt(prompts.matching_prompt(base, F.col("terms")), F.lit(1), F.col("n_chars"))
     return out.select("doc_id", F.array_join("terms", ",").alias("terms"), prompt.alias("prompt"), prompts.timeout_class(F.col("n_chars")).alias("timeout"))
+
+
+_M = "from manim import *\n"
+_L = "from manimlib import *\n"
+_S = "class A{k}(Scene):\n    def construct(self):\n        "
+# A source for each kind of issue: validator, source, severities and kinds.
+_ISSUE_SOURCES = [
+    ("before_render", _M + "from manimlib.a import b\nx = {k}\n", "error:invalid_import"),
+    ("before_render", _M + "from custom.x import y\n", "warning:problematic_import"),
+    ("before_render", "x = {k}\n", "error:missing_import"),
+    ("before_render", _M + "class A(ContinualAnimation):\n    a = {k}\n", "error:continual_animation,error:deprecated_class"),
+    ("before_render", _M + "t = OldTex('{k}')\n", "error:deprecated_api"),
+    ("before_render", _M + "a = ShowCreation(b)\n", "error:deprecated_animation,error:deprecated_api"),
+    ("before_render", _M + "w = a.get_width() + {k}\n", "warning:deprecated_method"),
+    ("before_render", _M + "r = Randolph()\n", "error:pi_creature_usage"),
+    ("before_render", _M + "class A{k}(Scene):\n    a = 1\n", "error:missing_construct"),
+    ("before_render", _M + "class A{k}(Scene):\n    def construct(self, extra):\n        pass\n", "error:invalid_construct"),
+    ("before_render", _M + "class A{k}(Scene):\n    CONFIG = {'n': {n}}\n    def construct(self):\n        pass\n", "warning:deprecated_config"),
+    ("before_render", "x = ({k}\n", "error:syntax_error"),
+    ("before_render", _M + "x = {k}\n", ""),
+    ("scene", _S + "pass\n", "error:missing_import"),
+    ("scene", _L + "x = 1\n" * 22 + "import os\n" + _S + "pass\n", "warning:import_location"),
+    ("scene", _L + "x = {k}\n", "error:no_scene_class"),
+    ("scene", _L + "class A{k}(Scene):\n    a = 1\n", "error:missing_construct"),
+    ("scene", _L + _S + "self.add(nothing_{k})\n", "warning:undefined_names"),
+    ("scene", _L + _S + "print({k})\n", "info:print_statement"),
+    ("scene", _L + _S + "x = '" + "long " * 40 + "'\n", "info:long_line"),
+    ("before_conversion", "from manimlib.imports import SmallDot\n", "error:removed_import"),
+    ("before_conversion", "class A{k}(GraphScene):\n    a = 1\n", "warning:changed_base_class"),
+    ("before_conversion", "a = SmallDot()\n", "error:removed_class"),
+    ("before_conversion", "a.get_corner(UL)\n", "error:removed_method"),
+    ("before_conversion", "t = Tex('x', size='{k}')\n", "error:removed_parameter"),
+    ("before_conversion", "a.add_updater(f)\n", "warning:updater_api_change"),
+    ("before_conversion", "self.play(a, b, c, d)\n", "info:complex_play_call"),
+    ("before_conversion", "w = a.width()\n", "warning:property_as_method"),
+    ("before_conversion", "a.coords_to_point({k})\n", "info:coordinate_api"),
+    ("before_conversion", "x = {k}\n", ""),
+]
+# A source for each automatic fix, and what it must become.
+_FIX_SOURCES = [
+    ("x = {k}\n", _M + "x = {k}\n"),
+    ("from manim_imports_ext import *\nx = {k}\n", _M + "x = {k}\n"),
+    (_M + "a = ShowCreation(TextMobject('{k}'))\n", _M + "a = Create(Text('{k}'))\n"),
+    ("from manimlib.a import *\nx = {k}\n", _M + "x = {k}\n"),
+    (_M + "class A{k}(CycloidScene):\n    def construct(self):\n        pass\n", _M + _S + "pass\n"),
+    (_M + "class A{k}(Scene):\n    a = 1\n", _M + _S + "pass\n\n    a = 1\n"),
+    (_M + "c = (LIGHT_GRAY, GRAY, {k})\n", _M + "c = (LIGHT_GREY, GREY, {k})\n"),
+    (_M + 't = Tex("{k}"))\n', _M + 't = Tex("{k}")\n'),
+    (_M + "x = {k}\n", _M + "x = {k}\n"),
+]
+
+
+def _pick(rows: list, column: int) -> str:
+    return f"CASE p_partkey % {len(rows)} " + " ".join(f"WHEN {i} THEN {G.module_text(r[column])}" for i, r in enumerate(rows)) + " END"
+
+
+@query("issue_kinds", f"SELECT p_partkey, {_pick(_ISSUE_SOURCES, 0)} AS validator, {_pick(_ISSUE_SOURCES, 2)} AS kinds FROM part")
+def issue_kinds(spark, sf):
+    """Every kind of issue of the three validators, from a source that has it."""
+    from siltstone.session import spread
+
+    d = spread(table(spark, sf, "part").select("p_partkey", "p_size")).selectExpr("p_partkey", f"{_pick(_ISSUE_SOURCES, 0)} AS validator", f"{_pick(_ISSUE_SOURCES, 1)} AS code")
+    parts = [validators.with_issues(d.where(F.col("validator") == v), "code", v) for v in ("before_render", "scene", "before_conversion")]
+    kinds = F.array_join(F.array_sort(F.array_distinct(F.transform("issues", lambda i: F.concat(i["severity"], F.lit(":"), i["type"])))), ",")
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).select("p_partkey", "validator", kinds.alias("kinds"))
+
+
+@query("auto_fix_kinds", f"SELECT p_partkey, md5({_pick(_FIX_SOURCES, 1)}) AS fixed, p_partkey % {len(_FIX_SOURCES)} <> {len(_FIX_SOURCES) - 1} AS changed FROM part")
+def auto_fix_kinds(spark, sf):
+    """Every automatic fix, on a source that needs it."""
+    from siltstone.session import spread
+
+    d = spread(table(spark, sf, "part").select("p_partkey")).selectExpr("p_partkey", f"{_pick(_FIX_SOURCES, 0)} AS code")
+    d = validators.with_auto_fix(d, "code")
+    return d.select("p_partkey", F.md5("auto.code").alias("fixed"), (F.size("auto.fixes") > 0).alias("changed"))
