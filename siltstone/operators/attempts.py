@@ -74,14 +74,15 @@ def run_attempts(work: DataFrame, key: str, code: str, attempts: int = 3, check:
     schema = f"key {kind}, code string, fixes array<string>, message string, attempt int, last boolean, state string"
     for k in range(1, attempts + 1):
         tried = materialize(check(open_, "code").withColumn("attempt", F.lit(k)), "tried")
-        passed = F.when(F.col("message").isNull(), F.lit("clean" if k == 1 else "recovered"))
+        columns = ["key", "code", "fixes", "message", "attempt"]
+        passed = tried.where("message IS NULL").select(*columns, F.lit("clean" if k == 1 else "recovered").alias("state"))
         if k == attempts:
-            done = tried.withColumn("state", F.coalesce(passed, F.lit("exhausted")))
+            done = passed.unionByName(tried.where("message IS NOT NULL").select(*columns, F.lit("exhausted").alias("state")))
         else:
-            failed = materialize(fix(tried.where("message IS NOT NULL").drop("fixes"), "code"), "failed")
-            stuck = failed.where("fixed = code").select("key").withColumn("stuck", F.lit(True))
-            done = tried.join(stuck, "key", "left").withColumn("state", F.coalesce(passed, F.when(F.col("stuck"), "gave_up"))).drop("stuck")
-            open_ = failed.where("fixed <> code").select("key", F.col("fixed").alias("code"), "fixes")
+            failed = materialize(fix(tried.where("message IS NOT NULL").withColumnRenamed("fixes", "before"), "code"), "failed")
+            stuck = F.col("fixed").eqNullSafe(F.coalesce("code", F.lit("")))
+            done = passed.unionByName(failed.select("key", "code", F.col("before").alias("fixes"), "message", "attempt", F.when(stuck, "gave_up").alias("state")))
+            open_ = failed.where(~stuck).select("key", F.col("fixed").alias("code"), "fixes")
         done.withColumn("last", F.col("state").isNotNull()).select("key", "code", "fixes", "message", "attempt", "last", "state").write.mode("append").parquet(path)
         if k == attempts or open_.isEmpty():
             break

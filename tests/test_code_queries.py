@@ -107,13 +107,15 @@ def test_shared_blocks(spark):
 
 def test_attempts(spark):
     """A check that passes at once, after one fix, after two, never, and a fix that changes nothing."""
-    d = spark.createDataFrame([(1, "ok"), (2, "b"), (3, "ab"), (4, "aaaab"), (5, "x"), (6, None)], "id long, code string")
+    d = spark.createDataFrame([(1, "ok"), (2, "b"), (3, "ab"), (4, "aaaab"), (5, "x"), (6, None), (None, "b"), (None, "x")], "id long, code string")
     check = lambda df, code: df.withColumn("message", F.when(F.coalesce(F.col(code), F.lit("null")) != "ok", F.concat(F.lit("bad "), F.coalesce(F.col(code), F.lit("null")))))
     step = F.when(F.col("code") == "b", "ok").when(F.col("code").startswith("a"), F.substr("code", F.lit(2))).otherwise(F.coalesce("code", F.lit("")))
-    fix = lambda df, code: df.withColumns({"fixed": step, "fixes": F.array(F.lit("step"))}).withColumn("code", F.coalesce("code", F.lit("")))
+    fix = lambda df, code: df.withColumns({"fixed": step, "fixes": F.array(F.lit("step"))})
     states, history = attempts.run_attempts(d, "id", "code", 3, check, fix)
-    assert {r.key: (r.state, r.attempts) for r in states.collect()} == {1: ("clean", 1), 2: ("recovered", 2), 3: ("recovered", 3), 4: ("exhausted", 3), 5: ("gave_up", 1), 6: ("gave_up", 1)}
-    assert sorted((r.key, r.attempt) for r in history.collect()) == [(1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (3, 3), (4, 1), (4, 2), (4, 3), (5, 1), (6, 1)]
+    assert {(r.key, r.state, r.attempts) for r in states.collect()} == {
+        (1, "clean", 1), (2, "recovered", 2), (3, "recovered", 3), (4, "exhausted", 3), (5, "gave_up", 1), (6, "gave_up", 1), (None, "recovered", 2), (None, "gave_up", 1),
+    }
+    assert sorted((r.key or 0, r.attempt) for r in history.collect()) == [(0, 1), (0, 1), (0, 2), (1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (3, 3), (4, 1), (4, 2), (4, 3), (5, 1), (6, 1)]
     states, history = attempts.run_attempts(d.limit(0), "id", "code")
     assert states.count() == history.count() == 0
 
