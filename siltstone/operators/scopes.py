@@ -12,10 +12,11 @@ import ast
 import builtins
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from siltstone.operators.batches import each
+
 LEVELS = ["function", "class", "constant", "local", "cross_file", "import", "star", "builtin", "unresolved"]
 _ROWS = "what string, scope int, name string, kind string, far int, line int"
 _FUNCTIONS = (ast.FunctionDef, ast.AsyncFunctionDef, ast.Lambda)
@@ -146,13 +147,8 @@ def scope_rows(code: str | None) -> list[tuple]:
 
 def with_scopes(sources: DataFrame, key: str, code: str) -> DataFrame:
     """(key, what, scope, name, kind, far, line): the scope tables of all sources."""
-
-    @F.pandas_udf(f"array<struct<{', '.join(f'{c.split()[0]}: {c.split()[1]}' for c in _ROWS.split(', '))}>>")
-    def run(codes: pd.Series) -> pd.Series:
-        names = [c.split()[0] for c in _ROWS.split(", ")]
-        return pd.Series([[dict(zip(names, r, strict=True)) for r in scope_rows(c)] for c in codes])
-
-    return sources.select(F.col(key).alias("key"), F.inline(run(F.col(code))))
+    rows = each(scope_rows, f"array<struct<{', '.join(f'{c.split()[0]}: {c.split()[1]}' for c in _ROWS.split(', '))}>>", once=True)
+    return sources.select(F.col(key).alias("key"), F.inline(rows(F.col(code))))
 
 
 def resolve(scopes: DataFrame, index: DataFrame) -> DataFrame:
