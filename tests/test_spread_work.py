@@ -26,3 +26,12 @@ def test_rows_of_one_row_group_are_dealt_evenly(spark, tmp_path, make):
 def test_a_source_is_read_once(spark, name):
     plan = registry.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("EvalPython [") == 1
+
+
+def test_a_converted_tree_is_walked_few_times(monkeypatch):
+    from siltstone.operators import converter
+
+    walked, walk = [], converter.ast.walk
+    monkeypatch.setattr(converter.ast, "walk", lambda n: walked.append(n) or walk(n))
+    assert converter.convert("class A(Scene):\n    def construct(self):\n        self.add(you)\n")["valid"]
+    assert len(walked) <= 3
