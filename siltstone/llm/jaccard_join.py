@@ -15,7 +15,9 @@ changes the orders, never the result.
    keep the groups: prefix shingles that several classes share, each with one of its classes as leader.
 3. Links first: each group's members are paired with its leader; pairs that share a prefix shingle under every
    order are verified, and the components of those links are found. Within a component nothing more has to be known.
-4. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, in larger
+4. In the largest group of each class members are paired with the nearest by bitmap of another component, in rounds, so that many
+   near copies whom no leader links do not go on as many components with all pairs between them.
+5. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, in larger
    ones bitmaps decide first, block against block of BLOCK members, each pair of blocks a task's unit of its own.
    What is left under all orders is verified.
 
@@ -63,6 +65,8 @@ SMALL = 8
 BEFORE = 4
 #: Members of a large group that a task compares with as many others.
 BLOCK = 2048
+#: Rounds of nearest pairs before all pairs of different components.
+ROUNDS = 2
 #: Prefix shingles of one order that meet in a task, some 100 MB there: there are as many buckets as that takes.
 TOKENS = 2 << 20
 #: Rows that a Python worker gets at once.
@@ -339,16 +343,23 @@ def _led(groups: DataFrame) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord))").alias("met"))
 
 
-def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a group under every order."""
-    known = comps.select(F.col("node").alias("cls"), "root")
-    m = groups.join(known, "cls", "left").select("ord", "tok", "cls", "n", "g", F.coalesce("root", "cls").alias("comp"))
-    x, y = (m.where(F.col("g") <= SMALL).select("ord", "tok", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "comp")]) for k in "ab")
-    direct = x.join(y, ["ord", "tok"]).where(
-        (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes_fit("n_a", "n_b")
-    )
-    direct = direct.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "ord")
+def _named(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """groups with comp, the component of each class."""
+    known = comps.select(F.col("node").alias("cls"), F.col("root").alias("comp"))
+    return groups.join(known, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+
 
+def _largest(groups: DataFrame) -> DataFrame:
+    """(ord, tok, cls, n, g) of the largest group of each class under each order, where it has more than SMALL classes."""
+    most = groups.where(F.col("g") > SMALL).groupBy("ord", "cls").agg(F.max(F.struct("g", "tok")).alias("most"), F.first("n").alias("n"))
+    return materialize(most.select("ord", "most.tok", "cls", "n", "most.g"), "largest")
+
+
+def _compared(big: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs (a, b, ord) of different components (comp) in a large group whose bitmaps do not rule a link out.
+
+    nearest: of every member only the pair with the nearest of its own block; work and pairs then follow the members.
+    """
     unit = ["ord", "tok", "lo", "hi"]
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -359,33 +370,55 @@ def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame
             for lo, hi in zip(cut, cut[1:], strict=False):
                 part = b.iloc[lo:hi]
                 if held and (held[-1][unit].iloc[0] != part[unit].iloc[0]).any():
-                    yield from _group_pairs(pd.concat(held))
+                    yield from _group_pairs(pd.concat(held), nearest)
                     held = []
                 held.append(part)
         if held:
-            yield from _group_pairs(pd.concat(held))
+            yield from _group_pairs(pd.concat(held), nearest)
         trim()
 
+    # A large group is dealt into blocks by hash; a member goes to every unit that compares its block with another.
+    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
+    big = big.withColumn("blk", F.pmod(F.xxhash64("cls", F.lit("block")), blocks).cast("int"))
+    others = F.array("blk") if nearest else F.sequence(F.lit(0), blocks - 1)
+    big = big.withColumn("other", F.explode(others)).withColumns({"lo": F.least("blk", "other"), "hi": F.greatest("blk", "other")})
+    big = big.join(classes.select("cls", "bits"), "cls").repartition(*unit).sortWithinPartitions(*unit, "n", "cls")
+    return big.select(*unit, "blk", "cls", "n", "comp", "bits", "before").mapInPandas(compare, "a long, b long, ord int")
+
+
+def _nearest(largest: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of classes and the nearest, of another component, that they meet in their largest groups."""
+    alone = F.array(*[F.lit(-1).cast("long")] * BEFORE)
+    return _compared(_named(largest, comps).withColumn("before", alone), classes, nearest=True).select("a", "b").distinct()
+
+
+def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different components that share a group under every order."""
+    m = _named(groups, comps)
+    x, y = (m.where(F.col("g") <= SMALL).select("ord", "tok", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "comp")]) for k in "ab")
+    direct = x.join(y, ["ord", "tok"]).where(
+        (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes_fit("n_a", "n_b")
+    )
+    direct = direct.select(F.col("cls_a").alias("a"), F.col("cls_b").alias("b"), "ord")
     # Near copies share most of their groups: with the groups before it a member says where it has met others already.
     line = Window.partitionBy("ord", "cls").orderBy("tok")
     before = F.array(*[F.coalesce(F.lag("tok", k).over(line), F.lit(-1).cast("long")) for k in range(1, BEFORE + 1)])
     big = m.where(F.col("g") > SMALL)
     mixed = big.groupBy("ord", "tok").agg(F.min("comp").alias("least"), F.max("comp").alias("most")).where("least <> most").select("ord", "tok")
-    # A large group is dealt into blocks by hash; a member goes to every unit that compares its block with another.
-    blocks = F.ceil(F.col("g") / BLOCK).cast("int")
-    big = big.withColumn("before", before).join(mixed, ["ord", "tok"], "left_semi").withColumn("blk", F.pmod(F.xxhash64("cls", F.lit("block")), blocks).cast("int"))
-    big = big.withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).withColumns({"lo": F.least("blk", "other"), "hi": F.greatest("blk", "other")})
-    big = big.join(classes.select("cls", "bits"), "cls").repartition(*unit).sortWithinPartitions(*unit, "n", "cls")
-    compared = big.select(*unit, "blk", "cls", "n", "comp", "bits", "before").mapInPandas(compare, "a long, b long, ord int")
+    compared = _compared(big.withColumn("before", before).join(mixed, ["ord", "tok"], "left_semi"), classes, nearest=False)
     # A pair may be found in a small group under one order and in a large one under another.
     return direct.unionByName(compared).groupBy("a", "b").agg(F.expr("bit_or(shiftleft(1, ord)) AS met")).where(F.col("met") == _ALL).select("a", "b")
 
 
-def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    return connected_components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links))
+
+
+def _group_pairs(g: pd.DataFrame, nearest: bool = False, rows: int = 512) -> Iterator[pd.DataFrame]:
     """Pairs of a unit that differ in component and whose bitmaps do not rule a link out; sizes ascend.
 
     A unit is a large group, or two blocks of one; pairs within a block are the business of the unit of that block alone.
-    Pairs that both came from one of the last groups are left to that one.
+    Pairs that both came from one of the last groups are left to that one. nearest: of each member only its nearest pair.
     """
     comp = g["comp"].to_numpy()
     if (comp == comp[0]).all():
@@ -414,10 +447,13 @@ def _group_pairs(g: pd.DataFrame, rows: int = 512) -> Iterator[pd.DataFrame]:
                 for o in range(BEFORE):
                     new &= (x != before[other[c], o]) | (x < 0)
             r, c = r[new], c[new]
-            keep = np.zeros(len(r), bool)
+            d = np.zeros(len(r), np.int64)
             for s in range(0, len(r), 1 << 16):
-                d = np.bitwise_count(mine[lo + r[s : s + (1 << 16)]] ^ fold[c[s : s + (1 << 16)]]).sum(1, dtype=np.int64)
-                keep[s : s + (1 << 16)] = 9 * d <= n[i[r[s : s + (1 << 16)]]] + n[other[c[s : s + (1 << 16)]]]
+                d[s : s + (1 << 16)] = np.bitwise_count(mine[lo + r[s : s + (1 << 16)]] ^ fold[c[s : s + (1 << 16)]]).sum(1, dtype=np.int64)
+            keep = np.flatnonzero(9 * d <= n[i[r]] + n[other[c]])
+            if nearest:
+                keep = keep[np.argsort(d[keep], kind="stable")]
+                keep = np.union1d(*[keep[np.unique(x[keep], return_index=True)[1]] for x in (r, c)])
             a, b = cls[i[r[keep]]], cls[other[c[keep]]]
             if len(a):
                 yield pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b), "ord": np.int32(order)})
@@ -444,9 +480,15 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         classes = _classes(rows, groups)
         first = materialize(_verified(_led(groups), classes, docs, groups), "links")
         comps = connected_components(first)
+        largest = _largest(groups)
+        for _ in range(ROUNDS):
+            near = materialize(_verified(_nearest(largest, comps, classes), classes, docs), "links")
+            if near.isEmpty():
+                break
+            comps = _merged(comps, near)
         rest = materialize(_verified(_apart(groups, comps, classes), classes, docs), "links")
         if not rest.isEmpty():
-            comps = connected_components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(rest))
+            comps = _merged(comps, rest)
     named = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("rep"))
     named = named.join(comps, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("root", "cls").alias("root"))
     ids = named.groupBy("root").agg(F.min("rep").alias("component_id"))

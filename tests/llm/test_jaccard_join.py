@@ -88,3 +88,24 @@ def test_long_text_in_pieces():
     text = ("ab " * 500_000 + "c d e f").encode()
     h, n = shingle_sets([text, b"x y"])
     assert n.tolist() == [5, 1] and len(h) == 6
+
+
+def test_near_copies_are_linked_before_all_their_pairs_are_asked_for(spark, monkeypatch):
+    rng, rows = random.Random(5), []
+    base = [f"w{k}" for k in range(300)]
+    for i in range(400):
+        words = list(base)
+        for k in rng.sample(range(300), rng.choice([2, 3, 3, 4])):
+            words[k] = f"x{i}_{k}"
+        rows.append((i, " ".join(words)))
+    asked, apart = [], jj._apart
+
+    def counted(*args):
+        pairs = apart(*args)
+        asked.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(jj, "_apart", counted)
+    got = jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
+    assert sum(asked) <= 10 * len(rows)
