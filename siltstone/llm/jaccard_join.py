@@ -17,8 +17,8 @@ changes the orders, never the result.
    order are verified, and the components of those links are found. Within a component nothing more has to be known.
 4. In the largest group of each class members are paired with the nearest by bitmap of another component, in rounds, so that many
    near copies whom no leader links do not go on as many components with all pairs between them.
-5. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, in larger
-   ones bitmaps decide first, block against block of BLOCK members, each pair of blocks a task's unit of its own.
+5. Then the exact rest: pairs of one group but of different components. Small groups pair them directly, without their
+   leaders, whose pairs are decided; in larger ones bitmaps decide first, block against block of BLOCK members, each pair of blocks a task's unit of its own.
    What is left under all orders is verified.
 
 Verification: the first pass also keeps a bitmap of each set's hash parities. The distance of two such bitmaps
@@ -302,7 +302,8 @@ def _intersected(pairs: DataFrame, groups: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     """The pairs (a, b) that are links: sizes and bitmaps first, then the sets of those left.
 
-    groups: pairs have a column met and must share a prefix shingle under the other orders too.
+    groups: pairs have a column met and must share a prefix shingle under the other orders too. Without them pairs are few beside the classes,
+    of which only those that are asked for are moved.
     """
 
     @F.pandas_udf("boolean")
@@ -318,6 +319,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, groups: Dat
             out.append(100 * both >= 80 * (len(x) + len(y) - both))
         return pd.Series(out, dtype=bool)
 
+    if groups is None:
+        pairs = materialize(pairs, "pairs")
+        classes = classes.where(marker(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), "cls")("cls"))
     side = lambda k: classes.select(*[F.col(c).alias(k if c == "cls" else f"{c}_{k}") for c in classes.columns])
     p = pairs.join(side("a"), "a").join(side("b"), "b").where(_sizes_fit("n_a", "n_b"))
     p = p.where(near("bits_a", "bits_b", F.col("n_a") + F.col("n_b"))).select(*pairs.columns, "rep_a", "rep_b")
@@ -377,6 +381,9 @@ def _compared(big: DataFrame, classes: DataFrame, nearest: bool) -> DataFrame:
             yield from _group_pairs(pd.concat(held), nearest)
         trim()
 
+    # Bitmaps of members only are moved.
+    big = materialize(big, "members")
+    classes = classes.where(marker(big.select("cls").distinct(), "cls")("cls"))
     # A large group is dealt into blocks by hash; a member goes to every unit that compares its block with another.
     blocks = F.ceil(F.col("g") / BLOCK).cast("int")
     big = big.withColumn("blk", F.pmod(F.xxhash64("cls", F.lit("block")), blocks).cast("int"))
@@ -393,9 +400,11 @@ def _nearest(largest: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFr
 
 
 def _apart(groups: DataFrame, comps: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a group under every order."""
+    """Pairs (a, b) of different components that share a group under every order, but for some that a leader has decided."""
     m = _named(groups, comps)
-    x, y = (m.where(F.col("g") <= SMALL).select("ord", "tok", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "comp")]) for k in "ab")
+    # What a leader shares a group with has been verified, so small groups, most of which are pairs by chance, go on without their leaders.
+    small = m.where((F.col("g") > 2) & (F.col("g") <= SMALL) & (F.col("cls") != F.col("lead")))
+    x, y = (small.select("ord", "tok", *[F.col(c).alias(f"{c}_{k}") for c in ("cls", "n", "comp")]) for k in "ab")
     direct = x.join(y, ["ord", "tok"]).where(
         (F.col("cls_a") < F.col("cls_b")) & (F.col("comp_a") != F.col("comp_b")) & _sizes_fit("n_a", "n_b")
     )

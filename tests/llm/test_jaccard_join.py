@@ -109,3 +109,14 @@ def test_near_copies_are_linked_before_all_their_pairs_are_asked_for(spark, monk
     got = jj.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows)
     assert sum(asked) <= 10 * len(rows)
+
+
+def test_pairs_of_leaders_are_not_sought_again(spark):
+    member = "ord int, tok long, cls long, n int, g int, lead long, lead_n int"
+    pair = [(o, 7, c, 10, 2, 1, 10) for o in range(jj.ORDERS) for c in (1, 2)]
+    three = [(o, 8, c, 10, 3, 3, 10) for o in range(jj.ORDERS) for c in (3, 4, 5)]
+    groups = spark.createDataFrame(pair + three, member)
+    comps = spark.createDataFrame([], "node long, root long")
+    classes = spark.createDataFrame([(c, c, 10, bytes(8)) for c in range(1, 6)], "cls long, rep long, n int, bits binary")
+    assert {(r.a, r.b) for r in jj._led(groups).collect()} == {(1, 2), (3, 4), (3, 5)}
+    assert [tuple(r) for r in jj._apart(groups, comps, classes).collect()] == [(4, 5)]
