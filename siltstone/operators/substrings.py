@@ -4,9 +4,11 @@ A text lies in another one only if each of its grams does, so it is looked up by
 often. Where that gram lies in either text says where the shorter would have to start: pairs for which it would not fit are dropped.
 Only ids and places are joined; texts come back by id, once a pair of ids, and are compared.
 
-While the shorter texts have no more than MOST_BROADCAST grams, these go to where the longer texts are read, and each text's grams are
-looked up there by a rolling hash: once to count, once to find the places of those that were chosen (a hash that two grams share costs
-candidates, not results). Beyond, all places of the longer texts are cut in the JVM and joined by shuffles.
+While the shorter texts, each counted once, have no more than MOST_BROADCAST characters, they go to where the longer texts are read, and
+one pass of an automaton over each of these finds all that lie in it: there is nothing to choose, to join or to compare then.
+Else, while they have no more than MOST_BROADCAST grams, these go there, and each text's grams are looked up by a rolling hash: once to
+count, once to find the places of those that were chosen (a hash that two grams share costs candidates, not results). Beyond, all places
+of the longer texts are cut in the JVM and joined by shuffles.
 
 Grams that hold more than one in HOT of all places of the long side (HOT of them at most, so their table is broadcast) are dealt out:
 their places to as many salts as their share asks for, and the texts that are looked up by them to all of these.
@@ -15,7 +17,9 @@ their places to as many salts as their share asks for, and the texts that are lo
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
+import ahocorasick
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -26,8 +30,10 @@ from siltstone.session import materialize, spread
 GRAM = 4
 #: Characters of a text whose grams are cut at once, so that a gram costs the same wherever it lies.
 PIECE = 256
-#: Grams of the shorter side that may be broadcast, some 40 bytes each.
+#: Grams, or characters, of the shorter side that may be broadcast, some 40 bytes each (100 in an automaton).
 MOST_BROADCAST = 500_000
+#: Rows that a task collects before it passes them on.
+MOST_ROWS = 1 << 16
 #: Grams of a larger share than one in so many are hot.
 HOT = 4096
 
@@ -170,12 +176,60 @@ def candidates(short: DataFrame, long: DataFrame, gram: int = GRAM) -> DataFrame
     return right.join(left, ["n", "gram", "salt"]).where(fits).select("short_id", "long_id").distinct()
 
 
+class _Sought:
+    """Texts that are looked for, by number; each worker makes the automaton once."""
+
+    def __init__(self, numbers: dict[str, int]):
+        self.numbers = numbers
+
+    def __getstate__(self) -> dict:
+        return {"numbers": self.numbers}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        made = ahocorasick.Automaton()
+        for t, k in self.numbers.items():
+            if t:
+                made.add_word(t, k)
+        made.make_automaton()
+        return made
+
+    def held(self, text: str) -> set[int]:
+        """Numbers of the texts that lie in a text."""
+        found = {k for _, k in self.automaton.iter(text)} if len(self.automaton) else set()
+        return found | {self.numbers[""]} if "" in self.numbers else found
+
+
+def _held(long: DataFrame, sought: _Sought) -> DataFrame:
+    """(number, long_id): which of the texts that are looked for lie in which texts."""
+    sent = long.sparkSession.sparkContext.broadcast(sought)
+    kind = long.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = sent.value
+        for b in batches:
+            numbers, rows = [], []
+            for k, t in enumerate(b.column("text")):
+                found = s.held(t.as_py())
+                numbers.extend(found)
+                rows.extend([k] * len(found))
+                if len(rows) > MOST_ROWS or k + 1 == len(b):
+                    yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), b.column("id").take(pa.array(rows, pa.int64()))], ["number", "long_id"])
+                    numbers, rows = [], []
+
+    return long.select("id", "text").mapInArrow(run, f"number long, long_id {kind}")
+
+
 def contained_pairs(short: DataFrame, long: DataFrame, gram: int = GRAM) -> DataFrame:
     """(short_id, long_id) where long's text contains short's.
 
     Both sides: (id, text), each id once. An empty text lies in all, a null one in none and holds none.
     """
     short, long = (spread(d.select("id", "text").where("text IS NOT NULL")) for d in (short, long))
+    texts = materialize(short.select("text").distinct().withColumn("number", F.monotonically_increasing_id()), "texts")
+    if (texts.agg(F.sum(F.length("text"))).first()[0] or 0) <= MOST_BROADCAST:
+        numbers = materialize(short.join(texts, "text").select("number", F.col("id").alias("short_id")), "numbers")
+        return _held(long, _Sought({t: k for t, k in texts.collect()})).join(numbers, "number").select("short_id", "long_id")
     found = candidates(short, long, gram)
     a = short.select(F.col("id").alias("short_id"), F.col("text").alias("short_text"))
     b = long.select(F.col("id").alias("long_id"), F.col("text").alias("long_text"))
